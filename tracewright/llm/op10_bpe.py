@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,9 @@ from .common import table
 
 #: Different pieces whose ids a task remembers; past it the memory is emptied.
 REMEMBERED = 300_000
-#: Bytes of text that are encoded before ids go on to Spark.
+#: Characters with the property White_Space, as a class of a regular expression.
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Characters of text that are encoded before ids go on to Spark.
 AT_ONCE = 2_000_000
 
 
@@ -43,50 +49,97 @@ def ranks(path: str) -> dict[bytes, int]:
 
 @cache
 def tokenizer(path: str):
-    """A tokenizers model that merges as the ranks say.
+    """A tokenizers model over byte characters that merges as the ranks say.
 
     Any neighbouring pair whose bytes joined are a token may merge, with that token's rank; so
     every split of a token into two tokens is a merge, in the order of ranks.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer, models, pre_tokenizers
+    from tokenizers import Tokenizer, models
 
     char, known = byte_characters(), ranks(path)
     shown = {token: "".join(char[b] for b in token) for token in known}
     by_rank = sorted(known, key=known.get)
     merges = [(shown[t[:i]], shown[t[i:]]) for t in by_rank for i in range(1, len(t)) if t[:i] in known and t[i:] in known]
-    model = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in known.items()}, merges=merges, ignore_merges=True))
-    model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    return model
+    return Tokenizer(models.BPE(vocab={shown[t]: r for t, r in known.items()}, merges=merges, ignore_merges=True))
 
 
 @cache
-def byte_table(path: str) -> dict[int, bytes]:
+def byte_table(path: str) -> pa.Array:
     """Bytes of each id, from the model's own token strings read back through the byte table."""
     back = {c: b for b, c in enumerate(byte_characters())}
-    return {i: bytes(back[c] for c in token) for token, i in tokenizer(path).get_vocab().items()}
+    tokens = {i: bytes(back[c] for c in token) for token, i in tokenizer(path).get_vocab().items()}
+    return pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.binary())
+
+
+#: Characters past the first 65,536; classes without them are much faster tables.
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
 
 
 @cache
-def _pattern(pattern: str):
-    import regex
+def splitter(pattern: str, codes: int) -> re.Pattern:
+    """``pattern`` for Python's re, which has no letter and number classes and another idea of white space.
 
-    return regex.compile(pattern)
+    It holds for texts of characters below ``codes``.
+    """
+    of = {"L": [], "N": []}
+    for c in range(codes):
+        if (kind := unicodedata.category(chr(c))[0]) in of:
+            spans = of[kind]
+            if spans and spans[-1][1] == c - 1:
+                spans[-1][1] = c
+            else:
+                spans.append([c, c])
+    inside = {rf"\p{{{k}}}": "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in v) for k, v in of.items()}
+    inside[r"\s"] = WHITE
+    out, in_class = [], False
+    for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.S):
+        if part == r"\S" and not in_class:
+            out.append(f"[^{WHITE}]")
+        elif part in inside:
+            out.append(inside[part] if in_class else f"[{inside[part]}]")
+        elif re.match(r"\\[A-Za-z]", part):
+            raise ValueError(f"{part} isn't supported in a pattern")
+        else:
+            in_class = part == "[" or in_class and part != "]"
+            out.append(part)
+    return re.compile("".join(out))
 
 
 class Pieces:
-    """Ids and character ends of pieces; each different piece goes through the tokenizer once."""
+    """Ids of pieces; each different piece goes through the tokenizer once, many in one call."""
 
     def __init__(self, path: str):
-        self.model = tokenizer(path)
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
+        self.model, self.table = tokenizer(path), "".join(byte_characters())
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first, self.ids, self.ends = np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int32)
 
-    def learn(self, texts: list[list[str]]) -> None:
+    def learn(self, texts: list[list[str]], offsets: bool) -> None:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.clear()
         new = [p for p in {*chain.from_iterable(texts)} if p not in self.known]
-        for piece, got in zip(new, self.model.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[piece] = got.ids, [end for _, end in got.offsets]
+        ids, ends, sizes = [self.ids], [self.ends], []
+        for at in range(0, len(new), 5_000):
+            part = new[at : at + 5_000]
+            # bytes become characters, one for one
+            got = self.model.encode([codecs.charmap_decode(p.encode("utf-8", "replace"), "strict", self.table)[0] for p in part], is_pretokenized=True, add_special_tokens=False)
+            word = np.array(got.word_ids, dtype=np.int64)
+            ids.append(np.array(got.ids, dtype=np.int32))
+            sizes.append(np.bincount(word, minlength=len(part)))
+            if offsets:  # from bytes of the piece to characters
+                begins = [np.cumsum([(c & 0xC0) != 0x80 for c in p.encode("utf-8", "replace")]) for p in part]
+                ends.append(np.array([begins[w][end - 1] for w, (_, end) in zip(word.tolist(), got.offsets, strict=True)], dtype=np.int32))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([*sizes, np.empty(0, dtype=np.int64)]))]).astype(np.int64)
+
+
+@cache
+def _pieces(path: str, offsets: bool) -> Pieces:
+    return Pieces(path)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> DataFrame:
@@ -98,24 +151,21 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, pieces = _pattern(pattern), Pieces(path)
+        plain, full, pieces = splitter(pattern, 0x10000), splitter(pattern, 0x110000), _pieces(path, offsets)
 
         def out(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            split = [find.findall(t) for t in texts]
-            pieces.learn(split)
-            known = pieces.known
-            flat_ids, flat_ends, lengths = [], [], np.zeros(len(texts) + 1, dtype=np.int32)
-            for row, found in enumerate(split):
-                before = len(flat_ids)
-                flat_ids.extend(chain.from_iterable([known[p][0] for p in found]))
-                lengths[row + 1] = len(flat_ids) - before
-                if offsets:
-                    for piece in find.finditer(texts[row]):
-                        flat_ends.extend([piece.start() + e for e in known[piece.group()][1]])
-            at = pa.array(np.cumsum(lengths, dtype=np.int32))
-            columns = [keys, pa.ListArray.from_arrays(at, pa.array(flat_ids, pa.int32()))]
+            split = [full if BEYOND.search(t) else plain for t in texts]
+            found = [s.findall(t) for s, t in zip(split, texts, strict=True)]
+            pieces.learn(found, offsets)
+            number = np.fromiter(map(pieces.known.__getitem__, chain.from_iterable(found)), np.int64)
+            first, size = pieces.first[number], np.diff(pieces.first)[number]
+            after = np.concatenate([[0], np.cumsum(size)])
+            token = np.arange(after[-1]) + np.repeat(first - after[:-1], size)
+            at = pa.array(after[np.concatenate([[0], np.cumsum([len(f) for f in found])])].astype(np.int32))
+            columns = [keys, pa.ListArray.from_arrays(at, pa.array(pieces.ids[token]))]
             if offsets:
-                columns.append(pa.ListArray.from_arrays(at, pa.array(flat_ends, pa.int32())))
+                begin = np.fromiter((m.start() for s, t in zip(split, texts, strict=True) for m in s.finditer(t)), np.int32)
+                columns.append(pa.ListArray.from_arrays(at, pa.array(pieces.ends[token] + np.repeat(begin, size))))
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "ends"][: len(columns)])
 
         for batch in batches:
@@ -141,8 +191,14 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = byte_table(path)
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            joined = pa.array([None if x is None else b"".join([of[i] for i in x]) for x in ids], pa.binary())
+            ids = batch.column(batch.schema.get_field_index("ids"))
+            tokens = of.take(ids.flatten())
+            if tokens.null_count:
+                raise ValueError("an id that the vocabulary doesn't have")
+            size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            at = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+            joined = pc.binary_join(pa.ListArray.from_arrays(at, tokens), b"")
+            joined = pc.if_else(ids.is_valid(), joined, pa.scalar(None, pa.binary()))
             yield pa.RecordBatch.from_arrays([*batch.columns, joined], [*batch.schema.names, "decoded"])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
