@@ -15,16 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary one is
-    used only where that is unset, as in local tests.
+    Only where that is unset, as in local tests, a temporary folder is made and set.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir", "")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir", "")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return named or sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from the files."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
