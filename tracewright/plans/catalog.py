@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from . import session_queries
+from . import evidence_queries, session_queries
 
 
 def queries() -> dict:
-    return session_queries.QUERIES
+    return session_queries.QUERIES | evidence_queries.QUERIES
 
 
 def oracle_sql() -> dict:
-    return session_queries.ORACLES
+    return session_queries.ORACLES | evidence_queries.ORACLES

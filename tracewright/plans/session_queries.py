@@ -229,6 +229,12 @@ _RE = lambda p: p.replace("'", "''")
 _USUAL = "(22, 53, 80, 123, 443, 993, 8080, 8443)"
 _EPISODE_NO = f"""ep AS (SELECT *, sum(CASE WHEN g > 432000 THEN 1 ELSE 0 END) OVER (PARTITION BY {_AUTH} ORDER BY start_time NULLS LAST, session_id ROWS UNBOUNDED PRECEDING)::BIGINT AS episode FROM gap)"""
 
+BEACON = f"""WITH {_GAPS}, s AS (SELECT {_AUTH}, count(*) AS connections, count(CASE WHEN g >= 0 THEN g END) AS intervals, avg(CASE WHEN g >= 0 THEN g END) AS m, quantile_cont(CASE WHEN g >= 0 THEN g END, 0.5) AS med,
+        stddev_pop(CASE WHEN g >= 0 THEN g END) AS sd, max(coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) AS max_bytes, max(start_time) - min(start_time) AS span FROM gap GROUP BY {_AUTH}),
+        c AS (SELECT *, CASE WHEN m > 0 THEN round(sd / m, 6) END AS cv, dst_port NOT IN {_USUAL} AS odd_port, dst_ip NOT LIKE '10.%' AS external FROM s), p AS (SELECT *, coalesce(intervals >= 3 AND m >= 1 AND cv <= 0.35, false) AS periodic FROM c)
+        SELECT {_AUTH}, connections, intervals, round(m, 3) AS interval_mean, round(med, 3) AS interval_median, round(sd, 3) AS interval_std, round(cv, 3) AS interval_cv, periodic, odd_port, external, max_bytes,
+        round(least(CASE WHEN periodic THEN 35e-2 ELSE 0 END + CASE WHEN connections >= 4 THEN 15e-2 ELSE 0 END + CASE WHEN max_bytes <= 4096 THEN 15e-2 ELSE 0 END + CASE WHEN odd_port THEN 1e-1 ELSE 0 END + CASE WHEN external THEN 1e-1 ELSE 0 END + CASE WHEN span >= 300 THEN 5e-2 ELSE 0 END, 1), 3) AS beacon_score, round(1 / (1 + cv), 3) AS regularity_score FROM p"""
+
 ORACLES = {
     "safe_number": duck("SELECT session_id, CASE WHEN k % 7 > 2 THEN k + 75e-2 END AS number, CASE WHEN k % 7 > 2 THEN k::BIGINT END AS whole FROM flow"),
     "canonical_key": duck("SELECT session_id, CASE WHEN (src_ip, src_port::VARCHAR) <= (dst_ip, dst_port::VARCHAR) THEN src_ip || '|' || src_port || '|' || dst_ip || '|' || dst_port ELSE dst_ip || '|' || dst_port || '|' || src_ip || '|' || src_port END || '|' || proto AS key FROM flow"),
@@ -251,11 +257,7 @@ ORACLES = {
     "source_context": duck(f"WITH {_SOURCE} SELECT session_id, src.* EXCLUDE (capture_id, src_ip) FROM flow JOIN src USING (capture_id, src_ip)"),
     "source_context_wide": duck(f"SELECT capture_id, src_ip, count(*) AS same_src_connections, count(DISTINCT dst_port) AS same_src_unique_dst_ports, count(DISTINCT dst_ip) AS same_src_unique_dst_ips, round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS same_src_failed_conn_rate, count(*) AS rows FROM wide GROUP BY ALL"),
     "destination_context": duck("SELECT session_id, n AS same_dst_unique_sources, count(*) OVER (PARTITION BY capture_id, src_ip, dst_ip, dst_port) AS same_endpoint_sessions FROM flow JOIN (SELECT capture_id, dst_ip, count(DISTINCT src_ip) AS n FROM flow GROUP BY ALL) USING (capture_id, dst_ip)"),
-    "endpoint_beacon": duck(f"""WITH {_GAPS}, s AS (SELECT {_AUTH}, count(*) AS connections, count(CASE WHEN g >= 0 THEN g END) AS intervals, avg(CASE WHEN g >= 0 THEN g END) AS m, quantile_cont(CASE WHEN g >= 0 THEN g END, 0.5) AS med,
-        stddev_pop(CASE WHEN g >= 0 THEN g END) AS sd, max(coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) AS max_bytes, max(start_time) - min(start_time) AS span FROM gap GROUP BY {_AUTH}),
-        c AS (SELECT *, CASE WHEN m > 0 THEN round(sd / m, 6) END AS cv, dst_port NOT IN {_USUAL} AS odd_port, dst_ip NOT LIKE '10.%' AS external FROM s), p AS (SELECT *, coalesce(intervals >= 3 AND m >= 1 AND cv <= 0.35, false) AS periodic FROM c)
-        SELECT {_AUTH}, connections, intervals, round(m, 3) AS interval_mean, round(med, 3) AS interval_median, round(sd, 3) AS interval_std, round(cv, 3) AS interval_cv, periodic, odd_port, external, max_bytes,
-        round(least(CASE WHEN periodic THEN 35e-2 ELSE 0 END + CASE WHEN connections >= 4 THEN 15e-2 ELSE 0 END + CASE WHEN max_bytes <= 4096 THEN 15e-2 ELSE 0 END + CASE WHEN odd_port THEN 1e-1 ELSE 0 END + CASE WHEN external THEN 1e-1 ELSE 0 END + CASE WHEN span >= 300 THEN 5e-2 ELSE 0 END, 1), 3) AS beacon_score, round(1 / (1 + cv), 3) AS regularity_score FROM p"""),
+    "endpoint_beacon": duck(BEACON),
     "pair_context": duck("""SELECT *, unique_paths >= 8 AS uri_fanout, statuses >= 5 AND share_404 >= 0.6 AS high_404, login_requests >= 5 AS auth_repetition FROM (SELECT capture_id, src_ip, dst_ip, count(DISTINCT split_part(split_part(url, '?', 1), '#', 1)) AS unique_paths, count(status) AS statuses,
         round(avg(CASE WHEN status = 404 THEN 1e0 ELSE 0e0 END), 4) AS share_404, count(*) FILTER (login) AS login_requests FROM page GROUP BY ALL)"""),
     "capture_summary": duck(f"""SELECT capture_id, count(*) AS sessions, min(start_time) AS first_time, max(start_time) AS last_time, sum(orig_bytes)::BIGINT AS orig_bytes, sum(resp_bytes)::BIGINT AS resp_bytes, count(DISTINCT src_ip) AS sources, count(DISTINCT dst_ip) AS destinations,
