@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Different pieces whose ids a task remembers; past it the memory is emptied.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Characters with the property White_Space, as a class of a regular expression.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters of text that are encoded before ids go on to Spark.
