@@ -90,7 +90,8 @@ def mix(docs: DataFrame) -> DataFrame:
     planned = plan(rows)
     whole = F.when(F.col("size") == 0, F.array(F.lit(0.0))).otherwise(F.slice(F.col("positions"), F.lit(1), F.round(F.col("taken") / F.col("size")).cast("int")))
     copies = planned.select(*names.values(), F.explode(whole).alias("_moment"))
-    return copies.repartitionByRange("_moment").sortWithinPartitions("_moment").select(*(F.col(n).alias(c) for c, n in names.items()))
+    order = ["_moment", names["doc_id"]]
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order).select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +100,8 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.when(F.size("positions") > 0, F.element_at("positions", 1))
     return (
         planned.select("doc_id", "size", "source_size", "target", "taken", F.round(first, 9).alias("position"))
-        .repartitionByRange(F.asc_nulls_last("position"))
-        .sortWithinPartitions(F.asc_nulls_last("position"))
+        .repartitionByRange(F.asc_nulls_last("position"), "doc_id")  # rows that aren't taken have no position
+        .sortWithinPartitions(F.asc_nulls_last("position"), "doc_id")
     )
 
 
