@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import evidence_queries, session_queries
+from . import evidence_queries, flag_queries, session_queries
+
+PARTS = (session_queries, evidence_queries, flag_queries)
 
 
 def queries() -> dict:
-    return session_queries.QUERIES | evidence_queries.QUERIES
+    return {name: query for part in PARTS for name, query in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return session_queries.ORACLES | evidence_queries.ORACLES
+    return {name: sql for part in PARTS for name, sql in part.ORACLES.items()}
