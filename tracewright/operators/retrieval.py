@@ -54,9 +54,9 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     to ``text_cap``), and 3 for each query token of four characters or more that occurs anywhere
     in them as a substring. Only positive scores count; ties to the smaller chunk id.
 
-    Tokens are joined through distinct token lists. For substrings, each different query token is
-    looked up among the different words of the chunks, not among the chunks: a token without
-    blanks lies inside one run of non-blank characters.
+    Tokens are joined through distinct token lists. A token without blanks can only occur inside
+    one run of non-blank characters, so for substrings the different runs are joined with the
+    different query tokens by the token's first four characters, then compared.
     """
     wanted = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("token"))
 
@@ -71,7 +71,10 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     blob = F.lower(F.concat_ws(" ", "title", "keywords", "text"))
     runs = chunks.select("chunk_id", F.explode(F.array_distinct(F.split(blob, "\\s+"))).alias("run"))
     long_tokens = wanted.where(F.length("token") >= 4)
-    inside = runs.select("run").distinct().join(long_tokens.select("token").distinct(), F.expr("instr(run, token) > 0"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - 3), lambda i: F.substr("run", i, F.lit(4))))
+    cut = runs.where(F.length("run") >= 4).select("run").distinct().select("run", F.explode(grams).alias("gram"))
+    heads = long_tokens.select("token").distinct().withColumn("gram", F.left("token", F.lit(4)))
+    inside = cut.join(heads, "gram").where(F.contains("run", "token")).select("run", "token")
     exact = long_tokens.join(inside, "token").join(runs, "run").select("query_id", "chunk_id", "token").distinct().groupBy("query_id", "chunk_id").agg(F.count("*").alias("exact"))
     hits = hits.unionByName(exact.select("query_id", "chunk_id", *(F.lit(0).cast("long").alias(c) for c in ("title", "keywords", "text")), "exact"))
     score = 3 * F.sum("exact") + 3 * F.sum("title") + 4 * F.sum("keywords") + 0.5 * F.least(F.sum("text"), F.lit(text_cap))
