@@ -10,9 +10,17 @@ from ..functions.values import stage_of
 STAGES = ("TA43", "TA01", "TA03", "TA11", "TN01")
 
 
-def match_answers(predictions: DataFrame, answers: DataFrame, tiers: tuple[tuple[str, ...], ...] = (("file", "number"), ("number",), ("file",))) -> DataFrame:
+def with_signature(rows: DataFrame, fields: tuple[str, ...] = ("file", "start_time", "end_time", "src_ip", "src_port", "dst_ip", "dst_port")) -> DataFrame:
+    """Add signature: all fields as one text; null where all but the first are empty."""
+    text = [F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in fields]
+    return rows.withColumn("signature", F.when(F.concat(*text[1:]) != "", F.concat_ws("|", *text)))
+
+
+def match_answers(predictions: DataFrame, answers: DataFrame, tiers: tuple[tuple[str, ...], ...] = (("file", "number"), ("number",), ("signature",), ("file",))) -> DataFrame:
     """(prediction_id, answer_id, method) in tiers of keys, each using only what earlier tiers left.
 
+    Both tables need the columns of all tiers; ``with_signature`` makes the third.
+
     A key matches where exactly one unused prediction and one unused answer have it. Contended
     keys stay open for the next tier, so the result doesn't depend on row order.
     """
@@ -25,6 +33,33 @@ def match_answers(predictions: DataFrame, answers: DataFrame, tiers: tuple[tuple
     return out
 
 
+def unmatched_rows(predictions: DataFrame, answers: DataFrame, matches: DataFrame) -> DataFrame:
+    """(side, id, reason) of the answers and predictions that no match uses."""
+    left = answers.join(matches, "answer_id", "left_anti").select(F.lit("answer").alias("side"), F.col("answer_id").alias("id"), F.lit("no unique prediction match").alias("reason"))
+    return left.unionByName(predictions.join(matches, "prediction_id", "left_anti").select(F.lit("prediction").alias("side"), F.col("prediction_id").alias("id"), F.lit("unused prediction row").alias("reason")))
+
+
+def confusion_grid(rows: DataFrame) -> DataFrame:
+    """(expected, predicted, n) for all pairs of stages of ``rows(truth, guess)``; pairs that never occur have 0, unknown stages are left out."""
+    counts = rows.groupBy(stage_of(F.col("truth")).alias("expected"), stage_of(F.col("guess")).alias("predicted")).agg(F.count("*").alias("n"))
+    grid = rows.sparkSession.createDataFrame([(e, p) for e in STAGES for p in STAGES], "expected string, predicted string")
+    return grid.join(counts, ["expected", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+
+
+def overall_metrics(rows: DataFrame) -> DataFrame:
+    """One row over ``rows(truth, guess)`` with known stages: stage, technique, normal-or-attack, normal and attack accuracy, 4 digits, and macro F1."""
+    t, g = stage_of(F.col("truth")), stage_of(F.col("guess"))
+    known = rows.where(t.isin(*STAGES) & g.isin(*STAGES)).select("truth", "guess", t.alias("t"), g.alias("g"))
+    normal, right = F.col("t") == "TN01", F.col("t") == F.col("g")
+    share = lambda hit, of: F.round(F.when(F.count_if(of) > 0, F.count_if(hit & of) / F.count_if(of)).otherwise(0.0), 4)
+    all_rows = F.lit(True)
+    macro = stage_metrics(known).agg(F.round(F.avg("f1"), 4).alias("macro_f1"))
+    return known.agg(
+        F.count("*").alias("n"), share(right, all_rows).alias("stage_accuracy"), share(F.col("truth") == F.col("guess"), all_rows).alias("technique_accuracy"),
+        share(normal == (F.col("g") == "TN01"), all_rows).alias("normal_vs_attack"), share(right, normal).alias("normal_accuracy"), share(right, ~normal).alias("attack_accuracy"),
+    ).join(F.broadcast(macro))  # one row each
+
+
 def stage_metrics(rows: DataFrame) -> DataFrame:
     """For each stage of ``rows(truth, guess)``: support, predicted, right, precision, recall and F1, 4 digits; stages without rows too."""
     pairs = rows.select(stage_of(F.col("truth")).alias("t"), stage_of(F.col("guess")).alias("g")).groupBy("t", "g").agg(F.count("*").alias("n"))

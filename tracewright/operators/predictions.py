@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.values import confidence, file_key, file_stem, format_epoch, normalize_label, stage_of
+from ..functions.values import confidence, estimate_tokens, file_key, file_stem, format_epoch, normalize_label, stage_of, trim_value
 
 
 def route_records(records: DataFrame, done: DataFrame, min_score: float = 7.0, min_margin: float = 2.5, max_flags: int = 0, allow_normal: bool = False) -> DataFrame:
@@ -78,15 +78,46 @@ def attach_context(predictions: DataFrame, records: DataFrame) -> DataFrame:
     return out.withColumn("start_time", F.when(F.col("_found"), F.col("_own")).otherwise(F.col("_first"))).withColumn("context", how).drop("_own", "_found", "_first")
 
 
-def representative_endpoint(rows: DataFrame, placeholders: tuple[str, ...] = ("0.0.0.0", "1.1.1.1", "multiple")) -> DataFrame:
-    """One row for each capture of ``rows(capture_id, place, src_ip, dst_ip, dst_port, start_time)``: the first, unless another scores strictly higher.
+#: Addresses that stand for none, and what parts of an endpoint are worth.
+PLACEHOLDERS = ("1.1.1.1", "2.2.2.2")
+ADDRESS = r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9a-fA-F]*:[0-9a-fA-F:.]+)$"
 
-    An address gives 45, a placeholder takes 120, a port gives 12, a time 4.
+
+def _address_worth(ip: Column) -> Column:
+    text = F.trim(F.coalesce(ip, F.lit("")))
+    return F.when((text == "") | (F.lower(text) == "multiple"), -20).when(text.isin(*PLACEHOLDERS), -120).when(text.rlike(ADDRESS), 45).otherwise(5)
+
+
+def _port_worth(port: Column, many: Column) -> Column:
+    text = F.lower(F.trim(F.coalesce(port.cast("string"), F.lit(""))))
+    return F.when(text.isin("", "-"), -8).when(text == "multiple", F.when(many, 2).otherwise(-4)).when(text.contains(","), F.when(many, 8).otherwise(2)).otherwise(12)
+
+
+def representative_endpoint(rows: DataFrame, captures: DataFrame) -> DataFrame:
+    """One endpoint for each of ``captures(capture_id, technique, src_ip, dst_ip, dst_port, ports)``.
+
+    Candidates are ``rows(capture_id, kind, place, start_time, end_time, src_ip, src_port, dst_ip,
+    dst_port)``: of kind ``scan`` for scans (``session`` if there are none), ``benign`` for normal
+    captures, else ``session``. The first is taken unless another scores strictly higher. Fields it
+    lacks come from the capture. A scan shows the capture's list of ports where there is one.
     """
-    worth = lambda ip: F.when(ip.isNull() | (ip == ""), 0).when(ip.isin(*placeholders), -120).otherwise(45)
-    score = worth(F.col("src_ip")) + worth(F.col("dst_ip")) + F.when(F.col("dst_port").isNotNull(), 12).otherwise(0) + F.when(F.col("start_time").isNotNull(), 4).otherwise(0)
-    best = Window.partitionBy("capture_id").orderBy(F.desc("endpoint_score"), "place")
-    return rows.withColumn("endpoint_score", score).withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n")
+    wanted = F.when(F.col("technique") == "TA43_01", "scan").when(stage_of(F.col("technique")) == "TN01", "benign").otherwise("session")
+    heads = captures.select("capture_id", "technique", *(F.col(c).alias(f"_{c}") for c in ("src_ip", "dst_ip", "dst_port")), "ports", wanted.alias("wanted"))
+    scan = F.col("wanted") == "scan"
+    known = lambda c: F.coalesce(~F.trim(F.col(c).cast("string")).isin("", "-"), F.lit(False))
+    score = _address_worth(F.col("src_ip")) + _address_worth(F.col("dst_ip")) + _port_worth(F.col("src_port"), F.lit(False)) + _port_worth(F.col("dst_port"), scan)
+    score = score + F.when(known("start_time"), 4).otherwise(0) + F.when(known("end_time"), 4).otherwise(0)
+    score = score - F.when(F.col("src_ip").isin(*PLACEHOLDERS) & F.col("dst_ip").isin(*PLACEHOLDERS), 80).otherwise(0)
+    fits = (F.col("kind") == F.col("wanted")) | (scan & (F.col("kind") == "session"))
+    scored = rows.join(heads, "capture_id").where(fits).withColumn("endpoint_score", score)
+    best = Window.partitionBy("capture_id").orderBy(F.col("kind") != F.col("wanted"), F.desc("endpoint_score"), "place")
+    top = scored.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("capture_id", "kind", "place", "endpoint_score", "src_ip", "dst_ip", "dst_port")
+    out = heads.join(top, "capture_id", "left")
+    part = lambda c: F.when(known(c), F.col(c).cast("string")).otherwise(F.col(f"_{c}").cast("string"))
+    return out.select(
+        "capture_id", "technique", "kind", "place", "endpoint_score", part("src_ip").alias("src_ip"), part("dst_ip").alias("dst_ip"),
+        F.when(scan & F.coalesce(F.col("ports") != "", F.lit(False)), F.col("ports")).otherwise(part("dst_port")).alias("dst_port"),
+    )
 
 
 def submission_rows(predictions: DataFrame, templates: DataFrame, zone: str = "Asia/Shanghai", reason_limit: int = 300) -> DataFrame:
@@ -111,19 +142,33 @@ def conflict_cases(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("conflicts", F.array_sort(F.array_distinct(flags))).where(F.size("conflicts") > 0)
 
 
-def prompt_text(records: DataFrame, snippets: DataFrame, head: str, budget: int = 1200) -> DataFrame:
-    """(record_id, prompt, used, dropped): head, the best snippets that fit the budget of characters, and the record.
+def prompt_text(records: DataFrame, snippets: DataFrame, head: str, budget: int = 4000, per_snippet: int = 550, body_limit: int = 1800, least_body: int = 450) -> DataFrame:
+    """Prompts of ``records(record_id, body, context)`` and ``snippets(record_id, rank, pinned, text)`` within a budget of characters.
 
-    Snippets go from the lowest rank up: one is kept only if all better ones and it fit together.
+    Parts, a line each: head, context, snippets by rank, record. What doesn't fit goes in this
+    order: ordinary snippets from the lowest rank up; then the record is shortened (to
+    ``least_body`` at the least); then all snippets; then the context. A prompt that is still too
+    long is marked ``over``. Long snippets and records are trimmed before. Null parts are left out.
     """
-    rows = records.select("record_id", F.left("body", F.lit(budget // 2)).alias("body"))
-    order = Window.partitionBy("record_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    sized = snippets.join(rows, "record_id").withColumn("_end", F.sum(F.length("text") + 1).over(order))
-    room = F.lit(budget - len(head) - 2) - F.length("body")
-    kept = sized.withColumn("_fits", F.col("_end") <= room)
-    packed = kept.groupBy("record_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_fits"), F.struct("rank", "text")))), lambda s: s["text"]), "\n").alias("_text"),
-        F.count_if(F.col("_fits")).alias("used"), F.count_if(~F.col("_fits")).alias("dropped"),
+    rows = records.select("record_id", trim_value(F.coalesce("body", F.lit("")), body_limit).alias("_body"), F.col("context").alias("_context"))
+    rows = rows.withColumn("_fixed", F.lit(len(head)) + 1 + F.coalesce(F.length("_context") + 1, F.lit(0)))
+    bits = snippets.select("record_id", "rank", F.coalesce("pinned", F.lit(False)).alias("pinned"), trim_value(F.col("text"), per_snippet).alias("text")).where("text is not null")
+    order = Window.partitionBy("record_id").orderBy(F.desc("pinned"), "rank").rowsBetween(Window.unboundedPreceding, 0)
+    sized = bits.join(rows, "record_id").withColumn("_end", F.sum(F.length("text") + 1).over(order))
+    kept = F.col("pinned") | (F.col("_fixed") + F.col("_end") + F.length("_body") <= budget)
+    packed = sized.groupBy("record_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(kept, F.struct((~F.col("pinned")).alias("later"), "rank", "text")))), lambda s: s["text"]), "\n").alias("_text"),
+        F.count_if(kept).alias("_kept"), F.count("*").alias("_all"),
     )
-    out = rows.join(packed, "record_id", "left")
-    return out.select("record_id", F.concat_ws("\n", F.lit(head), F.coalesce("_text", F.lit("")), "body").alias("prompt"), F.coalesce("used", F.lit(0)).alias("used"), F.coalesce("dropped", F.lit(0)).alias("dropped"))
+    out = rows.join(packed, "record_id", "left").withColumn("_text", F.when(F.col("_kept") > 0, F.col("_text")))
+    wide = F.coalesce(F.length("_text") + 1, F.lit(0))
+    room = F.greatest(budget - F.col("_fixed") - wide, F.lit(least_body))
+    mark = "...[truncated]"
+    out = out.withColumn("shortened", F.length("_body") > room)
+    out = out.withColumn("_body", F.when(F.col("shortened"), F.concat(F.left("_body", room - len(mark)), F.lit(mark))).otherwise(F.col("_body")))
+    out = out.withColumn("_text", F.when(F.col("_fixed") + wide + F.length("_body") <= budget, F.col("_text")))
+    out = out.withColumn("context_dropped", F.col("_context").isNotNull() & (F.col("_fixed") + wide + F.length("_body") > budget))
+    prompt = F.concat_ws("\n", F.lit(head), F.when(~F.col("context_dropped"), F.col("_context")), "_text", "_body")
+    used = F.when(F.col("_text").isNotNull(), F.col("_kept")).otherwise(0)
+    out = out.select("record_id", prompt.alias("prompt"), used.cast("long").alias("used"), (F.coalesce("_all", F.lit(0)) - used).cast("long").alias("dropped"), "shortened", "context_dropped")
+    return out.withColumns({"over": F.length("prompt") > budget, "tokens": estimate_tokens(F.col("prompt"))})

