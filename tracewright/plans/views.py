@@ -79,7 +79,7 @@ def duck(body: str, **views: str) -> str:
     defined = {"flow": FLOW, "wide": WIDE, "page": PAGES, "chunk": CHUNKS, "record": RECORDS} | views
     used = [f"{n} AS ({sql.format(**DUCK)})" for n, sql in defined.items() if n in body]
     if any(n in views and sql.find("FROM flow") >= 0 for n, sql in defined.items() if n in body) and not any(u.startswith("flow AS") for u in used):
-        used.insert(0, f"flow AS ({FLOW.format(**DUCK)})")
+        used.insert(0, f"flow AS ({defined['flow'].format(**DUCK)})")
     joined = ", ".join(used)
     body = body.strip()
     if body.upper().startswith("WITH RECURSIVE"):
