@@ -164,6 +164,32 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4]
 
 
+def test_keep_one_against_all_pairs(spark, docs):
+    """A candidate that fails the check on texts must not hide another link of its group."""
+    text = {r.doc_id: r.text for r in docs.collect()}
+    base = [f"t{i}" for i in range(300)]
+    for n in range(120):  # copies with growing edits: neighbours are similar, the ends aren't
+        text[100_000 + n] = " ".join(w if (i * 7919) % 300 >= n else f"x{i}_{n % 3}" for i, w in enumerate(base))
+    ids = sorted(text)
+    prints = np.array([op7_simhash.fingerprint_of(text[i], 5) for i in ids], dtype=np.uint64)
+    sets = [op7_simhash.shingle_set(text[i], 5) for i in ids]
+    label = list(range(len(ids)))
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i + 1 :] ^ prints[i]) <= op7_simhash.bits_for(0.8) + 2) + i + 1:
+            a, b = label[i], label[j]
+            if a != b and (prints[i] == prints[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    kept = op7_simhash.keep_one(spark.createDataFrame(sorted(text.items()), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({ids[x] for x in label})
+
+
+def test_forests_keep_all_links_of_small_groups():
+    a, b = np.array([0, 0, 1, 1, 5]), np.array([1, 2, 2, 0, 6])
+    for times, size in ((1, 3), (2, 4)):
+        got = op7_simhash.forests(a, b, np.array([1, 2, 3, 1, 4], dtype=np.uint8), times)
+        assert len(got[0]) == size and (5, 6) in zip(got[0].tolist(), got[1].tolist(), strict=True)
+
+
 def test_minhash_estimates(spark, docs):
     rows = QUERIES["op8_minhash"](spark, DATA).orderBy("doc_id").collect()
     text = {r.doc_id: r.text or "" for r in docs.collect()}

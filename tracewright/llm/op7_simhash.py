@@ -212,8 +212,8 @@ def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray) -> Iterator[pa.R
                 yield rows(i, np.repeat(of, len(plan.masks[i][e])), (values[of, i][:, None] ^ plan.masks[i][e][None, :]).ravel(), True)
 
 
-def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Some of the edges (a, b) at distance d that span the same components, shorter ones first."""
+def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Places of some of the edges (a, b) at distance d that span the same components, shorter ones first."""
     names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
     x, y = at[: len(a)], at[len(a) :]
     label = np.arange(len(names))
@@ -227,12 +227,30 @@ def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.
             label[hooked] = low[first]
             while not np.array_equal(label, label[label]):
                 label = label[label]
-    keep = np.concatenate([*taken, np.empty(0, dtype=np.int64)]).astype(np.int64)
+    return np.concatenate([*taken, np.empty(0, dtype=np.int64)]).astype(np.int64)
+
+
+def forests(a: np.ndarray, b: np.ndarray, d: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The edges of ``times`` forests, each of what the ones before leave; repeated edges count once.
+
+    An edge (a, b) that is left out has ``times`` paths between its ends that share no edge.
+    """
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    a, b, d = (x[order[new]] for x in (a, b, d))
+    keep, left = np.zeros(len(a), dtype=bool), np.arange(len(a))
+    for _ in range(times):
+        if not len(left):
+            break
+        keep[left[forest(a[left], b[left], d[left])]] = True
+        left = left[~keep[left]]
     return a[keep], b[keep], d[keep]
 
 
-def links(batches: Iterator[pa.RecordBatch], tau: int) -> Iterator[pa.RecordBatch]:
-    """Compare probes with index rows of the same key; a forest of the links within tau bits.
+def links(batches: Iterator[pa.RecordBatch], tau: int, times: int = 1) -> Iterator[pa.RecordBatch]:
+    """Compare probes with index rows of the same key; ``times`` forests of the links within tau bits.
 
     Rows come sorted by key. Some whole keys are held at a time.
     """
@@ -254,9 +272,9 @@ def links(batches: Iterator[pa.RecordBatch], tau: int) -> Iterator[pa.RecordBatc
             d = np.bitwise_count(fq[q] ^ fi[x])
             good = np.flatnonzero((d <= tau) & (d > 0))
             if len(good):
-                found = forest(*(np.append(f, g) for f, g in zip(found, (nq[q[good]], ni[x[good]], d[good]), strict=True)))
+                found = forests(*(np.append(f, g) for f, g in zip(found, (nq[q[good]], ni[x[good]], d[good]), strict=True)), times)
             start = stop
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(*found[:2])), pa.array(np.maximum(*found[:2]))], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
     held: list[list[np.ndarray]] = []
     rows = 0
@@ -274,9 +292,12 @@ def links(batches: Iterator[pa.RecordBatch], tau: int) -> Iterator[pa.RecordBatc
         yield compare(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
 
-def linked(classes: DataFrame, tau: int) -> DataFrame:
+def linked(classes: DataFrame, tau: int, times: int = 1) -> DataFrame:
     """Edges (a, b) with the same components as all pairs of ``classes(fp, node)`` within tau bits.
 
+    Each task leaves ``times`` forests of its links: one is enough for components, more if some
+    links are dropped later. Edges may repeat.
+
     The driver gets 64 x 64 bit counts and at most 2**16 counts for each group, never rows.
     """
     spark = classes.sparkSession
@@ -322,7 +343,7 @@ def linked(classes: DataFrame, tau: int) -> DataFrame:
     probes = sum(len(g[max(0, plan.budget // m)]) for g in plan.masks) if plan.budget > 0 else m
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * (m + probes) * (1 + n / 2**width / BLOCK / 4) / 2_000_000))
     dealt = keyed.repartition(parts, "k").sortWithinPartitions("k")
-    return dealt.mapInArrow(lambda batches: links(batches, tau), "a long, b long")
+    return dealt.mapInArrow(lambda batches: links(batches, tau, times), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
@@ -364,13 +385,15 @@ def similar(edges: DataFrame, texts: DataFrame, words: int, similarity: float) -
     return both.mapInArrow(run, "a long, b long")
 
 
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: int = 2) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: int = 2, times: int = 32) -> DataFrame:
     """Rows of ``docs`` that stay when each group of near-duplicates keeps its smallest doc_id.
 
     Candidates lie within the bits that stand for ``similarity``, plus ``margin`` so that fewer
-    pairs are lost to the spread of the estimate. The shortest candidate links that span a group
-    are then checked on the whole texts, and only those of at least ``similarity`` (Jaccard, sets
-    of ``words``-word shingles) count. Texts of equal fingerprints are taken as copies. Of rows
+    pairs are lost to the spread of the estimate. Candidate links are then checked on the whole
+    texts, and only those of at least ``similarity`` (Jaccard, sets of ``words``-word shingles)
+    count. All links of a document with up to ``times`` candidates are checked; in denser groups
+    ``times`` forests of them, shortest first, so that work stays linear in the documents: a link
+    is only left out if so many paths without a common link join its ends. Texts of equal fingerprints are taken as copies. Of rows
     that share a doc_id one stays. Rows without a doc_id stay. Columns are those of ``docs``.
     """
     prints = cut(fingerprints(docs, words))
@@ -378,7 +401,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: i
     kept = docs.where("doc_id is not null")
     if classes.isEmpty():
         return docs
-    edges = cut(linked(classes, bits_for(similarity) + margin).distinct())
+    edges = cut(linked(classes, bits_for(similarity) + margin, times).distinct())
     ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
     texts = kept.join(ends, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
     roots = components(similar(edges, texts, words, similarity))
