@@ -183,6 +183,15 @@ def test_keep_one_against_all_pairs(spark, docs):
     assert sorted(r.doc_id for r in kept) == sorted({ids[x] for x in label})
 
 
+def test_equal_fingerprints_of_different_texts_stay(spark):
+    """One shingle that makes up most of a text decides every bit; such texts share nothing else."""
+    texts = ["- " * 80 + " ".join(f"u{n}x{i}" for i in range(60)) for n in range(40)]
+    texts += [texts[7].upper(), texts[9].replace("u9x30", "new")]  # an exact and a near copy of texts that aren't the first
+    assert len({op7_simhash.fingerprint_of(t, 5) for t in texts}) == 1
+    kept = op7_simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(40))
+
+
 def test_forests_keep_all_links_of_small_groups():
     a, b = np.array([0, 0, 1, 1, 5]), np.array([1, 2, 2, 0, 6])
     for times, size in ((1, 3), (2, 4)):

@@ -8,6 +8,7 @@ own, by dynamic programming on the number of candidates that each group would br
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from itertools import combinations
@@ -73,6 +74,23 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
+def text_classes(docs: DataFrame, words: int) -> DataFrame:
+    """(fp, digest, node) for each different text of ``docs`` with a doc_id: node is its smallest doc_id.
+
+    Texts of equal words are one text; texts that only share their fingerprint aren't.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() or "" for t in batch.column(1)]
+            digests = [hashlib.blake2b(b" ".join(t.encode("utf-8", "replace").lower().split()), digest_size=16).digest() for t in texts]
+            fps = np.array([fingerprint_of(t, words) for t in texts], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), pa.array(digests, pa.binary())], ["doc_id", "fp", "digest"])
+
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, fp long, digest binary").groupBy("fp", "digest").agg(F.min("doc_id").alias("node"))
+
+
 def _bits(fps: np.ndarray) -> np.ndarray:
     return np.unpackbits(fps.view(np.uint64).byteswap().view(np.uint8).reshape(-1, 8), axis=1)
 
@@ -192,7 +210,7 @@ def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray) -> Iterator[pa.R
     """Index and probe rows (k, probe, fp, node) of some fingerprints; k: group, value and pair of blocks."""
     values = plan.values(fps)
     limits = plan.thresholds(values)
-    mixed = (fps.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    mixed = ((fps.view(np.uint64) ^ (nodes.view(np.uint64) * np.uint64(0xD1B54A32D192ED03))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
 
     def rows(i: int, of: np.ndarray, v: np.ndarray, probe: bool) -> pa.RecordBatch:
         b = plan.blocks(i, v)
@@ -270,7 +288,7 @@ def links(batches: Iterator[pa.RecordBatch], tau: int, times: int = 1) -> Iterat
             r, inside = _explode(count[start:stop])
             q, x = r + start, lo[start:stop][r] + inside
             d = np.bitwise_count(fq[q] ^ fi[x])
-            good = np.flatnonzero((d <= tau) & (d > 0))
+            good = np.flatnonzero((d <= tau) & (nq[q] != ni[x]))
             if len(good):
                 found = forests(*(np.append(f, g) for f, g in zip(found, (nq[q[good]], ni[x[good]], d[good]), strict=True)), times)
             start = stop
@@ -393,11 +411,11 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: i
     texts, and only those of at least ``similarity`` (Jaccard, sets of ``words``-word shingles)
     count. All links of a document with up to ``times`` candidates are checked; in denser groups
     ``times`` forests of them, shortest first, so that work stays linear in the documents: a link
-    is only left out if so many paths without a common link join its ends. Texts of equal fingerprints are taken as copies. Of rows
-    that share a doc_id one stays. Rows without a doc_id stay. Columns are those of ``docs``.
+    is only left out if so many paths without a common link join its ends. Texts of equal words are
+    copies; different texts of one fingerprint are candidates like any others. Of rows that share a
+    doc_id one stays. Rows without a doc_id stay. Columns are those of ``docs``.
     """
-    prints = cut(fingerprints(docs, words))
-    classes = cut(prints.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))
+    classes = cut(text_classes(docs, words))
     kept = docs.where("doc_id is not null")
     if classes.isEmpty():
         return docs
