@@ -192,6 +192,15 @@ def test_equal_fingerprints_of_different_texts_stay(spark):
     assert sorted(r.doc_id for r in kept) == list(range(40))
 
 
+def test_no_link_of_a_dense_group_is_hidden(spark):
+    """Far more candidates a text than forests of links: the links that hold must still be found."""
+    texts = ["- " * 80 + " ".join(f"u{n}x{i}" for i in range(60)) for n in range(120)]
+    texts += [texts[n].replace(f"u{n}x30", "new") for n in range(0, 120, 5)]
+    assert len({op7_simhash.fingerprint_of(t, 5) for t in texts}) == 1
+    kept = op7_simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(120))
+
+
 def test_forests_keep_all_links_of_small_groups():
     a, b = np.array([0, 0, 1, 1, 5]), np.array([1, 2, 2, 0, 6])
     for times, size in ((1, 3), (2, 4)):

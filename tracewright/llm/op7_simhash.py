@@ -206,8 +206,11 @@ def _explode(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Index and probe rows (k, probe, fp, node) of some fingerprints; k: group, value and pair of blocks."""
+def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Index and probe rows (k, probe, fp, node, part) of some fingerprints; k: group, value and pair of blocks.
+
+    ``more`` may hold the part that each node belongs to.
+    """
     values = plan.values(fps)
     limits = plan.thresholds(values)
     mixed = ((fps.view(np.uint64) ^ (nodes.view(np.uint64) * np.uint64(0xD1B54A32D192ED03))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
@@ -220,7 +223,7 @@ def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray) -> Iterator[pa.R
         first, second = (own[r], other) if probe else (other, own[r])
         key = ((v[r] * len(plan.groups) + i) << np.int64(20)) + (first << np.int64(10)) + second
         of = of[r]
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(of), int(probe), dtype=np.int8)), pa.array(fps[of].view(np.int64)), pa.array(nodes[of])], ["k", "probe", "fp", "node"])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(of), int(probe), dtype=np.int8)), pa.array(fps[of].view(np.int64)), pa.array(nodes[of]), *(pa.array(x[of]) for x in more)], ["k", "probe", "fp", "node", "part"][: 4 + len(more)])
 
     for i in range(len(plan.groups)):
         yield rows(i, np.arange(len(fps)), values[:, i], False)
@@ -248,16 +251,21 @@ def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.concatenate([*taken, np.empty(0, dtype=np.int64)]).astype(np.int64)
 
 
+def once(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each edge once, its smaller end first."""
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    return a[order[new]], b[order[new]], d[order[new]]
+
+
 def forests(a: np.ndarray, b: np.ndarray, d: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The edges of ``times`` forests, each of what the ones before leave; repeated edges count once.
 
     An edge (a, b) that is left out has ``times`` paths between its ends that share no edge.
     """
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((b, a))
-    new = np.ones(len(a), dtype=bool)
-    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
-    a, b, d = (x[order[new]] for x in (a, b, d))
+    a, b, d = once(a, b, d)
     keep, left = np.zeros(len(a), dtype=bool), np.arange(len(a))
     for _ in range(times):
         if not len(left):
@@ -267,16 +275,20 @@ def forests(a: np.ndarray, b: np.ndarray, d: np.ndarray, times: int) -> tuple[np
     return a[keep], b[keep], d[keep]
 
 
-def links(batches: Iterator[pa.RecordBatch], tau: int, times: int = 1) -> Iterator[pa.RecordBatch]:
-    """Compare probes with index rows of the same key; ``times`` forests of the links within tau bits.
+def links(batches: Iterator[pa.RecordBatch], tau: int, times: int | None = 1) -> Iterator[pa.RecordBatch]:
+    """Compare probes with index rows of the same key; ``times`` forests of the links within tau bits, or all links.
 
-    Rows come sorted by key. Some whole keys are held at a time.
+    Rows come sorted by key. Some whole keys are held at a time. Rows with a part have no links inside it.
     """
 
-    def compare(k: np.ndarray, probe: np.ndarray, fp: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+    def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def compare(k: np.ndarray, probe: np.ndarray, fp: np.ndarray, node: np.ndarray, *part: np.ndarray) -> Iterator[pa.RecordBatch]:
         fp = fp.view(np.uint64)
-        ki, fi, ni = (x[probe == 0] for x in (k, fp, node))
-        kp, fq, nq = (x[probe == 1] for x in (k, fp, node))
+        part = part[0] if part else node
+        ki, fi, ni, si = (x[probe == 0] for x in (k, fp, node, part))
+        kp, fq, nq, sq = (x[probe == 1] for x in (k, fp, node, part))
         lo, hi = np.searchsorted(ki, kp, "left"), np.searchsorted(ki, kp, "right")
         count = hi - lo
         steps = np.cumsum(count)
@@ -288,11 +300,13 @@ def links(batches: Iterator[pa.RecordBatch], tau: int, times: int = 1) -> Iterat
             r, inside = _explode(count[start:stop])
             q, x = r + start, lo[start:stop][r] + inside
             d = np.bitwise_count(fq[q] ^ fi[x])
-            good = np.flatnonzero((d <= tau) & (nq[q] != ni[x]))
-            if len(good):
+            good = np.flatnonzero((d <= tau) & (sq[q] != si[x]))
+            if len(good) and times is None:
+                yield edges(*once(nq[q[good]], ni[x[good]], d[good])[:2])
+            elif len(good):
                 found = forests(*(np.append(f, g) for f, g in zip(found, (nq[q[good]], ni[x[good]], d[good]), strict=True)), times)
             start = stop
-        return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+        yield edges(*found[:2])
 
     held: list[list[np.ndarray]] = []
     rows = 0
@@ -303,18 +317,19 @@ def links(batches: Iterator[pa.RecordBatch], tau: int, times: int = 1) -> Iterat
             whole = [np.concatenate(c) for c in zip(*held, strict=True)]
             end = int(np.searchsorted(whole[0], whole[0][-1], "left"))
             if end:
-                yield compare(*(c[:end] for c in whole))
+                yield from compare(*(c[:end] for c in whole))
             held = [[c[end:] for c in whole]]
             rows -= end
     if rows:
-        yield compare(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        yield from compare(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
 
-def linked(classes: DataFrame, tau: int, times: int = 1) -> DataFrame:
+def linked(classes: DataFrame, tau: int, times: int | None = 1) -> DataFrame:
     """Edges (a, b) with the same components as all pairs of ``classes(fp, node)`` within tau bits.
 
     Each task leaves ``times`` forests of its links: one is enough for components, more if some
-    links are dropped later. Edges may repeat.
+    links are dropped later. None leaves all links. Classes may have a ``part``; then only links
+    between different parts are sought. Edges may repeat.
 
     The driver gets 64 x 64 bit counts and at most 2**16 counts for each group, never rows.
     """
@@ -352,11 +367,12 @@ def linked(classes: DataFrame, tau: int, times: int = 1) -> DataFrame:
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, nodes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            for at in range(0, len(fps), 2_000):
-                yield from route(shared.value, fps[at : at + 2_000], nodes[at : at + 2_000])
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for at in range(0, len(batch), 2_000):
+                yield from route(shared.value, *(c[at : at + 2_000] for c in columns))
 
-    keyed = classes.select("fp", "node").mapInArrow(routed, "k long, probe byte, fp long, node long")
+    part = [c for c in classes.columns if c == "part"]
+    keyed = classes.select("fp", "node", *part).mapInArrow(routed, "k long, probe byte, fp long, node long" + ", part long" * len(part))
     width = BITS / m
     probes = sum(len(g[max(0, plan.budget // m)]) for g in plan.masks) if plan.budget > 0 else m
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * (m + probes) * (1 + n / 2**width / BLOCK / 4) / 2_000_000))
@@ -407,22 +423,31 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: i
     """Rows of ``docs`` that stay when each group of near-duplicates keeps its smallest doc_id.
 
     Candidates lie within the bits that stand for ``similarity``, plus ``margin`` so that fewer
-    pairs are lost to the spread of the estimate. Candidate links are then checked on the whole
-    texts, and only those of at least ``similarity`` (Jaccard, sets of ``words``-word shingles)
-    count. All links of a document with up to ``times`` candidates are checked; in denser groups
-    ``times`` forests of them, shortest first, so that work stays linear in the documents: a link
-    is only left out if so many paths without a common link join its ends. Texts of equal words are
-    copies; different texts of one fingerprint are candidates like any others. Of rows that share a
+    pairs are lost to the spread of the estimate. Candidate links are checked on the whole texts,
+    and only those of at least ``similarity`` (Jaccard, sets of ``words``-word shingles) count.
+    First ``times`` forests of each task's candidate links are checked, shortest first, which joins
+    most of a dense group; then all candidate links between the groups so far, so the groups are
+    those of all candidate pairs, whatever ``times``. Texts of equal words are copies; different
+    texts of one fingerprint are candidates like any others. Of rows that share a
     doc_id one stays. Rows without a doc_id stay. Columns are those of ``docs``.
     """
     classes = cut(text_classes(docs, words))
     kept = docs.where("doc_id is not null")
     if classes.isEmpty():
         return docs
-    edges = cut(linked(classes, bits_for(similarity) + margin, times).distinct())
-    ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-    texts = kept.join(ends, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
-    roots = components(similar(edges, texts, words, similarity))
+    tau = bits_for(similarity) + margin
+
+    def checked(edges: DataFrame) -> DataFrame:
+        ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
+        texts = kept.join(ends, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
+        return cut(similar(edges, texts, words, similarity))
+
+    tried = cut(linked(classes, tau, times).distinct())
+    good = checked(tried)
+    parts = components(good).withColumnRenamed("root", "part")
+    named = cut(classes.select("fp", "node").join(parts, "node", "left").select("fp", "node", F.coalesce("part", "node").alias("part")))
+    rest = cut(linked(named, tau, None).distinct().join(tried, ["a", "b"], "left_anti"))
+    roots = components(good.unionByName(checked(rest)))
     gone = roots.where("node <> root").select("node")
     firsts = classes.join(gone, "node", "left_anti").select(F.col("node").alias("doc_id"))
     return kept.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
