@@ -106,3 +106,10 @@ def test_label_columns_go_at_every_depth(spark):
 def test_shards_are_disjoint_and_complete(spark):
     df = predictions.shard(spark.range(100).withColumnRenamed("id", "record_id"), 3)
     assert df.count() == 100 and {r.shard for r in df.select("shard").distinct().collect()} == {0, 1, 2}
+
+
+def test_evidence_comes_from_all_rows_and_is_redacted(spark):
+    rows = [("c", i, i, 50, "Same text") for i in range(60)] + [("c", 60, 60, 1, "GET /?password=hunter2"), ("c", 61, 61, 0, "GET /?password=other3"), ("c", 62, 62, 0, "Last")]
+    scored = spark.createDataFrame(rows, "capture_id string, session_id long, start_time long, packets long, payload_text string").withColumns({c: F.lit(0) for c in ("orig_bytes", "resp_bytes")})
+    got = capture.payload_evidence(capture.suspicion_scores(scored), ["payload_text"]).orderBy("place").collect()
+    assert [r.text for r in got] == ["Same text", "GET /?password=[REDACTED]", "Last"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import redact_sensitive_text
 from ..functions.values import TECHNIQUES, is_failed
 from .groups import AUTH_PORTS
 
@@ -27,8 +28,8 @@ SUSPICION = (
 )
 
 
-def suspicion_rank(sessions: DataFrame, k: int = 8) -> DataFrame:
-    """Each capture's k most suspicious sessions with score and reasons; ties by start (unknown last), then id.
+def suspicion_scores(sessions: DataFrame) -> DataFrame:
+    """All sessions with their suspicion and its reasons.
 
     Volume adds up to 15. Columns that a rule needs and the table lacks count as not set.
     """
@@ -42,15 +43,25 @@ def suspicion_rank(sessions: DataFrame, k: int = 8) -> DataFrame:
     for test, weight, _ in rules:
         score = score + F.when(test, weight).otherwise(0)
     reasons = F.filter(F.array(*(F.when(t, F.lit(r)) for t, _, r in rules)), lambda r: r.isNotNull())
+    return sessions.withColumns({"suspicion": score.cast("long"), "reasons": reasons})
+
+
+def suspicion_rank(sessions: DataFrame, k: int = 8) -> DataFrame:
+    """Each capture's k most suspicious sessions with score and reasons; ties by start (unknown last), then id."""
     best = Window.partitionBy("capture_id").orderBy(F.desc("suspicion"), F.asc_nulls_last("start_time"), "session_id")
-    scored = sessions.withColumns({"suspicion": score.cast("long"), "reasons": reasons})
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return suspicion_scores(sessions).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
 
+def payload_evidence(scored: DataFrame, fields: list[str], k: int = 5) -> DataFrame:
+    """(capture_id, place, text): the first k different redacted texts of each capture; case doesn't count.
 
-def payload_evidence(ranked: DataFrame, fields: list[str], k: int = 5) -> DataFrame:
-    """(capture_id, place, text): the first k different texts of each capture, by row rank, then field order; case doesn't count."""
-    rows = ranked.select("capture_id", "rank", F.posexplode(F.array(*fields)).alias("field", "text")).where("text is not null and text <> ''")
-    firsts = rows.groupBy("capture_id", F.lower("text").alias("_key")).agg(F.min(F.struct("rank", "field", "text")).alias("f"))
+    ``scored`` holds all of a capture's sessions with their suspicion. Texts come by the order of
+    ``suspicion_rank``, then field order.
+    """
+    place = F.struct((-F.col("suspicion")).alias("minus"), F.col("start_time").isNull().alias("unknown"), "start_time", "session_id")
+    rows = scored.select("capture_id", place.alias("row"), F.posexplode(F.array(*fields)).alias("field", "text"))
+    rows = rows.withColumn("text", redact_sensitive_text(F.col("text"), 220)).where("text is not null and text <> ''")
+    firsts = rows.groupBy("capture_id", F.lower("text").alias("_key")).agg(F.min(F.struct("row", "field", "text")).alias("f"))
     return firsts.withColumn("place", F.row_number().over(Window.partitionBy("capture_id").orderBy("f"))).where(F.col("place") <= k).select("capture_id", "place", F.col("f.text").alias("text"))
 
 

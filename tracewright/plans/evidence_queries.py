@@ -94,17 +94,16 @@ def merge_observables(spark, d):
     return out.select("capture_id", "hit", "body_len", "longest", "first_source", F.array_join("seen", ",").alias("seen"))
 
 
-def _ranked(spark, d, k=8):
-    rows = C.source_context(flow(spark, d)).withColumns({"packets": F.col("k"), "exploit": F.col("k") % 17 == 0, "upload": F.col("k") % 23 == 0, "payload_text": F.when(F.col("k") % 11 == 0, F.concat(F.lit("Text "), (F.col("k") % 9).cast("string")))})
-    return P.suspicion_rank(rows, k)
+def _suspects(spark, d):
+    return C.source_context(flow(spark, d)).withColumns({"packets": F.col("k"), "exploit": F.col("k") % 17 == 0, "upload": F.col("k") % 23 == 0, "payload_text": F.when(F.col("k") % 11 == 0, F.concat(F.lit("Text "), (F.col("k") % 9).cast("string")))})
 
 
 def suspicion_rank(spark, d):
-    return _ranked(spark, d).select("capture_id", "session_id", "rank", "suspicion", F.array_join("reasons", ",").alias("reasons"))
+    return P.suspicion_rank(_suspects(spark, d)).select("capture_id", "session_id", "rank", "suspicion", F.array_join("reasons", ",").alias("reasons"))
 
 
 def payload_evidence(spark, d):
-    return P.payload_evidence(_ranked(spark, d, 40), ["payload_text", "event_type"], 5)
+    return P.payload_evidence(P.suspicion_scores(_suspects(spark, d)), ["payload_text", "event_type"], 5)
 
 
 def repeated_auth_service(spark, d):
