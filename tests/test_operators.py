@@ -113,3 +113,16 @@ def test_evidence_comes_from_all_rows_and_is_redacted(spark):
     scored = spark.createDataFrame(rows, "capture_id string, session_id long, start_time long, packets long, payload_text string").withColumns({c: F.lit(0) for c in ("orig_bytes", "resp_bytes")})
     got = capture.payload_evidence(capture.suspicion_scores(scored), ["payload_text"]).orderBy("place").collect()
     assert [r.text for r in got] == ["Same text", "GET /?password=[REDACTED]", "Last"]
+
+
+def test_weak_or_blocked_records_go_to_the_model(spark):
+    flag = predictions.BLOCKING_FLAGS[0]
+    rows = [(1, "strong", []), (2, "medium", []), (3, None, []), (4, "strong", [flag]), (5, "strong", ["other"]), (6, " Strong", None)]
+    records = spark.createDataFrame(rows, "record_id long, strength string, flag_names array<string>").withColumns({"score": F.lit(9.0), "margin": F.lit(5.0), "flags": F.coalesce(F.size("flag_names"), F.lit(0)), "primary": F.lit("TA43_01")})
+    got = {r.record_id: r.reason for r in predictions.route_records(records, records.limit(0), max_flags=1).collect()}
+    assert got == {1: "rule_direct", 2: "low_strength", 3: "low_strength", 4: "blocking_flag", 5: "rule_direct", 6: "rule_direct"}
+
+
+def test_index_holds_ids_and_labels(spark):
+    chunks = spark.createDataFrame([("c1", "kb7", "Title", "cat", "word", ["port_scan"], ["reconnaissance"], "body")], "chunk_id string, doc_id string, title string, category string, keywords string, attack_type array<string>, attack_stage array<string>, text string")
+    assert {r.token for r in retrieval.keyword_index(chunks).collect()} >= {"kb7", "port_scan", "reconnaissance", "title", "body"}

@@ -13,9 +13,24 @@ from pyspark.sql.types import StringType
 from ..functions.values import confidence, estimate_tokens, file_key, file_stem, format_epoch, normalize_label, stage_of, trim_value
 
 
-def route_records(records: DataFrame, done: DataFrame, min_score: float = 7.0, min_margin: float = 2.5, max_flags: int = 0, allow_normal: bool = False) -> DataFrame:
-    """Records that are not done, with route rule_direct or model and the first failing test as reason."""
-    reason = F.when(F.col("score") < min_score, "low_score").when(F.col("margin") < min_margin, "low_margin").when(F.col("flags") > max_flags, "conflicts")
+STRENGTHS = ("weak", "medium", "strong")
+#: Flags that send a record to the model however few there are.
+BLOCKING_FLAGS = ("weak_attack_uncertainty", "payload_observability_gap", "model_prediction_differs_from_primary_rule_candidate")
+
+
+def route_records(records: DataFrame, done: DataFrame, min_score: float = 7.0, min_margin: float = 2.5, max_flags: int = 0, allow_normal: bool = False, min_strength: str = "strong", blocking: tuple[str, ...] = BLOCKING_FLAGS) -> DataFrame:
+    """Records that are not done, with route rule_direct or model and the first failing test as reason.
+
+    ``strength`` is weak, medium or strong; null or another word is below all. ``flag_names`` is an
+    array. A test is left out only if the table lacks its column.
+    """
+    reason = F.when(F.col("score") < min_score, "low_score").when(F.col("margin") < min_margin, "low_margin")
+    if "strength" in records.columns:
+        enough = F.lower(F.trim("strength")).isin(*STRENGTHS[STRENGTHS.index(min_strength) :])
+        reason = reason.when(~F.coalesce(enough, F.lit(False)), "low_strength")
+    reason = reason.when(F.col("flags") > max_flags, "conflicts")
+    if "flag_names" in records.columns:
+        reason = reason.when(F.exists("flag_names", lambda f: f.isin(*blocking)), "blocking_flag")
     reason = reason.when(~F.lit(allow_normal) & (F.col("primary") == "TN01_01"), "normal_not_allowed")
     rest = records.join(done.select("record_id").distinct(), "record_id", "left_anti")
     return rest.withColumn("reason", F.coalesce(reason, F.lit("rule_direct"))).withColumn("route", F.when(F.col("reason") == "rule_direct", "rule_direct").otherwise("model"))

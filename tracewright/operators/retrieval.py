@@ -43,9 +43,10 @@ def chunk_documents(docs: DataFrame, low: int = 80, most: int = 180, joined: int
     return rows.select("doc_id", "chunk_no", word_count(F.col("text")).cast("long").alias("words"), "text")
 
 
-def keyword_index(chunks: DataFrame, fields: tuple[str, ...] = ("title", "category", "keywords", "text")) -> DataFrame:
-    """(token, chunk_id, tf): how often a token occurs in all fields of a chunk together."""
-    text = F.concat_ws(" ", *fields)
+def keyword_index(chunks: DataFrame, fields: tuple[str, ...] = ("doc_id", "title", "category", "keywords", "attack_type", "attack_stage", "text")) -> DataFrame:
+    """(token, chunk_id, tf): how often a token occurs in all fields of a chunk together. Fields that chunks lack count as null."""
+    kinds = dict(chunks.dtypes)
+    text = F.concat_ws(" ", *(F.col(c) if kinds[c].startswith("array") else F.col(c).cast("string") for c in fields if c in kinds))
     return chunks.select("chunk_id", F.explode(tokenize(text)).alias("token")).groupBy("token", "chunk_id").agg(F.count("*").alias("tf"))
 
 

@@ -139,7 +139,7 @@ def chunk_documents(spark, d):
 
 
 def keyword_index(spark, d):
-    return K.keyword_index(chunks(spark, d))
+    return K.keyword_index(chunks(spark, d), ("title", "category", "keywords", "text"))  # the fields of its SQL
 
 
 #: Words that open queries to the bonuses.
