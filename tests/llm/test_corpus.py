@@ -74,6 +74,14 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert found == {1: (1, 0), 2: (0, 0), 3: (0, 1), 4: (0, 0)}
 
 
+def test_account_numbers_before_capitals(spark):
+    numbers = ["AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "DE89 3704 0044 0532 0130 00"]
+    rows = [(i, f"Konto {n}{after}") for i, n in enumerate(numbers) for after in (" Bitte", " The", " 12 Mal", " ok", "", ".")]
+    out = op1_pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [[x.value for x in r.pii_iban] for r in out] == [[numbers[r.doc_id]] for r in out]
+    assert not any(op1_pii.redact(spark.createDataFrame(rows, "doc_id long, text string")).where("text like '%1904%' or text like '%2100%'").collect())
+
+
 def jump(key, n):
     key, b, j = key % 2**64, -1, 0
     while j < n:

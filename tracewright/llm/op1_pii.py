@@ -76,9 +76,23 @@ BASE_KINDS = (
     Kind("card", "[0-9][ -]?[0-9]", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![ -]?[0-9])", lambda v: luhn(digits(v)), 0.7, "card|visa|mastercard|credit|payment|karte|carte|tarjeta"),
     Kind("phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]", lambda v: _sized(v, 9, 15), 0.7, "phone|call|tel|mobile|fax"),
 )
+#: Whole length of account numbers by country; others are taken as far as blocks of four go on.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+ANY_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+
+
+def _iban() -> str:
+    """A number of its country's length with nothing after it, else the general form."""
+    known = (rf"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, names in IBAN_LENGTHS.items())
+    return f"(?:{'|'.join(known)})(?![A-Z0-9])|{ANY_IBAN}"
+
+
 #: Kinds that the method adds: account numbers need the checksum, nine-digit numbers need context.
 ADDED_KINDS = (
-    Kind("iban", "[A-Z][A-Z][0-9][0-9] ?[A-Z0-9]", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", lambda v: F.length(F.replace(v, F.lit(" "))).between(15, 34) & mod97(F.replace(v, F.lit(" "))), 0.9, "iban|account|bank|konto|compte|cuenta"),
+    Kind("iban", "[A-Z][A-Z][0-9][0-9] ?[A-Z0-9]", _iban(), lambda v: F.length(F.replace(v, F.lit(" "))).between(15, 34) & mod97(F.replace(v, F.lit(" "))), 0.9, "iban|account|bank|konto|compte|cuenta"),
     Kind("ssn", "[0-9]-[0-9][0-9]-[0-9]", "[0-9]{3}-[0-9]{2}-[0-9]{4}", lambda v: ~v.rlike("^(000|666|9)"), 0.3, "ssn|social security|tax|insured"),
 )
 KINDS = BASE_KINDS + ADDED_KINDS
@@ -185,7 +199,7 @@ _SQL_KINDS = (
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(v, '.'), lambda x: x::HUGEINT > 255)) = 0"),
     ("card", r"[0-9]([\x20-]?[0-9])+", f"length(d) BETWEEN 13 AND 19 AND {_LUHN}"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 9 AND 15"),
-    ("iban", ADDED_KINDS[0].pattern, f"length(a) BETWEEN 15 AND 34 AND {_MOD97}"),
+    ("iban", ANY_IBAN, f"length(a) BETWEEN 15 AND 34 AND {_MOD97}"),
     ("ssn", ADDED_KINDS[1].pattern, f"NOT regexp_matches(v, '^(000|666|9)') AND regexp_matches(lower(substr(t, greatest(s - {NEAR}, 0) + 1, e - greatest(s - {NEAR}, 0) + {NEAR})), '(^|[^a-z])({ADDED_KINDS[1].context})($|[^a-z])')"),
 )
 
