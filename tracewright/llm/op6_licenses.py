@@ -24,6 +24,19 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 
 THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
 }
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+_BSD_3 = """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+_BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Known texts that the SQL form lacks.
+MORE_LICENSES = {"BSD-2-Clause": _BSD_2 + _BSD_END, "BSD-3-Clause": _BSD_2 + _BSD_3 + _BSD_END}
 KNOWN_STATEMENTS = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -31,13 +44,18 @@ KNOWN_STATEMENTS = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
 EQUIVALENT = (("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("favour", "favor"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("whilst", "while"), ("wilful", "willful"), ("fulfilment", "fulfillment"))
-#: A line that only states who holds the copyright.
-COPYRIGHT_LINE = r"(?m)^[^A-Za-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+#: A line that only states who holds the copyright: it names a year or holder and is short. Wrapped
+#: licence prose that starts with the word stays. Lower case.
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright(?=[^\n]*(?:\b(?:19|20)[0-9]{2}\b|\(c\)|©|\byear\b)|:? by )|\(c\)|©)[^\n]{0,120}$"
+#: A heading with the licence's name above the text. Lower case.
+TITLE_LINE = r'^[\s#*=-]*+(?:the )?(?:mit|isc|0bsd|(?:zero|[0-3])[ -]clause bsd|bsd (?:zero|[0-3])[ -]clause|bsd)(?: "[^"\n]*"(?: or "[^"\n]*")*)? licen[cs]e(?: \([^)\n]*\))?[ \t\r:*=-]*+\n(?=\s*+\S)'
+#: The SQL form takes every line that starts with the word.
+SQL_COPYRIGHT_LINE = r"(?m)^[^A-Za-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
 
 
 def canonical(text: Column) -> Column:
-    """Lower case without copyright lines, punctuation and repeated blanks, equivalent words spelled alike. Null: empty."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    """Lower case without heading, copyright lines, punctuation and repeated blanks, equivalent words spelled alike. Null: empty."""
+    lower = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), TITLE_LINE, ""), COPYRIGHT_LINE, "")
     words = F.trim(F.regexp_replace(lower, r"[\x00-/:-@\[-`{-\x7f]+", " "))
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), EQUIVALENT, words)
 
@@ -52,7 +70,7 @@ def known_digests(licenses: DataFrame) -> DataFrame:
 
 
 def built_in(spark: SparkSession) -> DataFrame:
-    rows = [*KNOWN_LICENSES.items(), *KNOWN_STATEMENTS.items()]
+    rows = [*KNOWN_LICENSES.items(), *MORE_LICENSES.items(), *KNOWN_STATEMENTS.items()]
     return spark.createDataFrame(rows, "license string, text string")
 
 
@@ -74,7 +92,7 @@ def _sql() -> str:
     def text(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    out = rf"trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{COPYRIGHT_LINE}', '', 'g'), '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g'))"
+    out = rf"trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{SQL_COPYRIGHT_LINE}', '', 'g'), '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g'))"
     for a, b in EQUIVALENT:
         if a != b:
             out = f"replace({out}, '{a}', '{b}')"
