@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from .common import table
 
 SPAN = "array<struct<start:int,stop:int,value:string,score:double>>"
+CUT = "struct<start:int,stop:int,kind:string>"
 #: Code points on either side in which context words count, and what one adds.
 NEAR, CONTEXT_BONUS = 40, 0.3
 #: Spans of a lower score are dropped.
 LEAST_SCORE = 0.5
+#: Items that one fold takes; code points of a block of text.
+PIECE, BLOCK = 64, 1024
 
 
 def digits(value: Column) -> Column:
@@ -98,6 +101,45 @@ ADDED_KINDS = (
 KINDS = BASE_KINDS + ADDED_KINDS
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def gathered(items: Column, worth: Callable[[Column], Column], join: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """Struct (carry, list): what ``emit(carry before x, x)`` gives for each item, and the carry at the end.
+
+    The carry starts at 0 and joins the worth of each item, in any grouping (a sum or a maximum). A
+    fold copies its state at each step, so items are taken in pieces whose carries come first;
+    then long lists take linear time.
+    """
+    pieces = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.size(items) - 1, F.lit(PIECE)), lambda i: F.slice(items, i + 1, F.lit(PIECE))))
+    state = lambda carry, of: F.struct(carry.alias("carry"), F.array().cast(f"array<{of}>").alias("list"))
+
+    def carries(parts: Column) -> Column:
+        sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda c, x: join(c, worth(x))))
+        return F.aggregate(sums, state(F.lit(0), "int"), lambda s, v: F.struct(join(s["carry"], v).alias("carry"), F.concat(s["list"], F.array(s["carry"])).alias("list")))
+
+    def lists(parts: Column, before: Column) -> Column:
+        step = lambda s, x: F.struct(join(s["carry"], worth(x)).alias("carry"), F.concat(s["list"], emit(s["carry"], x)).alias("list"))
+        each = F.zip_with(parts, before["list"], lambda p, c: F.aggregate(p, state(c, kind), step)["list"])
+        return F.struct(before["carry"].alias("carry"), F.flatten(each).alias("list"))
+
+    return F.coalesce(let(pieces, lambda parts: let(carries(parts), lambda before: lists(parts, before))), state(F.lit(0), kind))
+
+
+def blocks_of(text: Column) -> Column:
+    """The text in blocks of BLOCK code points, so that parts of it are found without counting from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part_of(blocks: Column, start: Column, stop: Column) -> Column:
+    """Code points start to stop, stop exclusive and possibly past the end."""
+    first = F.floor(start / BLOCK).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, F.floor(stop / BLOCK).cast("int") - first + 1), "")
+    return F.substr(near, start - first * BLOCK + 1, stop - start)
+
+
 def spans(text: Column, kind: Kind) -> Column:
     """Confirmed spans of one kind in order: start and stop in code points, stop exclusive, matched text, score.
 
@@ -108,24 +150,23 @@ def spans(text: Column, kind: Kind) -> Column:
         lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")),
     )
 
-    def place(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        stop = start + F.coalesce(F.length(x["value"]), F.lit(0))
-        found = F.array(F.struct(start.alias("start"), stop.alias("stop"), x["value"].alias("value"), F.lit(0.0).alias("score")))
-        return F.struct(stop.alias("at"), F.when(x["value"].isNull(), done["found"]).otherwise(F.concat(done["found"], found)).alias("found"))
+    def place(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        found = F.array(F.struct(start.alias("start"), (start + F.length(x["value"])).alias("stop"), x["value"].alias("value"), F.lit(0.0).alias("score")))
+        return F.when(x["value"].isNull(), F.array().cast(SPAN)).otherwise(found)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-    placed = F.aggregate(pair, start, place)["found"]
+    placed = let(pair, lambda p: gathered(p, lambda x: x["gap"] + F.coalesce(F.length(x["value"]), F.lit(0)), lambda c, v: c + v, place, SPAN[len("array<") : -1]))["list"]
 
-    def score(x: Column) -> Column:
-        begin = F.greatest(x["start"] - NEAR, F.lit(0))
-        near = F.lower(F.substr(text, begin + 1, x["stop"] - begin + NEAR))
+    def score(x: Column, blocks: Column) -> Column:
+        near = F.lower(part_of(blocks, F.greatest(x["start"] - NEAR, F.lit(0)), x["stop"] + NEAR))
         value = F.lit(kind.base) + F.when(near.rlike(f"(?<![a-z])({kind.context})(?![a-z])"), CONTEXT_BONUS).otherwise(0.0)
         return F.struct(x["start"], x["stop"], x["value"], F.least(value, F.lit(1.0)).alias("score"))
 
-    confirmed = F.filter(placed, lambda x: kind.confirm(x["value"]))
-    scored = F.filter(F.transform(confirmed, score), lambda x: x["score"] >= LEAST_SCORE).cast(SPAN)
-    return F.when(text.rlike(kind.hint), scored).otherwise(F.array().cast(SPAN))
+    def scored(confirmed: Column) -> Column:
+        own = let(blocks_of(text), lambda blocks: F.transform(confirmed, lambda x: score(x, blocks)))
+        return F.when(F.size(confirmed) > 0, F.filter(own, lambda x: x["score"] >= LEAST_SCORE).cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+    return F.when(text.rlike(kind.hint), let(F.filter(placed, lambda x: kind.confirm(x["value"])), scored)).otherwise(F.array().cast(SPAN))
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
@@ -162,32 +203,34 @@ def redact(docs: DataFrame) -> DataFrame:
 
     ordered = F.array_sort(F.concat(*map(tagged, KINDS)))
 
-    def merge(done: Column, x: Column) -> Column:
-        # spans come in order: one that starts inside the last one only makes it longer
-        stop = -x["minus_stop"]
-        new = x["start"] >= done["stop"]
-        gap = F.struct(done["stop"].alias("start"), x["start"].alias("stop"), F.lit(None).cast("string").alias("kind"))
+    def merge(end: Column, x: Column) -> Column:
+        # spans come in order: one that starts inside the ones before only makes them longer
+        gap = F.struct(end.alias("start"), x["start"].alias("stop"), F.lit(None).cast("string").alias("kind"))
         tag = F.struct(x["start"].alias("start"), x["start"].alias("stop"), x["kind"].alias("kind"))
-        return F.struct(
-            F.greatest(done["stop"], stop).alias("stop"),
-            F.when(new, F.concat(done["parts"], F.array(gap, tag))).otherwise(done["parts"]).alias("parts"),
-        )
+        return F.when(x["start"] >= end, F.array(gap, tag)).otherwise(F.array().cast(f"array<{CUT}>"))
+
+    def cleaned(cuts: Column) -> Column:
+        def joined(blocks: Column) -> Column:
+            pieces = F.transform(cuts["list"], lambda p: F.coalesce(F.concat(F.lit("["), p["kind"], F.lit("]")), part_of(blocks, p["start"], p["stop"])))
+            return F.concat(F.array_join(pieces, ""), part_of(blocks, cuts["carry"], F.length(text)))
+
+        return F.when(F.size(cuts["list"]) > 0, let(blocks_of(text), joined)).otherwise(text)
 
-    begin = F.struct(F.lit(0).alias("stop"), F.array().cast("array<struct<start:int,stop:int,kind:string>>").alias("parts"))
-    cuts = F.aggregate(ordered, begin, merge)
     text = F.col("text").cast("string")
-    pieces = F.transform(F.col("_cuts")["parts"], lambda p: F.coalesce(F.concat(F.lit("["), p["kind"], F.lit("]")), F.substr(text, p["start"] + 1, p["stop"] - p["start"])))
-    out = F.when(F.size(F.col("_cuts")["parts"]) > 0, F.concat(F.array_join(pieces, ""), F.substr(text, F.col("_cuts")["stop"] + 1))).otherwise(text)
-    clean = found.withColumn("_cuts", cuts).withColumn("text", out)
+    cuts = let(ordered, lambda spans: gathered(spans, lambda x: -x["minus_stop"], F.greatest, merge, CUT))
+    out = let(cuts, cleaned)
+    clean = found.withColumn("text", out)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return clean.select(docs.columns)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by base kind, digest of the base spans, all spans, and their scores in hundredths, for each document; null text is empty."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(f"pii_{k.name}").cast("long").alias(f"n_{k.name}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(BASE_KINDS), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
+    scores = F.array_join(F.concat(*(F.transform(f"pii_{k.name}", lambda x: F.round(x["score"] * 100).cast("int").cast("string")) for k in KINDS)), ",")
+    return found.select("doc_id", *counts, F.sha2(listed(BASE_KINDS), 256).alias("base_sha256"), listed(KINDS).alias("spans"), scores.alias("scores"))
 
 
 #: DuckDB: the plain patterns and the condition on a match.
@@ -214,13 +257,16 @@ def _sql() -> str:
     )
     counts = ", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in BASE_KINDS)
     joined = lambda limit: f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY o, s) FILTER (o < {limit}), '')"
+    near = f"lower(substr(t, greatest(s - {NEAR}, 0) + 1, e - greatest(s - {NEAR}, 0) + {NEAR}))"
+    score = "CASE kind " + " ".join(f"WHEN '{k.name}' THEN {round(k.base * 100)} + CASE WHEN regexp_matches({near}, '(^|[^a-z])({k.context})($|[^a-z])') THEN {round(CONTEXT_BONUS * 100)} ELSE 0 END" for k in KINDS) + " END"
     # conditions are tried kind by kind, so that no test sees another kind's matches
     good = "CASE kind " + " ".join(f"WHEN '{kind}' THEN {test}" for kind, _, test in _SQL_KINDS) + " END"
     return f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
     found AS (SELECT *, {_DIGITS} AS d, replace(v, ' ', '') AS a FROM ({sets})),
-    kept AS (SELECT * FROM found WHERE {good})
-    SELECT doc_id, {counts}, sha256({joined(len(BASE_KINDS))}) AS base_sha256, {joined(len(_SQL_KINDS))} AS spans
+    kept AS (SELECT *, least({score}, 100) AS score FROM found WHERE {good})
+    SELECT doc_id, {counts}, sha256({joined(len(BASE_KINDS))}) AS base_sha256, {joined(len(_SQL_KINDS))} AS spans,
+           coalesce(string_agg(score::VARCHAR, ',' ORDER BY o, s), '') AS scores
     FROM d LEFT JOIN kept USING (doc_id) GROUP BY doc_id
     """
 
