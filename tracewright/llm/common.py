@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,22 +19,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of the tables that ``cut`` has written, in order.
+_WRITTEN: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests, a temporary folder is made and set.
+    Only where that is unset and all tasks run on this machine, as in tests, a temporary folder is
+    made and set; on a cluster the setting is needed.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", "")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and go on from its files.
+
+    The table knows nothing of the plan that made it, so loops stay cheap to plan. It stays until
+    ``scratch`` ends or ``discard`` is called, as later steps may read it again.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard_previous(spark: SparkSession) -> None:
+    """Remove the table that ``cut`` wrote before its last one, for loops that only need the last."""
+    discard(spark, _WRITTEN.pop(-2))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``cut`` writes inside are removed at the end; results must be written by then."""
+    start = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[start:]:
+            discard(spark, path)
+        del _WRITTEN[start:]
 
 
 def utf8_size(text: Column) -> Column:
@@ -49,26 +90,27 @@ def spread(key: Column) -> Column:
     return F.pmod(low * F.lit(2654435761), F.lit(4294967296))
 
 
-def running_sum(df: DataFrame, key: str, value: Column, mix: Column, ties: list[Column], bits: int = 10) -> DataFrame:
-    """Add ``before``, the sum of ``value`` over the rows of the same ``key`` that come earlier.
+def running_sum(df: DataFrame, key: str, value: Column, mix: Column, ties: list[Column], into: str, bits: int = 10) -> DataFrame:
+    """Add ``into``, the sum of ``value`` over the rows of the same ``key`` that come earlier.
 
-    Rows are ordered by (``mix``, ``ties``); ``mix`` lies in [0, 2**32) and is spread evenly.
-    A key that holds a third of all rows would be one task of a plain window. Here its rows are
-    cut by the top ``bits`` bits of ``mix`` into blocks that are summed and numbered apart, and a
-    small table (key, block) carries the sums across the blocks.
+    Rows are ordered by (``mix``, ``ties``); ``mix`` lies in [0, 2**32) and is spread evenly over
+    rows that differ. A key that holds a third of all rows would be one task of a plain window.
+    Here its rows are cut by the top ``bits`` bits of ``mix`` into blocks that are summed and
+    numbered apart, and a small table (key, block) carries the sums across the blocks.
     """
     block = F.shiftright(mix.cast("long"), 32 - bits).cast("int")
-    rows = df.withColumns({"_value": value, "_mix": mix, "_block": block})
-    over = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumns({"_sum_value": value, "_sum_mix": mix, "_sum_block": block})
+    over = Window.partitionBy(key).orderBy("_sum_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        rows.groupBy(key, "_block")
-        .agg(F.sum("_value").alias("_sum"))
-        .select(F.col(key).alias("_key"), F.col("_block").alias("_b"), F.coalesce(F.sum("_sum").over(over.partitionBy(key)), F.lit(0)).alias("_start"))
+        rows.groupBy(key, "_sum_block")
+        .agg(F.sum("_sum_value").alias("_sum"))
+        .select(F.col(key).alias("_sum_key"), F.col("_sum_block").alias("_sum_b"), F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_sum_start"))
     )
-    inside = Window.partitionBy(key, "_block").orderBy("_mix", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(key, "_sum_block").orderBy("_sum_mix", *ties).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        rows.withColumn("_here", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .join(totals, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_b")))
-        .withColumn("before", F.col("_start") + F.col("_here"))
-        .drop("_value", "_mix", "_block", "_key", "_b", "_start", "_here")
+        rows.withColumn("_sum_here", F.coalesce(F.sum("_sum_value").over(inside), F.lit(0)))
+        .join(totals, F.col(key).eqNullSafe(F.col("_sum_key")) & (F.col("_sum_block") == F.col("_sum_b")))
+        .withColumn("_sum_all", F.col("_sum_start") + F.col("_sum_here"))
+        .drop(into, "_sum_value", "_sum_mix", "_sum_block", "_sum_key", "_sum_b", "_sum_start", "_sum_here")
+        .withColumnRenamed("_sum_all", into)
     )

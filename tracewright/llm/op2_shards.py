@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import running_sum, spread, table, utf8_size
+from .common import running_sum, table, utf8_size
 
 #: Multiplier of the linear congruential generator of the algorithm.
 MULTIPLIER = 2862933555777941757
@@ -56,18 +56,20 @@ def shard(docs: DataFrame, key: str = "doc_id", shards: int = SHARDS) -> DataFra
 
     The key and the number of shards alone decide the shard (law ``key``); one more shard takes
     rows only into itself. Keys that are not whole numbers are hashed first; a null key counts as
-    0. ``slot`` numbers the rows of a shard from 0 without gaps; rows of equal keys follow one
-    another. Existing columns of these names are replaced. Slots are numbered in blocks of a
-    shard, so a shard isn't one task.
+    0. ``slot`` numbers the rows of a shard from 0 without gaps, in an order that mixes keys and
+    rows. Existing columns of these names are replaced. Slots are numbered in blocks of a shard,
+    so neither a shard nor the rows of a null or repeated key are one task.
     """
     number = F.col(key).cast("long") if docs.schema[key].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(key)
     number = F.coalesce(number, F.lit(0).cast("long"))
     rows = docs.drop("shard", "grown_shard", "slot").withColumn("_jump", jump_hash(number, shards))
     rows = rows.select("*", "_jump.shard", "_jump.grown_shard").drop("_jump")
-    return running_sum(rows, "shard", F.lit(1).cast("long"), spread(number), [F.col(key)]).withColumnRenamed("before", "slot")
+    mixed = F.shiftrightunsigned(F.xxhash64(*(c for c, t in docs.dtypes if "map<" not in t)), 32)
+    return running_sum(rows, "shard", F.lit(1).cast("long"), mixed, [F.col(key)], "slot")
 
 
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard, slot and grown shard of each document by its doc_id, with the text's size and checksum; null text is empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("long"), (utf8_size(F.col("text")) + 16).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("key").alias("law")

@@ -64,17 +64,18 @@ def plan(docs: DataFrame, blocks_bits: int = 10) -> DataFrame:
     rows = docs.withColumn("size", size)
     totals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     totals = totals.select(F.col("source").alias("_source"), "source_size", "target", "slope")
-    placed = running_sum(rows, "source", F.col("size"), spread(F.col("doc_id")), [F.col("doc_id"), F.col("size")], blocks_bits)
+    mixed = spread(F.pmod(F.coalesce("doc_id", F.lit(0).cast("long")), F.lit(2147483648)) * 131 + F.col("size"))
+    placed = running_sum(rows, "source", F.col("size"), mixed, [F.col("doc_id"), F.col("size")], "_before", blocks_bits)
     wanted = F.round("target").cast("long")
     runs = F.when(F.col("source_size") > 0, F.floor(wanted / F.col("source_size"))).otherwise(0)
-    left = F.greatest(F.least(wanted - runs * F.col("source_size") - F.col("before"), F.col("size")), F.lit(0))
-    middle = lambda run: run * F.col("source_size") + F.col("before") + F.col("size") / 2
+    left = F.greatest(F.least(wanted - runs * F.col("source_size") - F.col("_before"), F.col("size")), F.lit(0))
+    middle = lambda run: run * F.col("source_size") + F.col("_before") + F.col("size") / 2
     return (
         placed.join(totals, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("taken", (runs * F.col("size") + left).cast("long"))
         .withColumn("_copies", F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0))
         .withColumn("positions", F.transform(F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), F.col("_copies").cast("int")), lambda r: moment(middle(r), F.col("target"), F.col("slope"))))
-        .drop("_source", "slope", "before", "_copies")
+        .drop("_source", "slope", "_before", "_copies")
     )
 
 
@@ -95,6 +96,7 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target of each document's source, the words of the document that the mix takes, and its first training moment."""
     slim = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size"))
     planned = plan(cut(slim))
     first = F.when(F.size("positions") > 0, F.element_at("positions", 1))
@@ -106,8 +108,8 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                  ((doc_id % 2147483648) * 2654435761) % 4294967296 AS h FROM documents),
+WITH d AS (SELECT doc_id, source, size, ((((coalesce(doc_id, 0) % 2147483648) * 131 + size) % 2147483648) * 2654435761) % 4294967296 AS h FROM
+      (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents)),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n FROM s),
 w AS (SELECT *, [3, 1, 2][n % 3 + 1]::DOUBLE AS w, [-0.5, 0.0, 0.5][n % 3 + 1]::DOUBLE AS slope, 2.0::DOUBLE * source_size AS lim FROM r),
