@@ -22,30 +22,42 @@ TOKEN, SEPARATOR = np.dtype("<u2"), 256
 BLOCK, FILE_DOCS = 1 << 18, 256
 
 
+def filed(docs: DataFrame, docs_per_file: int = FILE_DOCS) -> DataFrame:
+    """(file, piece, doc_no, doc_id, text): where each document lies; it is number ``doc_no`` of its file's piece.
+
+    A file takes the ids from one multiple of ``docs_per_file`` to the next; rows without an id
+    make up file null. Where ids are missing or repeated, a file has too many rows and is cut
+    into pieces by a hash of the text, of about ``docs_per_file`` rows each; piece 0 is the only
+    one elsewhere. Documents are in order of doc_id, then text.
+    """
+    rows = docs.select(F.floor(F.col("doc_id") / docs_per_file).cast("long").alias("file"), F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    large = rows.groupBy("file").count().where(F.col("count") > docs_per_file).select(F.col("file").alias("_file"), F.ceil(F.col("count") / docs_per_file).alias("_pieces"))
+    cut = rows.join(large, F.col("file").eqNullSafe(F.col("_file")), "left").withColumn("piece", F.pmod(F.xxhash64("text"), F.coalesce("_pieces", F.lit(1))))
+    order = Window.partitionBy("file", "piece").orderBy("doc_id", "text")
+    return cut.withColumn("doc_no", F.row_number().over(order).cast("long") - 1).select("file", "piece", "doc_no", "doc_id", "text")
+
+
 def pack(docs: DataFrame, docs_per_file: int = FILE_DOCS, block: int = BLOCK) -> DataFrame:
-    """Lay the bytes of each text, in order of doc_id, into flat files: (file, block, payload).
+    """Lay the bytes of each text into flat files as ``filed`` says: (file, piece, block, payload).
 
-    A file takes the ids from one multiple of ``docs_per_file`` to the next, so its size is
-    bounded unless ids repeat. Null or empty text is a document of no tokens; rows without an id
-    make up file null.
+    Null or empty text is a document of no tokens.
     """
 
     def run(file: pa.Table) -> pa.Table:
         end = np.array([SEPARATOR], dtype=TOKEN)
         parts = []
-        for text in file.sort_by([("doc_id", "ascending"), ("text", "ascending")])["text"]:
-            parts += [np.frombuffer((text.as_py() or "").encode("utf-8", "replace"), dtype=np.uint8).astype(TOKEN), end]
+        for text in file.sort_by("doc_no")["text"]:
+            parts += [np.frombuffer(text.as_py().encode("utf-8", "replace"), dtype=np.uint8).astype(TOKEN), end]
         tokens = np.concatenate(parts)
         payloads = [tokens[at : at + block].tobytes() for at in range(0, len(tokens), block)]
-        name = pa.repeat(file["file"][0], len(payloads))
-        return pa.table({"file": name, "block": pa.array(range(len(payloads)), pa.int64()), "payload": pa.array(payloads, pa.binary())})
+        names = [pa.repeat(file[c][0], len(payloads)) for c in ("file", "piece")]
+        return pa.table([*names, pa.array(range(len(payloads)), pa.int64()), pa.array(payloads, pa.binary())], names=["file", "piece", "block", "payload"])
 
-    rows = docs.select(F.floor(F.col("doc_id") / docs_per_file).cast("long").alias("file"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.groupBy("file").applyInArrow(run, "file long, block long, payload binary")
+    return filed(docs, docs_per_file).select("file", "piece", "doc_no", "text").groupBy("file", "piece").applyInArrow(run, "file long, piece long, block long, payload binary")
 
 
 def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
-    """(file, doc_no, start, n_tokens, closed) for each document of ``blocks(file, block, payload)``.
+    """(file, piece, doc_no, start, n_tokens, closed) for each document of ``blocks(file, piece, block, payload)``.
 
     ``start`` is the offset in the file, ``doc_no`` counts from 0. What follows a file's last
     separator is a document that isn't ``closed``; nothing follows if the file ends with one.
@@ -56,14 +68,14 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, places = [], []
-            for payload in batch.column(2):
+            for payload in batch.column(3):
                 tokens = np.frombuffer(payload.as_buffer() or b"", dtype=TOKEN) if payload.is_valid else np.empty(0, TOKEN)
                 size.append(len(tokens))
                 places.append(np.flatnonzero(tokens == separator))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(places, pa.list_(pa.int64()))], ["file", "block", "size", "places"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(size, pa.int64()), pa.array(places, pa.list_(pa.int64()))], ["file", "piece", "block", "size", "places"])
 
-    found = blocks.select("file", "block", "payload").mapInArrow(search, "file long, block long, size long, places array<long>")
-    order = Window.partitionBy("file").orderBy("block")
+    found = blocks.select("file", "piece", "block", "payload").mapInArrow(search, "file long, piece long, block long, size long, places array<long>")
+    order = Window.partitionBy("file", "piece").orderBy("block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     last = F.when(F.size("places") > 0, F.col("base") + F.element_at("places", -1) + 1)
     scanned = (
@@ -76,22 +88,26 @@ def count_tokens(blocks: DataFrame, separator: int = SEPARATOR) -> DataFrame:
     tail = F.array(F.col("base") + F.col("size"))
     begins = F.concat(F.array("open"), F.transform(stops, lambda s: s + 1))
     rows = scanned.select(
-        "file", "first_doc", F.size("places").alias("closed_docs"), "final",
+        "file", "piece", "first_doc", F.size("places").alias("closed_docs"), "final",
         F.posexplode(F.arrays_zip(begins.alias("start"), F.concat(stops, tail).alias("stop"))).alias("i", "doc"),
     )
     return (
         rows.withColumn("closed", F.col("i") < F.col("closed_docs"))
         .where(F.col("closed") | (F.col("final") & (F.col("doc.stop") > F.col("doc.start"))))
-        .select("file", (F.col("first_doc") + F.col("i")).alias("doc_no"), F.col("doc.start").alias("start"), (F.col("doc.stop") - F.col("doc.start")).alias("n_tokens"), "closed")
+        .select("file", "piece", (F.col("first_doc") + F.col("i")).alias("doc_no"), F.col("doc.start").alias("start"), (F.col("doc.stop") - F.col("doc.start")).alias("n_tokens"), "closed")
     )
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(pack(table(spark, sf_dir, "documents")))
+    """Tokens of each document, counted in flat files of all documents, with its doc_id; null text has none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = filed(docs).select(F.col("file").alias("_file"), F.col("piece").alias("_piece"), F.col("doc_no").alias("_doc_no"), "doc_id")
+    place = F.col("file").eqNullSafe(F.col("_file")) & (F.col("piece") == F.col("_piece")) & (F.col("doc_no") == F.col("_doc_no"))
+    return count_tokens(pack(docs)).join(names, place).select("doc_id", "file", "piece", "doc_no", "start", "n_tokens", "closed")
 
 
 ORACLE_SQL = f"""
-SELECT doc_id // {FILE_DOCS} AS file, row_number() OVER w - 1 AS doc_no,
+SELECT doc_id, doc_id // {FILE_DOCS} AS file, 0::BIGINT AS piece, row_number() OVER w - 1 AS doc_no,
        (sum(coalesce(octet_length(encode(text)), 0) + 1) OVER w - coalesce(octet_length(encode(text)), 0) - 1)::BIGINT AS start,
        coalesce(octet_length(encode(text)), 0)::BIGINT AS n_tokens, true AS closed
 FROM documents WINDOW w AS (PARTITION BY doc_id // {FILE_DOCS} ORDER BY doc_id, text ROWS UNBOUNDED PRECEDING)
