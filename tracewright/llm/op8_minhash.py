@@ -8,6 +8,8 @@ share of chance matches is taken out of the estimate.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from .common import WORD, cut, table
 
 #: Words of a shingle, bins (a power of two), bits stored for each.
 WORDS, BINS, LOW_BITS = 5, 128, 8
-#: Rows of a run of ids that are put in order together.
-RUN_ROWS = 512
+#: Rows of a run of ids that are put in order together, while there are no more than so many runs.
+RUN_ROWS, RUNS = 512, 16384
 
 
 def shingle_hashes(text: Column, words: int = WORDS) -> Column:
@@ -79,29 +81,50 @@ def likeness(a: Column, b: Column, low_bits: int = LOW_BITS) -> Column:
     return F.when(empty_a & empty_b, 1.0).when(empty_a | empty_b, 0.0).otherwise(F.greatest((same - chance) / (1 - chance), F.lit(0.0)))
 
 
-def with_next(rows: DataFrame, values: list[str]) -> DataFrame:
-    """Add next_<value> of the following row by (doc_id, text), the first one's after the last.
+def with_next(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add next_<name> of the following row by (doc_id, text), the first one's after the last.
 
-    Ids are cut into runs of equal width, in order inside a task each; only the first row of each
-    run is carried to the run before it. The width follows the spread of the ids, so a run has
-    about RUN_ROWS rows where ids are spread evenly. Null ids come first.
+    Ids are cut into runs at quantiles, so that a run has about RUN_ROWS rows however ids are
+    spread, at most RUNS runs. Null ids come first; ids that fill whole runs are cut by
+    the first characters of the text. Values are worked out for each row where it stands, and
+    again only for the first row of each run, which is carried to the run before it.
     """
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = max(1, ((high or 0) - (low or 0) + 1) * RUN_ROWS // max(n, 1))
-    rows = rows.withColumn("run", F.coalesce(F.floor((F.col("doc_id") - F.lit(low or 0)) / width), F.lit(-1)).cast("long"))
+    n = rows.count()
+    parts = min(RUNS, n // RUN_ROWS) + 1
+    edges = rows.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
+    hot = sorted({int(e) for e, after in zip(edges, edges[1:], strict=False) if e == after})
+    edges = sorted({int(e) for e in edges})
+    whole = F.col("doc_id").isNull() | F.col("doc_id").isin(hot)
+    run = F.struct(_place(edges, F.col("doc_id")).alias("ids"), F.when(whole, 0).otherwise(1).alias("later"), F.when(whole, F.left("text", F.lit(2))).otherwise("").alias("text"))
+    rows = rows.withColumn("run", run)
+    here = rows.withColumns(values)
     order = Window.partitionBy("run").orderBy("doc_id", "text")
-    here = rows.withColumns({f"next_{v}": F.lead(v).over(order) for v in values} | {"last": F.lead("run").over(order).isNull()})
-    starts = rows.groupBy("run").agg(F.min(F.struct(F.struct("doc_id", "text"), *values)).alias("first"))
+    here = here.withColumns({f"next_{v}": F.lead(v).over(order) for v in values} | {"last": F.lead("run").over(order).isNull()})
+    starts = cut(rows.groupBy("run").agg(F.min(F.struct("doc_id", "text")).alias("first")))
     runs = Window.orderBy("run")
-    after = starts.select(F.col("run").alias("_run"), F.coalesce(F.lead("run").over(runs), F.min("run").over(Window.partitionBy())).alias("_next"))
-    ahead = cut(after.join(starts, F.col("_next") == F.col("run")).select("_run", *(F.col("first")[v].alias(f"_{v}") for v in values)))
+    after = starts.select("run", F.coalesce(F.lead("first").over(runs), F.min("first").over(Window.partitionBy())).alias("first"))
+    ahead = cut(after.select(F.col("run").alias("_run"), "first.doc_id", "first.text").withColumns(values).select("_run", *(F.col(v).alias(f"_{v}") for v in values)))
     joined = here.join(ahead, F.col("last") & (F.col("run") == F.col("_run")), "left")
-    return joined.select(*rows.drop("run").columns, *(F.when(F.col("last"), F.col(f"_{v}")).otherwise(F.col(f"next_{v}")).alias(f"next_{v}") for v in values))
+    kept = [c for c in here.columns if c not in ("run", "last", *(f"next_{v}" for v in values))]
+    return joined.select(*kept, *(F.when(F.col("last"), F.col(f"_{v}")).otherwise(F.col(f"next_{v}")).alias(f"next_{v}") for v in values))
+
+
+def _place(edges: list[int], value: Column) -> Column:
+    """Number of sorted edges that are at most the value, by blocks of edges first; -1 for null."""
+    step = max(1, math.isqrt(len(edges)))
+    blocks = [edges[at : at + step] for at in range(0, len(edges), step)]
+    if not blocks:
+        return F.when(value.isNull(), -1).otherwise(0)
+    listed = lambda x: F.expr("array(" + ",".join(f"{e}L" for e in x) + ")")
+    block = F.size(F.filter(listed(b[0] for b in blocks), lambda e: e <= value))
+    inside = F.size(F.filter(F.slice(listed(edges), (block - 1) * step + 1, step), lambda e: e <= value))
+    return F.when(value.isNull(), -1).when(value < edges[0], 0).otherwise((block - 1) * step + inside)
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each whole text and of its edited text, with their likeness and that to the next document; null text is empty."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(docs.withColumn("own", fingerprint(F.col("text"))), ["text", "own"])
+    rows = with_next(docs, {"own": fingerprint(F.col("text")), "text": F.col("text")})
     n = F.length("text")
     part = F.floor(n / 4).cast("int")
     edited = F.concat(F.left("text", n - part), F.left("next_text", part))
