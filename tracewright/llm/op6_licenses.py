@@ -75,16 +75,25 @@ def built_in(spark: SparkSession) -> DataFrame:
 
 
 def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
-    """(doc_id, digest, license) for each row: the known licence whose canonical text the whole text has, else null.
+    """(doc_id, digest, license, line_licenses) for each row of ``docs(doc_id, text)``.
 
-    Empty texts match nothing unless an empty text is known. Rows are joined by digest; the known
-    table is not assumed to be small.
+    ``license`` is the known licence whose canonical text the whole text has, else null;
+    ``line_licenses`` are the names of those that a whole line of it has, sorted and comma-joined,
+    empty for none. Null text is empty; empty texts and lines match nothing unless an empty text is
+    known. Rows are joined by digest and the known table is not assumed to be small; of the lines
+    only those that match anything are shuffled where it is.
     """
-    rows = docs.select("doc_id", digest(F.col("text").cast("string")).alias("digest"))
-    return rows.join(known_digests(licenses), "digest", "left").select("doc_id", "digest", "license")
+    known = known_digests(licenses)
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("digest", digest(F.col("text")))
+    lines = rows.select("doc_id", "digest", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), digest))).alias("line"))
+    found = lines.join(known, lines["line"] == known["digest"]).select("doc_id", lines["digest"], "license").distinct()
+    names = found.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("names"))
+    out = rows.drop("text").join(known, "digest", "left").join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    return out.select("doc_id", "digest", "license", F.coalesce("names", F.lit("")).alias("line_licenses"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences by the digests of each whole text and of its lines."""
     return scan(table(spark, sf_dir, "documents"), built_in(spark))
 
 
@@ -99,8 +108,10 @@ def _sql() -> str:
     rows = ", ".join(f"({text(k)}, {text(v)})" for d in (KNOWN_LICENSES, KNOWN_STATEMENTS) for k, v in d.items())
     return f"""
     WITH k AS (SELECT sha256({out}) AS digest, min(license) AS license FROM (VALUES {rows}) v(license, text) GROUP BY 1),
-    d AS (SELECT doc_id, sha256({out}) AS digest FROM documents)
-    SELECT doc_id, d.digest, license FROM d LEFT JOIN k USING (digest)
+    d AS (SELECT doc_id, sha256({out}) AS digest FROM documents),
+    l AS (SELECT DISTINCT doc_id, sha256({out}) AS digest FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM documents)),
+    n AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names FROM l JOIN k USING (digest) GROUP BY doc_id)
+    SELECT doc_id, d.digest, license, coalesce(names, '') AS line_licenses FROM d LEFT JOIN k USING (digest) LEFT JOIN n USING (doc_id)
     """
 
 
