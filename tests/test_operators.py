@@ -1,9 +1,12 @@
 """Exact numbers on small rows."""
 
+import re
+
 from pyspark.sql import functions as F
 
+from tests.conftest import DATA
 from tracewright.functions import text, values
-from tracewright.operators import capture, groups, predictions, retrieval
+from tracewright.operators import capture, context, groups, predictions, retrieval
 from tracewright.sources import logs
 
 FLOW = "session_id long, capture_id string, src_ip string, dst_ip string, dst_port int, proto string, conn_state string, start_time double, duration double, orig_bytes long, resp_bytes long"
@@ -51,20 +54,71 @@ def test_times_and_addresses(spark):
     assert [r[0] for r in ips.select(values.client_initiated_external(F.col("a"), F.col("b"))).collect()] == [True, False, False, False, False]
 
 
-def test_scores_prefer_the_right_technique(spark):
-    numbers = "port_fanout scan_rows probes vulnerability exploit payload auth_rows implant backdoor callback".split()
-    flags = "sensitive_path web_shell command placement php_post repeated_auth beacon encrypted miner benign weak".split()
+def scored(spark, **got):
+    row = spark.range(1).select(*(F.lit(v).alias(n) for n, v in (got or {"exploit": 0}).items()))
+    return capture.candidate_scores(row).first()
 
-    def primary(**got):
-        row = spark.range(1).select(*(F.lit(got.get(n, 0)).alias(n) for n in numbers), *(F.lit(got.get(n, False)).alias(n) for n in flags), F.lit(got.get("failed_rate", 0.0)).alias("failed_rate"))
-        return capture.candidate_scores(row).first().primary
 
-    assert primary() == "TN01_01"
-    assert primary(exploit=1, payload=1) == "TA01_02"
-    assert primary(callback=10, beacon=True) == "TA11_02"
-    assert primary(auth_rows=24, repeated_auth=True, callback=5) == "TA01_01"
-    assert primary(sensitive_path=True) == "TA43_02"
-    assert primary(miner=True) == "TA11_02"
+def test_scores_prefer_the_right_technique(spark):
+    assert scored(spark).primary == "TN01_01"
+    assert scored(spark, exploit=1, payload=1).primary == "TA01_02"
+    assert scored(spark, callback=10, beacon=True).primary == "TA11_02"
+    assert scored(spark, auth_rows=24, repeated_auth=True, callback=5).primary == "TA01_01"
+    assert scored(spark, sensitive_path=True).primary == "TA43_02"
+    assert scored(spark, miner=True).primary == "TA11_02"
+    assert scored(spark, payload=1).primary == "TN01_01"
+    row = scored(spark, exploit=1, payload=1, implant=1)
+    assert row.score_TA01_02 > row.score_TA03_01
+    row = scored(spark, exploit=1, implant=1, placement=True)
+    assert row.score_TA03_01 > row.score_TA01_02
+
+
+def test_scores_margins_and_conflicts(spark):
+    """Numbers worked out by hand from the weights."""
+    row = scored(spark, web_shell=True, command=True)
+    assert (row.primary, row.best, row.margin, row.strength, row.score_TN01_01) == ("TA11_01", 5.0, 5.0, "medium", 0.0)
+    row = scored(spark, callback=3)
+    assert (row.primary, row.margin, row.strength) == ("TA11_02", 2.6, "medium")
+    row = scored(spark, payload=2)
+    assert (row.score_TN01_01, row.score_TA01_02, row.margin, row.flag_names) == (0.8, 0.7, 0.1, ["low_score_margin", "weak_evidence"])
+    row = scored(spark, scan_rows=1, sensitive_path=True)
+    assert (row.primary, row.margin, row.score_TA43_01) == ("TA43_02", 2.2, 2.3)
+    row = scored(spark, php_post=True)
+    assert row.score_TA03_01 == 0.2 and "generic_php_post_weak_implant_evidence" in row.flag_names and [x.code for x in row.weak_evidence] == ["TA03_01"]
+    row = scored(spark, benign=True)
+    assert (row.primary, row.score_TN01_01) == ("TN01_01", 5.7) and any("download/chunk" in x.reason for x in row.counter_evidence)
+    row = scored(spark, login_attempts=5)
+    assert (row.primary, row.best, row.rule_evidence) == ("TA01_01", 3.2, ["login attempts or failures"])
+    assert [(x.technique, x.score) for x in row.top] == [("TA01_01", 3.2), ("TA43_01", 0.0), ("TA43_02", 0.0)]
+    assert scored(spark, exploit=None, miner=None).primary == "TN01_01"
+
+
+def test_confidence_of_rule_predictions(spark):
+    rows = [(1, "TA01_02", 7.0, 2.5, "strong", [" a  b ", "c", "d"]), (2, "TN01_01", 2.2, 1.0, "weak", []), (3, "TA11_02", 10.0, 10.0, "strong", ["x"]), (4, None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "record_id long, primary string, score double, margin double, strength string, rule_evidence array<string>")
+    out = {r.record_id: (r.technique, r.stage, r.confidence, r.reason) for r in predictions.rule_direct_prediction(table).collect()}
+    assert out[1] == ("TA01_02", "TA01", 0.82, "a b; c") and out[3] == ("TA11_02", "TA11", 0.9, "x")
+    assert out[2] == ("TN01_01", "TN01", 0.64, "Rule scores favour TN01_01.") and out[4][:3] == ("TN01_01", "TN01", 0.72)
+
+
+def test_repeated_logins(spark):
+    def rows(n, **kinds):
+        made = flows(spark, n, 1, port=lambda i: 3306)
+        return capture.repeated_auth_service(made.withColumns({c: F.lit(v) for c, v in kinds.items()})).first()
+
+    assert rows(24).repeated and not rows(9).repeated
+    assert rows(10).busiest == 10 and rows(10).repeated
+    spread = flows(spark, 12, 1, port=lambda i: 21).withColumn("dst_ip", F.concat(F.lit("198.51.100."), (F.col("session_id") % 4).cast("string")))
+    assert not capture.repeated_auth_service(spread).first().repeated
+    assert capture.repeated_auth_service(spread.withColumn("resp_bytes", F.when(F.col("session_id") > 6, F.col("resp_bytes")))).first().repeated
+
+
+def test_pairs_feed_their_sessions(spark):
+    rows = [(i, "c", "a", "b", 80, f"/p{i}", 404, "http") for i in range(8)] + [(8, "c", "a", "b", 443, "/x/CMD.php", 200, "unknown"), (9, "c", "a", "b", 443, "/c99", 200, None), (10, "c", "z", "b", 80, None, None, None)]
+    sessions = spark.createDataFrame(rows, "session_id long, capture_id string, src_ip string, dst_ip string, dst_port int, uri_path string, status int, auth_protocol string")
+    out = {r.session_id: r for r in context.with_pair_flags(sessions, context.pair_context(sessions)).collect()}
+    assert all(out[i].high_uri_fanout and out[i].high_404_rate and out[i].repeated_backdoor_endpoint_access for i in range(10))
+    assert out[0].repeated_login_attempts and not out[8].repeated_login_attempts and not out[10].high_uri_fanout
 
 
 def test_one_json_object(spark):
@@ -74,11 +128,42 @@ def test_one_json_object(spark):
     assert [out[i][2] for i in (2, 3, 4, 5)] == ["no_object", "many_objects", "wrong_id", "no_object"]
 
 
-def test_chunks_keep_all_words(spark):
-    lines = "\n".join(" ".join(f"w{i}_{j}" for j in range(n)) for i, n in enumerate((30, 60, 100, 400, 10)))
-    got = retrieval.chunk_documents(spark.createDataFrame([(1, lines), (2, None), (3, " ")], "doc_id long, text string")).orderBy("chunk_no").collect()
-    assert " ".join(r.text for r in got).split() == lines.split() and max(r.words for r in got) <= 220
-    assert {r.doc_id for r in got} == {1}
+def plain_chunks(text):
+    """Greedy packing of headings and paragraphs, by the rule."""
+    words = lambda t: len(re.findall(r"[A-Za-z0-9_.:/+-]+|[\u4e00-\u9fff]", t))
+    units, block = [], []
+    for line in [*(text or "").splitlines(), ""]:
+        if line.startswith("#") or not line.strip():
+            units += ["\n".join(block).strip()] if block else []
+            units += [line.strip()] if line.strip() else []
+            block = []
+        else:
+            block.append(line)
+    out, now = [], []
+    for unit in units:
+        if now and words("\n\n".join([*now, unit])) > 180:
+            out.append(now)
+            now = []
+        now = [*now, unit]
+        if words("\n\n".join(now)) >= 80:
+            out.append(now)
+            now = []
+    if now and out and words("\n\n".join([*out[-1], *now])) <= 220:
+        out[-1] += now
+    elif now:
+        out.append(now)
+    return ["\n\n".join(c) for c in out]
+
+
+def test_chunks_follow_the_rule(spark):
+    unit = lambda n: " ".join(f"w{i}" for i in range(n))
+    texts = ["\n\n".join(["# Head", unit(30), unit(60), "## Next", unit(100), unit(400), unit(10)]), None, " \n ", "#only", unit(79) + "\n \n" + unit(110) + "\r\n#h\x1e" + unit(5), unit(90) + "\n\n" + unit(140)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("doc_id + 1000 AS doc_id", "text"))
+    got = {}
+    for r in retrieval.chunk_documents(rows).orderBy("doc_id", "chunk_no").collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    for r in rows.collect():
+        assert got.get(r.doc_id, []) == plain_chunks(r.text), r.doc_id
 
 
 def test_log_files(spark, tmp_path):
@@ -117,10 +202,14 @@ def test_evidence_comes_from_all_rows_and_is_redacted(spark):
 
 def test_weak_or_blocked_records_go_to_the_model(spark):
     flag = predictions.BLOCKING_FLAGS[0]
-    rows = [(1, "strong", []), (2, "medium", []), (3, None, []), (4, "strong", [flag]), (5, "strong", ["other"]), (6, " Strong", None)]
-    records = spark.createDataFrame(rows, "record_id long, strength string, flag_names array<string>").withColumns({"score": F.lit(9.0), "margin": F.lit(5.0), "flags": F.coalesce(F.size("flag_names"), F.lit(0)), "primary": F.lit("TA43_01")})
-    got = {r.record_id: r.reason for r in predictions.route_records(records, records.limit(0), max_flags=1).collect()}
-    assert got == {1: "rule_direct", 2: "low_strength", 3: "low_strength", 4: "blocking_flag", 5: "rule_direct", 6: "rule_direct"}
+    rows = [(1, "strong", []), (2, "medium", []), (3, None, []), (4, "strong", [flag]), (5, "strong", ["other"]), (6, " Strong", None), (7, "strong", ["other", flag]), (8, "strong", ["other", "other"])]
+    records = spark.createDataFrame(rows, "record_id long, strength string, flag_names array<string>").withColumns({"score": F.lit(9.0), "margin": F.lit(5.0), "primary": F.lit("TA43_01")})
+    got = lambda df, **how: {r.record_id: r.reason for r in predictions.route_records(df, df.limit(0), **how).collect()}
+    low, fine = "evidence_strength_below_threshold", "high_confidence_rule_candidate"
+    assert got(records, max_flags=1) == {1: fine, 2: low, 3: low, 4: "blocking_conflict_flag", 5: fine, 6: fine, 7: "too_many_conflicts", 8: fine}
+    assert set(got(records.withColumn("primary", F.lit("TN01_01")).withColumn("score", F.lit(1.0))).values()) == {"normal_rule_direct_disabled"}
+    assert set(got(records.withColumn("primary", F.lit(" "))).values()) == {"missing_primary_rule_candidate"}
+    assert set(got(records.withColumn("margin", F.lit(None).cast("double"))).values()) == {"margin_below_threshold"}
 
 
 def test_index_holds_ids_and_labels(spark):

@@ -65,8 +65,8 @@ def uri_path(uri: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    """Runs of ASCII letters, digits and underscores, and each CJK character."""
-    return F.coalesce(F.size(F.regexp_extract_all(text, F.lit("[A-Za-z0-9_]+|[\\u4e00-\\u9fff]"), F.lit(0))), F.lit(0))
+    """Runs of ASCII letters, digits and _.:/+-, and each CJK character."""
+    return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9_.:/+-]+|[\u4e00-\u9fff]"), F.lit(0))), F.lit(0))
 
 
 def estimate_tokens(text: Column) -> Column:
@@ -86,9 +86,9 @@ def trim_value(text: Column, limit: int, mark: str = "...[truncated]") -> Column
 
 
 def compact_text(text: Column, limit: int) -> Column:
-    """White space collapsed; past ``limit`` cut and closed with a full stop."""
+    """White space collapsed; past ``limit`` cut and closed with one full stop."""
     one = F.trim(F.regexp_replace(text, "\\s+", " "))
-    return F.when(F.length(one) > limit, F.concat(F.rtrim(F.left(one, F.lit(limit - 1))), F.lit("."))).otherwise(one)
+    return F.when(F.length(one) > limit, F.concat(F.regexp_replace(F.left(one, F.lit(limit - 1)), "[ ,.;]+$", ""), F.lit("."))).otherwise(one)
 
 
 def any_positive(fields: dict[str, str], parent: Column, variant: str = "session") -> Column:

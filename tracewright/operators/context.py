@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.aggregates import middle
 from ..functions.values import client_initiated_external, is_failed
 
 #: Ports on which repeated small connections are usual, and words of callbacks and of updates.
@@ -81,9 +82,11 @@ def endpoint_beacon(sessions: DataFrame) -> DataFrame:
     gap = F.col("start_time") - F.lag("start_time").over(order)
     full = with_signals(sessions)
     rows = full.withColumn("gap", F.when(gap >= 0, gap))
+    group = Window.partitionBy(*keys)
+    rows = rows.withColumns({"_place": F.row_number().over(group.orderBy(F.asc_nulls_last("gap"))) - 1, "_gaps": F.count("gap").over(group)})
     size = F.coalesce(F.col("orig_bytes"), F.lit(0)) + F.coalesce(F.col("resp_bytes"), F.lit(0))
     stats = rows.groupBy(*keys).agg(
-        F.count("*").alias("connections"), F.count("gap").alias("intervals"), F.avg("gap").alias("_mean"), F.percentile("gap", F.lit(0.5)).alias("_median"),
+        F.count("*").alias("connections"), F.count("gap").alias("intervals"), F.avg("gap").alias("_mean"), middle("gap", "_place", "_gaps").alias("_median"),
         F.stddev_pop("gap").alias("_std"), F.max(size).alias("max_bytes"), F.round(F.coalesce(F.max("start_time") - F.min("start_time"), F.lit(0.0)), 3).alias("fixed_endpoint_duration"),
         F.coalesce(F.bool_or(F.col("duration") >= 300), F.lit(False)).alias("long_lived"), said(CALLBACK_WORDS).alias("callback_text"), said(UPDATE_WORDS).alias("_update"),
     )
@@ -107,21 +110,48 @@ def endpoint_beacon(sessions: DataFrame) -> DataFrame:
     )
 
 
+#: Parts of paths by which web shells are known. Fixed values.
+SHELL_PATHS = ("webshell", "shell.php", "cmd.php", "cmd.jsp", "c99", "r57")
+
+
 def pair_context(sessions: DataFrame) -> DataFrame:
-    """One row for each (capture, source, destination) of ``sessions(..., uri_path, status)``: path fan-out, 404 share, login repetition."""
-    by = sessions.groupBy("capture_id", "src_ip", "dst_ip").agg(
+    """One row for each (capture, source, destination) of ``sessions(..., dst_port, uri_path, status, auth_protocol)``.
+
+    Path fan-out, share of 404, requests of web shells, and login repetition: the most sessions of
+    one port that has a session with a known login protocol.
+    """
+    keys = ["capture_id", "src_ip", "dst_ip"]
+    shell = F.coalesce(F.lower("uri_path").rlike("|".join(SHELL_PATHS).replace(".", "[.]")), F.lit(False))
+    known = F.coalesce(F.col("auth_protocol") != "unknown", F.lit(False))
+    ports = sessions.groupBy(*keys, "dst_port").agg(F.count("*").alias("n"), F.bool_or(known).alias("login")).groupBy(*keys).agg(F.coalesce(F.max(F.when(F.col("login"), F.col("n"))), F.lit(0)).alias("auth_attempts"))
+    by = sessions.groupBy(*keys).agg(
         F.countDistinct("uri_path").alias("unique_paths"), F.count("status").alias("statuses"),
-        F.round(F.avg((F.col("status") == 404).cast("double")), 4).alias("share_404"), F.count_if(F.col("login")).alias("login_requests"),
-    )
+        F.round(F.avg((F.col("status") == 404).cast("double")), 4).alias("share_404"), F.count_if(shell).alias("shell_requests"),
+    ).join(ports, keys)
     return by.withColumns({
-        "uri_fanout": F.col("unique_paths") >= 8, "high_404": F.coalesce((F.col("statuses") >= 5) & (F.col("share_404") >= 0.6), F.lit(False)), "auth_repetition": F.col("login_requests") >= 5,
+        "uri_fanout": F.col("unique_paths") >= 8, "high_404": F.coalesce((F.col("statuses") >= 5) & (F.col("share_404") >= 0.6), F.lit(False)),
+        "repeated_shell": F.col("shell_requests") >= 2, "auth_repetition": F.col("auth_attempts") >= 5,
     })
 
 
+def with_pair_flags(sessions: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Sessions whose flags high_uri_fanout, high_404_rate, repeated_backdoor_endpoint_access and repeated_login_attempts also hold what their pair shows.
+
+    A flag that a session lacks counts as not set. Login repetition holds for sessions of a known login protocol only.
+    """
+    keys = ["capture_id", "src_ip", "dst_ip"]
+    named = {"high_uri_fanout": "uri_fanout", "high_404_rate": "high_404", "repeated_backdoor_endpoint_access": "repeated_shell", "repeated_login_attempts": "auth_repetition"}
+    found = pairs.select(*keys, *(F.col(v).alias(f"_{v}") for v in named.values()))
+    login = F.coalesce(F.col("auth_protocol") != "unknown", F.lit(False))
+    own = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in sessions.columns else F.lit(False)
+    set_ = {c: own(c) | (F.coalesce(F.col(f"_{v}"), F.lit(False)) & (login if v == "auth_repetition" else F.lit(True))) for c, v in named.items()}
+    return sessions.join(found, keys, "left").withColumns(set_).drop(*(f"_{v}" for v in named.values()))
+
+
 def capture_summary(sessions: DataFrame) -> DataFrame:
-    """One row for each capture: time range, totals, failed and external sessions, sources that scan."""
-    fan = sessions.groupBy("capture_id", "src_ip").agg(F.countDistinct("dst_port").alias("ports"))
-    scans = fan.groupBy("capture_id").agg(F.count_if(F.col("ports") >= 8).alias("scan_sources"), F.max("ports").alias("max_unique_dst_ports"))
+    """One row for each capture: time range, totals, failed and external sessions, sources that scan (8 ports, 0.4 failed)."""
+    fan = sessions.groupBy("capture_id", "src_ip").agg(F.countDistinct("dst_port").alias("ports"), F.round(F.avg(F.coalesce(is_failed(F.col("conn_state")), F.lit(False)).cast("double")), 4).alias("failed_rate"))
+    scans = fan.groupBy("capture_id").agg(F.count_if((F.col("ports") >= 8) & (F.col("failed_rate") >= 0.4)).alias("scan_sources"), F.max("ports").alias("max_unique_dst_ports"))
     total = sessions.groupBy("capture_id").agg(
         F.count("*").alias("sessions"), F.min("start_time").alias("first_time"), F.max("start_time").alias("last_time"),
         F.sum("orig_bytes").alias("orig_bytes"), F.sum("resp_bytes").alias("resp_bytes"), F.countDistinct("src_ip").alias("sources"), F.countDistinct("dst_ip").alias("destinations"),

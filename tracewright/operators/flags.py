@@ -20,7 +20,7 @@ WINDOWS_COMMAND = r"(?i)\b(?:dir|net user|ipconfig)\b"
 LINUX_COMMAND = r"(?i)\b(?:whoami|uname|ifconfig)\b"
 VERSION_PROBE = r"(?i)(?:nmap.*(?:service|version)|http-enum|banner)"
 MASS_SCAN = r"(?i)\b(?:masscan|zmap)\b"
-#: Each exploit flag as any of these patterns.
+#: Each exploit flag as any of these patterns. Fixed values.
 EXPLOIT = {
     "command_injection": [SIGNATURES[n] for n in ("command_separator", "xp_cmdshell", "jndi", "eval")],
     "sql_injection": [SIGNATURES["sql_injection"], SIGNATURES["xp_cmdshell"]],
@@ -66,6 +66,20 @@ def vuln_scan_flags(rows: DataFrame, fanout: int = 8, codes: int = 4, share: flo
     ))
 
 
+def vuln_scan_rollup(requests: DataFrame, keys: list[str], fanout: int = 8, codes: int = 4, share: float = 0.6) -> DataFrame:
+    """The fields of ``vuln_scan_flags`` for each group of ``requests(agents, uris, text, status)``, one row a request.
+
+    Every request's texts are read where they stand and only flags and counts are gathered, so
+    a group may have any size. Null texts set no flag, null codes aren't answers.
+    """
+    one = vuln_scan_flags(requests.select(*keys, "agents", "uris", "text", "status", F.array("uris").alias("uri_list"), F.array("status").alias("statuses")))
+    plain = [f for f in one.schema["vuln_scan"].dataType.names if f not in ("high_uri_fanout", "high_404_rate")]
+    answers, missing = F.count("status"), F.count_if(F.col("status") == 404)
+    return one.groupBy(*keys).agg(
+        *(F.bool_or(f"vuln_scan.{f}").alias(f) for f in plain), (F.countDistinct("uris") >= fanout).alias("high_uri_fanout"), ((answers >= codes) & (missing >= share * answers)).alias("high_404_rate"),
+    )
+
+
 def implant_backdoor_flags(rows: DataFrame) -> DataFrame:
     """Add ``implant`` and ``backdoor``: uploads and file placement, and access to placed shells."""
     text, uris = F.coalesce("text", F.lit("")), F.coalesce("uri_list", F.array().cast("array<string>"))

@@ -10,36 +10,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..functions.values import confidence, estimate_tokens, file_key, file_stem, format_epoch, normalize_label, stage_of, trim_value
+from ..functions.values import compact_text, confidence, estimate_tokens, file_key, file_stem, format_epoch, normalize_label, stage_of, trim_value
 
 
+#: Strengths of evidence in rising order; flags that send a record to the model however few there
+#: are; names of the tests in their order. Fixed values.
 STRENGTHS = ("weak", "medium", "strong")
-#: Flags that send a record to the model however few there are.
 BLOCKING_FLAGS = ("weak_attack_uncertainty", "payload_observability_gap", "model_prediction_differs_from_primary_rule_candidate")
+REASONS = (
+    "missing_primary_rule_candidate", "normal_rule_direct_disabled", "score_below_threshold", "margin_below_threshold", "evidence_strength_below_threshold",
+    "too_many_conflicts", "blocking_conflict_flag", "high_confidence_rule_candidate",
+)
 
 
 def route_records(records: DataFrame, done: DataFrame, min_score: float = 7.0, min_margin: float = 2.5, max_flags: int = 0, allow_normal: bool = False, min_strength: str = "strong", blocking: tuple[str, ...] = BLOCKING_FLAGS) -> DataFrame:
     """Records that are not done, with route rule_direct or model and the first failing test as reason.
 
-    ``strength`` is weak, medium or strong; null or another word is below all. ``flag_names`` is an
-    array. A test is left out only if the table lacks its column.
+    Tests in order: a primary code, not normal unless allowed, score, margin, strength, number of
+    conflicts, blocking conflicts. ``strength`` is weak, medium or strong; null or another word is
+    below all. Null scores and margins are 0. ``flag_names`` is an array whose different names
+    count as conflicts; without it ``flags`` has their number. A test is left out only if the table
+    lacks its column.
     """
-    reason = F.when(F.col("score") < min_score, "low_score").when(F.col("margin") < min_margin, "low_margin")
+    test = lambda c, n: F.coalesce(F.col(c), F.lit(0.0)) < n
+    reason = F.when(F.coalesce(F.trim("primary"), F.lit("")) == "", REASONS[0]).when(~F.lit(allow_normal) & (F.col("primary") == "TN01_01"), REASONS[1])
+    reason = reason.when(test("score", min_score), REASONS[2]).when(test("margin", min_margin), REASONS[3])
     if "strength" in records.columns:
         enough = F.lower(F.trim("strength")).isin(*STRENGTHS[STRENGTHS.index(min_strength) :])
-        reason = reason.when(~F.coalesce(enough, F.lit(False)), "low_strength")
-    reason = reason.when(F.col("flags") > max_flags, "conflicts")
+        reason = reason.when(~F.coalesce(enough, F.lit(False)), REASONS[4])
     if "flag_names" in records.columns:
-        reason = reason.when(F.exists("flag_names", lambda f: f.isin(*blocking)), "blocking_flag")
-    reason = reason.when(~F.lit(allow_normal) & (F.col("primary") == "TN01_01"), "normal_not_allowed")
+        names = F.array_distinct(F.coalesce("flag_names", F.array().cast("array<string>")))
+        reason = reason.when(F.size(names) > max_flags, REASONS[5]).when(F.exists(names, lambda f: f.isin(*blocking)), REASONS[6])
+    elif "flags" in records.columns:
+        reason = reason.when(F.col("flags") > max_flags, REASONS[5])
     rest = records.join(done.select("record_id").distinct(), "record_id", "left_anti")
-    return rest.withColumn("reason", F.coalesce(reason, F.lit("rule_direct"))).withColumn("route", F.when(F.col("reason") == "rule_direct", "rule_direct").otherwise("model"))
+    return rest.withColumn("reason", F.coalesce(reason, F.lit(REASONS[7]))).withColumn("route", F.when(F.col("reason") == REASONS[7], "rule_direct").otherwise("model"))
 
 
-def rule_direct_prediction(records: DataFrame) -> DataFrame:
-    """(record_id, technique, stage, confidence): the primary candidate, surer with score and margin, held in 0.55 to 0.9."""
-    sure = F.round(F.least(F.greatest(0.5 + 0.03 * F.col("score") + 0.02 * F.col("margin"), F.lit(0.55)), F.lit(0.9)), 3)
-    return records.select("record_id", F.col("primary").alias("technique"), stage_of(F.col("primary")).alias("stage"), sure.alias("confidence"))
+def rule_direct_prediction(records: DataFrame, forced: bool = False, reason_chars: int = 300) -> DataFrame:
+    """(record_id, technique, stage, confidence, reason) by the rules alone.
+
+    The primary code, or the normal one without it. Confidence starts at 0.78 (0.72 if forced) and
+    gains 0.015 a point above a score of 7 (0.07 at most) and above a margin of 2.5 (0.05 at most);
+    strong evidence adds 0.04, weak takes 0.08, the normal code takes 0.06; held in 0.55 to 0.9. The
+    reason is the first two of ``rule_evidence``, if the table has that and it isn't empty.
+    """
+    technique = F.coalesce(F.nullif(F.trim("primary"), F.lit("")), F.lit("TN01_01"))
+    gain = lambda c, above, most: F.least(F.greatest(F.coalesce(F.col(c), F.lit(0.0)) - above, F.lit(0.0)) * 0.015, F.lit(most))
+    sure = F.lit(0.72 if forced else 0.78) + gain("score", 7.0, 0.07) + gain("margin", 2.5, 0.05)
+    if "strength" in records.columns:
+        strength = F.lower(F.trim("strength"))
+        sure = sure + F.when(strength == "strong", 0.04).when(strength == "weak", -0.08).otherwise(0.0)
+    sure = F.round(F.least(F.greatest(sure - F.when(technique == "TN01_01", 0.06).otherwise(0.0), F.lit(0.55)), F.lit(0.9)), 4)
+    plain = F.concat(F.lit("Rule scores favour "), technique, F.lit("."))
+    lines = F.array_distinct(F.filter(F.transform("rule_evidence", lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))), lambda x: x != "")) if "rule_evidence" in records.columns else None
+    reason = plain if lines is None else F.when(F.size(lines) > 0, F.array_join(F.slice(lines, 1, 2), "; ")).otherwise(plain)
+    return records.select("record_id", technique.alias("technique"), stage_of(technique).alias("stage"), sure.alias("confidence"), compact_text(reason, reason_chars).alias("reason"))
 
 
 def shard(records: DataFrame, n: int) -> DataFrame:

@@ -4,43 +4,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.values import tokenize, word_count
 
 
-def _pack(text: str | None, low: int, most: int, joined: int) -> list[str]:
-    out: list[list[str]] = []
-    for block in (b for b in (text or "").split("\n") if b.strip()):
-        words = block.split()
-        for at in range(0, len(words), most):
-            part = words[at : at + most]
-            if out and len(out[-1]) < low and len(out[-1]) + len(part) <= most:
-                out[-1] += part
-            else:
-                out.append(part)
-    if len(out) > 1 and len(out[-1]) < low and len(out[-2]) + len(out[-1]) <= joined:
-        tail = out.pop()
-        out[-1] += tail
-    return [" ".join(w) for w in out]
+#: What ends a line; the character that stands between units, which no line can hold then.
+LINE_END, BETWEEN = r"\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\u001e"
+
+
+def _units(text: Column) -> Column:
+    """Headings (lines that start with #) and paragraphs (lines between blank ones) in order, without blanks around."""
+    lines = F.regexp_replace(F.coalesce(text, F.lit("")), LINE_END, "\n")
+    parted = F.regexp_replace(F.regexp_replace(lines, "(?m)^(#.*)$", f"{BETWEEN}$1{BETWEEN}"), r"(?U)\n(?:[^\S\n]*\n)+", BETWEEN)
+    return F.filter(F.transform(F.split(parted, BETWEEN), lambda u: F.regexp_replace(u, r"(?U)^\s+|\s+$", "")), lambda u: u != "")
 
 
 def chunk_documents(docs: DataFrame, low: int = 80, most: int = 180, joined: int = 220) -> DataFrame:
-    """(doc_id, chunk_no, words, text): lines packed greedily into chunks.
+    """(doc_id, chunk_no, words, text): headings and paragraphs packed greedily into chunks, numbered from 1.
 
-    A chunk is closed at ``low`` words, a line never lifts it above ``most``, and a short last
-    chunk joins the one before if both stay within ``joined``. Null or blank text: no chunks.
+    A chunk is closed at ``low`` words. A unit that would lift it above ``most`` begins the next
+    one, and no unit is split. What is left at the end joins the chunk before if both stay
+    within ``joined``. Units are joined by an empty line. Null or blank text: no chunks.
     """
+    chunk = "struct<text:string,words:int>"
+    pairs = F.transform(_units(F.col("text")), lambda u: F.struct(u.alias("text"), word_count(u).alias("words")))
+    closed = lambda units, words: F.array(F.struct(F.array_join(units, "\n\n").alias("text"), words.alias("words")))
+    begin = F.struct(F.array().cast("array<string>").alias("units"), F.lit(0).alias("words"), F.array().cast(f"array<{chunk}>").alias("chunks"))
 
-    @F.pandas_udf(ArrayType(StringType()))
-    def packed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _pack(t, low, most, joined))
+    def step(s: Column, x: Column) -> Column:
+        full = (F.size(s["units"]) > 0) & (s["words"] + x["words"] > most)
+        chunks = F.when(full, F.concat(s["chunks"], closed(s["units"], s["words"]))).otherwise(s["chunks"])
+        units = F.when(full, F.array(x["text"])).otherwise(F.concat(s["units"], F.array(x["text"])))
+        words = F.when(full, x["words"]).otherwise(s["words"] + x["words"])
+        return F.when(words >= low, F.struct(F.array().cast("array<string>").alias("units"), F.lit(0).alias("words"), F.concat(chunks, closed(units, words)).alias("chunks"))).otherwise(
+            F.struct(units.alias("units"), words.alias("words"), chunks.alias("chunks"))
+        )
 
-    rows = docs.select("doc_id", F.posexplode(packed("text")).alias("chunk_no", "text"))
-    return rows.select("doc_id", "chunk_no", word_count(F.col("text")).cast("long").alias("words"), "text")
+    def end(s: Column) -> Column:
+        last, n = F.element_at(s["chunks"], -1), F.size(s["chunks"])
+        both = F.concat(F.slice(s["chunks"], 1, n - 1), closed(F.concat(F.array(last["text"]), s["units"]), last["words"] + s["words"]))
+        return F.when(F.size(s["units"]) == 0, s["chunks"]).when((n > 0) & (F.try_element_at(s["chunks"], F.lit(-1))["words"] + s["words"] <= joined), both).otherwise(F.concat(s["chunks"], closed(s["units"], s["words"])))
+
+    rows = docs.select("doc_id", F.posexplode(F.aggregate(pairs, begin, step, end)).alias("n", "chunk"))
+    return rows.select("doc_id", (F.col("n") + 1).alias("chunk_no"), F.col("chunk.words").cast("long").alias("words"), "chunk.text")
 
 
 def keyword_index(chunks: DataFrame, fields: tuple[str, ...] = ("doc_id", "title", "category", "keywords", "attack_type", "attack_stage", "text")) -> DataFrame:
@@ -94,7 +102,7 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     score (1000, 999, ...): the first ``most_pinned`` documents and of them as many chunks. They
     don't count among the k.
 
-    Tokens are joined through distinct token lists. A token without blanks can only occur inside
+    Tokens are joined once, through one list of distinct tokens by place. A token without blanks can only occur inside
     one run of non-blank characters, so for substrings the different runs are joined with the
     different query tokens by the token's first four characters, then compared. A chunk that only
     earns bonuses can be among a query's k best only if it is among the k best by bonus alone, so
@@ -102,14 +110,11 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     """
     wanted = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("token"))
 
-    def tokens(column: str) -> DataFrame:
-        return chunks.select("chunk_id", F.explode(F.array_distinct(tokenize(F.col(column)))).alias("token"))
-
-    hits = None
-    for column in ("title", "keywords", "text"):
-        found = wanted.join(tokens(column), "token").groupBy("query_id", "chunk_id").agg(F.count("*").alias("n"))
-        one = found.select("query_id", "chunk_id", *(F.when(F.lit(c == column), F.col("n")).otherwise(F.lit(0)).alias(c) for c in ("title", "keywords", "text", "exact")))
-        hits = one if hits is None else hits.unionByName(one)
+    at = lambda i: lambda t: F.struct(t.alias("token"), F.lit(i).alias("place"))
+    places = [F.transform(F.array_distinct(F.coalesce(tokenize(F.col(c)), F.array().cast("array<string>"))), at(i)) for i, c in enumerate(("title", "keywords", "text"))]
+    postings = chunks.select("chunk_id", F.explode(F.concat(*places)).alias("at")).select("chunk_id", "at.token", "at.place")
+    counts = [F.count_if(F.col("place") == i).alias(c) for i, c in enumerate(("title", "keywords", "text"))]
+    hits = wanted.join(postings, "token").groupBy("query_id", "chunk_id").agg(*counts).withColumn("exact", F.lit(0).cast("long"))
     blob = F.lower(F.concat_ws(" ", "title", "keywords", "text"))
     runs = chunks.select("chunk_id", F.explode(F.array_distinct(F.split(blob, "\\s+"))).alias("run"))
     long_tokens = wanted.where(F.length("token") >= 4)

@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import LISTS
+from ..functions.aggregates import first_values
+from ..functions.text import LISTS, redact_sensitive_text
 from ..functions.values import canonical_key
 
 
 def attach_app_logs(connections: DataFrame, logs: dict[str, DataFrame]) -> DataFrame:
-    """Connections with the rolled-up rows of each log by (capture_id, uid); <log>_rows is 0 where there are none."""
+    """Connections with the rolled-up rows of each log by (capture_id, uid).
+
+    ``<log>_rows`` is their number, 0 where there are none. Other columns that a log has, as made by
+    ``http_session_fields`` or ``log_summary``, come with it in a struct named ``<log>`` if it has one
+    row for each connection (then it has a column ``count`` or none of its own ``ord``).
+    """
+    keys = ["capture_id", "uid"]
     out = connections
     for name, log in logs.items():
-        rolled = log.groupBy("capture_id", "uid").agg(F.count("*").alias(f"{name}_rows"))
-        out = out.join(rolled, ["capture_id", "uid"], "left").withColumn(f"{name}_rows", F.coalesce(f"{name}_rows", F.lit(0).cast("long")))
+        fields = [c for c in log.columns if c not in (*keys, "count")]
+        rows = F.sum("count") if "count" in log.columns else F.count("*")
+        rolled = log.groupBy(*keys).agg(rows.alias(f"{name}_rows"), *([F.first(F.struct(*fields)).alias(name)] if fields and "ord" not in fields else []))
+        out = out.join(rolled, keys, "left").withColumn(f"{name}_rows", F.coalesce(f"{name}_rows", F.lit(0).cast("long")))
     return out
 
 
@@ -90,6 +99,71 @@ def http_flags(rows: DataFrame) -> DataFrame:
     ).withColumn("many_not_found", (F.col("requests") >= 4) & (F.col("not_found") >= 0.6 * F.col("requests")))
 
 
+#: Lists of a session's HTTP fields and how many values each keeps. Fixed values.
+HTTP_LISTS = {
+    "http_methods": 5, "http_hosts": 5, "http_uris_sample": 5, "http_full_uri_sample": 3, "http_status_codes": 5, "http_user_agents": 5, "http_referrers": 3, "http_content_types": 5, "http_upload_hints": 5,
+    "request_body_snippets_sanitized": 3, "response_body_snippets_sanitized": 3, "suspicious_payload_snippets": 5, "suspicious_http_parameters": 5, "suspicious_uri_patterns": 5,
+}
+OBSERVED_LISTS = ("body_snippets_sanitized", "suspicious_payload_snippets", "suspicious_http_parameters", "suspicious_uri_patterns")
+
+
+def http_session_fields(logs: DataFrame, observations: DataFrame) -> DataFrame:
+    """One row for each (capture_id, uid): the HTTP fields of a session from log rows and observed messages.
+
+    ``logs(capture_id, uid, ord, method, host, uri, status_code, user_agent, referrer, mime_type,
+    request_body_len, response_body_len)`` come first, then ``observations(capture_id, uid, ord,
+    body_role, method, host, uri, full_uri, status_code, user_agent, referrer, content_type,
+    content_length, cookie_present, auth_header_present, body_observed, ...)`` with four arrays of
+    text. Lists keep the first different values. Body lengths are summed on either side and the
+    larger sum counts, for each direction. Log texts are redacted here, observed ones before. Null
+    lengths count as 0, null flags as not set.
+    """
+    none = F.lit(None).cast("string")
+    empty = F.array().cast("array<string>")
+    uri = redact_sensitive_text(F.col("uri"), 320)
+    full = F.when(F.col("host").isNotNull() & F.col("uri").isNotNull(), redact_sensitive_text(F.concat(F.lit("http://"), "host", "uri"), 320))
+    number = lambda c: F.coalesce(F.expr(f"try_cast({c} AS BIGINT)"), F.lit(0).cast("long"))
+    one = logs.select(
+        "capture_id", "uid", F.struct(F.lit(0).alias("side"), F.col("ord").cast("long").alias("ord")).alias("_at"), "method", "host", uri.alias("uri"), full.alias("full_uri"), F.col("status_code").cast("string").alias("status"),
+        redact_sensitive_text(F.col("user_agent"), 180).alias("agent"), redact_sensitive_text(F.col("referrer"), 320).alias("referrer"), redact_sensitive_text(F.col("mime_type"), 120).alias("content_type"), none.alias("role"),
+        number("request_body_len").alias("sent"), number("response_body_len").alias("got"), *(F.lit(False).alias(c) for c in ("cookie", "auth", "body")), *(empty.alias(c) for c in OBSERVED_LISTS),
+    )
+    length = number("content_length")
+    two = observations.select(
+        "capture_id", "uid", F.struct(F.lit(1).alias("side"), F.col("ord").cast("long").alias("ord")).alias("_at"), "method", "host", "uri", "full_uri", F.col("status_code").cast("string").alias("status"),
+        F.col("user_agent").alias("agent"), "referrer", "content_type", F.col("body_role").alias("role"), F.when(F.col("body_role") == "request", length).otherwise(0).alias("sent"), F.when(F.col("body_role") == "response", length).otherwise(0).alias("got"),
+        F.col("cookie_present").alias("cookie"), F.col("auth_header_present").alias("auth"), F.col("body_observed").alias("body"), *(F.coalesce(c, empty).alias(c) for c in OBSERVED_LISTS),
+    )
+    rows = one.unionByName(two)
+    by_side = lambda c: F.greatest(*(F.coalesce(F.sum(F.when(F.col("_at.side") == side, F.col(c))), F.lit(0)) for side in (0, 1)))
+    any_of = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    flags = rows.groupBy("capture_id", "uid").agg(
+        by_side("sent").alias("http_request_body_len"), by_side("got").alias("http_response_body_len"), any_of("cookie").alias("http_cookie_present"), any_of("auth").alias("http_auth_header_present"),
+        any_of(F.contains(F.lower("content_type"), F.lit("multipart/form-data"))).alias("http_multipart_present"), any_of("body").alias("http_body_observed"),
+    )
+    hints = F.filter(F.array("uri", "content_type"), lambda v: v.rlike(LISTS["upload"]))
+    snippets = lambda role: F.when(F.col("role") == role, F.col("body_snippets_sanitized"))
+    values = [F.col(c) for c in ("method", "host", "uri", "full_uri", "status", "agent", "referrer", "content_type")] + [hints, snippets("request"), snippets("response"), *(F.col(c) for c in OBSERVED_LISTS[1:])]
+    lists = first_values(rows.select("capture_id", "uid", "_at", *(v.alias(c) for c, v in zip(HTTP_LISTS, values, strict=True))), ["capture_id", "uid"], "_at", HTTP_LISTS)
+    return flags.join(lists, ["capture_id", "uid"], "left").withColumns({c: F.coalesce(c, empty) for c in HTTP_LISTS})
+
+
+def log_summary(log: DataFrame, limits: dict[str, int], order: str = "ord") -> DataFrame:
+    """One row for each (capture_id, uid): number of rows and the first different values of some columns.
+
+    A DNS log with DNS_LISTS gives queries, codes and answers; a TLS log with TLS_LISTS server names, versions and ciphers.
+    """
+    keys = ["capture_id", "uid"]
+    lists = first_values(log, keys, order, limits)
+    counted = log.groupBy(*keys).agg(F.count("*").alias("count")).join(lists, keys, "left")
+    return counted.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in limits})
+
+
+#: Columns of the DNS and TLS logs that are summed up, and how many values each keeps. Fixed values.
+DNS_LISTS = {"query": 10, "rcode_name": 10, "answers": 5}
+TLS_LISTS = {"server_name": 10, "version": 10, "cipher": 5}
+
+
 def success_after_failure(rows: DataFrame) -> DataFrame:
     """For each (capture_id, uid) of ``rows(ts, ok)``: whether a success follows an earlier failure."""
     before = Window.partitionBy("capture_id", "uid").orderBy("ts", "ord").rowsBetween(Window.unboundedPreceding, -1)

@@ -113,15 +113,18 @@ def repeated_auth_service(spark, d):
 def _captures(spark, d):
     n = lambda test: F.count_if(F.expr(test))
     return flow(spark, d).groupBy("capture_id", F.col("src_ip").alias("source")).agg(
-        F.countDistinct("dst_port").alias("port_fanout"), n("k > 97").alias("scan_rows"), F.round(F.avg(V.is_failed(F.col("conn_state")).cast("double")), 4).alias("failed_rate"), n("k = 96").alias("probes"), n("k = 95").alias("vulnerability"),
+        F.countDistinct("dst_port").alias("port_fanout"), n("k > 97").alias("scan_rows"), F.round(F.avg(V.is_failed(F.col("conn_state")).cast("double")), 4).alias("failed_rate"), n("k = 77").alias("login_failures"), n("k BETWEEN 70 AND 76").alias("login_attempts"), n("k = 95").alias("vulnerability"),
         n("k = 94").alias("exploit"), n("k = 93").alias("payload"), n("k = 92").alias("implant"), n("k = 91").alias("backdoor"), n("dst_port = 22 AND k < 8").alias("auth_rows"), n("k = 89").alias("callback"),
         F.bool_or(F.col("k") == 88).alias("sensitive_path"), F.bool_or(F.col("k") == 87).alias("web_shell"), F.bool_or(F.col("k") == 86).alias("command"), F.bool_or(F.col("k") == 85).alias("placement"), F.bool_or(F.col("k") == 84).alias("php_post"),
-        F.bool_or(F.col("k") == 83).alias("repeated_auth"), F.bool_or(F.col("k") == 82).alias("beacon"), F.bool_or(F.col("k") == 81).alias("encrypted"), F.bool_or(F.col("k") == 80).alias("miner"), F.bool_or(F.col("k") == 79).alias("benign"), F.bool_or(F.col("k") == 78).alias("weak"),
+        F.bool_or(F.col("k") == 83).alias("repeated_auth"), F.bool_or(F.col("k") == 82).alias("beacon"), F.bool_or(F.col("k") == 81).alias("encrypted"), F.bool_or(F.col("k") == 80).alias("miner"), F.bool_or(F.col("k") == 79).alias("benign"),
     )
 
 
 def candidate_scores(spark, d):
-    return P.candidate_scores(_captures(spark, d)).select("capture_id", "source", *(f"score_{c}" for c in V.TECHNIQUES), "primary", "best", "margin", "strength")
+    out = P.candidate_scores(_captures(spark, d))
+    top = F.array_join(F.transform("top", lambda x: F.concat(x["technique"], F.lit("="), x["score"].cast("string"))), ",").alias("top")
+    sizes = [F.size(c).cast("long").alias(c) for c in ("evidence", "weak_evidence", "counter_evidence")]
+    return out.select("capture_id", "source", *(f"score_{c}" for c in V.TECHNIQUES), "primary", "best", "margin", "strength", top, *sizes, F.array_join("flag_names", ",").alias("flag_names"))
 
 
 def capture_record(spark, d):
@@ -164,13 +167,19 @@ def query_terms(spark, d):
     return K.query_terms(records(spark, d), TERM_RULES).select("record_id", F.array_join("terms", " ").alias("terms"), "low_signal")
 
 
+#: Strength, conflicts and evidence of records.
+STRENGTH = "CASE level WHEN 'high' THEN 'strong' WHEN 'medium' THEN 'medium' ELSE 'weak' END"
+CONFLICT = "CASE k % 3 WHEN 0 THEN 'payload_observability_gap' ELSE 'low_score_margin' END"
+
+
 def _routed(spark, d):
-    return records(spark, d).withColumn("primary", F.col("truth"))
+    flags = F.expr(f"slice(array({CONFLICT}, 'weak_evidence', 'other'), 1, flags)")
+    return records(spark, d).withColumns({"primary": F.when(F.col("k") % 50 != 0, F.col("truth")), "strength": F.expr(STRENGTH), "flag_names": flags, "rule_evidence": F.expr("slice(array(event_type, ' seen  twice', 'more'), 1, k % 4)")})
 
 
 def route_records(spark, d):
     rows = _routed(spark, d)
-    return R.route_records(rows, rows.where("record_id % 10 = 0")).select("record_id", "route", "reason")
+    return R.route_records(rows, rows.where("record_id % 10 = 0"), max_flags=1).select("record_id", "route", "reason")
 
 
 def rule_direct_prediction(spark, d):
@@ -428,12 +437,33 @@ def _matched() -> str:
 
 
 _MATCHED = _matched()
-_SCORE = {c: " + ".join(["0e0", *(f"CASE WHEN {t} THEN {x:e} ELSE 0e0 END" for t, xs in P.CANDIDATE_RULES + P.CLOSING_RULES for k, x in xs if k == c)]) for c in V.TECHNIQUES}
 _CAPS = ", ".join([
-    "count(DISTINCT dst_port) AS port_fanout", *(f"count(*) FILTER (k {t}) AS {n}" for n, t in {"scan_rows": "> 97", "probes": "= 96", "vulnerability": "= 95", "exploit": "= 94", "payload": "= 93", "implant": "= 92", "backdoor": "= 91", "callback": "= 89"}.items()),
+    "count(DISTINCT dst_port) AS port_fanout", *(f"count(*) FILTER (k {t}) AS {n}" for n, t in {"scan_rows": "> 97", "vulnerability": "= 95", "exploit": "= 94", "payload": "= 93", "implant": "= 92", "backdoor": "= 91", "callback": "= 89", "login_failures": "= 77", "login_attempts": "BETWEEN 70 AND 76"}.items()),
     f"round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS failed_rate", "count(*) FILTER (dst_port = 22 AND k < 8) AS auth_rows",
-    *(f"bool_or(k = {n}) AS {c}" for c, n in zip("sensitive_path web_shell command placement php_post repeated_auth beacon encrypted miner benign weak".split(), range(88, 77, -1), strict=True)),
+    *(f"bool_or(k = {n}) AS {c}" for c, n in zip("sensitive_path web_shell command placement php_post repeated_auth beacon encrypted miner benign".split(), range(88, 78, -1), strict=True)),
 ])
+#: Scores and numbers of reasons, written out apart from the rules; each name is 0 or 1.
+_CANDIDATES = f"""WITH caps AS (SELECT capture_id, src_ip AS source, {_CAPS} FROM flow GROUP BY ALL),
+    f AS (SELECT capture_id, source, (port_fanout >= 8 OR scan_rows > 0)::INT AS scan, (failed_rate >= 4e-1)::INT AS fails, (vulnerability > 0)::INT AS vuln, sensitive_path::INT AS sens, (exploit > 0)::INT AS expl, (payload > 0)::INT AS pay,
+        (web_shell AND command)::INT AS acc, (auth_rows > 0 OR login_failures > 0 OR login_attempts >= 5)::INT AS log, repeated_auth::INT AS rep, (implant > 0)::INT AS impl, placement::INT AS plac, php_post::INT AS php, (backdoor > 0)::INT AS back,
+        (callback > 0)::INT AS call, beacon::INT AS beac, encrypted::INT AS enc, miner::INT AS mine, benign::INT AS ben FROM caps),
+    g AS (SELECT *, greatest(scan, vuln, sens, expl, acc, log, rep, impl * plac, back, call * (1 - rep), mine) AS sure, greatest(pay * (1 - expl), impl * (1 - plac), php * (1 - impl)) AS weak, impl * (1 - plac) * greatest(expl, pay) AS odd FROM f),
+    h AS (SELECT capture_id, source, 35e-1 * scan + 8e-1 * scan * fails - 12e-1 * scan * greatest(vuln, sens) - 12e-1 * rep AS TA43_01, 3e0 * vuln + 45e-1 * sens AS TA43_02, 32e-1 * log + 5e0 * rep AS TA01_01,
+        32e-1 * expl - 8e-1 * vuln + 32e-1 * expl * pay + 7e-1 * pay * (1 - expl) - 18e-1 * acc - 1e0 * impl * plac + 2e0 * odd - 1e0 * ben * sure - 14e-1 * ben * (1 - sure) AS TA01_02,
+        46e-1 * impl * plac + 1e0 * impl * (1 - plac) - 1e0 * odd + 2e-1 * php * (1 - impl) AS TA03_01, 5e0 * acc - 6e-1 * expl * (1 - acc) + 38e-1 * back AS TA11_01,
+        26e-1 * call * (1 - rep) - 12e-1 * call * rep - 35e-1 * rep + 4e0 * call * beac * (1 - rep) + 12e-1 * enc * beac + 5e0 * mine - 1e0 * ben * sure - 12e-1 * ben * (1 - sure) AS TA11_02,
+        35e-1 * ben * (1 - sure) + 8e-1 * weak * (1 - sure) + 22e-1 * (1 - weak) * (1 - sure) - 1e0 * sens - 2e0 * expl * pay - 2e0 * call * beac * (1 - rep) - 15e-1 * mine AS TN01_01,
+        (scan + scan * fails + vuln + sens + expl + expl * pay + acc + log + rep + impl + odd + back + call * (1 - rep) + call * beac * (1 - rep) + enc * beac * (1 - rep) + mine + ben * (1 - sure) + 1 - sure)::BIGINT AS evidence,
+        (pay * (1 - expl) + php * (1 - impl) + call * rep + enc * beac * rep)::BIGINT AS weak_evidence,
+        (scan * greatest(vuln, sens) + vuln + sens + expl * pay + acc + expl * (1 - acc) + 2 * rep + impl * plac + odd + php * (1 - impl) + call * rep + call * beac * (1 - rep) + mine + 3 * ben * sure + 2 * ben * (1 - sure) + weak * (1 - sure))::BIGINT AS counter_evidence,
+        sure, ben, rep, php, plac FROM g),
+    sc AS (SELECT capture_id, source, evidence, weak_evidence, counter_evidence, sure, ben, rep, php, plac, {", ".join(f"round(least(greatest({c}, 0e0), 1e1), 3) AS score_{c}" for c in V.TECHNIQUES)} FROM h),
+    o AS (SELECT *, list_sort([{", ".join(f"{{'m': -score_{c}, 'p': {i}, 'c': '{c}'}}" for i, c in enumerate(V.TECHNIQUES))}]) AS l FROM sc),
+    p AS (SELECT * EXCLUDE (l), l[1].c AS "primary", -l[1].m AS best, round(-l[1].m + l[2].m, 3) AS margin, array_to_string(list_transform(l[:3], lambda x: x.c || '=' || abs(x.m)::VARCHAR), ',') AS top FROM o),
+    q AS (SELECT *, CASE WHEN best >= 6 AND margin >= 2 THEN 'strong' WHEN best >= 3 OR margin >= 1 THEN 'medium' ELSE 'weak' END AS strength FROM p)
+    SELECT * EXCLUDE (sure, ben, rep, php, plac), concat_ws(',', CASE WHEN margin < 15e-1 THEN 'low_score_margin' END, CASE WHEN strength = 'weak' THEN 'weak_evidence' END, CASE WHEN sure = 1 AND "primary" = 'TN01_01' THEN 'attack_indicators_vs_normal_candidate' END,
+        CASE WHEN ben = 1 AND "primary" <> 'TN01_01' AND sure = 0 THEN 'benign_context_vs_attack_candidate' END, CASE WHEN rep = 1 AND score_TA11_02 > 0 THEN 'auth_service_repetition_counters_c2' END,
+        CASE WHEN php = 1 AND plac = 0 THEN 'generic_php_post_weak_implant_evidence' END) AS flag_names FROM q"""
 _TIER = "CASE WHEN k % 10 = 0 THEN 'synthetic' WHEN level = 'high' THEN 'strict' WHEN level = 'medium' THEN 'medium' ELSE 'weak' END"
 
 ORACLES = {
@@ -456,12 +486,11 @@ ORACLES = {
         z AS (SELECT *, (least(15, floor(k + (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) / 4096)) + 55 * a::INT + 15 * b::INT + 48 * c::INT + 42 * d::INT + 22 * e::INT)::BIGINT AS suspicion, concat_ws(',', CASE WHEN a THEN 'scan' END, CASE WHEN b THEN 'failed_rate' END, CASE WHEN c THEN 'exploit' END, CASE WHEN d THEN 'upload' END, CASE WHEN e THEN 'payload' END) AS reasons FROM s)
         SELECT capture_id, session_id, rank, suspicion, reasons FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id) AS rank FROM z) WHERE rank <= 8"""),
     "payload_evidence": duck(f"""WITH {_SOURCE}, s AS (SELECT flow.*, (least(15, floor(k + (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) / 4096)) + 55 * (same_src_unique_dst_ports >= 8)::INT + 15 * (same_src_failed_conn_rate >= 0.5)::INT + 48 * (k % 17 = 0)::INT + 42 * (k % 23 = 0)::INT + 22 * (k % 11 = 0)::INT)::BIGINT AS suspicion FROM flow JOIN src USING (capture_id, src_ip)),
-        r AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id) AS rank FROM s), t AS (SELECT capture_id, rank, 0 AS f, 'Text ' || (k % 9) AS text FROM r WHERE rank <= 40 AND k % 11 = 0 UNION ALL SELECT capture_id, rank, 1, event_type FROM r WHERE rank <= 40),
+        r AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id) AS rank FROM s), t AS (SELECT capture_id, rank, 0 AS f, 'Text ' || (k % 9) AS text FROM r WHERE k % 11 = 0 UNION ALL SELECT capture_id, rank, 1, event_type FROM r),
         u AS (SELECT capture_id, lower(text) AS key, min(rank * 2 + f) AS o, arg_min(text, rank * 2 + f) AS text FROM t GROUP BY ALL) SELECT capture_id, place, text FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY o) AS place FROM u) WHERE place <= 5"""),
-    "repeated_auth_service": duck(f"SELECT *, auth_rows >= 10 AND (auth_rows >= 20 OR busiest >= 10 OR short_or_failed >= 5) AS repeated FROM (SELECT capture_id, sum(n)::BIGINT AS auth_rows, max(n) AS busiest, sum(s)::BIGINT AS short_or_failed FROM (SELECT capture_id, dst_ip, dst_port, count(*) AS n, count(*) FILTER ({FAILED} OR duration < 1) AS s FROM flow WHERE dst_port = 22 GROUP BY ALL) GROUP BY ALL)"),
-    "candidate_scores": duck(f"""WITH caps AS (SELECT capture_id, src_ip AS source, {_CAPS} FROM flow GROUP BY ALL), sc AS (SELECT capture_id, source, {", ".join(f"round(least(greatest({e}, 0e0), 1e1), 3) AS score_{c}" for c, e in _SCORE.items())} FROM caps),
-        o AS (SELECT *, list_sort([{", ".join(f"{{'m': -score_{c}, 'p': {i}, 'c': '{c}'}}" for i, c in enumerate(V.TECHNIQUES))}]) AS l FROM sc), p AS (SELECT * EXCLUDE (l), l[1].c AS "primary", -l[1].m AS best, round(-l[1].m + l[2].m, 3) AS margin FROM o)
-        SELECT *, CASE WHEN best >= 6 AND margin >= 2 THEN 'strong' WHEN best >= 3 OR margin >= 1 THEN 'medium' ELSE 'weak' END AS strength FROM p"""),
+    "repeated_auth_service": duck(f"""SELECT *, auth_rows >= 10 AND (auth_rows >= 20 OR busiest >= 10 OR short_or_failed >= 5) AS repeated FROM (SELECT capture_id, sum(n) FILTER (dst_port = 22)::BIGINT AS auth_rows, max(n) AS busiest, sum(s)::BIGINT AS short_or_failed
+        FROM (SELECT capture_id, src_ip, dst_ip, dst_port, count(*) AS n, count(*) FILTER (dst_port = 22 AND ({FAILED} OR coalesce(resp_bytes, 0) = 0)) AS s FROM flow GROUP BY ALL) GROUP BY capture_id HAVING count(*) FILTER (dst_port = 22) > 0)"""),
+    "candidate_scores": duck(_CANDIDATES),
     "capture_record": duck("""WITH r AS (SELECT capture_id, count(*) AS n, min(start_time) AS a, max(start_time) AS b, max(orig_bytes) AS m FROM flow WHERE k > 50 AND capture_id < 'cap6' GROUP BY ALL), s AS (SELECT capture_id, count(*) AS n, min(start_time) AS a, max(start_time) AS b, max(orig_bytes) AS m FROM flow GROUP BY ALL)
         SELECT s.capture_id, s.capture_id || '.pcap' AS file_name, s.n AS session_count, coalesce(r.n, 0) AS record_count, coalesce(r.a, s.a) AS first_time, coalesce(r.b, s.b) AS last_time, coalesce(r.m, s.m) AS max_bytes, CASE WHEN r.n IS NULL THEN 'sessions' ELSE 'records' END AS evidence FROM s LEFT JOIN r USING (capture_id)"""),
     "behaviour_summaries": duck(f"WITH {_SOURCE} SELECT capture_id, count(*) FILTER (same_src_unique_dst_ports >= 8) AS scan_rows, max(same_src_unique_dst_ports) AS max_ports, max(same_src_failed_conn_rate) AS max_failed_rate, count(*) FILTER (dst_port = 22) AS login_rows, count(*) FILTER (dst_port = 22 AND {FAILED}) AS login_failures, sum(CASE WHEN {FAILED} THEN orig_bytes ELSE 0 END)::BIGINT AS failed_bytes, count(*) FILTER (dst_port = 443) AS encrypted_rows FROM flow JOIN src USING (capture_id, src_ip) GROUP BY capture_id"),
@@ -469,8 +498,12 @@ ORACLES = {
     "retrieve_top_k": duck(f"{_RETRIEVED} SELECT * FROM ranked"),
     "query_terms": duck("""SELECT record_id, trim(concat_ws(' ', CASE WHEN k > 90 THEN 'port scan probe' END, CASE WHEN event_type = 'error' THEN CASE WHEN k > 90 THEN 'failed rejected' ELSE 'failed rejected probe' END END, CASE WHEN value > 10 THEN 'volume transfer' END, CASE WHEN k BETWEEN 20 AND 40 THEN 'callback c2 interval' END)) AS terms,
         NOT (k > 90 OR event_type = 'error' OR value > 10 OR k BETWEEN 20 AND 40) AS low_signal FROM record"""),
-    "route_records": duck("SELECT record_id, CASE WHEN reason = 'rule_direct' THEN 'rule_direct' ELSE 'model' END AS route, reason FROM (SELECT record_id, CASE WHEN score < 7 THEN 'low_score' WHEN margin < 2.5 THEN 'low_margin' WHEN flags > 0 THEN 'conflicts' WHEN truth = 'TN01_01' THEN 'normal_not_allowed' ELSE 'rule_direct' END AS reason FROM record WHERE record_id % 10 <> 0)"),
-    "rule_direct_prediction": duck("SELECT record_id, truth AS technique, split_part(truth, '_', 1) AS stage, round(least(greatest(5e-1 + 3e-2 * score + 2e-2 * margin, 55e-2), 9e-1), 3) AS confidence FROM record"),
+    "route_records": duck(f"""SELECT record_id, CASE WHEN reason = 'high_confidence_rule_candidate' THEN 'rule_direct' ELSE 'model' END AS route, reason FROM (SELECT record_id, CASE WHEN k % 50 = 0 THEN 'missing_primary_rule_candidate' WHEN truth = 'TN01_01' THEN 'normal_rule_direct_disabled'
+        WHEN score < 7 THEN 'score_below_threshold' WHEN margin < 25e-1 THEN 'margin_below_threshold' WHEN {STRENGTH} <> 'strong' THEN 'evidence_strength_below_threshold' WHEN flags > 1 THEN 'too_many_conflicts' WHEN flags = 1 AND k % 3 = 0 THEN 'blocking_conflict_flag'
+        ELSE 'high_confidence_rule_candidate' END AS reason FROM record WHERE record_id % 10 <> 0)"""),
+    "rule_direct_prediction": duck(f"""SELECT record_id, technique, split_part(technique, '_', 1) AS stage, round(least(greatest(78e-2 + least(greatest(score - 7, 0) * 15e-3, 7e-2) + least(greatest(margin - 25e-1, 0) * 15e-3, 5e-2)
+        + CASE {STRENGTH} WHEN 'strong' THEN 4e-2 WHEN 'weak' THEN -8e-2 ELSE 0e0 END - CASE technique WHEN 'TN01_01' THEN 6e-2 ELSE 0e0 END, 55e-2), 9e-1), 4) AS confidence,
+        CASE k % 4 WHEN 0 THEN 'Rule scores favour ' || technique || '.' WHEN 1 THEN event_type ELSE event_type || '; seen twice' END AS reason FROM (SELECT *, CASE WHEN k % 50 = 0 THEN 'TN01_01' ELSE truth END AS technique FROM record)"""),
     "merge_shards": duck("SELECT record_id % 1000 AS record_id, record_id % 7 AS shard, record_id AS attempt, plain_guess FROM record QUALIFY row_number() OVER (PARTITION BY record_id % 1000 ORDER BY record_id % 7 DESC, record_id DESC) = 1"),
     "parse_predictions": duck("""SELECT record_id, CASE WHEN k % 5 > 1 AND k % 9 > 0 THEN truth END AS technique, CASE WHEN k % 5 > 1 AND k % 9 > 0 THEN split_part(truth, '_', 1) END AS stage, CASE WHEN k % 5 > 1 AND k % 13 > 0 THEN CASE level WHEN 'high' THEN 85e-2 WHEN 'medium' THEN 6e-1 ELSE 35e-2 END END AS confidence,
         CASE WHEN k % 5 = 0 THEN 'many_objects' WHEN k % 5 = 1 THEN 'no_object' WHEN k % 9 = 0 THEN 'unknown_code' WHEN k % 13 = 0 THEN 'bad_confidence' END AS error FROM record"""),

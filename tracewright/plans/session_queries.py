@@ -263,7 +263,7 @@ _CALLBACK = f"""{_REPEATS}, cr AS (SELECT *, (coalesce(orig_bytes, 0) + coalesce
         cg AS (SELECT {_AUTH}, start_time - lag(start_time) OVER (PARTITION BY {_AUTH} ORDER BY start_time NULLS LAST, session_id) AS v FROM cr), gp AS (SELECT {_AUTH}, {_PATTERN} FROM cg WHERE v >= 0 GROUP BY {_AUTH}), sp AS (SELECT {_AUTH}, {_PATTERN} FROM cr GROUP BY {_AUTH}),
         b AS (SELECT sp.capture_id, sp.src_ip, sp.dst_ip, sp.dst_port, sp.proto, sp.count AS connections, sp.p90 AS bytes_p90, cs.start_time, end_time, callback_text, upd, competing, gp.count AS intervals, gp.median AS interval_median, gp.mean AS interval_mean, gp.std AS interval_std, gp.cv AS interval_cv,
             coalesce(repeated_dns, false) AS repeated_dns, coalesce(repeated_sni, false) AS repeated_sni, coalesce(round(1 / (1 + gp.cv), 3), 0) AS regularity_score, CASE WHEN gp.median > 0 THEN gp.median ELSE gp.mean END AS scale FROM sp JOIN cs USING ({_AUTH}) LEFT JOIN gp USING ({_AUTH}) LEFT JOIN rep USING ({_AUTH}) WHERE sp.count >= 4),
-        p AS (SELECT *, coalesce(intervals >= 3 AND scale >= 1 AND regularity_score >= 0.6, false) AS periodic, CASE WHEN intervals >= 2 THEN CASE WHEN interval_std + interval_mean = 0 THEN 0 ELSE round((interval_std - interval_mean) / (interval_std + interval_mean), 4) END END AS burstiness FROM b),
+        p AS (SELECT *, coalesce(intervals >= 3 AND scale >= 1 AND regularity_score >= 0.6, false) AS periodic, CASE WHEN intervals >= 2 THEN CASE WHEN interval_std + interval_mean = 0 THEN 0 ELSE round((interval_std - interval_mean) / (interval_std + interval_mean), 3) END END AS burstiness FROM b),
         sc AS (SELECT *, round(least(25e-2 + CASE WHEN connections >= 10 THEN 15e-2 ELSE 5e-2 END + CASE WHEN periodic THEN 2e-1 ELSE 0 END + CASE WHEN bytes_p90 <= 8192 THEN 15e-2 ELSE 0 END + CASE WHEN dst_port NOT IN {G.COMMON_PORTS} THEN 15e-2 ELSE 0 END
             + CASE WHEN repeated_dns OR repeated_sni THEN 1e-1 ELSE 0 END + CASE WHEN callback_text THEN 15e-2 ELSE 0 END, 1), 3) AS score FROM p),
         cb AS (SELECT * EXCLUDE (upd, scale), CASE WHEN connections >= 5 AND score >= 0.65 AND periodic AND (competing = '' OR callback_text) THEN 'high' ELSE 'medium' END AS tier, {_HINTS}, coalesce(scale > 0 AND scale < 1, false) AS short_burst_not_beacon,
@@ -280,9 +280,9 @@ ORACLES = {
     "match_probe_lists": duck("SELECT page_id, " + ", ".join(f"regexp_matches(url, '{_RE(p)}') AS {n}" for n, p in X.LISTS.items()) + " FROM page"),
     "external_direction": duck("SELECT session_id, dst_ip NOT LIKE '10.%' AS external, dst_ip LIKE '10.%' AS dst_private FROM flow"),
     "tokenize": r"""SELECT doc_id, count(*) AS tokens, count(DISTINCT token) AS different FROM (SELECT doc_id, trim(t, '.,;()[]{}<>""''') AS token FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[A-Za-z0-9_.:/+-]+|[\x{4e00}-\x{9fff}]+')) AS t FROM documents)) WHERE length(token) >= 2 GROUP BY doc_id""",
-    "word_count": r"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_]+|[\x{4e00}-\x{9fff}]'))::BIGINT AS words FROM documents",
+    "word_count": r"SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9_.:/+-]+|[\x{4e00}-\x{9fff}]'))::BIGINT AS words FROM documents",
     "estimate_tokens": "SELECT doc_id, (length(text) + 2) // 3 AS tokens FROM documents",
-    "trim_value": "SELECT doc_id, CASE WHEN length(text) > 120 THEN left(text, 106) || '...[truncated]' ELSE text END AS trimmed, CASE WHEN length(o) > 80 THEN rtrim(left(o, 79)) || '.' ELSE o END AS compact FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS o FROM documents)",
+    "trim_value": "SELECT doc_id, CASE WHEN length(text) > 120 THEN left(text, 106) || '...[truncated]' ELSE text END AS trimmed, CASE WHEN length(o) > 80 THEN rtrim(left(o, 79), ' ,.;') || '.' ELSE o END AS compact FROM (SELECT *, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS o FROM documents)",
     "any_positive": duck("SELECT session_id, k % 5 = 0 OR k % 3 <> 0 AS session, k % 5 = 0 AS \"group\", k % 5 = 0 OR k % 3 <> 0 OR k % 4 > 0 AS capture FROM flow"),
     "normalize_label": duck("SELECT session_id, t AS technique, split_part(t, '_', 1) AS stage FROM (SELECT session_id, ['TA43_01', 'TN01_01', 'TA01_02', 'TA11_01', NULL, 'TA11_02'][k % 6 + 1] AS t FROM flow)"),
     "format_epoch": duck("SELECT session_id, CASE k % 4 WHEN 0 THEN 'not known' WHEN 1 THEN k::VARCHAR ELSE strftime(make_timestamp((1312967328 + session_id + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') || '.17' END AS shown FROM flow"),
@@ -292,14 +292,15 @@ ORACLES = {
     "source_context_wide": duck(f"SELECT capture_id, src_ip, count(*) AS same_src_connections, count(DISTINCT dst_port) AS same_src_unique_dst_ports, count(DISTINCT dst_ip) AS same_src_unique_dst_ips, round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS same_src_failed_conn_rate, count(*) AS rows FROM wide GROUP BY ALL"),
     "destination_context": duck("SELECT session_id, n AS same_dst_unique_sources, count(*) OVER (PARTITION BY capture_id, src_ip, dst_ip, dst_port) AS same_endpoint_sessions FROM flow JOIN (SELECT capture_id, dst_ip, count(DISTINCT src_ip) AS n FROM flow GROUP BY ALL) USING (capture_id, dst_ip)"),
     "endpoint_beacon": duck(BEACON, signal=SIGNAL),
-    "pair_context": duck("""SELECT *, unique_paths >= 8 AS uri_fanout, statuses >= 5 AND share_404 >= 0.6 AS high_404, login_requests >= 5 AS auth_repetition FROM (SELECT capture_id, src_ip, dst_ip, count(DISTINCT split_part(split_part(url, '?', 1), '#', 1)) AS unique_paths, count(status) AS statuses,
-        round(avg(CASE WHEN status = 404 THEN 1e0 ELSE 0e0 END), 4) AS share_404, count(*) FILTER (login) AS login_requests FROM page GROUP BY ALL)"""),
+    "pair_context": duck("""SELECT *, unique_paths >= 8 AS uri_fanout, statuses >= 5 AND share_404 >= 0.6 AS high_404, shell_requests >= 2 AS repeated_shell, auth_attempts >= 5 AS auth_repetition FROM (SELECT capture_id, src_ip, dst_ip, count(DISTINCT split_part(split_part(url, '?', 1), '#', 1)) AS unique_paths, count(status) AS statuses,
+        round(avg(CASE WHEN status = 404 THEN 1e0 ELSE 0e0 END), 4) AS share_404, count(*) FILTER (regexp_matches(lower(split_part(split_part(url, '?', 1), '#', 1)), 'webshell|shell[.]php|cmd[.]php|cmd[.]jsp|c99|r57')) AS shell_requests FROM page GROUP BY ALL)
+        JOIN (SELECT capture_id, src_ip, dst_ip, coalesce(max(n) FILTER (a), 0) AS auth_attempts FROM (SELECT capture_id, src_ip, dst_ip, dst_port, count(*) AS n, bool_or(auth_protocol <> 'unknown') AS a FROM page GROUP BY ALL) GROUP BY ALL) USING (capture_id, src_ip, dst_ip)"""),
     "capture_summary": duck(f"""SELECT capture_id, count(*) AS sessions, min(start_time) AS first_time, max(start_time) AS last_time, sum(orig_bytes)::BIGINT AS orig_bytes, sum(resp_bytes)::BIGINT AS resp_bytes, count(DISTINCT src_ip) AS sources, count(DISTINCT dst_ip) AS destinations,
         count(*) FILTER ({FAILED}) AS failed_sessions, count(*) FILTER (dst_ip NOT LIKE '10.%') AS external_sessions, any_value(scan_sources) AS scan_sources, any_value(m) AS max_unique_dst_ports
-        FROM flow JOIN (SELECT capture_id, count(*) FILTER (p >= 8) AS scan_sources, max(p) AS m FROM (SELECT capture_id, src_ip, count(DISTINCT dst_port) AS p FROM flow GROUP BY ALL) GROUP BY capture_id) USING (capture_id) GROUP BY capture_id"""),
+        FROM flow JOIN (SELECT capture_id, count(*) FILTER (p >= 8 AND f >= 4e-1) AS scan_sources, max(p) AS m FROM (SELECT capture_id, src_ip, count(DISTINCT dst_port) AS p, round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS f FROM flow GROUP BY ALL) GROUP BY capture_id) USING (capture_id) GROUP BY capture_id"""),
     "session_number": duck("SELECT session_id, capture_id, lpad(row_number() OVER (PARTITION BY capture_id ORDER BY start_time NULLS LAST, session_id)::VARCHAR, 6, '0') AS session_no FROM flow"),
     "numeric_pattern": duck(f"SELECT capture_id, src_ip, {_PATTERN} FROM (SELECT capture_id, src_ip, orig_bytes::DOUBLE AS v FROM flow) GROUP BY ALL"),
-    "burstiness": duck(f"WITH {_GAPS} SELECT {_AUTH}, CASE WHEN n >= 2 THEN CASE WHEN s + m = 0 THEN 0 ELSE round((s - m) / (s + m), 4) END END AS burstiness FROM (SELECT {_AUTH}, count(*) AS n, round(avg(g), 3) AS m, CASE WHEN count(*) > 1 THEN round(stddev_pop(g), 3) END AS s FROM gap WHERE g >= 0 GROUP BY {_AUTH})"),
+    "burstiness": duck(f"WITH {_GAPS} SELECT {_AUTH}, CASE WHEN n >= 2 THEN CASE WHEN s + m = 0 THEN 0 ELSE round((s - m) / (s + m), 3) END END AS burstiness FROM (SELECT {_AUTH}, count(*) AS n, round(avg(g), 3) AS m, CASE WHEN count(*) > 1 THEN round(stddev_pop(g), 3) END AS s FROM gap WHERE g >= 0 GROUP BY {_AUTH})"),
     "top_values": duck("SELECT capture_id, rank, value, n FROM (SELECT capture_id, dst_port AS value, count(*) AS n, row_number() OVER (PARTITION BY capture_id ORDER BY count(*) DESC, min(session_id)) AS rank FROM flow GROUP BY capture_id, dst_port) WHERE rank <= 5"),
     "bounded_distinct": duck("SELECT capture_id, src_ip, string_agg(dst_port::VARCHAR, ',' ORDER BY f) AS ports FROM (SELECT capture_id, src_ip, dst_port, min(session_id) AS f, row_number() OVER (PARTITION BY capture_id, src_ip ORDER BY min(session_id)) AS r FROM flow GROUP BY capture_id, src_ip, dst_port) WHERE r <= 5 GROUP BY capture_id, src_ip"),
     "start_intervals": duck("SELECT session_id, round(g, 3) AS interval FROM (SELECT session_id, start_time - lag(start_time) OVER (PARTITION BY capture_id, src_ip, dst_ip ORDER BY start_time NULLS LAST, session_id) AS g FROM flow) WHERE g >= 0"),

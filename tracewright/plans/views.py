@@ -26,7 +26,8 @@ FROM lineitem
 """
 PAGES = """
 SELECT page_id, CONCAT('cap', CAST(page_id % 5 AS STRING)) AS capture_id, CONCAT('10.0.0.', CAST(page_id % 3 AS STRING)) AS src_ip, CONCAT('d', CAST(page_id % 4 AS STRING)) AS dst_ip,
-       url, html, CAST(CASE WHEN page_id % 5 < 3 THEN 404 ELSE 200 END AS INT) AS status, page_id % 7 = 0 AS login
+       url, html, CAST(CASE WHEN page_id % 5 < 3 THEN 404 ELSE 200 END AS INT) AS status, CAST(CASE page_id % 2 WHEN 0 THEN 80 ELSE 443 END AS INT) AS dst_port, page_id % 7 = 0 AS login,
+       CASE WHEN page_id % 7 = 0 THEN 'http' ELSE 'unknown' END AS auth_protocol
 FROM pages
 """
 CHUNKS = """
