@@ -1,6 +1,7 @@
 """Exact numbers on small rows."""
 
 import re
+from urllib.parse import unquote_plus
 
 from pyspark.sql import functions as F
 
@@ -46,6 +47,30 @@ def test_secrets_do_not_survive(spark):
     assert "do-not-retain" not in str(df.select(text.suspicious_contexts(F.col("t"))).collect())
 
 
+def plain_visible(t):
+    shown = "".join(c if " " <= c <= "~" or "\u4e00" <= c <= "\u9fff" else " " for c in unquote_plus(t or ""))
+    return " ".join(shown.split())
+
+
+def plain_windows(t, limit):
+    t = plain_visible(t)
+    hits = [(m.start(), m.end()) for p in text.SIGNATURES.values() for m in re.finditer(p, t)]
+    hits += [(0, min(220, len(t)))] if any(re.search(text.LISTS[n], t) for n in ("scanner", "probe_path", "web_shell", "upload")) else []
+    out = []
+    for a, b in sorted(hits)[: 2 * limit]:
+        w = re.sub(text.JWT, "[REDACTED_JWT]", re.sub(text.SECRET, r"\1\2[REDACTED]", plain_visible(t[max(a - 80, 0) : b + 100])))
+        w = w[:206] + "...[truncated]" if len(w) > 220 else w
+        out += [w] if w and w not in out else []
+    return out[:limit]
+
+
+def test_visible_text_against_plain_python(spark):
+    odd = [None, "", " %zz %41%4 100% %e4%bd%a0%e5 a+b%2Bc", "%00\x07 é 你好 😀", "x" * 90 + "cmd.exe /c whoami; /bin/sh " + "y" * 200 + " union select 1 from t token=abc&x=%2527", "nikto " + "z" * 300, "powershell " * 30]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").unionByName(spark.read.parquet(f"{DATA}/pages.parquet").selectExpr("concat(url, ' ', html, CASE page_id % 3 WHEN 0 THEN ' ; cat /etc/passwd <script>' ELSE '' END) AS t"))
+    for r in rows.select("t", text.decode_visible_text(F.col("t")).alias("seen"), text.suspicious_contexts(F.col("t"), 3).alias("near")).collect():
+        assert r.seen == plain_visible(r.t) and r.near == plain_windows(r.t, 3), r.t
+
+
 def test_times_and_addresses(spark):
     df = spark.createDataFrame([("1312967328.170871",), ("1312967329.0",), ("5",), ("5.25",), (" a  b ",), (None,)], "t string")
     shanghai = [r[0] for r in df.select(values.format_epoch(F.col("t"))).collect()]
