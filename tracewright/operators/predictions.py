@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.text import redact_sensitive_text
 from ..functions.values import compact_text, confidence, estimate_tokens, file_key, file_stem, format_epoch, normalize_label, stage_of, trim_value
 
 
@@ -161,17 +162,31 @@ def representative_endpoint(rows: DataFrame, captures: DataFrame) -> DataFrame:
     )
 
 
-def submission_rows(predictions: DataFrame, templates: DataFrame, zone: str = "Asia/Shanghai", reason_limit: int = 300) -> DataFrame:
-    """Predictions in submission form; a template's number wins where its id, file name or stem matches, in this order."""
+#: Cells of a submission row besides its number, label and reason; more keys whose values a reason never shows. Fixed values.
+CELLS = ("start", "end", "src_ip", "src_port", "dst_ip", "dst_port")
+REASON_KEYS = r"(?i)\b(api[_-]?key|secret[_-]?key|authorization)\s*[:=]\s*\S+"
+
+
+def submission_rows(predictions: DataFrame, templates: DataFrame, zone: str = "Asia/Shanghai", reason_limit: int = 300, label_level: str = "stage") -> DataFrame:
+    """(record_id, number, start, end, src_ip, src_port, dst_ip, dst_port, label, reason): predictions in submission form.
+
+    ``templates(key, number, ...)`` may have the six cells from start to dst_port: where the id, the
+    file name or its stem matches a key, in this order and whatever the case, the template's number and
+    cells are taken as they are, also its empty ones; of equal keys the least row. Elsewhere the cells
+    come from ``predictions(record_id, file_name, start_time, end_time, ..., technique, reason)`` with
+    times in ``zone``. Null or missing cells are empty. The label is the stage or the technique; the
+    reason is on one line, redacted and cut.
+    """
+    text = lambda df, c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) if c in df.columns else F.lit("")
+    time = lambda c: format_epoch(F.col(c).cast("string"), zone) if c in predictions.columns else F.lit("")
     keys = predictions.select("record_id", F.posexplode(F.array(F.lower(F.col("record_id").cast("string")), file_key(F.col("file_name")), file_stem(F.col("file_name")))).alias("_p", "_key"))
-    hits = keys.join(templates.groupBy(F.lower("key").alias("_key")).agg(F.min("number").alias("number")), "_key")
-    found = hits.groupBy("record_id").agg(F.min_by("number", "_p").alias("_number"))
-    out = predictions.join(found, "record_id", "left")
-    clean = F.trim(F.regexp_replace("reason", "\\s+", " "))
-    return out.select(
-        "record_id", F.coalesce("_number", F.col("record_id").cast("string")).alias("number"), file_key(F.col("file_name")).alias("file_name"),
-        format_epoch(F.col("start_time").cast("string"), zone).alias("start"), stage_of(F.col("technique")).alias("stage"), "technique", F.left(clean, F.lit(reason_limit)).alias("reason"),
-    )
+    rows = templates.groupBy(F.lower(F.trim("key")).alias("_key")).agg(F.min(F.struct(*(text(templates, c).alias(c) for c in ("number", *CELLS)))).alias("_t"))
+    found = keys.join(rows, "_key").groupBy("record_id").agg(F.min_by("_t", "_p").alias("_t"))
+    own = F.struct(F.col("record_id").cast("string").alias("number"), time("start_time").alias("start"), time("end_time").alias("end"), *(text(predictions, c).alias(c) for c in CELLS[2:]))
+    out = predictions.join(found, "record_id", "left").withColumn("_row", F.coalesce("_t", own))
+    label = F.col("technique") if label_level == "technique" else F.coalesce(stage_of(F.col("technique")), F.col("technique"))
+    line = redact_sensitive_text(F.trim(F.regexp_replace(F.coalesce("reason", F.lit("")), "\\s+", " ")), reason_limit)
+    return out.select("record_id", "_row.*", label.alias("label"), F.left(F.regexp_replace(line, REASON_KEYS, "$1=[REDACTED]"), F.lit(reason_limit)).alias("reason"))
 
 
 def conflict_cases(predictions: DataFrame) -> DataFrame:

@@ -224,10 +224,22 @@ def representative_endpoint(spark, d):
     return R.representative_endpoint(made(ENDS), made(CAPS))
 
 
+#: Predictions and templates of a submission.
+SENT = """
+SELECT record_id, CONCAT('In/File', CAST(record_id % 50 AS STRING), '.PCAP') AS file_name, 1312967328 + record_id AS start_time, CASE WHEN record_id % 4 > 0 THEN 1312967333 + record_id END AS end_time,
+       CONCAT('10.0.0.', CAST(record_id % 9 AS STRING)) AS src_ip, record_id % 60000 AS src_port, CASE WHEN record_id % 3 > 0 THEN ' 8.8.8.8 ' END AS dst_ip, 80 AS dst_port, truth AS technique, 'seen  in\nflow token=abc1, API-key: x9 here' AS reason
+FROM record
+"""
+GIVEN = """
+SELECT CONCAT('FILE', CAST(record_id AS STRING), CASE WHEN record_id % 2 = 0 THEN '.pcap' ELSE '' END) AS key, CONCAT('N', CAST(record_id AS STRING)) AS number, 'monday' AS start, CONCAT('1.1.1.', CAST(record_id AS STRING)) AS src_ip, record_id AS src_port
+FROM record WHERE record_id < 20
+"""
+
+
 def submission_rows(spark, d):
-    rows = records(spark, d).select("record_id", F.concat(F.lit("In/File"), (F.col("record_id") % 50).cast("string"), F.lit(".PCAP")).alias("file_name"), (F.lit(1312967328) + F.col("record_id")).alias("start_time"), F.col("truth").alias("technique"), F.lit("seen  in\nflow").alias("reason"))
-    templates = records(spark, d).where("record_id < 20").select(F.concat(F.lit("FILE"), F.col("record_id").cast("string"), F.when(F.col("record_id") % 2 == 0, ".pcap").otherwise("")).alias("key"), F.concat(F.lit("N"), F.col("record_id").cast("string")).alias("number"))
-    return R.submission_rows(rows, templates)
+    rows = records(spark, d)
+    sent, given = (spark.sql(q.replace("FROM record", "FROM {record}"), record=rows) for q in (SENT, GIVEN))
+    return R.submission_rows(sent, given)
 
 
 def conflict_cases(spark, d):
@@ -517,7 +529,9 @@ ORACLES = {
         b AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY capture_id ORDER BY kind <> wanted, endpoint_score DESC, place) = 1)
         SELECT w.capture_id, technique, kind, place, endpoint_score, coalesce(b.src_ip, w.src_ip) AS src_ip, coalesce(b.dst_ip, w.dst_ip) AS dst_ip, CASE WHEN wanted_scan AND ports <> '' THEN ports ELSE coalesce(b.dst_port, w.dst_port) END AS dst_port
         FROM (SELECT *, wanted = 'scan' AS wanted_scan FROM w) w LEFT JOIN b USING (capture_id)""".replace("(CAPS)", f"({CAPS})").replace("(ENDS)", f"({ENDS})")),
-    "submission_rows": duck("SELECT record_id, CASE WHEN record_id % 50 < 20 THEN 'N' || (record_id % 50) ELSE record_id::VARCHAR END AS number, 'file' || (record_id % 50) || '.pcap' AS file_name, strftime(make_timestamp((1312967328 + record_id + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') AS start, split_part(truth, '_', 1) AS stage, truth AS technique, 'seen in flow' AS reason FROM record"),
+    "submission_rows": duck(f"""WITH sent AS ({SENT}), given AS ({GIVEN}), j AS (SELECT sent.*, t.number AS n, t.start AS s, t.src_ip AS a, t.src_port AS p FROM sent LEFT JOIN given t ON lower(t.key) IN ('file' || (record_id % 50) || '.pcap', 'file' || (record_id % 50)))
+        SELECT record_id, coalesce(n, record_id::VARCHAR) AS number, coalesce(s, strftime(make_timestamp((start_time + 28800) * 1000000), '%Y-%m-%d %H:%M:%S')) AS start, CASE WHEN n IS NULL THEN coalesce(strftime(make_timestamp((end_time + 28800) * 1000000), '%Y-%m-%d %H:%M:%S'), '') ELSE '' END AS end,
+        coalesce(a, src_ip) AS src_ip, coalesce(p, src_port)::VARCHAR AS src_port, CASE WHEN n IS NULL AND dst_ip IS NOT NULL THEN '8.8.8.8' ELSE '' END AS dst_ip, CASE WHEN n IS NULL THEN '80' ELSE '' END AS dst_port, split_part(technique, '_', 1) AS label, 'seen in flow token=[REDACTED], API-key=[REDACTED] here' AS reason FROM j"""),
     "conflict_cases": duck("SELECT * FROM (SELECT record_id, concat_ws(',', CASE WHEN plain_guess <> 'TN01_01' AND flags = 1 THEN 'attack_with_benign' END, CASE WHEN plain_guess <> truth THEN 'differs_from_rule' END, CASE WHEN plain_guess = 'TN01_01' AND score >= 3 THEN 'normal_with_attack' END) AS conflicts FROM record) WHERE conflicts <> ''"),
     "prompt_text": duck(f"""{_RETRIEVED}, cut AS (SELECT query_id AS record_id, rank, pinned, CASE WHEN length(text) > 550 THEN left(text, 536) || '...[truncated]' ELSE text END AS t FROM ranked JOIN documents ON doc_id = chunk_id WHERE text IS NOT NULL),
         r AS (SELECT item_id AS record_id, CASE WHEN length(text) > 1800 THEN left(text, 1786) || '...[truncated]' ELSE coalesce(text, '') END AS body, CASE WHEN item_id % 3 = 0 THEN 'Candidates of ' || item_id END AS ctx FROM benchmark),
