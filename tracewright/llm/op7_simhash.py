@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -28,8 +28,15 @@ PROBE_COST = 100
 CELL_BITS = 16
 #: Fingerprints of one group value that one task compares; more are cut into blocks.
 BLOCK, BLOCKS = 512, 16
-#: Rows that a task holds at once, and comparisons that it makes at once.
-ROWS_AT_ONCE, PAIRS_AT_ONCE = 400_000, 2_000_000
+#: Rows and bytes that a task holds at once, comparisons and sketch tests that it makes at once.
+ROWS_AT_ONCE, BYTES_AT_ONCE, PAIRS_AT_ONCE, TESTS_AT_ONCE = 300_000, 48_000_000, 1_000_000, 200_000
+#: Min-hashes of a sketch, four bits each; odd multipliers that make them out of one hash.
+MINS = 64
+FACTORS = np.random.default_rng(64).integers(2**62, size=MINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Standard errors of a sketch: pairs further below the similarity are no links; pairs further above surely are.
+DOUBT, SURE = 4.0, 2.0
+#: Equal four-bit numbers of two bytes, by the bits in which they differ.
+EQUAL_HALVES = np.array([(x & 15 == 0) + (x >> 4 == 0) for x in range(256)], dtype=np.uint8)
 
 
 def bits_for(similarity: float) -> int:
@@ -41,26 +48,45 @@ def bits_for(similarity: float) -> int:
     return math.floor(BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def fingerprint_of(text: str | None, words: int) -> int:
-    """SimHash of a text as an unsigned 64-bit number."""
+def shingle_hashes(tokens: list[bytes], words: int) -> np.ndarray:
+    """XXH64 (seed 42) of each run of ``words`` words in order, repeats included; fewer words make one run."""
     import xxhash
 
-    tokens = (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
     if not tokens:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     joined = b" ".join(tokens)
     starts = np.zeros(len(tokens) + 1, dtype=np.int64)
     np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1, out=starts[1:])
     n = max(1, len(tokens) - words + 1)
     ends = starts[min(words, len(tokens)) :][:n] - 1
     digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends.tolist(), strict=True)], dtype=np.uint64)
+
+
+def tokens_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes; zero for none."""
     set_bits = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, n, 50_000):
-        span = zip(starts[at : min(n, at + 50_000)].tolist(), ends[at : at + 50_000].tolist(), strict=True)
-        hashes = np.array([digest(joined[a:b], 42) for a, b in span], dtype=np.uint64)
-        octets = np.unpackbits(hashes.byteswap().view(np.uint8).reshape(-1, 8), axis=1)
-        set_bits += octets.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(set_bits * 2 > n).tobytes(), "big")
+    for at in range(0, len(hashes), 50_000):
+        set_bits += np.unpackbits(hashes[at : at + 50_000].byteswap().view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(set_bits * 2 > len(hashes)).tobytes(), "big")
+
+
+def fingerprint_of(text: str | None, words: int) -> int:
+    """SimHash of a text as an unsigned 64-bit number."""
+    return majority(shingle_hashes(tokens_of(text), words))
+
+
+def sketch_of(distinct: np.ndarray) -> bytes:
+    """Number of different hashes (4 bytes) and four bits of each of MINS min-hashes."""
+    least = np.full(MINS, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(distinct), 4096):
+        least = np.minimum(least, (distinct[at : at + 4096, None] * FACTORS).min(axis=0))
+    low = (least >> np.uint64(40)).astype(np.uint8) & 15
+    return np.array([len(distinct)], dtype="<u4").tobytes() + (low[::2] << 4 | low[1::2]).tobytes()
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -74,21 +100,33 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, t) of the rows with a doc_id; t is a hash of the text as it stands."""
+    text = F.col("text").cast("string")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("t"))
+
+
 def text_classes(docs: DataFrame, words: int) -> DataFrame:
-    """(fp, digest, node) for each different text of ``docs`` with a doc_id: node is its smallest doc_id.
+    """(node, fp, sketch, first) for each different text of ``docs``; first is the least (doc_id, t) that has it.
 
-    Texts of equal words are one text; texts that only share their fingerprint aren't.
+    Texts of equal words are one text; texts that only share their fingerprint or doc_id aren't.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(1)]
-            digests = [hashlib.blake2b(b" ".join(t.encode("utf-8", "replace").lower().split()), digest_size=16).digest() for t in texts]
-            fps = np.array([fingerprint_of(t, words) for t in texts], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), pa.array(digests, pa.binary())], ["doc_id", "fp", "digest"])
+            fps, digests, sketches = np.zeros(len(batch), dtype=np.uint64), [], []
+            for i, text in enumerate(batch.column(1)):
+                tokens = tokens_of(text.as_py())
+                hashes = shingle_hashes(tokens, words)
+                fps[i] = majority(hashes)
+                digests.append(hashlib.blake2b(b" ".join(tokens), digest_size=16).digest())
+                sketches.append(sketch_of(np.unique(hashes)))
+            columns = [batch.column(0), batch.column(2), pa.array(fps.view(np.int64)), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "fp", "digest", "sketch"])
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, fp long, digest binary").groupBy("fp", "digest").agg(F.min("doc_id").alias("node"))
+    rows = _keyed(docs).mapInArrow(run, "doc_id long, t long, fp long, digest binary, sketch binary")
+    firsts = rows.groupBy("fp", "digest", "sketch").agg(F.min(F.struct("doc_id", "t")).alias("first"))
+    return firsts.select(F.monotonically_increasing_id().alias("node"), "fp", "sketch", "first")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -206,11 +244,13 @@ def _explode(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Index and probe rows (k, probe, fp, node, part) of some fingerprints; k: group, value and pair of blocks.
+def route(plan: Pigeonhole, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Index and probe rows (k, probe, ...) of some rows (fp, node, ...); k: group, value and pair of blocks.
 
-    ``more`` may hold the part that each node belongs to.
+    Rows whose ``seek`` is false are only found, they make no probes.
     """
+    fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    seek = batch.column("seek").to_numpy(zero_copy_only=False) if "seek" in batch.schema.names else np.ones(len(batch), dtype=bool)
     values = plan.values(fps)
     limits = plan.thresholds(values)
     mixed = ((fps.view(np.uint64) ^ (nodes.view(np.uint64) * np.uint64(0xD1B54A32D192ED03))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
@@ -222,13 +262,13 @@ def route(plan: Pigeonhole, fps: np.ndarray, nodes: np.ndarray, *more: np.ndarra
         r, other = _explode(b)
         first, second = (own[r], other) if probe else (other, own[r])
         key = ((v[r] * len(plan.groups) + i) << np.int64(20)) + (first << np.int64(10)) + second
-        of = of[r]
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(of), int(probe), dtype=np.int8)), pa.array(fps[of].view(np.int64)), pa.array(nodes[of]), *(pa.array(x[of]) for x in more)], ["k", "probe", "fp", "node", "part"][: 4 + len(more)])
+        own_rows = pa.array(of[r])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(own_rows), int(probe), dtype=np.int8)), *(c.take(own_rows) for c in batch.columns)], ["k", "probe", *batch.schema.names])
 
     for i in range(len(plan.groups)):
         yield rows(i, np.arange(len(fps)), values[:, i], False)
         for e in range(plan.most + 1):
-            of = np.flatnonzero(limits[:, i] == e)
+            of = np.flatnonzero((limits[:, i] == e) & seek)
             if len(of):
                 yield rows(i, np.repeat(of, len(plan.masks[i][e])), (values[of, i][:, None] ^ plan.masks[i][e][None, :]).ravel(), True)
 
@@ -251,85 +291,130 @@ def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.concatenate([*taken, np.empty(0, dtype=np.int64)]).astype(np.int64)
 
 
-def once(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each edge once, its smaller end first."""
-    a, b = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((b, a))
-    new = np.ones(len(a), dtype=bool)
-    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
-    return a[order[new]], b[order[new]], d[order[new]]
-
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels of components after the edges (a, b) between places of ``label``."""
+    while len(left := np.flatnonzero(label[a] != label[b])):
+        low, high = np.minimum(label[a[left]], label[b[left]]), np.maximum(label[a[left]], label[b[left]])
+        label = label.copy()
+        label[high] = low
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+    return label
+
+
+def _fixed(column: pa.Array) -> np.ndarray:
+    """Rows of bytes of a binary column whose values are of one length."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), -1)
+
+
+class Closeness:
+    """Tests pairs of rows by distance of fingerprints alone, by sketches too, or by whole shingle sets."""
+
+    def __init__(self, tau: int, similarity: float | None = None):
+        self.tau, self.similarity = tau, similarity
+        if similarity:
+            share = similarity + (1 - similarity) / 16  # of equal four-bit numbers
+            error = math.sqrt(share * (1 - share) / MINS)
+            self.least, self.sure = math.ceil((share - DOUBT * error) * MINS), math.ceil(min(1.0, share + SURE * error) * MINS)
+
+    def sketched(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Equal min-hashes of each pair of sketches; 0 if they or the sizes rule the similarity out."""
+        out = np.zeros(len(a), dtype=np.int64)
+        for at in range(0, len(a), TESTS_AT_ONCE):
+            x, y = a[at : at + TESTS_AT_ONCE], b[at : at + TESTS_AT_ONCE]
+            equal = EQUAL_HALVES[x[:, 4:] ^ y[:, 4:]].sum(axis=1, dtype=np.int64)
+            n, m = (np.ascontiguousarray(z[:, :4]).view("<u4")[:, 0].astype(np.float64) for z in (x, y))
+            fits = (np.minimum(n, m) >= self.similarity * np.maximum(n, m)) & (equal >= self.least)
+            out[at : at + TESTS_AT_ONCE] = np.where(fits, np.maximum(equal, 1), 0)
+        return out
 
-def forests(a: np.ndarray, b: np.ndarray, d: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The edges of ``times`` forests, each of what the ones before leave; repeated edges count once.
 
-    An edge (a, b) that is left out has ``times`` paths between its ends that share no edge.
-    """
-    a, b, d = once(a, b, d)
-    keep, left = np.zeros(len(a), dtype=bool), np.arange(len(a))
-    for _ in range(times):
-        if not len(left):
-            break
-        keep[left[forest(a[left], b[left], d[left])]] = True
-        left = left[~keep[left]]
-    return a[keep], b[keep], d[keep]
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """Jaccard similarity of two sorted arrays of different numbers; of two empty ones 1."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def links(batches: Iterator[pa.RecordBatch], tau: int, times: int | None = 1) -> Iterator[pa.RecordBatch]:
-    """Compare probes with index rows of the same key; ``times`` forests of the links within tau bits, or all links.
+def compare(rows: pa.Table, close: Closeness) -> tuple[np.ndarray, np.ndarray]:
+    """A forest (a, b) of the links between probes and index rows of the same key, closest first.
 
-    Rows come sorted by key. Some whole keys are held at a time. Rows with a part have no links inside it.
+    With sketches, a link is what they don't rule out; with whole sets, a link is exact. Rows of one
+    part aren't linked. Pairs that sure links join already need no test.
     """
-
-    def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-    def compare(k: np.ndarray, probe: np.ndarray, fp: np.ndarray, node: np.ndarray, *part: np.ndarray) -> Iterator[pa.RecordBatch]:
-        fp = fp.view(np.uint64)
-        part = part[0] if part else node
-        ki, fi, ni, si = (x[probe == 0] for x in (k, fp, node, part))
-        kp, fq, nq, sq = (x[probe == 1] for x in (k, fp, node, part))
-        lo, hi = np.searchsorted(ki, kp, "left"), np.searchsorted(ki, kp, "right")
-        count = hi - lo
-        steps = np.cumsum(count)
-        found = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint8))
-        start = 0
-        while start < len(kp):
-            done = steps[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(steps, done + PAIRS_AT_ONCE, "right")))
-            r, inside = _explode(count[start:stop])
-            q, x = r + start, lo[start:stop][r] + inside
-            d = np.bitwise_count(fq[q] ^ fi[x])
-            good = np.flatnonzero((d <= tau) & (sq[q] != si[x]))
-            if len(good) and times is None:
-                yield edges(*once(nq[q[good]], ni[x[good]], d[good])[:2])
-            elif len(good):
-                found = forests(*(np.append(f, g) for f, g in zip(found, (nq[q[good]], ni[x[good]], d[good]), strict=True)), times)
-            start = stop
-        yield edges(*found[:2])
-
-    held: list[list[np.ndarray]] = []
-    rows = 0
+    k, probe, fp, node = (rows.column(c).to_numpy() for c in ("k", "probe", "fp", "node"))
+    fp = fp.view(np.uint64)
+    part = rows.column("part").to_numpy() if "part" in rows.column_names else node
+    sketch = _fixed(rows.column("sketch").combine_chunks()) if close.similarity else None
+    shingles = rows.column("shingles").combine_chunks() if "shingles" in rows.column_names else None
+    one_side = "seek" not in rows.column_names  # each pair is found from both of its rows
+    names, place = np.unique(node, return_inverse=True)
+    label = np.arange(len(names))
+    index, probes = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
+    lo, hi = np.searchsorted(k[index], k[probes], "left"), np.searchsorted(k[index], k[probes], "right")
+    count = hi - lo
+    steps = np.cumsum(count)
+    found = tuple(np.empty(0, np.int64) for _ in range(3))
+    start = 0
+    while start < len(probes):
+        done = steps[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(steps, done + PAIRS_AT_ONCE, "right")))
+        r, inside = _explode(count[start:stop])
+        q, x = probes[r + start], index[lo[start:stop][r] + inside]
+        start = stop
+        d = np.bitwise_count(fp[q] ^ fp[x]).astype(np.int64)
+        good = np.flatnonzero((d <= close.tau) & ((node[q] > node[x]) if one_side else (part[q] != part[x])))
+        good = good[label[place[q[good]]] != label[place[x[good]]]]
+        q, x, d = q[good], x[good], d[good]
+        if close.similarity:
+            equal = close.sketched(sketch[q], sketch[x])
+            order = np.argsort(-equal, kind="stable")[: np.count_nonzero(equal)]
+            q, x, d = q[order], x[order], MINS - equal[order]
+            if shingles is None:
+                label = _joined(label, *(place[z[d <= MINS - close.sure]] for z in (q, x)))
+            else:
+                keep = []
+                for i, (u, v) in enumerate(zip(q.tolist(), x.tolist(), strict=True)):
+                    a, b = label[place[u]], label[place[v]]
+                    if a != b and overlap(*(np.frombuffer(shingles[z].as_py(), dtype=np.uint32) for z in (u, v))) >= close.similarity:
+                        label[label == max(a, b)] = min(a, b)
+                        keep.append(i)
+                q, x, d = q[keep], x[keep], d[keep]
+        else:
+            label = _joined(label, place[q], place[x])
+        a, b, d = (np.append(f, g) for f, g in zip(found, (place[q], place[x], d), strict=True))
+        kept = forest(a, b, d)
+        found = a[kept], b[kept], d[kept]
+    return names[found[0]], names[found[1]]
+
+
+def links(batches: Iterator[pa.RecordBatch], close: Closeness) -> Iterator[pa.RecordBatch]:
+    """The forests of some whole keys at a time; rows come sorted by key."""
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-        rows += len(batch)
-        if rows >= ROWS_AT_ONCE:
-            whole = [np.concatenate(c) for c in zip(*held, strict=True)]
-            end = int(np.searchsorted(whole[0], whole[0][-1], "left"))
+        held.append(batch)
+        if sum(map(len, held)) >= ROWS_AT_ONCE or sum(b.nbytes for b in held) >= BYTES_AT_ONCE:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            k = whole.column("k").to_numpy()
+            end = int(np.searchsorted(k, k[-1], "left"))
             if end:
-                yield from compare(*(c[:end] for c in whole))
-            held = [[c[end:] for c in whole]]
-            rows -= end
-    if rows:
-        yield from compare(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                yield _edges(*compare(whole.slice(0, end), close))
+            held = pa.Table.from_batches(whole.slice(end).to_batches()).combine_chunks().to_batches()
+    if held:
+        yield _edges(*compare(pa.Table.from_batches(held).combine_chunks(), close))
 
 
-def linked(classes: DataFrame, tau: int, times: int | None = 1) -> DataFrame:
-    """Edges (a, b) with the same components as all pairs of ``classes(fp, node)`` within tau bits.
+def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    Each task leaves ``times`` forests of its links: one is enough for components, more if some
-    links are dropped later. None leaves all links. Classes may have a ``part``; then only links
-    between different parts are sought. Edges may repeat.
+
+def linked(classes: DataFrame, tau: int, similarity: float | None = None) -> DataFrame:
+    """Edges (a, b) with the same components as all links of ``classes(fp, node, ...)``.
+
+    A link lies within tau bits. With a similarity, ``classes`` has a ``sketch`` that must not rule
+    it out, and may have whole sets of ``shingles`` that must reach it. Classes of one ``part`` have
+    no links; those whose ``seek`` is false have none among each other. Each task leaves a forest
+    of its links. Edges may repeat.
 
     The driver gets 64 x 64 bit counts and at most 2**16 counts for each group, never rows.
     """
@@ -364,20 +449,21 @@ def linked(classes: DataFrame, tau: int, times: int | None = 1) -> DataFrame:
         seen[i][own["at"].to_numpy() & ((1 << CELL_BITS) - 1)] = own["n"].to_numpy()
     plan.learn(seen)
     shared = spark.sparkContext.broadcast(plan)
+    close = Closeness(tau, similarity)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            for at in range(0, len(batch), 2_000):
-                yield from route(shared.value, *(c[at : at + 2_000] for c in columns))
+            step = max(1, min(1_000, len(batch) * 1_000_000 // max(1, batch.nbytes)))
+            for at in range(0, len(batch), step):
+                yield from route(shared.value, batch.slice(at, step))
 
-    part = [c for c in classes.columns if c == "part"]
-    keyed = classes.select("fp", "node", *part).mapInArrow(routed, "k long, probe byte, fp long, node long" + ", part long" * len(part))
+    rows = classes.select("fp", "node", *(c for c in ("part", "seek", "sketch", "shingles") if c in classes.columns))
+    keyed = rows.mapInArrow(routed, "k long, probe byte, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
     width = BITS / m
     probes = sum(len(g[max(0, plan.budget // m)]) for g in plan.masks) if plan.budget > 0 else m
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * (m + probes) * (1 + n / 2**width / BLOCK / 4) / 2_000_000))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * (m + probes) * (1 + n / 2**width / BLOCK / 4) / 1_000_000))
     dealt = keyed.repartition(parts, "k").sortWithinPartitions("k")
-    return dealt.mapInArrow(lambda batches: links(batches, tau, times), "a long, b long")
+    return dealt.mapInArrow(lambda batches: links(batches, close), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
@@ -398,61 +484,100 @@ def simhash_components(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFra
     return prints.join(named, prints.fp == named._fp, "left").select("doc_id", "fp", "component_id")
 
 
-def shingle_set(text: str | None, words: int) -> set[bytes]:
-    tokens = (text or "").encode("utf-8", "replace").lower().split()
-    return {b" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))}
+def shingle_sets(docs: DataFrame, firsts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of ``firsts(node, first)``: the sorted 32-bit hashes of the text's different shingles, as bytes.
+
+    Chance collisions change a similarity by less than one in a thousand up to millions of words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch.slice(at, 200)
+                sets = [np.unique(shingle_hashes(tokens_of(t.as_py()), words) >> np.uint64(32)).astype(np.uint32).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    wanted = firsts.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.t").alias("t"))
+    texts = _keyed(docs).join(wanted, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("node", "text")
+    return texts.mapInArrow(run, "node long, shingles binary")
 
 
-def similar(edges: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of ``edges(a, b)`` those whose texts have a shingle-set Jaccard similarity of at least ``similarity``."""
+def checked(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, good): whether the shingle sets of each edge have at least the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = shingle_set(x.as_py(), words), shingle_set(y.as_py(), words)
-                keep.append(len(x & y) >= similarity * len(x | y))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    first, second = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
-    both = edges.join(first, "a").join(second, "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(run, "a long, b long")
-
-
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: int = 2, times: int = 32) -> DataFrame:
-    """Rows of ``docs`` that stay when each group of near-duplicates keeps its smallest doc_id.
-
-    Candidates lie within the bits that stand for ``similarity``, plus ``margin`` so that fewer
-    pairs are lost to the spread of the estimate. Candidate links are checked on the whole texts,
-    and only those of at least ``similarity`` (Jaccard, sets of ``words``-word shingles) count.
-    First ``times`` forests of each task's candidate links are checked, shortest first, which joins
-    most of a dense group; then all candidate links between the groups so far, so the groups are
-    those of all candidate pairs, whatever ``times``. Texts of equal words are copies; different
-    texts of one fingerprint are candidates like any others. Of rows that share a
-    doc_id one stays. Rows without a doc_id stay. Columns are those of ``docs``.
+            pairs = zip(batch.column(2), batch.column(3), strict=True)
+            good = [overlap(*(np.frombuffer(z.as_py(), dtype=np.uint32) for z in pair)) >= similarity for pair in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(good, pa.bool_())], ["a", "b", "good"])
+
+    first, second = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab")
+    both = edges.join(first, "a").join(second, "b").select("a", "b", "a_set", "b_set")
+    return both.mapInArrow(run, "a long, b long, good boolean")
+
+
+def contracted(edges: DataFrame, parts: DataFrame) -> DataFrame:
+    """Edges (a, b) between the parts of their ends, by ``parts(node, part)``; nodes without one are parts of their own."""
+    ends = edges
+    for c in "ab":
+        of = parts.select(F.col("node").alias(c), F.col("part").alias(f"_{c}"))
+        ends = ends.join(of, c, "left").withColumn(f"_{c}", F.coalesce(f"_{c}", c))
+    return ends.where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct()
+
+
+def near_groups(docs: DataFrame, classes: DataFrame, words: int, similarity: float, margin: int) -> DataFrame:
+    """(node, root): the components of all pairs of ``classes`` that are candidates and similar; nodes without a link may be missing.
+
+    Candidates lie within the bits that stand for ``similarity`` plus ``margin``. First, sketches
+    that travel with the fingerprints rule out unlike candidates, and a forest of the rest, likest
+    first, is checked on the whole shingle sets; the edges that hold make pieces. An edge between
+    two pieces that doesn't hold may hide links that do: where there is one, all candidates
+    between the pieces around it are compared again by their whole sets.
+    """
+    tau = bits_for(similarity) + margin
+    tried = cut(linked(classes, tau, similarity).distinct())
+    ends = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
+    sets = cut(shingle_sets(docs, classes.join(ends, "node").select("node", "first"), words))
+    tested = cut(checked(tried, sets, similarity))
+    pieces = cut(components(tested.where("good").select("a", "b"))).withColumnRenamed("root", "part")
+    broken = cut(contracted(tested.where("not good").select("a", "b"), pieces))
+    if broken.isEmpty():
+        return pieces.withColumnRenamed("part", "root")
+    trees = cut(components(broken)).select(F.col("node").alias("part"), F.col("root").alias("tree"))
+    parted = ends.join(pieces, "node", "left").select("node", F.coalesce("part", "node").alias("part"))
+    inside = cut(parted.join(trees, "part"))
+    most = inside.groupBy("tree", "part").count().groupBy("tree").agg(F.max(F.struct("count", "part"))["part"].alias("largest"))
+    again = inside.join(most, "tree").withColumn("seek", F.col("part") != F.col("largest"))
+    again = cut(again.join(classes, "node").join(sets, "node").select("fp", "node", "part", "seek", "sketch", "shingles"))
+    merged = components(contracted(linked(again, tau, similarity).distinct(), pieces)).select(F.col("node").alias("part"), "root")
+    return parted.join(merged, "part", "left").select("node", F.coalesce("root", "part").alias("root"))
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, margin: int = 4) -> DataFrame:
+    """Rows of ``docs`` that stay when each group of near-duplicates keeps the row of its smallest doc_id.
+
+    Two texts are near-duplicates if their fingerprints lie within the bits that stand for
+    ``similarity``, plus ``margin`` so that fewer pairs are lost to the spread of the estimate,
+    and their sets of ``words``-word shingles have a Jaccard similarity of at least ``similarity``;
+    groups are the components of such pairs. Texts of equal words are copies; texts that only share
+    a fingerprint are compared like any others. Rows that share a doc_id count by their texts: of
+    different texts each stays unless a near-duplicate goes before it; of equal ones the least row
+    stays. Null text is empty text. Rows without a doc_id stay. Columns are those of ``docs``.
     """
     classes = cut(text_classes(docs, words))
-    kept = docs.where("doc_id is not null")
     if classes.isEmpty():
         return docs
-    tau = bits_for(similarity) + margin
-
-    def checked(edges: DataFrame) -> DataFrame:
-        ends = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-        texts = kept.join(ends, "doc_id", "left_semi").select("doc_id", "text").dropDuplicates(["doc_id"])
-        return cut(similar(edges, texts, words, similarity))
-
-    tried = cut(linked(classes, tau, times).distinct())
-    good = checked(tried)
-    parts = components(good).withColumnRenamed("root", "part")
-    named = cut(classes.select("fp", "node").join(parts, "node", "left").select("fp", "node", F.coalesce("part", "node").alias("part")))
-    rest = cut(linked(named, tau, None).distinct().join(tried, ["a", "b"], "left_anti"))
-    roots = components(good.unionByName(checked(rest)))
-    gone = roots.where("node <> root").select("node")
-    firsts = classes.join(gone, "node", "left_anti").select(F.col("node").alias("doc_id"))
-    return kept.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    roots = near_groups(docs, classes, words, similarity, margin)
+    grouped = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    keys = ["_near_id", "_near_text"]
+    firsts = grouped.select(F.col("first.doc_id").alias(keys[0]), F.col("first.t").alias(keys[1]))
+    rows = docs.where("doc_id is not null").withColumns({keys[0]: F.col("doc_id").cast("long"), keys[1]: F.xxhash64(F.col("text").cast("string"))})
+    order = Window.partitionBy(*keys).orderBy(*(f.name for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    kept = rows.join(firsts, keys, "left_semi").withColumn("_near_row", F.row_number().over(order)).where("_near_row = 1")
+    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document (3-word shingles) and the smallest doc_id that links of 3 bits or fewer reach; null text: zero."""
     out = simhash_components(table(spark, sf_dir, "documents"), words=3, tau=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
