@@ -206,6 +206,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of the token ids of each document, and the digest of the bytes they decode to; null text is empty."""
     path, pattern = default_vocabulary()
     both = decode(encode(table(spark, sf_dir, "documents"), path, pattern), path)
     return both.select(
