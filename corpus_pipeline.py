@@ -12,21 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import op1_pii, op5_mix, op7_simhash, op9_langid, op10_bpe
-from tracewright.llm.common import shared_folder, table
+from tracewright.llm.common import discard, scratch, shared_folder, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; texts without letters go."""
+    """Documents whose language is clear; texts without letters, null ones included, go."""
     return op9_langid.keep_sure(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one of the smallest doc_id; rows without doc_id stay."""
     return op7_simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind."""
+    """All documents, personal data replaced by its kind; null text stays null."""
     return op1_pii.redact(docs)
 
 
@@ -36,7 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token numbers of each row."""
+    """(doc_id, n_tokens, ids) of each row; null or empty text has no tokens and an empty list."""
     path, pattern = op10_bpe.default_vocabulary()
     return op10_bpe.encode(docs, path, pattern).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -54,9 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; of the tables between them only the last one stays."""
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
+    folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}", None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        if before:
+            discard(spark, f"{folder}/{before}")
+        docs, before = spark.read.parquet(f"{folder}/{name}"), name
     return docs
