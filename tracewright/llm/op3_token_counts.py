@@ -28,12 +28,16 @@ def filed(docs: DataFrame, docs_per_file: int = FILE_DOCS) -> DataFrame:
     A file takes the ids from one multiple of ``docs_per_file`` to the next; rows without an id
     make up file null. Where ids are missing or repeated, a file has too many rows and is cut
     into pieces by a hash of the text, of about ``docs_per_file`` rows each; piece 0 is the only
-    one elsewhere. Documents are in order of doc_id, then text.
+    one elsewhere. Documents are in order of doc_id, then of a hash of the text.
     """
-    rows = docs.select(F.floor(F.col("doc_id") / docs_per_file).cast("long").alias("file"), F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.floor(F.col("doc_id") / docs_per_file).cast("long").alias("file"), F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("_hash"))
     large = rows.groupBy("file").count().where(F.col("count") > docs_per_file).select(F.col("file").alias("_file"), F.ceil(F.col("count") / docs_per_file).alias("_pieces"))
-    cut = rows.join(large, F.col("file").eqNullSafe(F.col("_file")), "left").withColumn("piece", F.pmod(F.xxhash64("text"), F.coalesce("_pieces", F.lit(1))))
-    order = Window.partitionBy("file", "piece").orderBy("doc_id", "text")
+    if large.isEmpty():  # nothing to cut, so texts needn't move for it
+        cut = rows.withColumn("piece", F.lit(0).cast("long"))
+    else:
+        cut = rows.join(large, F.col("file").eqNullSafe(F.col("_file")), "left").withColumn("piece", F.pmod("_hash", F.coalesce("_pieces", F.lit(1))).cast("long"))
+    order = Window.partitionBy("file", "piece").orderBy("doc_id", "_hash")
     return cut.withColumn("doc_no", F.row_number().over(order).cast("long") - 1).select("file", "piece", "doc_no", "doc_id", "text")
 
 
