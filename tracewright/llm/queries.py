@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import op1_pii, op2_shards, op3_token_counts, op4_maxscore, op5_mix, op6_licenses, op7_simhash, op8_minhash, op9_langid, op10_bpe
+from . import op1_pii, op2_shards, op3_token_counts, op4_maxscore, op5_mix, op6_licenses, op7_simhash, op8_minhash, op9_langid, op10_bpe, op11_centroids, op12_importance, op13_collisions
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_minhash": op8_minhash.op8_minhash,
         "op9_langid": op9_langid.op9_langid,
         "op10_bpe": op10_bpe.op10_bpe,
+        "op11_centroids": op11_centroids.op11_centroids,
+        "op12_importance": op12_importance.op12_importance,
+        "op13_collisions": op13_collisions.op13_collisions,
     }
 
 
@@ -27,4 +30,7 @@ def oracle_sql() -> dict:
         "op4_maxscore": op4_maxscore.ORACLE_SQL,
         "op5_mix": op5_mix.ORACLE_SQL,
         "op6_license_scan": op6_licenses.ORACLE_SQL,
+        "op11_centroids": op11_centroids.ORACLE_SQL,
+        "op12_importance": op12_importance.ORACLE_SQL,
+        "op13_collisions": op13_collisions.ORACLE_SQL,
     }
