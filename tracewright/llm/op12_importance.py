@@ -36,6 +36,8 @@ def crc32_all(features: list[bytes]) -> np.ndarray:
     once, and the sums go back to the features' places.
     """
     out = np.empty(len(features), dtype=np.uint32)
+    if not features:
+        return out
     lengths = np.fromiter(map(len, features), dtype=np.int64, count=len(features))
     order = np.argsort(lengths, kind="stable")
     values, starts = np.unique(lengths[order], return_index=True)

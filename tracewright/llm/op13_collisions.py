@@ -28,8 +28,8 @@ FACTORS = np.random.default_rng(13).integers(2**62, size=COORDINATES, dtype=np.u
 DOUBT, SURE = 5.0, 2.0
 #: Signatures of one posting that are held against each other at once; blocks of a long posting at most.
 BLOCK, BLOCKS, ROWS, COLUMNS = 2048, 24, 64, 512
-#: Rows and bytes that a task holds at once.
-ROWS_AT_ONCE, BYTES_AT_ONCE = 300_000, 48_000_000
+#: Rows, bytes and edges that a task holds at once.
+ROWS_AT_ONCE, BYTES_AT_ONCE, EDGES_AT_ONCE = 300_000, 48_000_000, 1_000_000
 
 
 def least_matches(percent: int, coordinates: int = COORDINATES) -> int:
@@ -245,6 +245,36 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return edges.join(first, "a").join(second, "b").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long, good boolean")
 
 
+def drawn_together(edges: DataFrame) -> DataFrame:
+    """Edges with the same components as ``edges(a, b)``, but short ways: what meets in a task goes to its least node.
+
+    Edges meet by either end in turn. A task looks at a bounded number at a time, so a node may
+    have any number of edges. ``components`` then has few rounds left to make.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def stars() -> pa.RecordBatch:
+            a, b = (np.concatenate([x.column(i).to_numpy() for x in held]) for i in (0, 1))
+            held.clear()
+            names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            root = names[_merged(np.arange(len(names)), at[: len(a)], at[len(a) :])]
+            far = root != names
+            return pa.RecordBatch.from_arrays([pa.array(root[far]), pa.array(names[far])], ["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= EDGES_AT_ONCE:
+                yield stars()
+        if held:
+            yield stars()
+
+    for end in ("b", "a", "b"):
+        edges = edges.select("a", "b").repartition(end).mapInArrow(run, "a long, b long")
+    return edges
+
+
 def groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, root): the components of all links between ``classes``; nodes without a link may be missing.
 
@@ -258,18 +288,19 @@ def groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     ends = tried.select(F.col("a").alias("node")).union(tried.select("b")).distinct()
     sets = cut(_whole_sets(docs, classes.join(ends, "node").select("node", "first"), words))
     tested = cut(_confirmed(tried, sets, percent))
-    pieces = cut(components(tested.where("good").select("a", "b"))).withColumnRenamed("root", "part")
+    pieces = cut(components(drawn_together(tested.where("good")))).withColumnRenamed("root", "part")
     broken = cut(contracted(tested.where("not good").select("a", "b"), pieces))
     if broken.isEmpty():
         return pieces.withColumnRenamed("part", "root")
-    trees = cut(components(broken)).select(F.col("node").alias("part"), F.col("root").alias("tree"))
+    around = broken.select(F.col("a").alias("part")).union(broken.select("b")).distinct()
     parted = cut(ends.join(pieces, "node", "left").select("node", F.coalesce("part", "node").alias("part")))
-    inside = cut(parted.join(trees, "part"))
-    # only postings that reach several pieces of one tree can add a link
-    several = posted.join(inside, "node").groupBy("item", "tree").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("m")).where("p <> q")
-    again = posted.drop("f").join(inside, "node").join(several.select("item", "tree", F.col("m").alias("f")), ["item", "tree"]).select(F.xxhash64("item", "tree").alias("item"), "f", "node")
-    whole = about.join(inside.select("node", "part"), "node").join(sets, "node")
-    merged = components(contracted(candidate_links(again, whole, percent), pieces)).select(F.col("node").alias("part"), "root")
+    inside = cut(parted.join(around, "part"))
+    # only postings that reach several of these pieces can add a link
+    met = posted.drop("f").join(inside, "node")
+    several = met.groupBy("item").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("f")).where("p <> q")
+    again = met.join(several.select("item", "f"), "item").select("item", "f", "node")
+    whole = about.join(inside, "node").join(sets, "node")
+    merged = components(drawn_together(contracted(candidate_links(again, whole, percent), pieces))).select(F.col("node").alias("part"), "root")
     return parted.join(merged, "part", "left").select("node", F.coalesce("root", "part").alias("root"))
 
 
