@@ -73,3 +73,18 @@ def first_values(df: DataFrame, keys: list[str], order: str, limits: dict[str, i
     limit = F.coalesce(*(F.when(F.col("field") == c, n) for c, n in limits.items()))
     ranked = firsts.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "field").orderBy("_first"))).where(F.col("_n") <= limit)
     return ranked.groupBy(*keys).agg(*(F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == c, F.col("_first")))), lambda x: x["value"]).alias(c) for c in limits))
+
+
+def frequent_values(df: DataFrame, keys: list[str], order: str, limits: dict[str, int]) -> DataFrame:
+    """(keys, one array of (value, count) for each column of ``limits``): its most frequent values as text, ties by first appearance.
+
+    Null, empty and "-" are left out. All columns go through one shuffle, counts are added up
+    before it, and rows are cut to the limits before they are collected.
+    """
+    cells = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in limits))
+    rows = df.select(*keys, F.col(order).alias("_order"), F.explode(cells).alias("c")).select(*keys, "_order", "c.*").where("value is not null and value not in ('', '-')")
+    counted = rows.groupBy(*keys, "field", "value").agg(F.count("*").alias("count"), F.min("_order").alias("_first"))
+    limit = F.coalesce(*(F.when(F.col("field") == c, n) for c, n in limits.items()))
+    ranked = counted.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "field").orderBy(F.desc("count"), "_first", "value"))).where(F.col("_n") <= limit)
+    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == c, F.struct("_n", "value", "count")))), lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count")))
+    return ranked.groupBy(*keys).agg(*(listed(c).alias(c) for c in limits))

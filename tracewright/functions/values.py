@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +19,17 @@ LABEL_NAMES = {
 }
 #: Address ranges that count as private: first address and prefix length.
 PRIVATE_V4 = (
-    ("0.0.0.0", 8), ("10.0.0.0", 8), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.0.0.0", 29),
-    ("192.0.0.170", 31), ("192.0.2.0", 24), ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("240.0.0.0", 4),
+    ("0.0.0.0", 8), ("10.0.0.0", 8), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.0.0.0", 24),
+    ("192.0.2.0", 24), ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("240.0.0.0", 4),
+)
+#: Ranges of IPv6 that are private or reserved, and what of either kind is public inside them.
+PRIVATE_V6 = (
+    ((0, 0, 0, 0, 0, 0, 0, 1), 128), ((), 128), ((0, 0, 0, 0, 0, 0xFFFF), 96), ((0x64, 0xFF9B, 1), 48), ((0x100,), 64), ((0x2001,), 23), ((0x2001, 0xDB8), 32), ((0x2002,), 16), ((0xFC00,), 7), ((0xFE80,), 10),
+)
+PUBLIC_V6 = (
+    ((0x2001, 1, 0, 0, 0, 0, 0, 1), 128), ((0x2001, 1, 0, 0, 0, 0, 0, 2), 128), ((0x2001, 3), 32), ((0x2001, 4, 0x112), 48), ((0x2001, 0x20), 28), ((0x2001, 0x30), 28),
 )
+PUBLIC_V4 = ("192.0.0.9", "192.0.0.10")
 
 
 def safe_number(value: Column) -> Column:
@@ -153,13 +163,49 @@ def v4_number(ip: Column) -> Column:
     return F.when(good, number)
 
 
+def v6_groups(ip: Column) -> Column:
+    """The eight numbers of an IPv6 address; null if it isn't one. A zone after % doesn't count, the last two numbers may be an IPv4 address."""
+    text = F.lower(F.regexp_replace(ip, "%[^%]+$", ""))
+    tail = v4_number(F.regexp_extract(text, r":([0-9.]+)$", 1))
+    four = F.concat(F.lower(F.hex(F.floor(tail / 65536))), F.lit(":"), F.lower(F.hex(tail % 65536)))
+    plain = F.when(F.contains(text, F.lit(".")), F.when(tail.isNotNull(), F.concat(F.regexp_extract(text, r"^(.*:)[0-9.]+$", 1), four))).otherwise(text)
+    sides = F.split(plain, "::", -1)
+    listed = lambda side: F.filter(F.split(side, ":"), lambda g: g != "")
+    head, end = listed(sides[0]), F.coalesce(listed(F.get(sides, F.lit(1))), F.array().cast("array<string>"))
+    missing = 8 - F.size(head) - F.size(end)
+    zeros = F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0)))
+    groups = F.transform(F.concat(head, zeros, end), lambda g: F.conv(g, 16, 10).cast("int"))
+    shape = plain.rlike("^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?(::([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?)?$")
+    fits = F.when(F.size(sides) == 1, missing == 0).otherwise(missing >= 1)
+    return F.when(F.coalesce(shape & fits & F.contains(plain, F.lit(":")), F.lit(False)), groups)
+
+
+def _within(groups: Column, first: tuple[int, ...], length: int) -> Column:
+    """Whether the first ``length`` bits of the groups are those of ``first``, whose further groups are zero."""
+    out = F.lit(True)
+    for i in range((length + 15) // 16):
+        bits = min(16, length - 16 * i)
+        mask = ((1 << bits) - 1) << (16 - bits)
+        out = out & (groups[i].bitwiseAND(F.lit(mask)) == ((first[i] if i < len(first) else 0) & mask))
+    return out
+
+
 def is_private(ip: Column) -> Column:
-    """Whether an IPv4 address lies in a private or reserved range; null if it isn't one."""
-    number, inside = v4_number(ip), F.lit(False)
-    for first, length in PRIVATE_V4:
-        low = sum(int(p) << s for p, s in zip(first.split("."), (24, 16, 8, 0), strict=True))
-        inside = inside | number.between(low, low + (1 << (32 - length)) - 1)
-    return F.when(number.isNotNull(), inside)
+    """Whether an IPv4 or IPv6 address lies in a private or reserved range; null if it isn't one.
+
+    The address is turned into numbers once, as the only element of an array; into those of IPv6 only where there is a colon.
+    """
+    four = lambda text: sum(int(p) << s for p, s in zip(text.split("."), (24, 16, 8, 0), strict=True))
+
+    def inside(x: Column) -> Column:
+        n, g = x["n"], x["g"]
+        low = reduce(lambda a, r: a | n.between(four(r[0]), four(r[0]) + (1 << (32 - r[1])) - 1), PRIVATE_V4, F.lit(False))
+        narrow = reduce(lambda a, r: a & (n != four(r)), PUBLIC_V4, low)
+        wide = reduce(lambda a, r: a & ~_within(g, *r), PUBLIC_V6, reduce(lambda a, r: a | _within(g, *r), PRIVATE_V6, F.lit(False)))
+        return F.when(n.isNotNull(), narrow).when(g.isNotNull(), wide)
+
+    numbers = F.struct(v4_number(ip).alias("n"), F.when(F.contains(ip, F.lit(":")), v6_groups(ip)).alias("g"))
+    return F.transform(F.array(numbers), inside)[0]
 
 
 def client_initiated_external(src: Column, dst: Column) -> Column:

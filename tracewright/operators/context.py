@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import middle
+from ..functions.ranks import numbered
 from ..functions.values import client_initiated_external, is_failed
 
 #: Ports on which repeated small connections are usual, and words of callbacks and of updates.
@@ -161,6 +162,10 @@ def capture_summary(sessions: DataFrame) -> DataFrame:
 
 
 def number_sessions(sessions: DataFrame) -> DataFrame:
-    """Add session_no, zero-padded and counted within a capture by (start, id). A file order doesn't exist here."""
-    order = Window.partitionBy("capture_id").orderBy(F.asc_nulls_last("start_time"), "session_id")
-    return sessions.withColumn("session_no", F.lpad(F.row_number().over(order).cast("string"), 6, "0"))
+    """Add session_no, zero-padded to six digits or more and counted within a capture by (start, id).
+
+    A file order doesn't exist here. One capture may hold all rows: its numbers are made in ranges.
+    """
+    out = numbered(sessions, ["capture_id"], [F.asc_nulls_last("start_time"), F.asc("session_id")], "_no")
+    digits = F.col("_no").cast("string")
+    return out.withColumn("session_no", F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0"))).drop("_no")

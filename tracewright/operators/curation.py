@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+
+from ..functions.ranks import numbered
 
 
 def majority_flow_label(records: DataFrame, labels: DataFrame) -> DataFrame:
@@ -100,15 +103,34 @@ def best_per_label(rows: DataFrame, label: str, limit: int) -> DataFrame:
     return first_per_class(rows, label, [F.desc("score"), F.col("record_id")], 1).orderBy(F.desc("score"), "record_id").limit(limit)
 
 
+def _renamed(value: Column, kind: DataType, capture: Column, record: Column, aliases: tuple[Column, Column]) -> Column:
+    """``value`` with the two ids replaced wherever they occur as a whole string, at any depth."""
+    if isinstance(kind, StringType):
+        return F.when(value == record, aliases[1]).when(value == capture, aliases[0]).otherwise(value)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _renamed(x, kind.elementType, capture, record, aliases))
+    if isinstance(kind, MapType):
+        return F.transform_values(value, lambda _, x: _renamed(x, kind.valueType, capture, record, aliases))
+    if isinstance(kind, StructType):
+        inner = F.struct(*(_renamed(value[f.name], f.dataType, capture, record, aliases).alias(f.name) for f in kind.fields))
+        return F.when(value.isNotNull(), inner)
+    return value
+
+
 def pseudonymize(rows: DataFrame) -> DataFrame:
-    """Captures and records under running aliases: captures by first record, records by capture and id.
+    """Add capture_alias and record_alias: captures run by their first record, records by id inside their capture.
 
-    Captures are numbered in a table of their own, records inside their capture, so no global window sees all rows.
+    The ids of the row are replaced by its aliases in all other string columns too, nested ones
+    included; capture_id and record_id stay as the key. Both numberings are made in ranges, so
+    neither many captures nor one huge capture meet in one task.
     """
-    firsts = rows.groupBy("capture_id").agg(F.min("record_id").alias("_first"))
-    named = firsts.withColumn("capture_alias", F.concat(F.lit("capture_"), F.row_number().over(Window.orderBy("_first")).cast("string"))).drop("_first")
-    inside = F.row_number().over(Window.partitionBy("capture_id").orderBy("record_id")).cast("string")
-    return rows.withColumn("_n", inside).join(named, "capture_id").withColumn("record_alias", F.concat_ws("_", "capture_alias", F.lit("record"), "_n")).drop("_n")
+    firsts = numbered(rows.groupBy("capture_id").agg(F.min("record_id").alias("_first")), [], [F.asc("_first"), F.asc("capture_id")], "_c")
+    named = firsts.select("capture_id", F.concat(F.lit("capture_"), F.col("_c").cast("string")).alias("capture_alias"))
+    placed = numbered(rows, ["capture_id"], [F.asc("record_id")], "_n")
+    out = placed.join(named, "capture_id").withColumn("record_alias", F.concat_ws("_", "capture_alias", F.lit("record"), F.col("_n").cast("string"))).drop("_n")
+    ids, aliases = [F.col(c).cast("string") for c in ("capture_id", "record_id")], (F.col("capture_alias"), F.col("record_alias"))
+    nested = {f.name: _renamed(F.col(f.name), f.dataType, *ids, aliases) for f in rows.schema.fields if f.name not in ("capture_id", "record_id")}
+    return out.withColumns(nested) if nested else out
 
 
 def group_safe_split(rows: DataFrame, group: str, holdout: DataFrame, bucket: Column, train: int = 80, valid: int = 10) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ranks import numbered
 from ..functions.values import stage_of
+from ..sources.checkpoints import held
 
 STAGES = ("TA43", "TA01", "TA03", "TA11", "TN01")
 
@@ -19,17 +23,27 @@ def with_signature(rows: DataFrame, fields: tuple[str, ...] = ("file", "start_ti
 def match_answers(predictions: DataFrame, answers: DataFrame, tiers: tuple[tuple[str, ...], ...] = (("file", "number"), ("number",), ("signature",), ("file",))) -> DataFrame:
     """(prediction_id, answer_id, method) in tiers of keys, each using only what earlier tiers left.
 
-    Both tables need the columns of all tiers; ``with_signature`` makes the third.
+    Both tables need the columns of all tiers; ``with_signature`` makes the third. A key matches
+    where exactly one unused prediction and one unused answer have it. Contended keys stay open for
+    the next tier, so the result doesn't depend on row order.
 
-    A key matches where exactly one unused prediction and one unused answer have it. Contended
-    keys stay open for the next tier, so the result doesn't depend on row order.
+    Both sides lie in one narrow table with the key of every tier. Each tier counts its keys, and
+    the rows that it used are taken out before the next one reads what is left.
     """
-    left, right, out = predictions, answers, None
-    for keys in tiers:
-        single = lambda df, name: df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"), F.min(name).alias(name)).where("_n = 1").drop("_n")  # noqa: E731, B023
-        hit = single(left, "prediction_id").join(single(right, "answer_id"), list(keys)).select("prediction_id", "answer_id", F.lit("+".join(keys)).alias("method"))
+    key = lambda cols: F.when(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in cols)), F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in cols))))
+    keys = [key(cols).alias(f"key_{i}") for i, cols in enumerate(tiers)]
+    none = F.lit(None)
+    sides = [("prediction_id", predictions, answers), ("answer_id", answers, predictions)]
+    parts = [df.select(*(F.col(n).alias(n) if n == name else none.cast(other.schema[n].dataType).alias(n) for n in ("prediction_id", "answer_id")), *keys) for name, df, other in sides]
+    left, out = held(parts[0].unionByName(parts[1])), None
+    for i, cols in enumerate(tiers):
+        counts = [F.count("prediction_id").alias("_p"), F.count("answer_id").alias("_a"), F.min("prediction_id").alias("prediction_id"), F.min("answer_id").alias("answer_id")]
+        hit = left.where(F.col(f"key_{i}").isNotNull()).groupBy(f"key_{i}").agg(*counts).where("_p = 1 and _a = 1").select("prediction_id", "answer_id", F.lit("+".join(cols)).alias("method"))
         out = hit if out is None else out.unionByName(hit)
-        left, right = left.join(hit, "prediction_id", "left_anti"), right.join(hit, "answer_id", "left_anti")
+        if i + 1 < len(tiers):
+            for name in ("prediction_id", "answer_id"):
+                left = left.join(hit.select(F.col(name).alias("_used")), F.col(name) == F.col("_used"), "left_anti")
+            left = held(left)
     return out
 
 
@@ -89,19 +103,70 @@ def scope_metrics(rows: DataFrame, scopes: dict[str, Column]) -> DataFrame:
     return out.groupBy("scope").agg(F.count("*").alias("n"), F.count_if("ok").alias("correct"), F.round(F.avg(F.col("ok").cast("double")), 4).alias("accuracy"))
 
 
-def run_cost(calls: DataFrame, in_price: float = 0.3, out_price: float = 2.4, retries: tuple[float, ...] = (0.0, 0.1, 0.2)) -> DataFrame:
-    """For each (mode, retry share) of ``calls(mode, tokens_in, tokens_out, latency)``: cost, mean and 95 % latency.
+#: Confidence tiers, and the scopes that they and the kinds of records make.
+TIERS = ("external_high_pcap", "external_high_flow", "external_medium", "external_low", "synthetic_controlled")
+
+
+def confidence_level(rows: DataFrame) -> Column:
+    """The tier of a record: its own, else by how sure its label is and whether it is a flow only."""
+    own = F.nullif(F.trim("confidence_level"), F.lit("")) if "confidence_level" in rows.columns else F.lit(None).cast("string")
+    sure = F.col("label_confidence")
+    return F.coalesce(own, F.when((sure == "high") & (F.col("record_type") == "flow_only"), TIERS[1]).when(sure == "high", TIERS[0]).when(sure == "medium", TIERS[2]).otherwise(TIERS[3]))
+
+
+def failure_class(guess: Column, error: Column) -> Column:
+    """Why an answer has no code: missing, illegal_code, json_parse_failure or failed; null if it has one."""
+    low = F.lower(error)
+    return F.when(guess.isNotNull(), F.lit(None)).when(F.coalesce(error, F.lit("")) == "", "missing").when(low.contains("invalid technique code") | (low == "unknown_code"), "illegal_code").when(
+        low.contains("json") | low.isin("no_object", "many_objects"), "json_parse_failure"
+    ).otherwise("failed")
+
+
+def answer_metrics(rows: DataFrame, by_class: bool = False) -> DataFrame:
+    """(mode, scope, total, correct, accuracy, and the rates of failures) over nine overlapping scopes, 6 digits.
 
-    The latter is the value at place max(0, floor(0.95 n) - 1) of the sorted latencies; calls are ranked in a window.
+    ``rows(mode, record_type, label_confidence, truth, guess, error)`` hold one answer of a mode each;
+    ``guess`` is null where there is none and ``error`` says why. Scopes: the five tiers, both high ones as
+    strict external, flow_only, pcap/session-derived, and coverage all. ``by_class`` splits each scope by the
+    true code. Scopes without rows are missing.
     """
-    by = Window.partitionBy("mode")
-    ranked = calls.withColumns({"_i": F.row_number().over(by.orderBy("latency")) - 1, "_n": F.count("*").over(by)})
-    sums = ranked.groupBy("mode").agg(
-        F.count("*").alias("calls"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.round(F.avg("latency"), 3).alias("mean_latency"),
-        F.round(F.max(F.when(F.col("_i") == F.greatest(F.floor(F.lit(0.95) * F.col("_n")) - 1, F.lit(0)), F.col("latency"))), 3).alias("p95_latency"),
+    tier, flow = confidence_level(rows), F.coalesce(F.col("record_type") == "flow_only", F.lit(False))
+    scopes = F.array_compact(F.array(
+        F.lit("coverage all"), F.when(tier.isin(*TIERS), tier), F.when(tier.isin(*TIERS[:2]), "strict external"), F.when(flow, "flow_only").otherwise("pcap/session-derived"),
+    ))
+    split = ["technique"] if by_class else []
+    each = rows.select("mode", F.explode(scopes).alias("scope"), F.col("truth").alias("technique"), F.coalesce(F.col("guess") == F.col("truth"), F.lit(False)).alias("ok"), failure_class(F.col("guess"), F.col("error")).alias("failure"))
+    share = lambda test: F.round(F.count_if(test) / F.count("*"), 6)
+    return each.groupBy("mode", "scope", *split).agg(
+        F.count("*").alias("total"), F.count_if("ok").alias("correct"), share(F.col("ok")).alias("accuracy"), share(F.col("failure") == "json_parse_failure").alias("json_parse_failure_rate"), share(F.col("failure") == "illegal_code").alias("illegal_code_rate"),
+        share(F.col("failure").isin("missing", "failed")).alias("other_failure_rate"),
+    )
+
+
+def run_cost(calls: DataFrame, in_price: float = 0.3, out_price: float = 2.4, retries: tuple[float, ...] = (0.0, 0.1, 0.2), elapsed: float | None = None, estimate: float = 32.8) -> DataFrame:
+    """For each (mode, retry share) of ``calls(mode, tokens_in, tokens_out, latency)``: cost, latency, throughput and serial days.
+
+    The 95 % latency is the value at place max(0, floor(0.95 n) - 1) of the sorted latencies, by
+    ranks in ranges, so a mode may hold all calls. ``throughput`` is calls a second over the
+    ``elapsed`` seconds of the run or, without them, one after the other; ``serial_days`` what the
+    calls take one after the other at the mean latency, or at ``estimate`` seconds where it isn't positive.
+    """
+    sums = calls.groupBy("mode").agg(
+        F.count("*").alias("calls"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.avg("latency").alias("_mean"),
+    )
+    place = F.greatest(F.floor(F.lit(0.95) * F.col("calls")) - 1, F.lit(0)) + 1
+    ranked = numbered(calls.select("mode", "latency"), ["mode"], [F.asc("latency")], "_i")
+    p95 = ranked.join(sums.select(F.col("mode").alias("_mode"), place.alias("_wanted")), F.col("mode").eqNullSafe(F.col("_mode")) & (F.col("_i") == F.col("_wanted"))).select("_mode", F.round("latency", 3).alias("p95_latency"))
+    both = sums.join(p95, F.col("mode").eqNullSafe(F.col("_mode"))).drop("_mode")
+    grid = both.select("*", F.explode(F.array(*map(F.lit, retries))).alias("retry"))
+    mean = F.round("_mean", 3)
+    seconds = F.lit(elapsed) if elapsed is not None else F.col("_mean") * F.col("calls")
+    return grid.select(
+        "mode", "calls", "tokens_in", "tokens_out", mean.alias("mean_latency"), "p95_latency", "retry",
+        F.round((F.col("tokens_in") * in_price + F.col("tokens_out") * out_price) / 1e6 * (1 + F.col("retry")), 6).alias("cost"),
+        F.coalesce(F.when(seconds > 0, F.round(F.col("calls") / seconds, 4)), F.lit(0.0)).alias("throughput"),
+        F.round(F.col("calls") * F.coalesce(F.when(mean > 0, mean), F.lit(estimate)) / 86400, 4).alias("serial_days"),
     )
-    grid = sums.select("*", F.explode(F.array(*map(F.lit, retries))).alias("retry"))
-    return grid.withColumn("cost", F.round((F.col("tokens_in") * in_price + F.col("tokens_out") * out_price) / 1e6 * (1 + F.col("retry")), 6))
 
 
 def layer_retention(layers: dict[str, DataFrame], tests: dict[str, Column]) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import LISTS, SIGNATURES, match_signatures, redact_sensitive_text
+from ..functions.aggregates import first_values
+from ..functions.text import LISTS, SIGNATURES, decode_visible_text, match_signatures, redact_sensitive_text, suspicious_contexts
 from ..functions.values import is_failed, safe_long
 
 #: Hints that are not signatures of their own.
@@ -111,6 +112,17 @@ def file_rollup(files: DataFrame) -> DataFrame:
     )
 
 
+def file_summary(files: DataFrame, order: str = "ord") -> DataFrame:
+    """``file_rollup`` and the first five different names (redacted), the first five MIME types, and up to two directions."""
+    keys = ["capture_id", "uid"]
+    sent = F.lower(F.col("is_orig").cast("string"))
+    way = F.when(sent.isin("t", "true", "1"), "originator_to_responder").when(sent.isin("f", "false", "0"), "responder_to_originator")
+    shown = files.select(*keys, order, redact_sensitive_text(F.col("filename"), 160).alias("filename_sample"), F.col("mime_type").alias("mime_type_sample"), way.alias("direction_hint"))
+    limits = {"filename_sample": 5, "mime_type_sample": 5, "direction_hint": 2}
+    out = file_rollup(files).join(first_values(shown, keys, order, limits), keys, "left")
+    return out.withColumns({c: F.coalesce(c, F.array().cast("array<string>")) for c in limits})
+
+
 def auth_flags(rows: DataFrame) -> DataFrame:
     """One row for each (capture_id, uid) of ``rows(ord, login_path, status, ftp_command, ftp_code, ssh_attempts)``.
 
@@ -127,20 +139,100 @@ def auth_flags(rows: DataFrame) -> DataFrame:
     )
 
 
+#: What makes a login, and codes of its answers.
+LOGIN_FAILED, LOGIN_PASSED, FTP_FAILED, FTP_PASSED = ("401", "403", "407"), ("200", "204", "302"), ("430", "530"), ("230",)
+USER_PARAMETER, PASSWORD_PARAMETER = r"(?i)^(?:user|username)=", r"(?i)^(?:password|passwd|pwd)="
+LOGIN_LISTS = {"http_login_paths": 5, "auth_status_codes": 5, "ftp_response_codes": 5}
+
+
+def login_indicators(http: DataFrame, ftp: DataFrame, ssh: DataFrame) -> DataFrame:
+    """(capture_id, uid, auth_indicators) of every session that one of the logs knows.
+
+    ``http(capture_id, uid, ord, uri, status, auth_header, parameters)`` has a row a request,
+    ``ftp(capture_id, uid, ord, command, arg, reply_code)`` and ``ssh(capture_id, uid, auth_attempts,
+    auth_success)`` their log rows. Attempts: the most of login paths, attempts of one SSH row and PASS
+    commands. Failures add up: HTTP 401, 403 and 407 of sessions in which a login shows, FTP 430 and 530, and
+    SSH rows that failed, each for its attempts. A success after failures is an FTP 230 that follows one,
+    or any HTTP 200, 204 or 302 beside one. User names are counted, never kept.
+    """
+    keys = ["capture_id", "uid"]
+    any_of = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
+    path, code = F.coalesce(F.col("uri").rlike(LISTS["login_path"]), F.lit(False)), F.col("status").cast("string")
+    web = http.groupBy(*keys).agg(
+        F.count_if(path).alias("paths"), any_of(path | F.coalesce("auth_header", F.lit(False))).alias("web"), F.count_if(code.isin(*LOGIN_FAILED)).alias("refused"), any_of(code.isin(*LOGIN_PASSED)).alias("passed"),
+        any_of(F.exists("parameters", lambda p: p.rlike(USER_PARAMETER))).alias("user"), any_of(F.exists("parameters", lambda p: p.rlike(PASSWORD_PARAMETER))).alias("password"),
+    )
+    command, reply = F.upper(F.coalesce("command", F.lit(""))), F.col("reply_code").cast("string")
+    name = F.when((command == "USER") & ~F.col("arg").isin("", "-", "[REDACTED]"), F.col("arg"))
+    files = ftp.groupBy(*keys).agg(
+        F.count_if(command == "PASS").alias("pass"), any_of(command == "USER").alias("ftp_user"), F.countDistinct(name).alias("names"), F.count_if(reply.isin(*FTP_FAILED)).alias("ftp_failed"),
+        F.coalesce(F.max(F.when(reply.isin(*FTP_PASSED), F.col("ord"))) > F.min(F.when(reply.isin(*FTP_FAILED), F.col("ord"))), F.lit(False)).alias("ftp_late"), F.lit(True).alias("ftp"),
+    )
+    tries, failed = F.coalesce(safe_long(F.col("auth_attempts")), F.lit(0).cast("long")), F.lower(F.col("auth_success").cast("string")).isin("f", "false")
+    shells = ssh.groupBy(*keys).agg(F.max(tries).alias("tries"), any_of(failed).alias("ssh_failed"), F.sum(F.when(failed, F.greatest(tries, F.lit(1)))).alias("ssh_failures"), F.lit(True).alias("ssh"))
+    out = web.join(files, keys, "full").join(shells, keys, "full")
+    wide = http.select(*keys, F.struct(F.lit(0).alias("log"), F.col("ord").cast("long").alias("ord")).alias("at"), F.when(path, F.col("uri")).alias("http_login_paths"), F.when(code.isin(*LOGIN_FAILED, *LOGIN_PASSED), code).alias("auth_status_codes"), F.lit(None).cast("string").alias("ftp_response_codes"))
+    long = ftp.select(*keys, F.struct(F.lit(1).alias("log"), F.col("ord").cast("long").alias("ord")).alias("at"), F.lit(None).cast("string").alias("http_login_paths"), F.lit(None).cast("string").alias("auth_status_codes"), reply.alias("ftp_response_codes"))
+    out = out.join(first_values(wide.unionByName(long), keys, "at", LOGIN_LISTS), keys, "left")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    shown = yes("web") | yes("ftp") | yes("ssh")
+    refused = F.when(shown, n("refused")).otherwise(0)
+    attempts = F.greatest(n("paths"), n("tries"), n("pass"))
+    failures = refused + n("ftp_failed") + n("ssh_failures")
+    listed = lambda c: F.coalesce(c, F.array().cast("array<string>")).alias(c)
+    return out.select(*keys, F.struct(
+        F.when(yes("ssh"), "ssh").when(yes("ftp"), "ftp").when(yes("web"), "http").otherwise("unknown").alias("auth_protocol"), (attempts >= 5).alias("repeated_login_attempts"), (failures > 0).alias("failed_login_hint"),
+        (yes("ftp_late") | ((refused > 0) & yes("passed"))).alias("success_after_failures_hint"), listed("http_login_paths"), F.when(shown, listed("auth_status_codes")).otherwise(F.array().cast("array<string>")).alias("auth_status_codes"),
+        attempts.alias("session_auth_attempt_count"), attempts.alias("same_src_same_dst_auth_attempts"), (yes("user") | yes("ftp_user")).alias("username_field_seen"), (yes("password") | (n("pass") > 0)).alias("password_field_seen"),
+        F.when(n("names") > 0, F.col("names")).otherwise(yes("user").cast("long")).alias("unique_usernames_seen"), failures.alias("failed_login_count"), listed("ftp_response_codes"), yes("ssh_failed").alias("ssh_auth_failure_hint"),
+        ((attempts >= 5) & (failures == 0)).alias("weak_evidence"),
+    ).alias("auth_indicators"))
+
+
+#: Form keys whose values are never shown, and others that are worth showing; how many keys are read.
+SECRET_KEYS = ("username", "user", "password", "passwd", "pwd", "token", "authorization", "cookie", "sessionid", "session_id", "jwt")
+TELLING_KEYS, MOST_KEYS = ("cmd", "command", "exec", "action", "file", "path", "url", "username", "user"), 10
+
+
+def form_parameters(keys: Column, values: Column) -> Column:
+    """key=value of the form fields that tell something: those of signatures, secrets (their values hidden) and commands; each once."""
+    pairs = F.slice(F.zip_with(keys, F.slice(F.concat(values, F.array_repeat(F.lit(""), F.size(keys))), F.lit(1), F.size(keys)), lambda k, v: F.struct(k.alias("k"), v.alias("v"))), 1, MOST_KEYS)
+
+    def shown(x: Column) -> Column:
+        key = redact_sensitive_text(x["k"], 80)
+        secret = F.lower(key).isin(*SECRET_KEYS)
+        value = F.when(secret, "[REDACTED]").otherwise(redact_sensitive_text(x["v"], 100))
+        telling = (F.size(match_signatures(decode_visible_text(x["v"]))) > 0) | secret | F.lower(key).isin(*TELLING_KEYS)
+        return F.when(telling, F.when(value != "", F.concat(key, F.lit("="), value)).otherwise(key))
+
+    return F.array_distinct(F.array_compact(F.transform(pairs, shown)))
+
+
 def http_observation(rows: DataFrame, uri_limit: int = 320, body_limit: int = 32768) -> DataFrame:
-    """Bounded, safe rows of ``rows(method, host, uri, status, agent, cookie, authorization, body)`` (text decoded before).
+    """Bounded, safe rows of ``rows(method, host, uri, status, agent, cookie, authorization, body, ...)``.
 
-    Secrets are redacted, headers become flags, bodies only leave signature names. Rows in which nothing is visible are dropped.
+    Texts are decoded and redacted, headers become flags, bodies only leave signature names and
+    redacted windows around what they hit. ``full_uri``, ``referrer``, ``content_type``,
+    ``content_length`` and the form fields ``form_keys`` and ``form_values`` (parts parted by |)
+    may be missing. Rows in which nothing is visible are dropped.
     """
+    optional = ("full_uri", "referrer", "content_type", "content_length", "form_keys", "form_values")
+    full = rows.withColumns({c: F.lit(None).cast("string") for c in optional if c not in rows.columns})
     body = F.left(F.coalesce("body", F.lit("")), F.lit(body_limit))
     seen = lambda c: F.coalesce(F.col(c).cast("string") != "", F.lit(False))
-    visible = seen("method") | seen("host") | seen("uri") | seen("status") | seen("agent") | seen("body")
+    visible = seen("method") | seen("host") | seen("uri") | seen("full_uri") | seen("status") | seen("content_type") | seen("agent") | seen("body")
     role = F.when(seen("method"), "request").when(safe_long(F.col("status")).isNotNull(), "response").otherwise("unknown")
-    keep = [c for c in rows.columns if c not in ("method", "host", "uri", "status", "agent", "cookie", "authorization", "body")]
-    return rows.where(visible).select(
-        *keep, role.alias("body_role"), "method", redact_sensitive_text(F.col("host"), 160).alias("host"), redact_sensitive_text(F.col("uri"), uri_limit).alias("uri"), safe_long(F.col("status")).alias("status_code"),
-        redact_sensitive_text(F.col("agent"), 180).alias("user_agent"), seen("cookie").alias("cookie_present"), seen("authorization").alias("auth_header_present"), seen("body").alias("body_observed"),
-        match_signatures(F.concat_ws(" ", "uri", body)).alias("matched_keywords"),
+    keep = [c for c in rows.columns if c not in ("method", "host", "uri", "status", "agent", "cookie", "authorization", "body", *optional)]
+    parts = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), "\\|"), lambda x: x != "")
+    uri, url = redact_sensitive_text(F.col("uri"), uri_limit), redact_sensitive_text(F.col("full_uri"), uri_limit)
+    form = F.array_join(F.zip_with(parts("form_keys"), parts("form_values"), lambda k, v: F.concat_ws("=", k, v)), "&")  # a secret value stays beside its key
+    combined = F.concat_ws(" ", uri, url, body, form)
+    return full.where(visible).select(
+        *keep, role.alias("body_role"), "method", redact_sensitive_text(F.col("host"), 160).alias("host"), uri.alias("uri"), url.alias("full_uri"), safe_long(F.col("status")).alias("status_code"),
+        redact_sensitive_text(F.col("agent"), 180).alias("user_agent"), redact_sensitive_text(F.col("referrer"), uri_limit).alias("referrer"), redact_sensitive_text(F.col("content_type"), 120).alias("content_type"), safe_long(F.col("content_length")).alias("content_length"),
+        seen("cookie").alias("cookie_present"), seen("authorization").alias("auth_header_present"), seen("body").alias("body_observed"), suspicious_contexts(body, 3).alias("body_snippets_sanitized"), suspicious_contexts(combined).alias("suspicious_payload_snippets"),
+        form_parameters(parts("form_keys"), parts("form_values")).alias("suspicious_http_parameters"), match_signatures(F.concat_ws(" ", uri, url)).alias("suspicious_uri_patterns"), match_signatures(decode_visible_text(combined)).alias("matched_keywords"),
     )
 
 

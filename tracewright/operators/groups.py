@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.aggregates import burstiness, numeric_pattern
 from ..functions.values import is_failed
@@ -36,34 +42,58 @@ def start_intervals(sessions: DataFrame, keys: list[str]) -> DataFrame:
     return sessions.select(*keys, "session_id", gap.alias("interval")).where("interval >= 0")
 
 
+def anchors_of(times: np.ndarray, window: float, anchor: float | None) -> np.ndarray:
+    """For sorted times of one key, the start of the episode of each; ``anchor`` is that of the rows before."""
+    out = np.empty(len(times))
+    at = 0
+    while at < len(times):
+        anchor = times[at] if anchor is None else anchor
+        stop = at + int(np.searchsorted(times[at:], anchor + window, "right"))
+        while stop > at and times[stop - 1] - anchor > window:  # the sum above may round
+            stop -= 1
+        while stop < len(times) and not times[stop] - anchor > window:
+            stop += 1
+        out[at:stop] = anchor
+        at, anchor = stop, anchor if stop == len(times) else None
+    return out
+
+
 def scan_episodes(candidates: DataFrame, window_seconds: float = 300.0, min_ports: int = 8, min_sessions: int = 8) -> DataFrame:
-    """Candidate sessions with the episode they belong to: (session_id, keys, episode_start).
+    """Candidate sessions with the episode they belong to: all columns and episode_start.
 
     An episode is anchored at its first row and closed by the first row more than
-    ``window_seconds`` after the anchor. A longer silence always closes one, so rows are cut at
-    silences first; only inside such a stretch the anchors depend on each other, and a fold over
-    its times finds them. A row without a time never splits: it joins the last episode. Episodes
-    with fewer ports (a null port counts as one) or sessions are dropped.
+    ``window_seconds`` after the anchor. Each anchor hangs on the one before, so keys are read in
+    order of time, a batch at a time, and only the last anchor is carried on: no key is ever
+    held whole. A row without a time never splits: it joins the last episode. Episodes with fewer
+    ports (a null port counts as one) or sessions are dropped.
     """
-    order = Window.partitionBy(*SCAN_KEYS).orderBy(F.asc_nulls_last("start_time"), "session_id")
-    silent = F.coalesce(F.col("start_time") - F.lag("start_time").over(order) > window_seconds, F.lit(False))
-    cut = candidates.withColumn("_cut", silent.cast("int")).withColumn("_stretch", F.sum("_cut").over(order))
-    times = cut.where("start_time is not null").groupBy(*SCAN_KEYS, "_stretch").agg(F.array_sort(F.collect_set("start_time")).alias("times"))
-    anchors = F.aggregate(
-        "times", F.array().cast("array<double>"),
-        lambda found, t: F.when((F.size(found) == 0) | (t - F.element_at(found, -1) > window_seconds), F.concat(found, F.array(t))).otherwise(found),
-    )
-    spans = times.withColumn("anchors", anchors).select(*SCAN_KEYS, "_stretch", "anchors")
-    placed = cut.join(spans, [*SCAN_KEYS, "_stretch"], "left")
-    own = F.array_max(F.filter("anchors", lambda a: a <= F.col("start_time")))
-    placed = placed.withColumn("episode_start", F.coalesce(own, F.array_max("anchors")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, anchor = None, None
+        for batch in batches:
+            keys, times = batch.column(batch.num_columns - 1), batch.column(batch.schema.names.index("start_time"))
+            known = times.is_valid().to_numpy(zero_copy_only=False)
+            values = times.fill_null(0).to_numpy(zero_copy_only=False)
+            starts = np.full(len(batch), np.nan)
+            edges = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1 if len(batch) > 1 else []
+            for lo, hi in zip([0, *edges], [*edges, len(batch)], strict=True):
+                anchor = anchor if keys[lo].as_py() == last else None
+                last = keys[lo].as_py()
+                end = lo + int(known[lo:hi].sum())  # unknown times come last
+                if end > lo:
+                    starts[lo:end] = anchors_of(values[lo:end], window_seconds, anchor)
+                    anchor = starts[end - 1]
+                if anchor is not None:
+                    starts[end:hi] = anchor
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(starts, from_pandas=True)], [*batch.schema.names[:-1], "episode_start"])
+
+    rows = candidates.withColumn("start_time", F.col("start_time").cast("double"))
+    order = [*SCAN_KEYS, F.asc_nulls_last("start_time"), "session_id"]
+    sorted_rows = rows.repartition(*SCAN_KEYS).sortWithinPartitions(*order).withColumn("_key", F.to_json(F.struct(*SCAN_KEYS)))
+    placed = sorted_rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("episode_start", DoubleType())]))
     episode = [*SCAN_KEYS, "episode_start"]
     kept = placed.groupBy(*episode).agg(F.countDistinct(F.coalesce("dst_port", F.lit(-1))).alias("_ports"), F.count("*").alias("_n")).where((F.col("_ports") >= min_ports) & (F.col("_n") >= min_sessions))
-    keep = kept.select(*(F.col(k).alias(f"_{k}") for k in episode))
-    match = (F.col("episode_start").eqNullSafe(F.col("_episode_start")))
-    for k in SCAN_KEYS:
-        match = match & (F.col(k) == F.col(f"_{k}"))
-    return placed.join(keep, match, "left_semi").drop("_cut", "_stretch", "anchors")
+    return same_keys(placed, kept.select(*episode), episode, "left_semi")
 
 
 def scan_groups(episodes: DataFrame) -> DataFrame:

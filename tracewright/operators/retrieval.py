@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import tokenize, word_count
+from ..sources.checkpoints import held
 
 
 #: What ends a line; the character that stands between units, which no line can hold then.
@@ -80,63 +81,165 @@ def _bonus(a: Column, b: Column) -> Column:
     return reduce(lambda total, x: total + F.when(both.bitwiseAND(F.lit(1 << x[0])) != 0, x[1]).otherwise(0), enumerate(WEIGHTS), F.lit(0))
 
 
-def _traits(queries: DataFrame, chunks: DataFrame, blob: Column) -> tuple[DataFrame, DataFrame]:
-    """(query_id, q_bits) and (chunk_id, doc_id, c_bits): which bonuses each side is open to. Columns that chunks lack count as null."""
-    kinds = {"attack_type": "array<string>", "attack_stage": "array<string>", "category": "string"}
-    full = chunks.withColumns({n: F.lit(None).cast(t) for n, t in kinds.items() if n not in chunks.columns})
-    words = queries.select("query_id", tokenize(F.col("query")).alias("tokens"), F.lower(F.coalesce("query", F.lit(""))).alias("q"))
-    asked = words.select("query_id", _bits([F.expr(q) for q, _, _ in METADATA_BONUS] + [F.contains("q", F.lit(n)) for n in SIGNATURE_NAMES]).alias("q_bits"))
-    held = full.select("chunk_id", "doc_id", _bits([F.expr(c) for _, c, _ in METADATA_BONUS] + [F.contains(blob, F.lit(n)) for n in SIGNATURE_NAMES]).alias("c_bits"))
-    return asked, held
+def _traits(words: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(query_id, q_bits) and (chunk_id, doc_id, c_bits): which bonuses each side is open to."""
+    asked = words.select("query_id", _bits([F.expr(q) for q, _, _ in METADATA_BONUS] + [F.contains("named", F.lit(n)) for n in SIGNATURE_NAMES]).alias("q_bits"))
+    held_by = chunks.select("chunk_id", "doc_id", _bits([F.expr(c) for _, c, _ in METADATA_BONUS] + [F.contains("blob", F.lit(n)) for n in SIGNATURE_NAMES]).alias("c_bits"))
+    return asked, held_by
 
 
-def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap: int = 20, pinned: DataFrame | None = None, most_pinned: int = 3) -> DataFrame:
-    """(query_id, rank, chunk_id, score, pinned) of ``queries(query_id, query)`` over ``chunks(chunk_id, doc_id, title, keywords, text, ...)``.
+#: Columns of a chunk that may be missing; they count as null then.
+CHUNK_FIELDS = {"title": "string", "keywords": "string", "text": "string", "category": "string", "attack_type": "array<string>", "attack_stage": "array<string>"}
+#: Shortest term that is looked for as a substring, and what one is worth; what a token is worth in title, keywords and text.
+TERM_LENGTH, TERM, TITLE, KEYWORD, TEXT = 4, 3.0, 3.0, 4.0, 0.5
+#: Stands before terms among tokens.
+AS_TERM = "\u0001"
+
+
+def _plain(chunks: DataFrame) -> DataFrame:
+    """Chunks with all fields, keywords as one string, and ``blob``: title, keywords and text in lower case."""
+    full = chunks.withColumns({c: F.lit(None).cast(t) for c, t in CHUNK_FIELDS.items() if c not in chunks.columns})
+    full = full.withColumn("keywords", F.concat_ws(" ", "keywords"))
+    return full.withColumn("blob", F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), "keywords", F.coalesce("text", F.lit("")))))
+
+
+def token_postings(chunks: DataFrame) -> DataFrame:
+    """(key, chunk_id, worth, texts, exact): each token of a chunk, what it is worth beside the text, and whether it is in the text."""
+    sets = [F.array_distinct(F.coalesce(tokenize(F.col(c)), F.array().cast("array<string>"))) for c in ("title", "keywords", "text")]
+    rows = chunks.select("chunk_id", *(x.alias(n) for x, n in zip(sets, ("a", "b", "t"), strict=True)))
+    entry = lambda inside: lambda x: F.struct(x.alias("key"), (F.when(F.array_contains("a", x), TITLE).otherwise(0.0) + F.when(F.array_contains("b", x), KEYWORD).otherwise(0.0)).alias("worth"), F.lit(inside).alias("texts"))
+    listed = F.concat(F.transform("t", entry(1)), F.transform(F.array_except(F.array_union("a", "b"), "t"), entry(0)))
+    return rows.select("chunk_id", F.explode(listed).alias("x")).select("x.key", "chunk_id", "x.worth", "x.texts", F.lit(TERM).alias("exact"))
+
+
+def _inside_words(terms: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(term, chunk_id): terms without blanks that occur inside a run of characters of which they are no token.
+
+    Such a term lies in one run of non-blank characters, so the different runs are joined with the
+    terms by the term's first four characters, then compared.
+    """
+    runs = chunks.select("chunk_id", F.explode(F.array_distinct(F.split("blob", "\\s+"))).alias("run"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - 3), lambda i: F.substr("run", i, F.lit(4))))
+    cut = runs.where(F.length("run") >= 4).select("run").distinct().select("run", F.explode(grams).alias("gram"))
+    heads = terms.withColumn("gram", F.left("term", F.lit(4)))
+    found = cut.join(heads, "gram").where(F.contains("run", "term") & ~F.array_contains(tokenize(F.col("run")), F.col("term"))).select("run", "term").distinct()
+    return runs.join(found, "run").select("term", "chunk_id").distinct()
+
+
+def phrase_matches(phrases: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(term, chunk_id) of the chunks whose ``blob`` holds a term of several words as it stands.
+
+    The blob and the terms are cut at single blanks. A term begins with the end of a piece, ends
+    with the begin of one, and its other words are whole pieces in a row between them. Each term is
+    looked up by the word that matches fewest positions; the others are compared only where that
+    one stands, at the positions before and after.
+    """
+    positions = chunks.select("chunk_id", F.posexplode(F.split("blob", " ")).alias("at", "piece"))
+    words = phrases.select("term", F.split("term", " ").alias("words")).select("term", F.size("words").alias("n"), F.posexplode("words").alias("j", "word"))
+    side = F.when(F.col("j") == 0, "end").when(F.col("j") == F.col("n") - 1, "begin").otherwise("whole")
+    short = F.least(F.length("word"), F.lit(4))
+    key = F.when(F.col("side") == "end", F.right("word", short)).when(F.col("side") == "begin", F.left("word", short)).otherwise(F.col("word"))
+    words = words.withColumn("side", side).withColumn("key", key)
+    pieces = positions.groupBy("piece").agg(F.count("*").alias("times"))
+    ends = F.transform(F.sequence(F.lit(0), F.least(F.length("piece"), F.lit(4))), lambda i: F.struct(F.lit("end").alias("side"), F.right("piece", i).alias("key")))
+    begins = F.transform(F.sequence(F.lit(0), F.least(F.length("piece"), F.lit(4))), lambda i: F.struct(F.lit("begin").alias("side"), F.left("piece", i).alias("key")))
+    whole = F.array(F.struct(F.lit("whole").alias("side"), F.col("piece").alias("key")))
+    keyed = pieces.select("piece", "times", F.explode(F.concat(whole, ends, begins)).alias("x")).select("piece", "times", "x.side", "x.key")
+    holds = lambda piece: F.when(F.col("side") == "end", F.endswith(piece, F.col("word"))).when(F.col("side") == "begin", F.startswith(piece, F.col("word"))).otherwise(piece == F.col("word"))
+    fits = held(words.join(keyed, ["side", "key"]).where(holds(F.col("piece"))).select("term", "n", "j", "piece", "times"))
+    rarest = fits.groupBy("term", "j").agg(F.sum("times").alias("times")).groupBy("term").agg(F.min(F.struct("times", "j"))["j"].alias("j"))
+    starts = positions.join(fits.join(rarest, ["term", "j"]), "piece").select("term", "n", "chunk_id", (F.col("at") - F.col("j")).alias("start"), "j")
+    others = starts.withColumnRenamed("j", "anchor").where("start >= 0").join(words.select("term", "j", "word", "side"), "term").where("j <> anchor")
+    wanted = others.select("term", "n", "chunk_id", "start", "word", "side", (F.col("start") + F.col("j")).alias("at"))
+    right = wanted.join(positions, ["chunk_id", "at"]).where(holds(F.col("piece")))
+    return right.groupBy("term", "n", "chunk_id", "start").agg(F.count("*").alias("met")).where("met = n - 1").select("term", "chunk_id").distinct()
+
+
+def _asked(queries: DataFrame) -> DataFrame:
+    """(query_id, tokens, terms, named) of each query; without ``terms``, its tokens are its terms."""
+    given = "terms" in queries.columns
+    joined = F.concat_ws(" ", "terms") if given else F.coalesce("query", F.lit(""))
+    said = F.concat_ws(" ", joined, F.coalesce("query", F.lit(""))) if given else joined
+    tokens = F.array_distinct(tokenize(said))
+    terms = F.array_distinct(F.transform(F.coalesce("terms", F.array().cast("array<string>")), F.lower)) if given else tokens
+    return queries.select("query_id", tokens.alias("tokens"), F.filter(terms, lambda t: F.length(t) >= TERM_LENGTH).alias("terms"), F.lower(joined).alias("named"))
+
+
+def candidates(asks: DataFrame, postings: DataFrame, asked: DataFrame, room: int, text_cap: int, seeds: int) -> DataFrame:
+    """(query_id, chunk_id, worth, texts): what the postings add to each pair that can be among the ``room`` best of its query.
+
+    ``asks(query_id, key, factor)``: a term counts ``factor`` times what its posting is worth as
+    one. Each query's rarest keys, of some ``seeds`` postings, give scores that its ``room``-th best
+    can't fall below. Its commonest keys, as long as all they could add together with the bonuses
+    stays below that, are no reason to look at a chunk: only chunks under the other keys are
+    gathered, and of these only those that the common ones may still lift so far are probed for them.
+    """
+    most = postings.groupBy("key").agg(F.count("*").alias("n"), F.max("worth").alias("w"), F.max("exact").alias("x"), F.max("texts").alias("t"))
+    sized = asks.join(most, "key").withColumn("up", F.col("w") + F.col("x") * F.col("factor"))
+    rare, common = (Window.partitionBy("query_id").orderBy(o("n"), o("key")) for o in (F.asc, F.desc))
+    sized = held(sized.withColumn("_seen", F.sum("n").over(rare)).withColumn("_first", F.row_number().over(rare) == 1))
+    hit = lambda keys: keys.join(postings, "key").select("query_id", "chunk_id", (F.col("worth") + F.col("exact") * F.col("factor")).alias("worth"), "texts")
+    summed = lambda rows: rows.groupBy("query_id", "chunk_id").agg(F.sum("worth").alias("worth"), F.sum("texts").alias("texts"))
+    score = F.col("worth") + TEXT * F.least("texts", F.lit(text_cap))
+    seeded = summed(hit(sized.where(F.col("_first") | (F.col("_seen") <= seeds)))).select("query_id", score.alias("score"))
+    last = seeded.withColumn("_n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("_n") == room)
+    floor = last.select("query_id", F.col("score").alias("floor"))
+    reach = F.sum("up").over(common) + TEXT * F.least(F.sum("t").over(common), F.lit(text_cap)) + F.col("extra")
+    parted = sized.join(floor, "query_id", "left").join(asked.select("query_id", _bonus(F.col("q_bits"), F.col("q_bits")).alias("extra")), "query_id").withColumn("probe", F.coalesce(reach < F.col("floor"), F.lit(False)))
+    parted = held(parted.select("query_id", "key", "factor", "floor", "extra", "probe", "up", "t"))
+    rest = parted.where("probe").groupBy("query_id").agg(F.sum("up").alias("more"), F.sum("t").alias("more_texts"), F.first("floor").alias("floor"), F.first("extra").alias("extra"))
+    found = summed(hit(parted.where("not probe"))).join(rest, "query_id", "left")
+    best = F.col("worth") + F.col("more") + TEXT * F.least(F.col("texts") + F.col("more_texts"), F.lit(text_cap)) + F.col("extra")
+    able = held(found.where(F.col("floor").isNull() | (best >= F.col("floor"))).select("query_id", "chunk_id", "worth", "texts", F.col("floor").isNotNull().alias("open")))
+    probed = able.where("open").select("query_id", "chunk_id").join(parted.where("probe").select("query_id", "key", "factor"), "query_id").join(postings, ["key", "chunk_id"])
+    more = probed.select("query_id", "chunk_id", (F.col("worth") + F.col("exact") * F.col("factor")).alias("worth"), "texts")
+    return summed(able.select("query_id", "chunk_id", "worth", "texts").unionByName(more))
+
+
+def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap: int = 20, pinned: DataFrame | None = None, most_pinned: int = 3, seeds: int = 2000) -> DataFrame:
+    """(query_id, rank, chunk_id, score, pinned) of ``queries(query_id, query, terms)`` over ``chunks(chunk_id, doc_id, title, keywords, text, ...)``.
 
     Score: 3 for each query token in the title, 4 in the keywords, half for each in the text (up
-    to ``text_cap``), and 3 for each query token of four characters or more that occurs anywhere
-    in them as a substring; then the bonuses for metadata (attack_type, attack_stage, category)
-    and for signature names. Only positive scores count; ties to the smaller document, then chunk.
+    to ``text_cap``), and 3 for each query term of four characters or more, of one or several words,
+    that occurs anywhere in them as a substring; then the bonuses for metadata (attack_type,
+    attack_stage, category) and for signature names among the terms. Tokens are those of terms and
+    query together; without a column ``terms`` the query's tokens are its terms. Case doesn't count.
+    Only positive scores count; ties to the smaller document, then chunk. Columns that chunks lack
+    count as null; null or blank queries find nothing.
 
     ``pinned(query_id, place, doc_id)`` names documents whose chunks come first whatever their
     score (1000, 999, ...): the first ``most_pinned`` documents and of them as many chunks. They
     don't count among the k.
 
-    Tokens are joined once, through one list of distinct tokens by place. A token without blanks can only occur inside
-    one run of non-blank characters, so for substrings the different runs are joined with the
-    different query tokens by the token's first four characters, then compared. A chunk that only
+    Postings of the asked keys are written once; ``candidates`` prunes by bounds. A chunk that only
     earns bonuses can be among a query's k best only if it is among the k best by bonus alone, so
     these are found once for each set of bonuses, not for each pair.
     """
-    wanted = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("token"))
-
-    at = lambda i: lambda t: F.struct(t.alias("token"), F.lit(i).alias("place"))
-    places = [F.transform(F.array_distinct(F.coalesce(tokenize(F.col(c)), F.array().cast("array<string>"))), at(i)) for i, c in enumerate(("title", "keywords", "text"))]
-    postings = chunks.select("chunk_id", F.explode(F.concat(*places)).alias("at")).select("chunk_id", "at.token", "at.place")
-    counts = [F.count_if(F.col("place") == i).alias(c) for i, c in enumerate(("title", "keywords", "text"))]
-    hits = wanted.join(postings, "token").groupBy("query_id", "chunk_id").agg(*counts).withColumn("exact", F.lit(0).cast("long"))
-    blob = F.lower(F.concat_ws(" ", "title", "keywords", "text"))
-    runs = chunks.select("chunk_id", F.explode(F.array_distinct(F.split(blob, "\\s+"))).alias("run"))
-    long_tokens = wanted.where(F.length("token") >= 4)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - 3), lambda i: F.substr("run", i, F.lit(4))))
-    cut = runs.where(F.length("run") >= 4).select("run").distinct().select("run", F.explode(grams).alias("gram"))
-    heads = long_tokens.select("token").distinct().withColumn("gram", F.left("token", F.lit(4)))
-    inside = cut.join(heads, "gram").where(F.contains("run", "token")).select("run", "token")
-    exact = long_tokens.join(inside, "token").join(runs, "run").select("query_id", "chunk_id", "token").distinct().groupBy("query_id", "chunk_id").agg(F.count("*").alias("exact"))
-    none = [F.lit(0).cast("long").alias(c) for c in ("title", "keywords", "text")]
-    hits = hits.unionByName(exact.select("query_id", "chunk_id", *none, "exact"))
-    asked, held = _traits(queries, chunks, blob)
+    words, full = held(_asked(queries)), _plain(chunks)
+    terms = words.select(F.explode("terms").alias("term")).distinct()
+    wanted = words.select("query_id", F.explode("tokens").alias("key"), "terms").select("query_id", "key", F.array_contains("terms", F.col("key")).cast("int").alias("factor"))
+    asks = held(wanted.unionByName(words.select("query_id", F.explode("terms").alias("key"), F.lit(1).alias("factor")).withColumn("key", F.concat(F.lit(AS_TERM), "key"))))
+    tokens = held(token_postings(full).join(wanted.select("key").distinct(), "key"))
+    blank = F.contains("term", F.lit(" "))
+    inside = _inside_words(terms.where(~F.rlike("term", F.lit("\\s"))), full)
+    inside = inside.join(tokens.select(F.col("key").alias("term"), "chunk_id"), ["term", "chunk_id"], "left_anti")
+    if "terms" in queries.columns:  # tokens alone have no blanks
+        inside = inside.unionByName(phrase_matches(terms.where(blank), full))
+    as_terms = inside.select(F.concat(F.lit(AS_TERM), "term").alias("key"), "chunk_id", F.lit(0.0).alias("worth"), F.lit(0).alias("texts"), F.lit(TERM).alias("exact"))
+    postings = tokens.unionByName(held(as_terms))
+    asked, held_by = _traits(words, full)
     room = k + most_pinned
+    found = candidates(asks, postings, asked, room, text_cap, seeds)
     best_of = lambda key, order: F.row_number().over(Window.partitionBy(key).orderBy(*order, "doc_id", "chunk_id"))
     bit = lambda c: F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(WEIGHTS) - 1)), lambda i: F.call_function("shiftleft", F.lit(1), i)), lambda b: c.bitwiseAND(b) != 0)).alias("bit")
-    few = held.where("c_bits > 0").withColumn("n", best_of("c_bits", [])).where(F.col("n") <= room).drop("n")
+    few = held_by.where("c_bits > 0").withColumn("n", best_of("c_bits", [])).where(F.col("n") <= room).drop("n")
     sets = asked.where("q_bits > 0").select("q_bits").distinct()
     shared = sets.select("q_bits", bit(F.col("q_bits"))).join(few.select("*", bit(F.col("c_bits"))), "bit").drop("bit").distinct()
     extra = shared.withColumn("n", best_of("q_bits", [F.desc(_bonus(F.col("q_bits"), F.col("c_bits")))])).where(F.col("n") <= room)
-    hits = hits.unionByName(asked.join(extra, "q_bits").select("query_id", "chunk_id", *none, F.lit(0).cast("long").alias("exact")))
-    score = 3 * F.sum("exact") + 3 * F.sum("title") + 4 * F.sum("keywords") + 0.5 * F.least(F.sum("text"), F.lit(text_cap))
-    scored = hits.groupBy("query_id", "chunk_id").agg(score.alias("score")).join(asked, "query_id").join(held, "chunk_id")
-    scored = scored.select("query_id", "doc_id", "chunk_id", (F.col("score") + _bonus(F.col("q_bits"), F.col("c_bits"))).cast("double").alias("score")).where("score > 0")
+    extra = asked.join(extra, "q_bits").select("query_id", "chunk_id").join(found, ["query_id", "chunk_id"], "left_anti")
+    hits = found.unionByName(extra.select("query_id", "chunk_id", F.lit(0.0).alias("worth"), F.lit(0).cast("long").alias("texts")))
+    score = F.col("worth") + TEXT * F.least("texts", F.lit(text_cap)) + _bonus(F.col("q_bits"), F.col("c_bits"))
+    scored = hits.join(asked, "query_id").join(held_by, "chunk_id").select("query_id", "doc_id", "chunk_id", score.alias("score")).where("score > 0")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "chunk_id")
     ranked = lambda rows: rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     if pinned is None:

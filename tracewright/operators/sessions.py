@@ -169,31 +169,3 @@ def success_after_failure(rows: DataFrame) -> DataFrame:
     before = Window.partitionBy("capture_id", "uid").orderBy("ts", "ord").rowsBetween(Window.unboundedPreceding, -1)
     flagged = rows.withColumn("_failed", F.coalesce(F.max((~F.col("ok")).cast("int")).over(before), F.lit(0)))
     return flagged.groupBy("capture_id", "uid").agg(F.bool_or(F.col("ok") & (F.col("_failed") == 1)).alias("success_after_failure"), F.count_if(~F.col("ok")).alias("failures"))
-
-
-def merge_observables(rows: DataFrame, keys: list[str], order: str, limit: int = 12) -> DataFrame:
-    """Merge the other columns of each group by their type.
-
-    Booleans: any. Numbers: the largest, but sums for names that end in _len or start with total_.
-    Arrays: first-seen union of at most ``limit``. Anything else: the first in ``order``.
-    """
-    plain, lists = [], []
-    for f in rows.schema:
-        if f.name in [*keys, order]:
-            continue
-        kind = f.dataType.simpleString()
-        if kind == "boolean":
-            plain.append(F.bool_or(f.name).alias(f.name))
-        elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-            plain.append((F.sum if f.name.endswith("_len") or f.name.startswith("total_") else F.max)(f.name).alias(f.name))
-        elif kind.startswith("array"):
-            lists.append(f.name)
-        else:
-            plain.append(F.min_by(f.name, order).alias(f.name))
-    out = rows.groupBy(*keys).agg(*plain) if plain else rows.select(*keys).distinct()
-    for c in lists:
-        firsts = rows.select(*keys, order, F.posexplode(c).alias("_p", "_v")).groupBy(*keys, "_v").agg(F.min(F.struct(order, "_p")).alias("_f"))
-        ranked = firsts.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_f"))).where(F.col("_n") <= limit)
-        kept = ranked.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_f", "_v"))), lambda x: x["_v"]).alias(c))
-        out = out.join(kept, keys, "left")
-    return out

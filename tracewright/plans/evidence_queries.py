@@ -10,9 +10,11 @@ from ..operators import capture as P
 from ..operators import context as C
 from ..operators import curation as U
 from ..operators import evaluation as M
+from ..operators import evidence as E
 from ..operators import predictions as R
 from ..operators import retrieval as K
 from ..operators import sessions as S
+from ..operators.merges import merge_values
 from ..sources import logs as L
 from .session_queries import _SOURCE, BEACON, FAILED, SIGNAL, _signals
 from .views import FLOW, chunks, duck, flow, pages, records
@@ -90,20 +92,25 @@ def success_after_failure(spark, d):
 
 def merge_observables(spark, d):
     rows = flow(spark, d).select("capture_id", "session_id", (F.col("k") > 95).alias("hit"), F.col("orig_bytes").alias("body_len"), F.col("duration").alias("longest"), F.array(F.col("dst_port").cast("string"), F.col("proto")).alias("seen"), F.col("src_ip").alias("first_source"))
-    out = S.merge_observables(rows, ["capture_id"], "session_id")
+    out = merge_values(rows, ["capture_id"], "session_id")
     return out.select("capture_id", "hit", "body_len", "longest", "first_source", F.array_join("seen", ",").alias("seen"))
 
 
 def _suspects(spark, d):
-    return C.source_context(flow(spark, d)).withColumns({"packets": F.col("k"), "exploit": F.col("k") % 17 == 0, "upload": F.col("k") % 23 == 0, "payload_text": F.when(F.col("k") % 11 == 0, F.concat(F.lit("Text "), (F.col("k") % 9).cast("string")))})
+    k = F.col("k")
+    return C.source_context(flow(spark, d)).withColumns({
+        "orig_pkts": k, "exploit_indicators": F.struct((k % 17 == 0).alias("command_injection"), F.array().cast("array<string>").alias("matched_keywords"), F.lit(True).alias("weak_evidence")),
+        "c2_indicators": F.struct((k / 100).alias("beacon_score"), F.when(k % 29 == 0, 1).alias("count")), "failed_login_count": F.when(k % 19 == 0, k), "http_multipart_present": k % 23 == 0,
+        "suspicious_payload_snippets": F.when(k % 11 == 0, F.array(F.concat(F.lit("Text "), (k % 9).cast("string")), F.lit("pass%77ord=x"), F.lit("-"))),
+    })
 
 
 def suspicion_rank(spark, d):
-    return P.suspicion_rank(_suspects(spark, d)).select("capture_id", "session_id", "rank", "suspicion", F.array_join("reasons", ",").alias("reasons"))
+    return E.suspicion_rank(_suspects(spark, d)).select("capture_id", "session_id", "rank", "suspicion", F.array_join("reasons", ",").alias("reasons"), F.array_join("active_indicators", ",").alias("active"))
 
 
 def payload_evidence(spark, d):
-    return P.payload_evidence(P.suspicion_scores(_suspects(spark, d)), ["payload_text", "event_type"], 5)
+    return E.payload_evidence(E.suspicion_scores(_suspects(spark, d)), ("suspicious_payload_snippets", "event_type"), 5)
 
 
 def repeated_auth_service(spark, d):
@@ -142,7 +149,7 @@ def chunk_documents(spark, d):
 
 
 def keyword_index(spark, d):
-    return K.keyword_index(chunks(spark, d), ("title", "category", "keywords", "text"))  # the fields of its SQL
+    return K.keyword_index(chunks(spark, d))
 
 
 #: Words that open queries to the bonuses.
@@ -183,7 +190,7 @@ def route_records(spark, d):
 
 
 def rule_direct_prediction(spark, d):
-    return R.rule_direct_prediction(_routed(spark, d))
+    return R.rule_direct_prediction(_routed(spark, d).withColumns({f"score_{c}": (F.col("record_id") * (i + 3) % 10).cast("double") for i, c in enumerate(V.TECHNIQUES)}))
 
 
 def merge_shards(spark, d):
@@ -191,17 +198,26 @@ def merge_shards(spark, d):
     return R.merge_shards(rows)
 
 
+#: Answers of a model in the forms that it gives them: key of the code, stage given or not, reasons, numbers and words of confidence.
+BODY = """
+CONCAT('{"record_id": "', CAST(record_id AS STRING), CASE k % 3 WHEN 0 THEN '", "technique_guess": "' WHEN 1 THEN '", "technique_code": "' ELSE '", "predicted_code": "' END, CASE k % 9 WHEN 0 THEN 'none' WHEN 1 THEN 'null' WHEN 2 THEN lower(truth) ELSE truth END,
+  CASE k % 4 WHEN 0 THEN '", "stage_code": "TA11' WHEN 1 THEN '", "stage_code": "' ELSE '' END, CASE k % 7 WHEN 0 THEN '' ELSE '", "reason": " seen  in flow ' END, '", "confidence": ', CASE k % 13 WHEN 0 THEN '"?"' WHEN 1 THEN '0.71236' WHEN 2 THEN '1.5' ELSE CONCAT('"', level, '"') END, '}')
+"""
+
+
 def parse_predictions(spark, d):
-    rows = records(spark, d)
-    body = F.concat(F.lit('{"record_id": "'), F.col("record_id").cast("string"), F.lit('", "technique": "'), F.when(F.col("k") % 9 == 0, "none").otherwise(F.col("truth")), F.lit('", "confidence": "'), F.when(F.col("k") % 13 == 0, "?").otherwise(F.col("level")), F.lit('"}'))
-    text = F.when(F.col("k") % 5 == 0, F.concat(body, body)).when(F.col("k") % 5 == 1, "no answer").when(F.col("k") % 5 == 2, F.concat(F.lit("<think>{\"a\": 1}</think> ```json"), body, F.lit("```"))).otherwise(body)
+    rows = records(spark, d).withColumn("body", F.expr(BODY))
+    body = F.col("body")
+    text = F.when(F.col("k") % 5 == 0, F.concat(body, body)).when(F.col("k") % 5 == 1, "no answer").when(F.col("k") % 5 == 2, F.concat(F.lit("<THINK>{\"a\": 1}</think> ```json"), body, F.lit("```"))).otherwise(body)
     return R.parse_predictions(rows.select("record_id", text.alias("response")))
 
 
 def attach_context(spark, d):
-    rows = flow(spark, d).select(F.col("session_id").alias("record_id"), "capture_id", F.col("session_id").cast("double").alias("start_time"))
-    wanted = rows.select(F.when(F.col("record_id") % 3 == 0, F.col("record_id") + 10_000_000).otherwise(F.col("record_id")).alias("record_id"), F.when(F.col("record_id") % 9 == 0, "gone").otherwise(F.col("capture_id")).alias("capture_id"))
-    return R.attach_context(wanted, rows).select("record_id", "capture_id", "start_time", "context")
+    rows = flow(spark, d).select(F.col("session_id").alias("record_id"), "capture_id", F.col("session_id").cast("double").alias("start_time"), "src_ip")
+    i = F.col("record_id")
+    wanted = rows.select(F.when(i % 3 == 0, i + 10_000_000).otherwise(i).alias("record_id"), F.when(i % 9 == 0, "gone").when(i % 6 != 1, F.col("capture_id")).alias("capture_id"), F.when(i % 4 == 0, 5.0).alias("start_time"), F.when(i % 5 == 0, "own.pcap").when(i % 5 == 1, " ").alias("file_name"))
+    parses = rows.select("capture_id").distinct().withColumn("file_name", F.concat("capture_id", F.lit(".pcap")))
+    return R.attach_context(wanted, rows, parses)
 
 
 #: Candidate rows and captures with awkward addresses and ports.
@@ -401,7 +417,7 @@ def header_alias(spark, d):
 
 
 def redact_log_columns(spark, d):
-    rows = flow(spark, d).select("session_id", F.concat(F.lit("/a?token="), F.col("src_ip"), F.lit("&x=1")).alias("uri"), F.when(F.col("k") % 2 == 0, "-").otherwise("bob").alias("username"), F.when(F.col("k") % 3 == 0, "PASS").otherwise("LIST").alias("command"), F.lit("arg").alias("arg"))
+    rows = flow(spark, d).select("session_id", F.concat(F.lit("/a?tok%65n="), F.col("src_ip"), F.lit("&x=1")).alias("uri"), F.when(F.col("k") % 2 == 0, "-").otherwise("bob").alias("username"), F.when(F.col("k") % 3 == 0, "PASS").otherwise("LIST").alias("command"), F.lit("arg").alias("arg"))
     return L.redact_log_columns(rows)
 
 
@@ -454,11 +470,11 @@ _CAPS = ", ".join([
     f"round(avg(CASE WHEN {FAILED} THEN 1e0 ELSE 0e0 END), 4) AS failed_rate", "count(*) FILTER (dst_port = 22 AND k < 8) AS auth_rows",
     *(f"bool_or(k = {n}) AS {c}" for c, n in zip("sensitive_path web_shell command placement php_post repeated_auth beacon encrypted miner benign".split(), range(88, 78, -1), strict=True)),
 ])
-#: Scores and numbers of reasons, written out apart from the rules; each name is 0 or 1.
-_CANDIDATES = f"""WITH caps AS (SELECT capture_id, src_ip AS source, {_CAPS} FROM flow GROUP BY ALL),
-    f AS (SELECT capture_id, source, (port_fanout >= 8 OR scan_rows > 0)::INT AS scan, (failed_rate >= 4e-1)::INT AS fails, (vulnerability > 0)::INT AS vuln, sensitive_path::INT AS sens, (exploit > 0)::INT AS expl, (payload > 0)::INT AS pay,
+def scored(caps: str) -> str:
+    """Scores and numbers of reasons of the captures in ``caps``, written out apart from the rules, as CTEs up to z; each name is 0 or 1."""
+    return f"""f AS (SELECT capture_id, source, (port_fanout >= 8 OR scan_rows > 0)::INT AS scan, (failed_rate >= 4e-1)::INT AS fails, (vulnerability > 0)::INT AS vuln, sensitive_path::INT AS sens, (exploit > 0)::INT AS expl, (payload > 0)::INT AS pay,
         (web_shell AND command)::INT AS acc, (auth_rows > 0 OR login_failures > 0 OR login_attempts >= 5)::INT AS log, repeated_auth::INT AS rep, (implant > 0)::INT AS impl, placement::INT AS plac, php_post::INT AS php, (backdoor > 0)::INT AS back,
-        (callback > 0)::INT AS call, beacon::INT AS beac, encrypted::INT AS enc, miner::INT AS mine, benign::INT AS ben FROM caps),
+        (callback > 0)::INT AS call, beacon::INT AS beac, encrypted::INT AS enc, miner::INT AS mine, benign::INT AS ben FROM {caps}),
     g AS (SELECT *, greatest(scan, vuln, sens, expl, acc, log, rep, impl * plac, back, call * (1 - rep), mine) AS sure, greatest(pay * (1 - expl), impl * (1 - plac), php * (1 - impl)) AS weak, impl * (1 - plac) * greatest(expl, pay) AS odd FROM f),
     h AS (SELECT capture_id, source, 35e-1 * scan + 8e-1 * scan * fails - 12e-1 * scan * greatest(vuln, sens) - 12e-1 * rep AS TA43_01, 3e0 * vuln + 45e-1 * sens AS TA43_02, 32e-1 * log + 5e0 * rep AS TA01_01,
         32e-1 * expl - 8e-1 * vuln + 32e-1 * expl * pay + 7e-1 * pay * (1 - expl) - 18e-1 * acc - 1e0 * impl * plac + 2e0 * odd - 1e0 * ben * sure - 14e-1 * ben * (1 - sure) AS TA01_02,
@@ -472,12 +488,21 @@ _CANDIDATES = f"""WITH caps AS (SELECT capture_id, src_ip AS source, {_CAPS} FRO
     sc AS (SELECT capture_id, source, evidence, weak_evidence, counter_evidence, sure, ben, rep, php, plac, {", ".join(f"round(least(greatest({c}, 0e0), 1e1), 3) AS score_{c}" for c in V.TECHNIQUES)} FROM h),
     o AS (SELECT *, list_sort([{", ".join(f"{{'m': -score_{c}, 'p': {i}, 'c': '{c}'}}" for i, c in enumerate(V.TECHNIQUES))}]) AS l FROM sc),
     p AS (SELECT * EXCLUDE (l), l[1].c AS "primary", -l[1].m AS best, round(-l[1].m + l[2].m, 3) AS margin, array_to_string(list_transform(l[:3], lambda x: x.c || '=' || abs(x.m)::VARCHAR), ',') AS top FROM o),
-    q AS (SELECT *, CASE WHEN best >= 6 AND margin >= 2 THEN 'strong' WHEN best >= 3 OR margin >= 1 THEN 'medium' ELSE 'weak' END AS strength FROM p)
-    SELECT * EXCLUDE (sure, ben, rep, php, plac), concat_ws(',', CASE WHEN margin < 15e-1 THEN 'low_score_margin' END, CASE WHEN strength = 'weak' THEN 'weak_evidence' END, CASE WHEN sure = 1 AND "primary" = 'TN01_01' THEN 'attack_indicators_vs_normal_candidate' END,
+    q AS (SELECT *, CASE WHEN best >= 6 AND margin >= 2 THEN 'strong' WHEN best >= 3 OR margin >= 1 THEN 'medium' ELSE 'weak' END AS strength FROM p),
+    z AS (SELECT * EXCLUDE (sure, ben, rep, php, plac), concat_ws(',', CASE WHEN margin < 15e-1 THEN 'low_score_margin' END, CASE WHEN strength = 'weak' THEN 'weak_evidence' END, CASE WHEN sure = 1 AND "primary" = 'TN01_01' THEN 'attack_indicators_vs_normal_candidate' END,
         CASE WHEN ben = 1 AND "primary" <> 'TN01_01' AND sure = 0 THEN 'benign_context_vs_attack_candidate' END, CASE WHEN rep = 1 AND score_TA11_02 > 0 THEN 'auth_service_repetition_counters_c2' END,
-        CASE WHEN php = 1 AND plac = 0 THEN 'generic_php_post_weak_implant_evidence' END) AS flag_names FROM q"""
+        CASE WHEN php = 1 AND plac = 0 THEN 'generic_php_post_weak_implant_evidence' END) AS flag_names FROM q)"""
+
+
+_CANDIDATES = f"WITH caps AS (SELECT capture_id, src_ip AS source, {_CAPS} FROM flow GROUP BY ALL), {scored('caps')} SELECT * FROM z"
 _TIER = "CASE WHEN k % 10 = 0 THEN 'synthetic' WHEN level = 'high' THEN 'strict' WHEN level = 'medium' THEN 'medium' ELSE 'weak' END"
 
+#: Suspicion of sessions, each rule written out.
+_SUSPECTS = """s AS (SELECT flow.*, greatest(same_src_unique_dst_ports, same_src_unique_dst_ips) >= 8 AS a, same_src_failed_conn_rate >= 5e-1 AS b, k % 17 = 0 AS c, k % 23 = 0 AS d, k % 11 = 0 AS e, k % 19 = 0 AND k > 0 AS f, k / 1e2 >= 5e-1 OR k % 29 = 0 AS g, k % 29 = 0 AS h FROM flow JOIN src USING (capture_id, src_ip)),
+    z AS (SELECT *, (least(15, floor(k + (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) / 4096)) + 55 * a::INT + 15 * b::INT + 50 * f::INT + 50 * g::INT + 48 * c::INT + 42 * d::INT + 22 * e::INT)::BIGINT AS suspicion, coalesce(nullif(concat_ws(',', CASE WHEN a THEN 'scan_high_fanout' END, CASE WHEN b THEN 'failed_connection_rate' END,
+        CASE WHEN f THEN 'auth_failures' END, CASE WHEN g THEN 'beacon_or_c2' END, CASE WHEN c THEN 'exploit_or_command_payload' END, CASE WHEN d THEN 'upload_or_multipart' END, CASE WHEN e THEN 'observable_payload' END), ''), 'benign_context') AS reasons FROM s),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id::VARCHAR) AS rank FROM z)"""
+
 ORACLES = {
     "attach_app_logs": duck("SELECT session_id, (CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN k % 6 = 0 THEN 1 ELSE 0 END)::BIGINT AS http_rows, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END::BIGINT AS dns_rows FROM flow"),
     "attach_files": duck("SELECT session_id, CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END::BIGINT AS files, k % 8 = 0 AS suspicious_file FROM flow"),
@@ -494,33 +519,38 @@ ORACLES = {
     "success_after_failure": duck(f"SELECT capture_id, src_ip AS uid, coalesce(max(session_id) FILTER ({_OK}) > min(session_id) FILTER ({FAILED}), false) AS success_after_failure, count(*) FILTER ({FAILED}) AS failures FROM flow GROUP BY ALL"),
     "merge_observables": duck("""SELECT a.*, seen FROM (SELECT capture_id, bool_or(k > 95) AS hit, sum(orig_bytes)::BIGINT AS body_len, max(duration) AS longest, arg_min(src_ip, session_id) AS first_source FROM flow GROUP BY ALL) a JOIN
         (SELECT capture_id, string_agg(v, ',' ORDER BY o, p) AS seen FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY o, p) AS r FROM (SELECT capture_id, v, min(o) AS o, arg_min(p, o) AS p FROM (SELECT capture_id, dst_port::VARCHAR AS v, session_id AS o, 0 AS p FROM flow UNION ALL SELECT capture_id, proto, session_id, 1 FROM flow) GROUP BY ALL)) WHERE r <= 12 GROUP BY capture_id) b USING (capture_id)"""),
-    "suspicion_rank": duck(f"""WITH {_SOURCE}, s AS (SELECT flow.*, same_src_unique_dst_ports >= 8 AS a, same_src_failed_conn_rate >= 0.5 AS b, k % 17 = 0 AS c, k % 23 = 0 AS d, k % 11 = 0 AS e FROM flow JOIN src USING (capture_id, src_ip)),
-        z AS (SELECT *, (least(15, floor(k + (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) / 4096)) + 55 * a::INT + 15 * b::INT + 48 * c::INT + 42 * d::INT + 22 * e::INT)::BIGINT AS suspicion, concat_ws(',', CASE WHEN a THEN 'scan' END, CASE WHEN b THEN 'failed_rate' END, CASE WHEN c THEN 'exploit' END, CASE WHEN d THEN 'upload' END, CASE WHEN e THEN 'payload' END) AS reasons FROM s)
-        SELECT capture_id, session_id, rank, suspicion, reasons FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id) AS rank FROM z) WHERE rank <= 8"""),
-    "payload_evidence": duck(f"""WITH {_SOURCE}, s AS (SELECT flow.*, (least(15, floor(k + (coalesce(orig_bytes, 0) + coalesce(resp_bytes, 0)) / 4096)) + 55 * (same_src_unique_dst_ports >= 8)::INT + 15 * (same_src_failed_conn_rate >= 0.5)::INT + 48 * (k % 17 = 0)::INT + 42 * (k % 23 = 0)::INT + 22 * (k % 11 = 0)::INT)::BIGINT AS suspicion FROM flow JOIN src USING (capture_id, src_ip)),
-        r AS (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY suspicion DESC, start_time NULLS LAST, session_id) AS rank FROM s), t AS (SELECT capture_id, rank, 0 AS f, 'Text ' || (k % 9) AS text FROM r WHERE k % 11 = 0 UNION ALL SELECT capture_id, rank, 1, event_type FROM r),
-        u AS (SELECT capture_id, lower(text) AS key, min(rank * 2 + f) AS o, arg_min(text, rank * 2 + f) AS text FROM t GROUP BY ALL) SELECT capture_id, place, text FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY o) AS place FROM u) WHERE place <= 5"""),
+    "suspicion_rank": duck(f"""WITH {_SOURCE}, {_SUSPECTS} SELECT capture_id, session_id, rank, suspicion, reasons, concat_ws(',', CASE WHEN c THEN 'exploit_indicators' END, CASE WHEN h THEN 'c2_indicators' END) AS active FROM ranked WHERE rank <= 8"""),
+    "payload_evidence": duck(f"""WITH {_SOURCE}, {_SUSPECTS}, t AS (SELECT capture_id, session_id, rank, 0 AS f, 'Text ' || (k % 9) AS text FROM ranked WHERE e UNION ALL SELECT capture_id, session_id, rank, 1, 'password=[REDACTED]' FROM ranked WHERE e UNION ALL SELECT capture_id, session_id, rank, 2, event_type FROM ranked),
+        u AS (SELECT capture_id, lower(text) AS key, min(rank * 3 + f) AS o, arg_min(text, rank * 3 + f) AS text, arg_min(session_id, rank * 3 + f)::VARCHAR AS source_record_id, arg_min(f, rank * 3 + f) AS f FROM t GROUP BY ALL)
+        SELECT capture_id, place, text, source_record_id, 'session' AS source_record_type, CASE WHEN f < 2 THEN 'suspicious_payload_snippets' ELSE 'event_type' END AS field FROM (SELECT *, row_number() OVER (PARTITION BY capture_id ORDER BY o) AS place FROM u) WHERE place <= 5"""),
     "repeated_auth_service": duck(f"""SELECT *, auth_rows >= 10 AND (auth_rows >= 20 OR busiest >= 10 OR short_or_failed >= 5) AS repeated FROM (SELECT capture_id, sum(n) FILTER (dst_port = 22)::BIGINT AS auth_rows, max(n) AS busiest, sum(s)::BIGINT AS short_or_failed
         FROM (SELECT capture_id, src_ip, dst_ip, dst_port, count(*) AS n, count(*) FILTER (dst_port = 22 AND ({FAILED} OR coalesce(resp_bytes, 0) = 0)) AS s FROM flow GROUP BY ALL) GROUP BY capture_id HAVING count(*) FILTER (dst_port = 22) > 0)"""),
     "candidate_scores": duck(_CANDIDATES),
     "capture_record": duck("""WITH r AS (SELECT capture_id, count(*) AS n, min(start_time) AS a, max(start_time) AS b, max(orig_bytes) AS m FROM flow WHERE k > 50 AND capture_id < 'cap6' GROUP BY ALL), s AS (SELECT capture_id, count(*) AS n, min(start_time) AS a, max(start_time) AS b, max(orig_bytes) AS m FROM flow GROUP BY ALL)
         SELECT s.capture_id, s.capture_id || '.pcap' AS file_name, s.n AS session_count, coalesce(r.n, 0) AS record_count, coalesce(r.a, s.a) AS first_time, coalesce(r.b, s.b) AS last_time, coalesce(r.m, s.m) AS max_bytes, CASE WHEN r.n IS NULL THEN 'sessions' ELSE 'records' END AS evidence FROM s LEFT JOIN r USING (capture_id)"""),
     "behaviour_summaries": duck(f"WITH {_SOURCE} SELECT capture_id, count(*) FILTER (same_src_unique_dst_ports >= 8) AS scan_rows, max(same_src_unique_dst_ports) AS max_ports, max(same_src_failed_conn_rate) AS max_failed_rate, count(*) FILTER (dst_port = 22) AS login_rows, count(*) FILTER (dst_port = 22 AND {FAILED}) AS login_failures, sum(CASE WHEN {FAILED} THEN orig_bytes ELSE 0 END)::BIGINT AS failed_bytes, count(*) FILTER (dst_port = 443) AS encrypted_rows FROM flow JOIN src USING (capture_id, src_ip) GROUP BY capture_id"),
-    "keyword_index": duck(f"SELECT token, chunk_id, count(*) AS tf FROM (SELECT chunk_id, unnest({_TOK.format('concat_ws(chr(32), title, category, keywords, text)')}) AS token FROM chunk) GROUP BY ALL"),
+    "keyword_index": duck(f"SELECT token, chunk_id, count(*) AS tf FROM (SELECT chunk_id, unnest({_TOK.format("concat_ws(chr(32), doc_id, title, category, keywords, array_to_string(attack_type, ' '), array_to_string(attack_stage, ' '), text)")}) AS token FROM chunk) GROUP BY ALL"),
     "retrieve_top_k": duck(f"{_RETRIEVED} SELECT * FROM ranked"),
     "query_terms": duck("""SELECT record_id, trim(concat_ws(' ', CASE WHEN k > 90 THEN 'port scan probe' END, CASE WHEN event_type = 'error' THEN CASE WHEN k > 90 THEN 'failed rejected' ELSE 'failed rejected probe' END END, CASE WHEN value > 10 THEN 'volume transfer' END, CASE WHEN k BETWEEN 20 AND 40 THEN 'callback c2 interval' END)) AS terms,
         NOT (k > 90 OR event_type = 'error' OR value > 10 OR k BETWEEN 20 AND 40) AS low_signal FROM record"""),
     "route_records": duck(f"""SELECT record_id, CASE WHEN reason = 'high_confidence_rule_candidate' THEN 'rule_direct' ELSE 'model' END AS route, reason FROM (SELECT record_id, CASE WHEN k % 50 = 0 THEN 'missing_primary_rule_candidate' WHEN truth = 'TN01_01' THEN 'normal_rule_direct_disabled'
         WHEN score < 7 THEN 'score_below_threshold' WHEN margin < 25e-1 THEN 'margin_below_threshold' WHEN {STRENGTH} <> 'strong' THEN 'evidence_strength_below_threshold' WHEN flags > 1 THEN 'too_many_conflicts' WHEN flags = 1 AND k % 3 = 0 THEN 'blocking_conflict_flag'
         ELSE 'high_confidence_rule_candidate' END AS reason FROM record WHERE record_id % 10 <> 0)"""),
-    "rule_direct_prediction": duck(f"""SELECT record_id, technique, split_part(technique, '_', 1) AS stage, round(least(greatest(78e-2 + least(greatest(score - 7, 0) * 15e-3, 7e-2) + least(greatest(margin - 25e-1, 0) * 15e-3, 5e-2)
+    "rule_direct_prediction": duck(f"""WITH c AS (SELECT *, [{CODES}] AS codes FROM record), p AS (SELECT *, CASE WHEN k % 50 > 0 THEN truth ELSE codes[list_sort(list_transform(range(1, 9), lambda i: [-(record_id * (i + 2) % 10), (codes[i] = 'TN01_01')::BIGINT, i]))[1][3]] END AS technique FROM c),
+        q AS (SELECT *, (record_id * (list_position(codes, technique) + 2) % 10)::DOUBLE AS own FROM p)
+        SELECT record_id, technique, split_part(technique, '_', 1) AS stage, round(least(greatest(78e-2 + least(greatest(own - 7, 0) * 15e-3, 7e-2) + least(greatest(margin - 25e-1, 0) * 15e-3, 5e-2)
         + CASE {STRENGTH} WHEN 'strong' THEN 4e-2 WHEN 'weak' THEN -8e-2 ELSE 0e0 END - CASE technique WHEN 'TN01_01' THEN 6e-2 ELSE 0e0 END, 55e-2), 9e-1), 4) AS confidence,
-        CASE k % 4 WHEN 0 THEN 'Rule scores favour ' || technique || '.' WHEN 1 THEN event_type ELSE event_type || '; seen twice' END AS reason FROM (SELECT *, CASE WHEN k % 50 = 0 THEN 'TN01_01' ELSE truth END AS technique FROM record)"""),
+        CASE k % 4 WHEN 0 THEN 'Rule scores favour ' || technique || '.' WHEN 1 THEN event_type ELSE event_type || '; seen twice' END AS reason FROM q"""),
     "merge_shards": duck("SELECT record_id % 1000 AS record_id, record_id % 7 AS shard, record_id AS attempt, plain_guess FROM record QUALIFY row_number() OVER (PARTITION BY record_id % 1000 ORDER BY record_id % 7 DESC, record_id DESC) = 1"),
-    "parse_predictions": duck("""SELECT record_id, CASE WHEN k % 5 > 1 AND k % 9 > 0 THEN truth END AS technique, CASE WHEN k % 5 > 1 AND k % 9 > 0 THEN split_part(truth, '_', 1) END AS stage, CASE WHEN k % 5 > 1 AND k % 13 > 0 THEN CASE level WHEN 'high' THEN 85e-2 WHEN 'medium' THEN 6e-1 ELSE 35e-2 END END AS confidence,
-        CASE WHEN k % 5 = 0 THEN 'many_objects' WHEN k % 5 = 1 THEN 'no_object' WHEN k % 9 = 0 THEN 'unknown_code' WHEN k % 13 = 0 THEN 'bad_confidence' END AS error FROM record"""),
-    "attach_context": duck("""WITH f AS (SELECT capture_id, min(session_id)::DOUBLE AS t FROM flow GROUP BY ALL), w AS (SELECT CASE WHEN session_id % 3 = 0 THEN session_id + 10000000 ELSE session_id END AS record_id, CASE WHEN session_id % 9 = 0 THEN 'gone' ELSE capture_id END AS capture_id FROM flow)
-        SELECT record_id, capture_id, CASE WHEN record_id < 10000000 THEN record_id::DOUBLE ELSE t END AS start_time, CASE WHEN record_id < 10000000 THEN 'record' WHEN t IS NOT NULL THEN 'capture' ELSE 'none' END AS context FROM w LEFT JOIN f USING (capture_id)"""),
+    "parse_predictions": duck("""WITH a AS (SELECT record_id, k, level, CASE k % 9 WHEN 0 THEN 'NONE' WHEN 1 THEN NULL ELSE truth END AS code FROM record),
+        b AS (SELECT *, CASE WHEN k % 4 = 0 THEN 'TA11' WHEN code = 'NONE' THEN 'NONE' ELSE split_part(code, '_', 1) END AS stage, CASE k % 13 WHEN 1 THEN 7124e-4 ELSE CASE level WHEN 'high' THEN 85e-2 WHEN 'medium' THEN 6e-1 ELSE 35e-2 END END AS sure FROM a),
+        c AS (SELECT *, CASE WHEN k % 5 = 0 THEN 'many_objects' WHEN k % 5 = 1 THEN 'no_object' WHEN coalesce(stage, 'NONE') = 'NONE' THEN 'bad_stage' WHEN code = 'NONE' THEN 'unknown_code' WHEN k % 7 = 0 THEN 'no_reason' WHEN k % 13 IN (0, 2) THEN 'bad_confidence' END AS error FROM b)
+        SELECT record_id, CASE WHEN error IS NULL THEN stage END AS stage, CASE WHEN error IS NULL THEN code END AS technique, CASE WHEN error IS NULL THEN coalesce(split_part(code, '_', 1) = stage, true) END AS consistent, CASE WHEN error IS NULL THEN sure END AS confidence, CASE WHEN error IS NULL THEN 'seen in flow' END AS reason, error FROM c"""),
+    "attach_context": duck("""WITH f AS (SELECT capture_id, min(session_id)::DOUBLE AS t, arg_min(src_ip, session_id) AS s FROM flow GROUP BY ALL),
+        w AS (SELECT session_id AS i, flow.capture_id AS own, src_ip AS ip, CASE WHEN session_id % 9 = 0 THEN 'gone' WHEN session_id % 6 <> 1 THEN flow.capture_id END AS capture_id, CASE WHEN session_id % 4 = 0 THEN 5e0 END AS start, CASE WHEN session_id % 5 = 0 THEN 'own.pcap' END AS name FROM flow),
+        j AS (SELECT w.*, f.t, f.s, i % 3 <> 0 AS found FROM w LEFT JOIN f USING (capture_id))
+        SELECT CASE WHEN found THEN i ELSE i + 10000000 END AS record_id, CASE WHEN found THEN coalesce(capture_id, own) ELSE capture_id END AS capture_id, coalesce(start, CASE WHEN found THEN i ELSE t END)::DOUBLE AS start_time, CASE WHEN found THEN ip ELSE s END AS src_ip,
+          CASE WHEN found THEN 'record' WHEN t IS NOT NULL THEN 'capture' ELSE 'none' END AS context, coalesce(name, nullif(CASE WHEN found THEN coalesce(capture_id, own) ELSE capture_id END, 'gone') || '.pcap') AS file_name FROM j"""),
     "representative_endpoint": duck("""WITH w AS (SELECT *, CASE WHEN technique = 'TA43_01' THEN 'scan' WHEN technique = 'TN01_01' THEN 'benign' ELSE 'session' END AS wanted FROM (CAPS)),
         e AS (SELECT ends.*, wanted, CASE WHEN src_ip = '1.1.1.1' THEN -120 WHEN src_ip = 'multiple' THEN -20 ELSE 45 END + CASE WHEN dst_ip = '2.2.2.2' THEN -120 WHEN dst_ip IS NULL THEN -20 WHEN dst_ip = 'host' THEN 5 ELSE 45 END
             + CASE WHEN src_port = 'multiple' THEN -4 ELSE 12 END + CASE WHEN dst_port IS NULL THEN -8 WHEN contains(dst_port, ',') THEN CASE WHEN wanted = 'scan' THEN 8 ELSE 2 END ELSE 12 END + CASE WHEN start_time IS NULL THEN 0 ELSE 4 END + CASE WHEN end_time IS NULL THEN 0 ELSE 4 END
@@ -553,7 +583,7 @@ ORACLES = {
         r AS (SELECT *, CASE WHEN predicted > 0 THEN correct / predicted ELSE 0 END AS p, CASE WHEN support > 0 THEN correct / support ELSE 0 END AS r FROM s) SELECT stage, support, predicted, correct, round(p, 4) AS precision, round(r, 4) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4) AS f1 FROM r"""),
     "paired_effect": duck("SELECT record_id, CASE WHEN context_guess = truth AND plain_guess <> truth THEN 'helpful' WHEN plain_guess = truth AND context_guess <> truth THEN 'harmful' WHEN plain_guess = truth THEN 'both_right' ELSE 'both_wrong' END AS effect, plain_guess = context_guess AS agree FROM record"),
     "scope_metrics": duck("SELECT scope, count(*) AS n, count(*) FILTER (ok) AS correct, round(avg(ok::INT), 4) AS accuracy FROM (SELECT unnest(list_filter(['all', CASE WHEN truth <> 'TN01_01' THEN 'attack' END, CASE WHEN score >= 5 THEN 'scored' END, CASE WHEN flags = 0 THEN 'clean' END], lambda x: x IS NOT NULL)) AS scope, truth = plain_guess AS ok FROM record) GROUP BY scope"),
-    "run_cost": duck("""SELECT s.*, retry, round((tokens_in * 3e-1 + tokens_out * 24e-1) / 1e6 * (1 + retry), 6) AS cost FROM (SELECT level AS mode, count(*) AS calls, sum(1000 + k)::BIGINT AS tokens_in, sum(50 + flags)::BIGINT AS tokens_out, round(avg(record_id % 997 / 100), 3) AS mean_latency,
+    "run_cost": duck("""SELECT s.* EXCLUDE (total), retry, round((tokens_in * 3e-1 + tokens_out * 24e-1) / 1e6 * (1 + retry), 6) AS cost, round(calls / total, 4) AS throughput, round(calls * mean_latency / 86400, 4) AS serial_days FROM (SELECT level AS mode, count(*) AS calls, sum(record_id % 997 / 100) AS total, sum(1000 + k)::BIGINT AS tokens_in, sum(50 + flags)::BIGINT AS tokens_out, round(avg(record_id % 997 / 100), 3) AS mean_latency,
         round(list_sort(list(record_id % 997 / 100))[greatest(floor(95e-2 * count(*))::INT - 1, 0) + 1], 3) AS p95_latency FROM record GROUP BY level) s, (VALUES (0e0), (1e-1), (2e-1)) v(retry)"""),
     "layer_retention": duck(" UNION ALL ".join(f"SELECT '{n}' AS layer, '{e}' AS evidence, count(*) AS rows, count(*) FILTER ({t}) AS with_evidence FROM flow WHERE {w}" for n, w in (("sessions", "true"), ("records", "k > 30")) for e, t in (("http", "dst_port = 80"), ("tls", "dst_port = 443"), ("failed", FAILED)))),
     "majority_flow_label": duck("""WITH f AS (SELECT session_id, src_ip AS a, src_port % 5 AS ap, dst_ip AS b, dst_port AS bp, event_type AS l, k FROM flow), lab AS (SELECT a, ap, b, bp, l FROM f WHERE k % 3 = 0 UNION ALL SELECT b, bp, a, ap, l FROM f WHERE k % 3 = 1), both_ways AS (SELECT * FROM lab UNION ALL SELECT b, bp, a, ap, l FROM lab),

@@ -8,7 +8,7 @@ from ..functions.text import JWT, LISTS, SECRET, SIGNATURES
 from ..operators import flags as G
 from ..operators import sessions as S
 from .session_queries import FAILED
-from .views import duck, flow, view
+from .views import duck, flow, view, visible
 
 #: Pages as sessions, with text of every family of attack in some of them.
 SEEN = """
@@ -92,7 +92,9 @@ _UP = f"({_hit('text', LISTS['upload'])} OR (is_orig = 'T' AND coalesce(filename
 _EXE, _SHELL, _GET = "coalesce(filename = 'a.exe', false)", _hit("text", LISTS["web_shell"]), _hit("text", SIGNATURES["download_command"])
 _FAIL = "(status IN (401, 403, 407) OR coalesce(ftp_code IN (430, 530), false))"
 _PASS = "(status BETWEEN 200 AND 299 OR coalesce(ftp_code = 230, false))"
-_URI = f"regexp_replace(regexp_replace(text, '{_q(SECRET)}', '\\1\\2[REDACTED]', 'g'), '{JWT}', '[REDACTED_JWT]', 'g')"
+_URI = f"regexp_replace(regexp_replace({visible('text')}, '{_q(SECRET)}', '\\1\\2[REDACTED]', 'g'), '{JWT}', '[REDACTED_JWT]', 'g')"
+
+_BLOB = "CASE WHEN length(u) > 320 THEN left(u, 306) || '...[truncated]' ELSE u END || ' ' || left(w, 32768)"
 
 _long = lambda rows: " UNION ALL ".join(f"SELECT capture_id, uid, '{c}' AS field, {at} AS side, ord, place, value FROM ({sql})" for c, at, sql in rows)
 _one = lambda column, source: f"SELECT capture_id, uid, ord, 0 AS place, ({column})::VARCHAR AS value FROM {source}"
@@ -107,7 +109,7 @@ def _firsts(rows, limits) -> str:
         firsts AS (SELECT capture_id, uid, {", ".join(f"coalesce(string_agg(value, ',' ORDER BY m) FILTER (field = '{c}'), '') AS {c}" for c in limits)} FROM r WHERE m <= CASE field {limit} END GROUP BY ALL)"""
 
 
-_RED = lambda c: f"regexp_replace(regexp_replace({c}, '{_q(SECRET)}', '\\1\\2[REDACTED]', 'g'), '{JWT}', '[REDACTED_JWT]', 'g')"
+_RED = lambda c: f"regexp_replace(regexp_replace({visible(c)}, '{_q(SECRET)}', '\\1\\2[REDACTED]', 'g'), '{JWT}', '[REDACTED_JWT]', 'g')"
 _CUT = lambda c, n: f"CASE WHEN length({_RED(c)}) > {n} THEN left({_RED(c)}, {n - 14}) || '...[truncated]' ELSE {_RED(c)} END"
 _HTTP_ROWS = [
     *((c, 0, _one(v, "logs")) for c, v in (("http_methods", "method"), ("http_hosts", "host"), ("http_uris_sample", _CUT("uri", 320)), ("http_full_uri_sample", _CUT("'http://' || host || uri", 320)), ("http_status_codes", "status_code"), ("http_user_agents", _CUT("user_agent", 180)), ("http_referrers", _CUT("referrer", 320)), ("http_content_types", _CUT("content_type", 120)))),
@@ -137,6 +139,6 @@ ORACLES = {
     "auth_flags": duck(f"""SELECT capture_id, uid, greatest(count(*) FILTER (login_path), max(ssh_attempts), count(*) FILTER (ftp_command = 'PASS')) AS session_auth_attempt_count, count(*) FILTER ({_FAIL}) AS failed_login_count, coalesce(max(ord) FILTER ({_PASS}) > min(ord) FILTER ({_FAIL}), false) AS success_after_failure,
         coalesce(bool_or(ftp_command = 'USER'), false) AS username_field_seen, coalesce(bool_or(ftp_command = 'PASS'), false) AS password_field_seen FROM seen GROUP BY ALL""", seen=SEEN),
     "http_observation": duck(f"""SELECT page_id, CASE WHEN method IS NOT NULL THEN 'request' ELSE 'response' END AS body_role, CASE WHEN length(u) > 320 THEN left(u, 306) || '...[truncated]' ELSE u END AS uri, status::BIGINT AS status_code, agents AS user_agent, page_id % 2 = 0 AS cookie_present, page_id % 3 = 0 AS auth_header_present, page_id % 5 <> 0 AS body_observed,
-        concat_ws(',', {", ".join(f"CASE WHEN regexp_matches(b, '{_q(p)}') THEN '{n}' END" for n, p in SIGNATURES.items())}) AS keywords FROM (SELECT *, {_URI} AS u, text || ' ' || CASE WHEN page_id % 5 <> 0 THEN text ELSE '' END AS b FROM seen)""", seen=SEEN),
+        concat_ws(',', {", ".join(f"CASE WHEN regexp_matches(b, '{_q(p)}') THEN '{n}' END" for n, p in SIGNATURES.items())}) AS keywords FROM (SELECT *, {visible(_BLOB)} AS b FROM (SELECT *, {_URI} AS u, CASE WHEN page_id % 5 <> 0 THEN text ELSE '' END AS w FROM seen))""", seen=SEEN),
     "visibility_summary": duck(f"SELECT capture_id, count(*) AS sessions, count(*) FILTER (dst_port IN (443, 22)) AS encrypted_records, count(*) FILTER ({FAILED}) AS failed FROM flow GROUP BY ALL"),
 }

@@ -10,7 +10,7 @@ from ..functions import text as X
 from ..functions import values as V
 from ..operators import context as C
 from ..operators import groups as G
-from .views import chunks, duck, flow, pages, wide
+from .views import chunks, duck, flow, pages, visible, wide
 
 DAY = 86400.0
 FAILED = "conn_state IN ('S0', 'REJ', 'RSTOS0', 'RSTRH', 'SH', 'SHR')"
@@ -275,7 +275,7 @@ ORACLES = {
     "packet_protocol": duck("SELECT session_id, CASE WHEN k % 3 = 0 OR k % 5 = 0 THEN 'tcp' WHEN k % 3 = 1 OR k % 5 = 1 THEN 'udp' ELSE 'icmp' END AS protocol FROM flow"),
     "traffic_rates": duck("SELECT session_id, CASE WHEN duration > 0 THEN round((orig_bytes + resp_bytes) / duration, 4) END AS rate FROM flow"),
     "uri_path": duck("SELECT page_id, split_part(split_part(url, '?', 1), '#', 1) AS path FROM page"),
-    "redact_text": f"SELECT doc_id, CASE WHEN length(t) > 4000 THEN left(t, 3986) || '...[truncated]' ELSE t END AS clean FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '{_RE(X.SECRET)}', '\\1\\2[REDACTED]', 'g'), '{X.JWT}', '[REDACTED_JWT]', 'g') AS t FROM documents)",
+    "redact_text": f"SELECT doc_id, CASE WHEN length(t) > 4000 THEN left(t, 3986) || '...[truncated]' ELSE t END AS clean FROM (SELECT doc_id, regexp_replace(regexp_replace({visible('text')}, '{_RE(X.SECRET)}', '\\1\\2[REDACTED]', 'g'), '{X.JWT}', '[REDACTED_JWT]', 'g') AS t FROM documents)",
     "match_signatures": duck("SELECT page_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(t, '{_RE(p)}') THEN '{n}' END" for n, p in X.SIGNATURES.items()) + ") AS names FROM (SELECT page_id, concat_ws(' ', url, html) AS t FROM page)"),
     "match_probe_lists": duck("SELECT page_id, " + ", ".join(f"regexp_matches(url, '{_RE(p)}') AS {n}" for n, p in X.LISTS.items()) + " FROM page"),
     "external_direction": duck("SELECT session_id, dst_ip NOT LIKE '10.%' AS external, dst_ip LIKE '10.%' AS dst_private FROM flow"),

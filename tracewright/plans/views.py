@@ -88,3 +88,9 @@ def duck(body: str, **views: str) -> str:
     if body.upper().startswith("WITH"):
         return f"WITH {joined}, {body[4:]}"
     return f"WITH {joined} {body}" if used else body
+
+
+def visible(column: str) -> str:
+    """DuckDB SQL of a text after one layer of URL decoding, without what can't be seen."""
+    plain = f"regexp_replace(url_decode(replace({column}, '+', ' ')), '[^\\x20-\\x7e\\x{{4e00}}-\\x{{9fff}}]+', ' ', 'g')"
+    return f"trim(regexp_replace({plain}, ' +', ' ', 'g'))"

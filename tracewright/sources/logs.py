@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 from ..functions.text import redact_sensitive_text
 
@@ -25,6 +30,11 @@ ALIASES = {
 }
 
 
+#: Names of fields that give labels away.
+HIDDEN = ("label", "truth", "answer", "technique_code", "stage_code", "label_quality", "label_source", "pcap_case", "case_id")
+HIDDEN_PREFIXES = ("expected_", "original_")
+
+
 def capture_of(path: Column) -> Column:
     """Capture id of a log's path: the folder names below ``captures`` joined by __, without zeek and logs."""
     folder = F.regexp_replace(F.regexp_extract(path, "captures/(.*)/[^/]*$", 1), "(^|/)(zeek|logs)$", "")
@@ -38,7 +48,7 @@ def read_tsv_log(spark: SparkSession, path: str, columns: tuple[str, ...] = CONN
     """
     lines = spark.read.text(path, wholetext=False).select("value", F.col("_metadata.file_path").alias("file_path"))
     names = lines.where("value like '#fields%'").groupBy("file_path").agg(F.min("value").alias("_h"))
-    names = names.select("file_path", F.slice(F.split(F.replace("_h", F.lit("."), F.lit("_")), "\t"), 2, 500).alias("_names"))
+    names = names.select("file_path", F.array_except(F.split(F.replace("_h", F.lit("."), F.lit("_")), "\t"), F.array(F.lit("#fields"))).alias("_names"))
     rows = lines.where("value not like '#%' and value <> ''").join(names, "file_path").withColumn("_cells", F.split("value", "\t"))
     cell = lambda c: F.when(F.array_position("_names", c) > 0, F.coalesce(F.get("_cells", (F.array_position("_names", c) - 1).cast("int")), F.lit("")))
     return rows.select("file_path", capture_of(F.col("file_path")).alias("capture_id"), *(cell(c).alias(c) for c in columns))
@@ -99,15 +109,43 @@ def redact_log_columns(log: DataFrame) -> DataFrame:
     return out
 
 
-def drop_label_columns(df: DataFrame, hidden: tuple[str, ...] = ("label", "truth", "answer", "technique_code", "stage_code")) -> DataFrame:
-    """``df`` without columns and struct fields of these names, at every depth of structs."""
+def drop_label_columns(df: DataFrame, hidden: tuple[str, ...] = HIDDEN, prefixes: tuple[str, ...] = HIDDEN_PREFIXES) -> DataFrame:
+    """``df`` without columns, struct fields and map entries of these names or prefixes, at every depth of structs, arrays and maps.
 
-    def clean(c: Column, kind) -> Column:
-        if not isinstance(kind, StructType):
-            return c
-        return F.struct(*(clean(c[f.name], f.dataType).alias(f.name) for f in kind if f.name not in hidden))
+    Null values stay null. A struct that has no other field goes with them.
+    """
+    gone = lambda name: name in hidden or name.startswith(prefixes)
+
+    def holds(kind: DataType) -> bool:
+        """Whether anything inside may have to go."""
+        if isinstance(kind, StructType):
+            return any(gone(f.name) or holds(f.dataType) for f in kind)
+        return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and holds(kind.elementType))
 
-    return df.select(*(clean(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema if f.name not in hidden))
+    def clean(c: Column, kind: DataType) -> Column | None:
+        if not holds(kind):
+            return c
+        if isinstance(kind, StructType):
+            parts = [(f.name, clean(c[f.name], f.dataType)) for f in kind if not gone(f.name)]
+            parts = [part.alias(name) for name, part in parts if part is not None]
+            return F.when(c.isNotNull(), F.struct(*parts)) if parts else None
+        if isinstance(kind, ArrayType):
+            return F.transform(c, lambda x: clean(x, kind.elementType)) if _left(kind.elementType) else None
+        named = F.map_filter(c, lambda k, _: ~(k.isin(*hidden) | _starts(k, prefixes))) if isinstance(kind.keyType, StringType) else c
+        return F.transform_values(named, lambda _, x: clean(x, kind.valueType)) if _left(kind.valueType) else named
+
+    def _left(kind: DataType) -> bool:
+        return not isinstance(kind, StructType) or any(not gone(f.name) and _left(f.dataType) for f in kind)
+
+    columns = [(f.name, clean(F.col(f"`{f.name}`"), f.dataType)) for f in df.schema if not gone(f.name)]
+    return df.select(*(c.alias(n) for n, c in columns if c is not None))
+
+
+def _starts(c: Column, prefixes: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for p in prefixes:
+        out = out | F.startswith(c, F.lit(p))
+    return out
 
 
 def parse_quality(parses: DataFrame) -> DataFrame:
@@ -115,7 +153,68 @@ def parse_quality(parses: DataFrame) -> DataFrame:
     return parses.where((F.size("warnings") > 0) | ~(F.col("logs_ok") | F.col("packets_ok")))
 
 
+def read_result_table(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("utf-8-sig", "gb18030")) -> DataFrame:
+    """CSV result tables under their logical names, as text: file_path and all fields of ALIASES, null where a file lacks one.
+
+    Each file has a header and an encoding of its own; the first of ``encodings`` that reads the whole
+    file is taken, the last one with replacements. Executors read the files through Spark and turn
+    one file at a time into rows; result tables are of a size that a task can hold. Cells are
+    trimmed; rows without any cell are left out.
+    """
+    names, last = list(ALIASES), encodings[-1]
+
+    def decoded(raw: bytes) -> str:
+        for e in encodings:
+            try:
+                return raw.decode(e)
+            except UnicodeDecodeError:
+                continue
+        return raw.decode(last, "replace")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                lines = csv.reader(io.StringIO(decoded(raw), newline=""))
+                have = {}
+                for i, h in enumerate(next(lines, [])):
+                    have.setdefault(normal_header(h), i)
+                at = [next((have[normal_header(a)] for a in ALIASES[n] if normal_header(a) in have), None) for n in names]
+                rows = [[r[i].strip() if i is not None and i < len(r) else None for i in at] for r in lines if any(c.strip() for c in r)]
+                for j in range(0, len(rows), 10_000):
+                    part = rows[j : j + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(part), pa.string()), *(pa.array([r[i] for r in part], pa.string()) for i in range(len(names)))], ["file_path", *names])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, ", ".join(f"{n} string" for n in ("file_path", *names)))
+
+
+def _json_arrays(df: DataFrame) -> DataFrame:
+    """One text column: the lines of one JSON array for each partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            if len(batch):
+                lines = [f"{before if i == 0 else ','} {x}" for i, x in enumerate(batch.column(0).to_pylist())]
+                before = ","
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"], pa.string())], ["value"])
+
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).mapInArrow(run, "value string")
+
+
 def write_tables(df: DataFrame, folder: str, form: str = "parquet", by: str | None = None) -> None:
-    """Write a result as parquet, json (one object a line) or csv with a header, in folders by a column if named."""
+    """Write a result, in folders by a column if named, a file for each task.
+
+    ``form``: parquet; json (one object a line); csv (with a header); csv-bom (the same, each file
+    beginning with a byte-order mark, so that spreadsheets read it as UTF-8); json-array (each file
+    one JSON array; in no folders).
+    """
+    if form == "json-array":
+        _json_arrays(df).write.mode("overwrite").text(folder)
+        return
+    if form == "csv-bom":  # the mark is part of the header, which every file begins with
+        first = next(c for c in df.columns if c != by)
+        df, form = df.select(first, *(c for c in df.columns if c != first)).withColumnRenamed(first, f"\ufeff{first}"), "csv"
     writer = df.write.mode("overwrite").option("header", True)
     (writer.partitionBy(by) if by else writer).format(form).save(folder)
