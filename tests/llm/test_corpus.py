@@ -194,7 +194,7 @@ def test_licenses_in_other_dress(spark):
 def test_licenses_as_in_files(spark):
     isc, mit = op6_licenses.KNOWN_LICENSES["ISC"], op6_licenses.KNOWN_LICENSES["MIT"]
     wrapped = isc.replace("above copyright notice", "above\ncopyright notice")
-    rows = [(1, "ISC License\n\nCopyright (c) 2004-2010 by Someone\n\n" + wrapped), (2, "# The MIT License (MIT)\n\nCopyright 2020 Someone\n" + mit), (3, "MIT License"), (4, "Copyright 1999 A. B.\n" + op6_licenses.MORE_LICENSES["BSD-3-Clause"])]
+    rows = [(1, "ISC License\n\nCopyright (c) 2004-2010 by Someone\n\n" + wrapped), (2, "# The MIT License (MIT)\n\nCopyright 2020 Someone\n" + mit), (3, "MIT License"), (4, "Copyright 1999 A. B.\n" + op6_licenses.KNOWN_LICENSES["BSD-3-Clause"])]
     rows += [(5, "Copyright law is a long story that the year 2020 did not end, " + "as the courts say again and again " * 9)]
     found = op6_licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), op6_licenses.built_in(spark)).collect()
     assert {r.doc_id: r.license for r in found} == {1: "ISC", 2: "MIT", 3: None, 4: "BSD-3-Clause", 5: None}

@@ -35,8 +35,7 @@ _BSD_3 = """
 """
 _BSD_END = """
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
-#: Known texts that the SQL form lacks.
-MORE_LICENSES = {"BSD-2-Clause": _BSD_2 + _BSD_END, "BSD-3-Clause": _BSD_2 + _BSD_3 + _BSD_END}
+KNOWN_LICENSES |= {"BSD-2-Clause": _BSD_2 + _BSD_END, "BSD-3-Clause": _BSD_2 + _BSD_3 + _BSD_END}
 KNOWN_STATEMENTS = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -44,19 +43,27 @@ KNOWN_STATEMENTS = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
 EQUIVALENT = (("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("favour", "favor"), ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("whilst", "while"), ("wilful", "willful"), ("fulfilment", "fulfillment"))
-#: A line that only states who holds the copyright: it names a year or holder and is short. Wrapped
-#: licence prose that starts with the word stays. Lower case.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright(?=[^\n]*(?:\b(?:19|20)[0-9]{2}\b|\(c\)|©|\byear\b)|:? by )|\(c\)|©)[^\n]{0,120}$"
-#: A heading with the licence's name above the text. Lower case.
-TITLE_LINE = r'^[\s#*=-]*+(?:the )?(?:mit|isc|0bsd|(?:zero|[0-3])[ -]clause bsd|bsd (?:zero|[0-3])[ -]clause|bsd)(?: "[^"\n]*"(?: or "[^"\n]*")*)? licen[cs]e(?: \([^)\n]*\))?[ \t\r:*=-]*+\n(?=\s*+\S)'
-#: The SQL form takes every line that starts with the word.
-SQL_COPYRIGHT_LINE = r"(?m)^[^A-Za-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+#: A line that only states who holds the copyright: a mark, a year or "by" follows the word, or a year
+#: ends the line. Wrapped licence prose that starts with the word stays. Lower case.
+COPYRIGHT_LINE = (
+    r"(?m)^[^a-z0-9\n]*(?:copyright[ \t:,.]*(?:\(c\)|©|(?:19|20)[0-9]{2}\b|[\[<{(]?year\b|by )[^\n]*|copyright [^\n]*\b(?:19|20)[0-9]{2}[^a-z0-9\n]*(?:all rights reserved[^a-z0-9\n]*)?"
+    r"|(?:\(c\)|©)[^\n]*|all rights reserved[^a-z0-9\n]*)$"
+)
+#: A heading with the licence's name above the text, up to the first character of what follows. Lower case.
+TITLE_LINE = r'^[\s#*=-]*(?:the )?(?:mit|isc|0bsd|(?:zero|[0-3])[ -]clause bsd|bsd (?:zero|[0-3])[ -]clause|bsd)(?: "[^"\n]*"(?: or "[^"\n]*")*)? licen[cs]e(?: \([^)\n]*\))?[ \t\r:*=-]*\n\s*([^ \t\r\n\f])'
+#: Quotes, dashes and blanks beyond ASCII; they count as those of ASCII.
+TYPOGRAPHIC = "\u00a0\u00ab\u00bb\u2000-\u206f\u3000\ufeff"
+MARKS = {"\u201c": '"', "\u201d": '"', "\u00a0": " ", "\ufeff": " "}
 
 
 def canonical(text: Column) -> Column:
-    """Lower case without heading, copyright lines, punctuation and repeated blanks, equivalent words spelled alike. Null: empty."""
-    lower = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), TITLE_LINE, ""), COPYRIGHT_LINE, "")
-    words = F.trim(F.regexp_replace(lower, r"[\x00-/:-@\[-`{-\x7f]+", " "))
+    """Lower case without heading, copyright lines, punctuation and repeated blanks, equivalent words spelled alike. Null: empty.
+
+    Punctuation is that of ASCII and its typographic forms, blanks any. A line that reserves all rights counts as a copyright line.
+    """
+    lower = F.translate(F.lower(F.coalesce(text, F.lit(""))), "".join(MARKS), "".join(MARKS.values()))
+    lower = F.regexp_replace(F.regexp_replace(lower, TITLE_LINE, "$1"), COPYRIGHT_LINE, "")
+    words = F.trim(F.regexp_replace(lower, rf"[\x00-/:-@\[-`{{-\x7f{TYPOGRAPHIC}]+", " "))
     return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), EQUIVALENT, words)
 
 
@@ -70,7 +77,7 @@ def known_digests(licenses: DataFrame) -> DataFrame:
 
 
 def built_in(spark: SparkSession) -> DataFrame:
-    rows = [*KNOWN_LICENSES.items(), *MORE_LICENSES.items(), *KNOWN_STATEMENTS.items()]
+    rows = [*KNOWN_LICENSES.items(), *KNOWN_STATEMENTS.items()]
     return spark.createDataFrame(rows, "license string, text string")
 
 
@@ -101,7 +108,9 @@ def _sql() -> str:
     def text(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    out = rf"trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '{SQL_COPYRIGHT_LINE}', '', 'g'), '[\x00-/:-@\[-`{{-\x7f]+', ' ', 'g'))"
+    lower = f"translate(lower(coalesce(text, '')), {text(''.join(MARKS))}, {text(''.join(MARKS.values()))})"
+    plain = f"regexp_replace(regexp_replace({lower}, {text(TITLE_LINE)}, '\\1'), {text(COPYRIGHT_LINE)}, '', 'g')"
+    out = rf"trim(regexp_replace({plain}, '[\x00-/:-@\[-`{{-\x7f{TYPOGRAPHIC}]+', ' ', 'g'))"
     for a, b in EQUIVALENT:
         if a != b:
             out = f"replace({out}, '{a}', '{b}')"
