@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
-from tracewright.llm import op11_centroids, op12_importance, op13_collisions, queries
+from tracewright.llm import op6_licenses, op11_centroids, op12_importance, op13_collisions, queries
 
 QUERIES = queries.queries()
 LONG = " ".join(f"w{i % 977}é" for i in range(30_000))
@@ -193,3 +193,55 @@ def test_pairs_that_agree_in_fewer_coordinates_are_rare():
         hashes = rng.integers(0, 2**63, 200, dtype=np.uint64)
         a, b = op13_collisions.signature(hashes[:185]), op13_collisions.signature(hashes[15:])  # 170 of 200
         assert (a == b).sum() >= low
+
+
+def test_runs_in_two_threads_keep_their_tables(spark):
+    """Each run removes its own tables only, and a loop only the one that it names."""
+    import threading
+
+    from tracewright.llm.common import cut, scratch
+
+    ready, over, found = threading.Barrier(2), threading.Barrier(2), {}
+
+    def run(name):
+        try:
+            with scratch(spark):
+                first = cut(spark.range(10))
+                ready.wait(60)
+                second = cut(first.where("id > 3"), instead_of=first)
+                over.wait(60)
+                found[name] = second.count()
+        except Exception as e:  # noqa: BLE001
+            found[name] = e
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert found == {0: 6, 1: 6}
+    outside = cut(spark.range(3))
+    with scratch(spark):
+        inside = cut(outside)
+    assert outside.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        inside.count()
+
+
+def test_licenses_in_typographic_dress(spark):
+    """As Spark and as DuckDB read them: quotes, blanks and marks beyond ASCII, reserved rights, long copyright lines."""
+    import duckdb
+
+    mit, bsd = op6_licenses.KNOWN_LICENSES["MIT"], op6_licenses.KNOWN_LICENSES["BSD-2-Clause"]
+    curly = mit.replace('"Software"', "\u201cSoftware\u201d").replace('"AS IS"', "\u201cAS IS\u201d")
+    rows = [
+        (1, curly), (2, mit.replace("free of charge", "free\u00a0of\u00a0charge")), (3, "\ufeff" + mit), (4, "Copyright (c) 2020, Someone\nAll rights reserved.\n\n" + bsd), (5, "Copyright The Authors of a Very Long Name " + "and Sons " * 30 + "2020\n" + mit),
+        (6, "\ufeffMIT License\n\n\u00a9 2020 Someone\n" + mit), (7, "copyright notice and terms of 2020 hold here\n" + mit), (8, "All rights reserved. Really.\n" + mit), (9, "All rights reserved."), (10, "MIT License\n\n"), (11, "BSD 2-Clause License\n\n" + bsd.replace("\n", "\r\n")), (None, None),
+    ]
+    want = {1: "MIT", 2: "MIT", 3: "MIT", 4: "BSD-2-Clause", 5: "MIT", 6: "MIT", 7: None, 8: None, 9: None, 10: None, 11: "BSD-2-Clause", None: None}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op6_licenses.scan(docs, op6_licenses.built_in(spark)).collect()
+    assert {r.doc_id: r.license for r in got} == want
+    documents = docs.toPandas()  # noqa: F841
+    sql = duckdb.sql(op6_licenses.ORACLE_SQL).fetchall()
+    assert sorted(((r[1], r[2]) for r in sql), key=str) == sorted(((r.digest, r.license) for r in got), key=str)

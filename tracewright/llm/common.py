@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Folders of the tables that ``cut`` has written, in order.
-_WRITTEN: list[str] = []
+#: Folders of the tables that ``cut`` has written since the innermost ``scratch`` of this thread began.
+_RUN: ContextVar[list[str] | None] = ContextVar("run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,17 +39,26 @@ def shared_folder(spark: SparkSession) -> str:
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from its files.
 
-    The table knows nothing of the plan that made it, so loops stay cheap to plan. It stays until
-    ``scratch`` ends or ``discard`` is called, as later steps may read it again.
+    The table knows nothing of the plan that made it, so loops stay cheap to plan. It lies in the
+    application's own folder until the ``scratch`` around it ends, if there is one, as later steps
+    may read it again. A loop that only needs its last table names the one before: ``instead_of``
+    is a DataFrame that ``cut`` returned, and its files go once the new ones are written.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    spark, run = df.sparkSession, _RUN.get()
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if run is not None:
+        run.append(path)
+    if instead_of is not None:
+        discard(spark, instead_of._cut_path)
+        if run is not None and instead_of._cut_path in run:
+            run.remove(instead_of._cut_path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -57,21 +67,17 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def discard_previous(spark: SparkSession) -> None:
-    """Remove the table that ``cut`` wrote before its last one, for loops that only need the last."""
-    discard(spark, _WRITTEN.pop(-2))
-
-
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that ``cut`` writes inside are removed at the end; results must be written by then."""
-    start = len(_WRITTEN)
+    """Tables that ``cut`` writes inside, in this thread, are removed at the end; results must be written by then."""
+    run: list[str] = []
+    token = _RUN.set(run)
     try:
         yield
     finally:
-        for path in _WRITTEN[start:]:
+        _RUN.reset(token)
+        for path in run:
             discard(spark, path)
-        del _WRITTEN[start:]
 
 
 def utf8_size(text: Column) -> Column:

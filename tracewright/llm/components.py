@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, discard_previous
+from .common import cut
 
 #: Copies of each node's minimum in a join; a hub's edges are dealt over as many keys, and AQE splits further.
 SALTS = 8
@@ -40,8 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = _least_neighbour(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _least_neighbour(large)
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = cut(small.where("u <> v").distinct())
-        discard_previous(edges.sparkSession)
+        now = cut(small.where("u <> v").distinct(), instead_of=now)
         if (after := _state(now)) == state:
             break
         state = after
