@@ -177,34 +177,33 @@ def test_scan_record_hints_at_probes(spark):
     assert group_records.scan_members(groups.scan_episodes(make([]))).count() == 10
 
 
-def scores(spark, rows):
-    """Scored capture of JSON rows."""
-    df = spark.read.json(spark.sparkContext.parallelize([json.dumps({"capture_id": "c", "record_type": "session"} | r) for r in rows]))
-    return evidence.scored_captures(df).first()
-
-
 def test_scores_from_rows(spark):
-    exploit = scores(spark, [{"suspicious_payload_snippets": ["cmd=whoami"], "exploit_indicators": {"command_injection": True}}])
+    cases = {
+        "exploit": [{"suspicious_payload_snippets": ["cmd=whoami"], "exploit_indicators": {"command_injection": True}}],
+        "beacon": [{"record_type": "c2_callback_group", "payload_visibility": "encrypted_tls", "dst_port": 4430, "c2_indicators": {"periodic_connections": True, "fixed_remote_endpoint": True}}],
+        "miner": [{"http_uris_sample": ["/miner/ping?id=abcd1234&hashrate=600000"], "http_user_agents": ["ethminer/0.19.0"], "http_content_types": ["application/json"]}],
+        "auth": [{"src_ip": "10.0.0.5", "dst_ip": "10.0.0.9", "dst_port": 3306, "resp_pkts": 0, "resp_bytes": 0, "same_src_same_dst_port_count": 24, "c2_indicators": {"periodic_connections": True}} for _ in range(24)],
+        "sensitive": [{"http_methods": ["HEAD"], "http_uris_sample": ["/App_Data/db.mdb"], "http_status_codes": [502]}],
+        "post": [{"http_methods": ["POST"], "suspicious_payload_snippets": ["POST /search?q=;id"], "exploit_indicators": {"command_injection": True}, "implant_indicators": {"payload_delivery_hint": True}}],
+        "encoded": [{"suspicious_payload_snippets": ["base64 AAAABBBBCCCCDDDDEEEEFFFFGGGGHHHH"]}],
+        "update": [{"http_hosts": ["cdn.steamcontent.com"], "http_uris_sample": ["/depot/123/chunk/abcdef"], "http_user_agents": ["Valve/Steam HTTP Client"], "suspicious_payload_snippets": ["binary chunk data"]}],
+        "shell": [{"http_uris_sample": ["/shell.php?cmd=whoami"], "suspicious_http_parameters": ["cmd=whoami"], "exploit_indicators": {"command_injection": True}}],
+        "placed": [{"http_multipart_present": True, "http_upload_hints": ["/admin/upload filename=shell.php"], "implant_indicators": {"webshell_filename": True}}],
+        "weak": [{"http_methods": ["POST"], "http_uris_sample": ["/chuli.php"]}],
+    }
+    lines = [json.dumps({"capture_id": name, "record_type": "session"} | r) for name, rows in cases.items() for r in rows]
+    got = {r.capture_id: r for r in evidence.scored_captures(spark.read.json(spark.sparkContext.parallelize(lines))).collect()}
+    exploit, beacon, miner, auth, sensitive, post, encoded, update, shell, placed, weak = (got[n] for n in cases)
     assert exploit.score_TA01_02 > exploit.score_TN01_01
-    beacon = scores(spark, [{"record_type": "c2_callback_group", "payload_visibility": "encrypted_tls", "dst_port": 4430, "c2_indicators": {"periodic_connections": True, "fixed_remote_endpoint": True}}])
     assert beacon.score_TA11_02 > beacon.score_TN01_01
-    miner = scores(spark, [{"http_uris_sample": ["/miner/ping?id=abcd1234&hashrate=600000"], "http_user_agents": ["ethminer/0.19.0"], "http_content_types": ["application/json"]}])
     assert miner.score_TA11_02 > miner.score_TN01_01
-    auth = scores(spark, [{"src_ip": "10.0.0.5", "dst_ip": "10.0.0.9", "dst_port": 3306, "resp_pkts": 0, "resp_bytes": 0, "same_src_same_dst_port_count": 24, "c2_indicators": {"periodic_connections": True}} for _ in range(24)])
     assert auth.score_TA01_01 > auth.score_TA11_02
-    sensitive = scores(spark, [{"http_methods": ["HEAD"], "http_uris_sample": ["/App_Data/db.mdb"], "http_status_codes": [502]}])
     assert sensitive.score_TA43_02 > sensitive.score_TN01_01
-    post = scores(spark, [{"http_methods": ["POST"], "suspicious_payload_snippets": ["POST /search?q=;id"], "exploit_indicators": {"command_injection": True}, "implant_indicators": {"payload_delivery_hint": True}}])
     assert post.score_TA01_02 > post.score_TA03_01
-    encoded = scores(spark, [{"suspicious_payload_snippets": ["base64 AAAABBBBCCCCDDDDEEEEFFFFGGGGHHHH"]}])
     assert encoded.score_TN01_01 >= encoded.score_TA01_02
-    update = scores(spark, [{"http_hosts": ["cdn.steamcontent.com"], "http_uris_sample": ["/depot/123/chunk/abcdef"], "http_user_agents": ["Valve/Steam HTTP Client"], "suspicious_payload_snippets": ["binary chunk data"]}])
     assert update.score_TN01_01 > update.score_TA01_02 and any("download/chunk" in x.reason for x in update.counter_evidence if x.code == "TA01_02")
-    shell = scores(spark, [{"http_uris_sample": ["/shell.php?cmd=whoami"], "suspicious_http_parameters": ["cmd=whoami"], "exploit_indicators": {"command_injection": True}}])
     assert shell.score_TA11_01 > shell.score_TA01_02
-    placed = scores(spark, [{"http_multipart_present": True, "http_upload_hints": ["/admin/upload filename=shell.php"], "implant_indicators": {"webshell_filename": True}}])
     assert placed.score_TA03_01 > placed.score_TA01_02
-    weak = scores(spark, [{"http_methods": ["POST"], "http_uris_sample": ["/chuli.php"]}])
     assert "generic_php_post_weak_implant_evidence" in weak.flag_names and weak.score_TA03_01 < 1.0
 
 
@@ -228,9 +227,8 @@ def test_model_answers_in_their_own_form(spark):
         "plain": good, "no stage": {k: v for k, v in good.items() if k != "stage_code"}, "no technique": good | {"technique_guess": None}, "legacy": {"record_id": "r1", "predicted_code": "ta01_01", "confidence": 0.4, "reason": " a  b "},
         "apart": good | {"technique_guess": "TA01_01"}, "no reason": good | {"reason": " "}, "unknown": good | {"technique_guess": "XX"}, "stage": good | {"stage_code": "??"}, "sure": good | {"confidence": 2}, "other": good | {"record_id": "r2"}, "nested": good | {"meta": {}},
     }
-    rows = [("r1", n, json.dumps(a)) for n, a in answers.items()] + [("r1", "think", "<THINK>{\"a\": 1}</Think>" + json.dumps(good)), ("r1", "none", None)]
-    df = spark.createDataFrame(rows, "record_id string, name string, response string")
-    got = {n: predictions.parse_predictions(df.where(F.col("name") == n)).first() for n in [*answers, "think", "none"]}
+    named = {n: json.dumps(a | ({"record_id": n} if a["record_id"] == "r1" else {})) for n, a in answers.items()} | {"think": "<THINK>{\"a\": 1}</Think>" + json.dumps(good | {"record_id": "think"}), "none": None}
+    got = {r.record_id: r for r in predictions.parse_predictions(spark.createDataFrame(list(named.items()), "record_id string, response string")).collect()}
     assert (got["plain"].stage, got["plain"].technique, got["plain"].confidence, got["plain"].consistent, got["plain"].error) == ("TA11", "TA11_02", 0.85, True, None)
     assert got["no stage"].stage == "TA11" and got["think"].technique == "TA11_02" and (got["no technique"].technique, got["no technique"].consistent, got["no technique"].error) == (None, True, None)
     assert (got["legacy"].technique, got["legacy"].stage, got["legacy"].confidence, got["legacy"].reason) == ("TA01_01", "TA01", 0.4, "a b") and got["apart"].consistent is False
@@ -245,17 +243,21 @@ def test_fields_of_a_prediction_win(spark):
 
 
 def test_query_rows_of_groups_and_chains(spark):
-    make = lambda **r: spark.read.json(spark.sparkContext.parallelize([json.dumps({"record_id": "r", **r})]))
-    vuln = query_rules.query_rows(make(http_uris_sample=[f"/p{i}" for i in range(4)] + ["/phpmyadmin"], http_status_codes=["404"] * 5, http_user_agents=["Nikto/2.1"], vuln_scan_indicators={"cve_probe_hint": False})).first()
+    cases = {
+        "vuln": dict(http_uris_sample=[f"/p{i}" for i in range(4)] + ["/phpmyadmin"], http_status_codes=["404"] * 5, http_user_agents=["Nikto/2.1"], vuln_scan_indicators={"cve_probe_hint": False}),
+        "chain": dict(exploit_indicators={"command_injection": True}, implant_indicators={"upload": True}, backdoor_access_indicators={"shell": True}),
+        "auth": dict(record_type="auth_attempt_group", auth_protocol="ftp", failed_login_count=5, attempt_rate=0.5),
+        "quiet": dict(record_type="session", proto="tcp", orig_pkts=1),
+        "whole": dict(record_type="pcap", top_rule_candidates=[{"technique": "TA43_01"}, {"technique": "TA43_02"}]),
+    }
+    lines = [json.dumps({"record_id": n, **r}) for n, r in cases.items()]
+    got = {r.record_id: r for r in query_rules.query_rows(spark.read.json(spark.sparkContext.parallelize(lines)), {"TA43_01": ("port_scan", "fanout")}).collect()}
+    vuln, chain, auth, quiet, whole = (got[n] for n in cases)
     assert {"uri_fanout=positive", "http_404_rate=positive", "scanner_user_agent=positive", "cve_or_probe_path=positive"} <= set(vuln.triggers)
     assert vuln.targeted_docs[:2] == ["boundary_ta43_01_vs_ta43_02", "observable_vulnerability_scan_indicators"]
-    chain = query_rules.query_rows(make(exploit_indicators={"command_injection": True}, implant_indicators={"upload": True}, backdoor_access_indicators={"shell": True})).first()
     assert "ta01_02_vs_ta03_01_vs_ta11_01" in chain.confusion_groups and {"observable_exploit_upload_access_sequence", "observable_exploit_indicator_mapping", "observable_file_upload_and_implant_hints", "observable_backdoor_access_vs_callback", "competition_backdoor_implant_access_callback_boundary"} <= set(chain.targeted_docs)
-    auth = query_rules.query_rows(make(record_type="auth_attempt_group", auth_protocol="ftp", failed_login_count=5, attempt_rate=0.5)).first()
     assert auth.matched_rules[0] == "auth_attempt_group:TA01_01_boundary" and {"ftp", "5", "failed_login_count"} <= set(auth.terms) and "auth_timing=positive" in auth.triggers and not auth.low_signal
-    quiet = query_rules.query_rows(make(record_type="session", proto="tcp", orig_pkts=1)).first()
     assert quiet.low_signal and quiet.matched_rules == ["low_volume_no_behavior_pattern:TN01_01"] and quiet.query.startswith("official competition code session-level classification session tcp orig_pkts=1")
-    whole = query_rules.query_rows(make(record_type="pcap", top_rule_candidates=[{"technique": "TA43_01"}, {"technique": "TA43_02"}]), {"TA43_01": ("port_scan", "fanout")}).first()
     assert whole.triggers[0] == "top_rule_candidates=positive" and whole.targeted_docs[0] == "boundary_ta43_01_vs_ta43_02" and {"whole PCAP", "port_scan", "fanout"} <= set(whole.terms)
     assert len(set(map(str.lower, whole.terms))) == len(whole.terms)
 
@@ -391,3 +393,29 @@ def test_scopes_overlap_and_failures_have_classes(spark):
     assert got["rag", "external_high_flow"][:2] == (1, 1) and got["rag", "pcap/session-derived"][0] == 3 and got["rag", "synthetic_controlled"][5] == 1.0 and got["no_rag", "external_low"][:3] == (1, 0, 0.0)
     split = {(r.mode, r.scope, r.technique): r.total for r in evaluation.answer_metrics(spark.createDataFrame(rows, schema), by_class=True).collect()}
     assert split["rag", "coverage all", "B"] == 2
+
+
+def test_packets_give_durations_and_services(spark):
+    from tracewright.operators import sessions
+
+    schema = "capture_id string, stream int, ord long, ts double, src_ip string, src_port int, dst_ip string, dst_port int, proto string, bytes long, syn boolean, ack boolean, protocol string"
+    rows = [("c", 1, 1, 1.0, "a", 1, "b", 80, "tcp", 10, True, False, "TCP"), ("c", 1, 2, 3.25, "a", 1, "b", 80, "tcp", 10, False, False, "HTTP"), ("c", 2, 3, 5.0, "a", 2, "b", 53, "udp", 10, True, False, "DNS"), ("c", 3, 4, 6.0, "a", 3, "b", 80, "tcp", 1, True, True, "TCP")]
+    got = {r.src_port: (r.duration, r.service, r.conn_state) for r in sessions.sessions_from_packets(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: (2.25, "http", "S0"), 2: (0.0, "dns", None), 3: (0.0, None, None)}
+    methods = spark.createDataFrame([(True, "five_tuple"), (True, "none"), (False, "stream"), (False, "five_tuple"), (False, "none")], "logged boolean, method string")
+    assert [tuple(r[0]) for r in methods.select(sessions.evidence_mapping(F.col("logged"), F.col("method"))).collect()] == [("zeek_uid+bidirectional_five_tuple", "high"), ("zeek_uid", "high"), ("tcp_stream", "high"), ("bidirectional_five_tuple", "medium"), ("none", "not_applicable")]
+
+
+def test_labels_refer_to_codes(spark):
+    labels = ["flow=From-Botnet-V42-TCP-CC1", "flow=From-Normal-V42", "flow=Background-UDP", "other", None]
+    got = [tuple(r[0]) for r in spark.createDataFrame([(x,) for x in labels], "label string").select(curation.label_reference(F.col("label"))).collect()]
+    assert got == [("TA11_02", "ctu_botnet_like", "high"), ("TN01_01", "ctu_normal_like", "medium"), ("TN01_01", "ctu_background_like", "low"), (None, "unknown", "unknown"), (None, "unknown", "unmatched")]
+    flows = spark.createDataFrame([("a", "b", 80, "tcp", labels[0])] * 4 + [("a", "b", 80, "tcp", "flow=From-Botnet-V42-TCP-CC2")] * 2 + [("a", "b", 80, "tcp", labels[1])] * 9 + [("a", "c", 80, "tcp", labels[1])] * 9, "src_ip string, dst_ip string, dst_port int, proto string, label string")
+    ends = spark.createDataFrame([("a", "b", 80, "tcp", 5, 0.5, "high"), ("a", "c", 80, "tcp", 5, 0.5, "high"), ("a", "b", 81, "tcp", 5, 0.5, "weak")], "src_ip string, dst_ip string, dst_port int, proto string, connections int, score double, tier string")
+    assert [(r.dst_ip, r.labels, r.primary_label) for r in curation.endpoint_label_join(ends, flows).collect()] == [("b", 6, labels[0])]
+
+
+def test_verdicts_name_where_evidence_is_lost(spark):
+    rows = [(layer, e, n, w) for e, counts in {"body": ((30, 25), (9, 3), (9, 0), (5, 0)), "http": ((30, 30), (9, 9), (9, 9), (5, 5)), "dns": ((30, 0), (9, 0), (9, 0), (5, 0)), "tls": ((30, 4), (9, 2), (0, 0), (5, 1)), "ftp": ((30, 20), (9, 1), (9, 1), (5, 1))}.items() for layer, (n, w) in zip(("raw", "cards", "records", "prompts"), counts, strict=True)]
+    out = evaluation.retention_verdicts(spark.createDataFrame(rows, "layer string, evidence string, rows long, with_evidence long"), ("raw", "cards", "records", "prompts")).collect()
+    assert {r.evidence: (r.verdict, r.lost_after) for r in out} == {"body": ("possible_loss", "cards"), "http": ("kept", None), "dns": ("absent", None), "tls": ("not_assessed", None), "ftp": ("sparse", None)}

@@ -24,11 +24,38 @@ def majority_flow_label(records: DataFrame, labels: DataFrame) -> DataFrame:
     return records.join(best, list(ends), "left").select(records.columns + [F.col("label").alias("flow_label"), F.coalesce("n", F.lit(0)).alias("label_rows")])
 
 
+#: What public flow labels say: code, family and how sure they are; and what makes a label explicit.
+LABEL_REFERENCES = (("From-Botnet", "TA11_02", "ctu_botnet_like", "high"), ("From-Normal", "TN01_01", "ctu_normal_like", "medium"), ("Background", "TN01_01", "ctu_background_like", "low"))
+EXPLICIT_START, EXPLICIT_PART = "flow=From-Botnet", "-TCP-CC"
+
+
+def label_reference(label: Column) -> Column:
+    """(reference_code, reference_family, reference_quality) of a public flow label; null is unmatched, other labels are unknown."""
+    part = lambda i, other: F.coalesce(*(F.when(label.contains(r[0]), F.lit(r[i])) for r in LABEL_REFERENCES), other)
+    quality = F.when(label.isNull(), "unmatched").otherwise(part(3, F.lit("unknown")))
+    return F.struct(part(1, F.lit(None).cast("string")).alias("reference_code"), part(2, F.lit("unknown")).alias("reference_family"), quality.alias("reference_quality"))
+
+
+def is_explicit(label: Column) -> Column:
+    """Whether a label names a botnet's control connection."""
+    return F.coalesce(label.startswith(EXPLICIT_START) & label.contains(EXPLICIT_PART), F.lit(False))
+
+
 def endpoint_label_join(endpoints: DataFrame, labels: DataFrame, min_labels: int = 5, min_connections: int = 5, min_score: float = 0.45) -> DataFrame:
-    """Endpoints of ``(src_ip, dst_ip, dst_port, proto, connections, score)`` with enough explicit labels, connections and score."""
+    """Endpoints of ``(src_ip, dst_ip, dst_port, proto, connections, score)`` with enough explicit labels, connections and score.
+
+    With a column ``label``, only explicit labels count, and ``primary_label`` is the most frequent one
+    (ties: label in order). With a column ``tier``, only endpoints of the high tier stay.
+    """
     keys = ["src_ip", "dst_ip", "dst_port", "proto"]
-    counted = labels.groupBy(*keys).agg(F.count("*").alias("labels")).where(F.col("labels") >= min_labels)
-    return endpoints.where((F.col("connections") >= min_connections) & (F.col("score") >= min_score)).join(counted, keys)
+    if "label" in labels.columns:
+        each = labels.where(is_explicit(F.col("label"))).groupBy(*keys, "label").agg(F.count("*").alias("n"))
+        counted = each.groupBy(*keys).agg(F.sum("n").alias("labels"), F.min_by("label", F.struct((-F.col("n")).alias("m"), "label")).alias("primary_label"))
+    else:
+        counted = labels.groupBy(*keys).agg(F.count("*").alias("labels"))
+    fit = endpoints.where((F.col("connections") >= min_connections) & (F.col("score") >= min_score))
+    fit = fit.where("tier = 'high'") if "tier" in endpoints.columns else fit
+    return fit.join(counted.where(F.col("labels") >= min_labels), keys)
 
 
 def refresh_records(records: DataFrame, updates: DataFrame, flow_only: Column) -> DataFrame:

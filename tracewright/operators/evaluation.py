@@ -107,11 +107,12 @@ def scope_metrics(rows: DataFrame, scopes: dict[str, Column]) -> DataFrame:
 TIERS = ("external_high_pcap", "external_high_flow", "external_medium", "external_low", "synthetic_controlled")
 
 
-def confidence_level(rows: DataFrame) -> Column:
-    """The tier of a record: its own, else by how sure its label is and whether it is a flow only."""
+def confidence_level(rows: DataFrame, synthetic: tuple[str, ...] = ()) -> Column:
+    """The tier of a record: its own, else synthetic for the named datasets, else by how sure its label is and whether it is a flow only."""
     own = F.nullif(F.trim("confidence_level"), F.lit("")) if "confidence_level" in rows.columns else F.lit(None).cast("string")
     sure = F.col("label_confidence")
-    return F.coalesce(own, F.when((sure == "high") & (F.col("record_type") == "flow_only"), TIERS[1]).when(sure == "high", TIERS[0]).when(sure == "medium", TIERS[2]).otherwise(TIERS[3]))
+    made = F.when(F.col("dataset_id").isin(*synthetic), TIERS[4]) if synthetic else F.lit(None).cast("string")
+    return F.coalesce(own, made, F.when((sure == "high") & (F.col("record_type") == "flow_only"), TIERS[1]).when(sure == "high", TIERS[0]).when(sure == "medium", TIERS[2]).otherwise(TIERS[3]))
 
 
 def failure_class(guess: Column, error: Column) -> Column:
@@ -178,3 +179,31 @@ def layer_retention(layers: dict[str, DataFrame], tests: dict[str, Column]) -> D
         one = one.select(F.lit(name).alias("layer"), "rows", pairs).select("layer", "p.evidence", "rows", "p.with_evidence")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def retention_verdicts(retention: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """(evidence, verdict, lost_after) of ``layer_retention`` rows over layers in ``order``, the first being the raw one.
+
+    Verdicts: ``kept`` where every layer that has rows still shows the evidence; ``possible_loss`` where one that
+    has rows shows none though a layer before did, ``lost_after`` naming the last that did; ``not_assessed`` where a layer
+    after the evidence has no rows at all; ``absent`` where the first layer shows none; ``sparse`` where the first
+    shows it in 20 rows or more and no layer after it in more than one.
+    """
+    place = F.array_position(F.array(*map(F.lit, order)), F.col("layer"))
+    layers = F.array_sort(F.collect_list(F.struct(place.alias("at"), "layer", "rows", F.col("with_evidence").alias("n"))))
+    rows = retention.where(F.col("layer").isin(*order)).groupBy("evidence").agg(layers.alias("l"))
+    begin = F.struct(F.lit(None).cast("string").alias("last"), F.lit(None).cast("string").alias("lost"), F.lit(False).alias("blind"))
+
+    def step(s: Column, x: Column) -> Column:
+        seen, gap = x["n"] > 0, (x["rows"] > 0) & (x["n"] == 0) & s["last"].isNotNull()
+        return F.struct(
+            F.when(seen, x["layer"]).otherwise(s["last"]).alias("last"), F.coalesce(s["lost"], F.when(gap, s["last"])).alias("lost"), (s["blind"] | ((x["rows"] == 0) & s["last"].isNotNull())).alias("blind"),
+        )
+
+    rows = rows.withColumn("s", F.aggregate("l", begin, step))
+    later = F.aggregate(F.slice("l", 2, len(order)), F.lit(0).cast("long"), lambda a, x: F.greatest(a, x["n"]))
+    verdict = (
+        F.when(F.col("l")[0]["n"] == 0, "absent").when(F.col("s.lost").isNotNull(), "possible_loss").when(F.col("s.blind"), "not_assessed")
+        .when((F.col("l")[0]["n"] >= 20) & (later <= 1), "sparse").otherwise("kept")
+    )
+    return rows.select("evidence", verdict.alias("verdict"), F.when(F.col("l")[0]["n"] > 0, F.col("s.lost")).alias("lost_after"))

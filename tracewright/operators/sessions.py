@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import first_values
@@ -39,7 +39,9 @@ def sessions_from_packets(packets: DataFrame) -> DataFrame:
     """Sessions of ``packets(capture_id, stream, ord, ts, src_ip, src_port, dst_ip, dst_port, proto, bytes, syn, ack)``.
 
     A session is a stream or, without one, a direction-free 5-tuple. Its first packet sets the
-    direction. S0: a SYN and no ACK; else SF.
+    direction. S0: TCP with a SYN and no ACK; else the state is unknown (null). ``duration`` has 6
+    digits. With a column ``protocol``, ``service`` is the first one in order that is neither TCP nor UDP, in
+    lower case; else null.
     """
     key = F.coalesce(F.concat(F.lit("s"), F.col("stream").cast("string")), canonical_key(F.col("src_ip"), F.col("src_port"), F.col("dst_ip"), F.col("dst_port"), F.col("proto")))
     rows = packets.withColumn("key", key)
@@ -47,11 +49,15 @@ def sessions_from_packets(packets: DataFrame) -> DataFrame:
     heads = rows.groupBy("capture_id", "key").agg(first.alias("h"))
     both = rows.join(heads, ["capture_id", "key"])
     out = (F.col("src_ip") == F.col("h.src_ip")) & (F.col("src_port") == F.col("h.src_port"))
+    name = F.lower(F.col("protocol")) if "protocol" in packets.columns else F.lit(None).cast("string")
+    service = F.min(F.when(~name.isin("", "tcp", "udp"), F.struct("ts", "ord", name.alias("name"))))["name"]
     return both.groupBy("capture_id", "key", "h").agg(
         F.min("ts").alias("start_time"), F.max("ts").alias("end_time"), F.count_if(out).alias("orig_pkts"), F.count_if(~out).alias("resp_pkts"),
         F.sum(F.when(out, F.col("bytes")).otherwise(0)).alias("orig_bytes"), F.sum(F.when(out, F.lit(0)).otherwise(F.col("bytes"))).alias("resp_bytes"),
-        F.when((F.count_if(F.col("syn")) > 0) & (F.count_if(F.col("ack")) == 0), "S0").otherwise("SF").alias("conn_state"),
-    ).select("capture_id", "key", "h.*", "start_time", "end_time", "orig_pkts", "resp_pkts", "orig_bytes", "resp_bytes", "conn_state")
+        F.when((F.count_if(F.col("syn")) > 0) & (F.count_if(F.col("ack")) == 0), "S0").alias("conn_state"), service.alias("service"),
+    ).select(
+        "capture_id", "key", "h.*", "start_time", "end_time", F.round(F.col("end_time") - F.col("start_time"), 6).alias("duration"), "orig_pkts", "resp_pkts", "orig_bytes", "resp_bytes", F.when(F.col("h.proto") == "tcp", F.col("conn_state")).alias("conn_state"), "service",
+    )
 
 
 def packet_fallback(sessions: DataFrame, packets: DataFrame) -> DataFrame:
@@ -60,6 +66,17 @@ def packet_fallback(sessions: DataFrame, packets: DataFrame) -> DataFrame:
     return sessions.withColumn("origin", F.lit("log")).unionByName(sessions_from_packets(missing).withColumn("origin", F.lit("packets")), allowMissingColumns=True)
 
 
+def evidence_mapping(logged: Column, method: Column) -> Column:
+    """(method, confidence) of a session's HTTP evidence: by uid where the log has rows, plus how observations were mapped (``map_observations``).
+
+    Streams and uids are high, 5-tuples medium. Names are fixed values.
+    """
+    how = F.when(method == "stream", "tcp_stream").when(method == "five_tuple", "bidirectional_five_tuple")
+    name = F.when(logged, F.concat_ws("+", F.lit("zeek_uid"), how)).otherwise(F.coalesce(how, F.lit("none")))
+    sure = F.when(name.startswith("zeek_uid") | (name == "tcp_stream"), "high").when(name == "bidirectional_five_tuple", "medium").otherwise("not_applicable")
+    return F.struct(name.alias("method"), sure.alias("confidence"))
+
+
 def map_observations(observations: DataFrame, streams: DataFrame, sessions: DataFrame) -> DataFrame:
     """Observations with the session they belong to: by stream first, else by 5-tuple; ``method`` says how.
 
