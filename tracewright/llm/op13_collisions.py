@@ -135,7 +135,10 @@ class Merge:
         k, item, node, n = (rows.column(c).to_numpy() for c in ("k", "item", "node", "n"))
         side = rows.column("side").to_numpy(zero_copy_only=False)
         part = rows.column("part").to_numpy() if "part" in rows.column_names else node
-        sets = rows.column("set").combine_chunks() if "set" in rows.column_names else None
+        exact = "set" in rows.column_names
+        sets = _views(rows.column("set").combine_chunks()) if exact else []
+        # a pair meets under every value that both post; it is compared under the first of them only
+        before = [frozenset(x for x in xs if x < i) for xs, i in zip(rows.column("items").to_pylist(), item.tolist(), strict=True)] if exact else []
         sig = _fixed(rows.column("sig").combine_chunks())
         names, place = np.unique(node, return_inverse=True)
         parts, label = np.unique(part, return_inverse=True)
@@ -156,12 +159,12 @@ class Merge:
                     x, y = own[x], other[y]
                     fits = (root[label[x]] != root[label[y]]) & (100 * np.minimum(n[x], n[y]) >= self.percent * np.maximum(n[x], n[y]))
                     x, y, count = x[fits], y[fits], count[fits]
-                    if sets is not None:
+                    if exact:
                         keep = []
-                        for at in np.argsort(-count, kind="stable").tolist():
-                            u, v = root[label[x[at]]], root[label[y[at]]]
-                            if u != v and alike(*(np.frombuffer(sets[z].as_py(), dtype=np.uint64) for z in (int(x[at]), int(y[at]))), self.percent):
-                                root[root == max(u, v)] = min(u, v)
+                        for at, (u, v) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+                            if root[label[u]] != root[label[v]] and before[u].isdisjoint(before[v]) and alike(sets[u], sets[v], self.percent):
+                                a, b = root[label[u]], root[label[v]]
+                                root[root == max(a, b)] = min(a, b)
                                 keep.append(at)
                         x, y, count = x[keep], y[keep], count[keep]
                     else:
@@ -195,6 +198,13 @@ class Merge:
             yield edges(pa.Table.from_batches(held).combine_chunks())
 
 
+def _views(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a binary column, each where it lies."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    values = np.frombuffer(column.buffers()[2], dtype=np.uint8)
+    return [values[a:b].view(np.uint64) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Roots after joining the places a and b."""
     while len(left := np.flatnonzero(root[a] != root[b])):
@@ -209,11 +219,12 @@ def _merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def candidate_links(posted: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) with the same components as all links of ``posted(item, f, node)``.
 
-    ``about(node, n, sig, ...)`` has sizes and signatures as bytes; with ``set`` too, links are
-    exact, with ``part``, nodes of one part have none. Edges may repeat.
+    ``about(node, n, sig, ...)`` has sizes and signatures as bytes; with ``set`` and ``items`` (all
+    that the node is posted under) too, links are exact, with ``part``, nodes of one part have none.
+    Edges may repeat.
     """
     dealt = _dealt(posted).join(about, "node")
-    columns = ["k", "item", "side", "node", "n", "sig", *(c for c in ("part", "set") if c in about.columns)]
+    columns = ["k", "item", "side", "node", "n", "sig", *(c for c in ("part", "set", "items") if c in about.columns)]
     rows = dealt.select(columns).repartition("k").sortWithinPartitions("k", "item")
     return rows.mapInArrow(Merge(percent).run, "a long, b long").distinct()
 
@@ -298,8 +309,9 @@ def groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     # only postings that reach several of these pieces can add a link
     met = posted.drop("f").join(inside, "node")
     several = met.groupBy("item").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count("*").alias("f")).where("p <> q")
-    again = met.join(several.select("item", "f"), "item").select("item", "f", "node")
-    whole = about.join(inside, "node").join(sets, "node")
+    again = cut(met.join(several.select("item", "f"), "item").select("item", "f", "node"))
+    lists = again.groupBy("node").agg(F.collect_list("item").alias("items"))  # no more than a node posts
+    whole = about.join(inside, "node").join(sets, "node").join(lists, "node")
     merged = components(drawn_together(contracted(candidate_links(again, whole, percent), pieces))).select(F.col("node").alias("part"), "root")
     return parted.join(merged, "part", "left").select("node", F.coalesce("root", "part").alias("root"))
 
