@@ -17,7 +17,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "4g")
+        SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -95,6 +95,15 @@ def trim_value(text: Column, limit: int, mark: str = "...[truncated]") -> Column
     return F.when(F.length(text) > limit, F.concat(F.left(text, F.lit(max(0, limit - len(mark)))), F.lit(mark))).otherwise(text)
 
 
+def trim_list(values: Column, limit: int, most: int = 12, least: int = 80, mark: str = "...[truncated]") -> Column:
+    """The first ``most`` texts of an array, ``limit`` characters dealt among them (``least`` each at least), and how many more there are."""
+    shown = F.slice(values, 1, most)
+    room = F.greatest(F.lit(least), F.floor(F.lit(limit) / F.greatest(F.size(shown), F.lit(1))).cast("int"))
+    cut = F.transform(shown, lambda t: F.when(F.length(t) > room, F.concat(F.left(t, room - len(mark)), F.lit(mark))).otherwise(t))
+    more = F.size(values) - most
+    return F.when(more > 0, F.concat(cut, F.array(F.concat(F.lit("...["), more.cast("string"), F.lit(" more]"))))).otherwise(cut)
+
+
 def compact_text(text: Column, limit: int) -> Column:
     """White space collapsed; past ``limit`` cut and closed with one full stop."""
     one = F.trim(F.regexp_replace(text, "\\s+", " "))

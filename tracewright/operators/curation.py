@@ -66,6 +66,19 @@ def refresh_records(records: DataFrame, updates: DataFrame, flow_only: Column) -
     return out.withColumns({"evidence": F.when(use, F.col("_new")).otherwise(F.col("evidence")), "refreshed": use}).drop("_new")
 
 
+def missing_keys(records: DataFrame, updates: DataFrame, key: str = "record_id") -> DataFrame:
+    """(side, key) of the keys that only one side has: records without an update, updates without a record."""
+    only = lambda a, b, side: a.select(key).distinct().join(b.select(key).distinct(), key, "left_anti").select(F.lit(side).alias("side"), key)
+    return only(records, updates, "records").unionByName(only(updates, records, "updates"))
+
+
+def boundary_documents(ranked: DataFrame, rules: DataFrame) -> DataFrame:
+    """(record_id, docs): the documents of each record's ranked rules (``boundary_rule_join``) in order, each once; ``rules(rule_id, docs)``."""
+    listed = ranked.join(rules.select("rule_id", F.posexplode("docs").alias("at", "doc")), "rule_id")
+    firsts = listed.groupBy("record_id", "doc").agg(F.min(F.struct("place", "at")).alias("first"))
+    return firsts.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("first", "doc"))), lambda x: x["doc"]).alias("docs"))
+
+
 def boundary_rule_join(records: DataFrame, rules: DataFrame, limit: int = 6) -> DataFrame:
     """(record_id, place, rule_id): rules that share two candidates or more first, then those that share one; at most ``limit``.
 

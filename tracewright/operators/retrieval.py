@@ -59,6 +59,12 @@ def keyword_index(chunks: DataFrame, fields: tuple[str, ...] = ("doc_id", "title
     return chunks.select("chunk_id", F.explode(tokenize(text)).alias("token")).groupBy("token", "chunk_id").agg(F.count("*").alias("tf"))
 
 
+def index_totals(index: DataFrame) -> DataFrame:
+    """One row over ``keyword_index``: different tokens, chunks with any token, postings and occurrences."""
+    tokens = index.groupBy("token").agg(F.count("*").alias("n"), F.sum("tf").alias("tf")).agg(F.count("*").alias("tokens"), F.sum("n").alias("postings"), F.sum("tf").alias("occurrences"))
+    return tokens.join(F.broadcast(index.select("chunk_id").distinct().agg(F.count("*").alias("chunks"))))  # one row each
+
+
 #: What a query's tokens and a chunk must hold for extra score, and how much.
 METADATA_BONUS = (
     ("arrays_overlap(tokens, array('port_scan', 'scan'))", "array_contains(attack_type, 'port_scan') OR array_contains(attack_stage, 'reconnaissance')", 2),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import detail_queries, evidence_queries, flag_queries, session_queries
+from . import detail_queries, evidence_queries, file_queries, flag_queries, session_queries
 
-PARTS = (session_queries, evidence_queries, flag_queries, detail_queries)
+PARTS = (session_queries, evidence_queries, flag_queries, detail_queries, file_queries)
 
 
 def queries() -> dict:
