@@ -508,7 +508,7 @@ ORACLES = {
     "attach_files": duck("SELECT session_id, CASE WHEN k % 4 = 0 THEN 1 ELSE 0 END::BIGINT AS files, k % 8 = 0 AS suspicious_file FROM flow"),
     "sessions_from_packets": duck(f"""WITH {_PK}, h AS (SELECT DISTINCT ON (capture_id, key) capture_id, key, src_ip AS a, src_port AS ap, dst_ip AS b, dst_port AS bp, proto AS p FROM pk ORDER BY capture_id, key, ord)
         SELECT capture_id, key, a AS src_ip, ap AS src_port, b AS dst_ip, bp AS dst_port, p AS proto, min(ord)::DOUBLE AS start_time, max(ord)::DOUBLE AS end_time, count(*) FILTER (src_ip = a AND src_port = ap) AS orig_pkts, count(*) FILTER (NOT (src_ip = a AND src_port = ap)) AS resp_pkts,
-        sum(CASE WHEN src_ip = a AND src_port = ap THEN bytes ELSE 0 END)::BIGINT AS orig_bytes, sum(CASE WHEN src_ip = a AND src_port = ap THEN 0 ELSE bytes END)::BIGINT AS resp_bytes, CASE WHEN p = 'tcp' AND bool_or(syn) AND NOT bool_or(ack) THEN 'S0' END AS conn_state, (max(ord) - min(ord))::DOUBLE AS duration, arg_min(CASE k % 3 WHEN 1 THEN 'http' ELSE 'dns' END, ord) FILTER (k % 3 > 0) AS service FROM pk JOIN h USING (capture_id, key) GROUP BY ALL"""),
+        sum(CASE WHEN src_ip = a AND src_port = ap THEN bytes ELSE 0 END)::BIGINT AS orig_bytes, sum(CASE WHEN src_ip = a AND src_port = ap THEN 0 ELSE bytes END)::BIGINT AS resp_bytes, CASE WHEN any_value(p) = 'tcp' AND bool_or(syn) AND NOT bool_or(ack) THEN 'S0' END AS conn_state, (max(ord) - min(ord))::DOUBLE AS duration, arg_min(CASE k % 3 WHEN 1 THEN 'http' ELSE 'dns' END, ord) FILTER (k % 3 > 0) AS service FROM pk JOIN h USING (capture_id, key) GROUP BY ALL"""),
     "packet_fallback": duck(f"WITH {_PK} SELECT capture_id, 'log' AS origin, count(*) AS sessions FROM flow WHERE capture_id NOT IN ('cap3', 'cap5') GROUP BY ALL UNION ALL SELECT capture_id, 'packets', count(DISTINCT key) FROM pk WHERE capture_id IN ('cap3', 'cap5') GROUP BY ALL"),
     "map_observations": duck("""WITH st AS (SELECT capture_id, user_id AS stream, min(session_id) AS s FROM flow WHERE k % 3 = 0 GROUP BY ALL), ky AS (SELECT capture_id, src_ip || '|' || dst_ip AS key, min(session_id) AS s FROM flow GROUP BY ALL)
         SELECT f.session_id AS observation, coalesce(st.s, ky.s) AS session_id, CASE WHEN st.s IS NOT NULL THEN 'stream' WHEN ky.s IS NOT NULL THEN 'five_tuple' ELSE 'none' END AS method FROM flow f LEFT JOIN st ON st.capture_id = f.capture_id AND st.stream = CASE WHEN k % 2 = 0 THEN user_id ELSE -1 END LEFT JOIN ky ON ky.capture_id = f.capture_id AND k % 5 <> 1 AND ky.key = src_ip || '|' || dst_ip"""),

@@ -63,7 +63,7 @@ def write_json_arrays(spark, d):
     """Every file is one array; read whole, they hold all rows."""
     folder = _folder(spark)
     L.write_tables(records(spark, d).select("record_id", F.when(F.col("k") % 3 > 0, F.col("truth")).alias("truth")), folder, "json-array")
-    files = spark.read.option("wholetext", True).text(folder)
+    files = spark.read.text(folder, wholetext=True)
     return files.select(F.explode(F.from_json("value", "array<struct<record_id:long,truth:string>>")).alias("x")).select("x.*")
 
 
