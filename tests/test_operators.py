@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from tracewright.functions import text, values
-from tracewright.operators import capture, context, groups, predictions, retrieval
+from tracewright.operators import capture, context, evidence, groups, predictions, retrieval
 from tracewright.sources import logs
 
 FLOW = "session_id long, capture_id string, src_ip string, dst_ip string, dst_port int, proto string, conn_state string, start_time double, duration double, orig_bytes long, resp_bytes long"
@@ -147,7 +147,7 @@ def test_pairs_feed_their_sessions(spark):
 
 
 def test_one_json_object(spark):
-    rows = [(1, '<think>{"x":1}</think>{"record_id":"1","technique":"TA01_01","confidence":"high"}'), (2, "none"), (3, '{"a":{}} {"b":1}'), (4, '{"record_id":"5","technique":"TA01_01"}'), (5, None)]
+    rows = [(1, '<think>{"x":1}</think>{"record_id":"1","technique_guess":"TA01_01","confidence":"high","reason":"r"}'), (2, "none"), (3, '{"a":{}} {"b":1}'), (4, '{"record_id":"5","technique":"TA01_01"}'), (5, None)]
     out = {r.record_id: (r.technique, r.confidence, r.error) for r in predictions.parse_predictions(spark.createDataFrame(rows, "record_id long, response string")).collect()}
     assert out[1] == ("TA01_01", 0.85, None)
     assert [out[i][2] for i in (2, 3, 4, 5)] == ["no_object", "many_objects", "wrong_id", "no_object"]
@@ -221,7 +221,7 @@ def test_shards_are_disjoint_and_complete(spark):
 def test_evidence_comes_from_all_rows_and_is_redacted(spark):
     rows = [("c", i, i, 50, "Same text") for i in range(60)] + [("c", 60, 60, 1, "GET /?password=hunter2"), ("c", 61, 61, 0, "GET /?password=other3"), ("c", 62, 62, 0, "Last")]
     scored = spark.createDataFrame(rows, "capture_id string, session_id long, start_time long, packets long, payload_text string").withColumns({c: F.lit(0) for c in ("orig_bytes", "resp_bytes")})
-    got = capture.payload_evidence(capture.suspicion_scores(scored), ["payload_text"]).orderBy("place").collect()
+    got = evidence.payload_evidence(evidence.suspicion_scores(scored.withColumnRenamed("packets", "orig_pkts")), ("payload_text",)).orderBy("place").collect()
     assert [r.text for r in got] == ["Same text", "GET /?password=[REDACTED]", "Last"]
 
 
