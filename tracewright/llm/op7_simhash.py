@@ -29,7 +29,7 @@ CELL_BITS = 16
 #: Fingerprints of one group value that one task compares; more are cut into blocks.
 BLOCK, BLOCKS = 512, 16
 #: Rows and bytes that a task holds at once, comparisons and sketch tests that it makes at once.
-ROWS_AT_ONCE, BYTES_AT_ONCE, PAIRS_AT_ONCE, TESTS_AT_ONCE = 300_000, 48_000_000, 1_000_000, 200_000
+ROWS_AT_ONCE, BYTES_AT_ONCE, PAIRS_AT_ONCE, TESTS_AT_ONCE = 150_000, 24_000_000, 500_000, 100_000
 #: Min-hashes of a sketch, four bits each; odd multipliers that make them out of one hash.
 MINS = 64
 FACTORS = np.random.default_rng(64).integers(2**62, size=MINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
