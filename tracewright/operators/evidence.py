@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, NumericType, StringType, StructType
 
 from ..functions.aggregates import first_values, frequent_values
-from ..functions.text import MINER, SENSITIVE_PATH, redact_sensitive_text
+from ..functions.text import MINER, SENSITIVE_PATH, has, redact_sensitive_text
 from ..functions.values import is_failed
 
 #: The six indicators, and the fields that hold payload texts, in order.
@@ -210,16 +210,16 @@ def capture_inputs(rows: DataFrame, strict: bool = False) -> DataFrame:
     on_login_port = _no(port.isin(*LOGIN_PORTS))
     short = _no(is_failed(r.text("conn_state"))) | (r.number("resp_pkts") == 0) | (r.number("resp_bytes") == 0)
     said = rows.withColumn("_said", F.concat(value_text(rows), F.lit(" ")))  # no text ends the row
-    post = _any([F.exists(r.list("http_methods"), lambda m: F.upper(m) == "POST"), F.col("_said").rlike(r"\bPOST\b")])
+    post = _any([F.exists(r.list("http_methods"), lambda m: F.upper(m) == "POST"), has(F.col("_said"), r"\bPOST\b")])
     most = lambda n, test: F.max(F.when(test, n))
     out = said.groupBy("capture_id").agg(
         most(fan, scan).cast("long").alias("port_fanout"), F.count_if(scan).alias("scan_rows"), F.round(most(r.number("failed_conn_rate", "same_src_failed_conn_rate"), scan), 4).alias("failed_rate"),
         *(F.count_if(r.positive(c)).alias(n) for n, c in (("vulnerability", "vuln_scan_indicators"), ("exploit", "exploit_indicators"), ("auth_rows", "auth_indicators"), ("implant", "implant_indicators"), ("backdoor", "backdoor_access_indicators"), ("callback", "c2_indicators"))),
         (F.count_if(r.filled("suspicious_payload_snippets")) + F.count_if(_any([r.filled(c) for c in PAYLOADS]))).alias("payload"),
         F.coalesce(F.sum(F.when(login, r.number("failed_login_count"))), F.lit(0.0)).cast("long").alias("login_failures"), F.coalesce(most(r.number("attempt_count"), login), F.lit(0.0)).cast("long").alias("login_attempts"),
-        *(F.bool_or(_no(F.col("_said").rlike(p))).alias(n) for n, p in (("sensitive_path", SENSITIVE_PATH), ("web_shell", WEB_SHELL), ("command", COMMAND), ("miner", MINER), ("benign", BENIGN))),
-        F.bool_or(r.flag("http_multipart_present") | r.filled("http_upload_hints") | r.filled("transferred_files_summary") | _no(F.col("_said").rlike(PLACEMENT))).alias("placement"),
-        F.bool_or(post & _no(F.col("_said").rlike(PHP_PAGE))).alias("php_post"), F.bool_or(beacon).alias("beacon"), F.bool_or(encrypted).alias("encrypted"),
+        *(F.bool_or(_no(has(F.col("_said"), p))).alias(n) for n, p in (("sensitive_path", SENSITIVE_PATH), ("web_shell", WEB_SHELL), ("command", COMMAND), ("miner", MINER), ("benign", BENIGN))),
+        F.bool_or(r.flag("http_multipart_present") | r.filled("http_upload_hints") | r.filled("transferred_files_summary") | _no(has(F.col("_said"), PLACEMENT))).alias("placement"),
+        F.bool_or(post & _no(has(F.col("_said"), PHP_PAGE))).alias("php_post"), F.bool_or(beacon).alias("beacon"), F.bool_or(encrypted).alias("encrypted"),
         F.count_if(on_login_port).alias("_logins"), F.max(r.number("same_src_same_dst_port_count")).alias("_same"), F.count_if(on_login_port & short).alias("_short"),
     )
     repeated = (F.col("_logins") >= 10) & ((F.col("_logins") >= 20) | (F.col("_same") >= 10) | (F.col("_short") >= 5))

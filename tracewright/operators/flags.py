@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import first_values
-from ..functions.text import LISTS, SIGNATURES, decode_visible_text, match_signatures, redact_sensitive_text, suspicious_contexts
+from ..functions.text import LISTS, SIGNATURES, decode_visible_text, has, match_signatures, redact_sensitive_text, suspicious_contexts
 from ..functions.values import is_failed, safe_long
 
 #: Hints that are not signatures of their own.
@@ -44,7 +44,7 @@ EXPLOIT = {
 def _hit(text: Column, *patterns: str) -> Column:
     out = F.lit(False)
     for p in patterns:
-        out = out | text.rlike(p)
+        out = out | has(text, p)
     return F.coalesce(out, F.lit(False))
 
 
@@ -95,7 +95,7 @@ def implant_backdoor_flags(rows: DataFrame) -> DataFrame:
     )
     backdoor = F.struct(
         shell.alias("webshell_path_hint"), _hit(text, LISTS["command_param"]).alias("command_param_hint"), command.alias("interactive_command_hint"), (shell & F.col("method").isNotNull()).alias("attacker_initiated_access_hint"),
-        (F.size(F.filter(uris, lambda u: u.rlike(LISTS["web_shell"]))) >= 2).alias("repeated_backdoor_endpoint_access"),
+        (F.size(F.filter(uris, lambda u: has(u, LISTS["web_shell"]))) >= 2).alias("repeated_backdoor_endpoint_access"),
     )
     return rows.withColumns({"implant": implant, "backdoor": backdoor})
 
@@ -157,10 +157,10 @@ def login_indicators(http: DataFrame, ftp: DataFrame, ssh: DataFrame) -> DataFra
     """
     keys = ["capture_id", "uid"]
     any_of = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
-    path, code = F.coalesce(F.col("uri").rlike(LISTS["login_path"]), F.lit(False)), F.col("status").cast("string")
+    path, code = F.coalesce(has(F.col("uri"), LISTS["login_path"]), F.lit(False)), F.col("status").cast("string")
     web = http.groupBy(*keys).agg(
         F.count_if(path).alias("paths"), any_of(path | F.coalesce("auth_header", F.lit(False))).alias("web"), F.count_if(code.isin(*LOGIN_FAILED)).alias("refused"), any_of(code.isin(*LOGIN_PASSED)).alias("passed"),
-        any_of(F.exists("parameters", lambda p: p.rlike(USER_PARAMETER))).alias("user"), any_of(F.exists("parameters", lambda p: p.rlike(PASSWORD_PARAMETER))).alias("password"),
+        any_of(F.exists("parameters", lambda p: has(p, USER_PARAMETER))).alias("user"), any_of(F.exists("parameters", lambda p: has(p, PASSWORD_PARAMETER))).alias("password"),
     )
     command, reply = F.upper(F.coalesce("command", F.lit(""))), F.col("reply_code").cast("string")
     name = F.when((command == "USER") & ~F.col("arg").isin("", "-", "[REDACTED]"), F.col("arg"))

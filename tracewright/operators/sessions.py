@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import first_values
-from ..functions.text import LISTS, redact_sensitive_text
+from ..functions.text import LISTS, has, redact_sensitive_text
 from ..functions.values import canonical_key
 
 
@@ -30,7 +30,7 @@ def attach_app_logs(connections: DataFrame, logs: dict[str, DataFrame]) -> DataF
 def attach_files(connections: DataFrame, files: DataFrame) -> DataFrame:
     """Connections with the count of files and whether one looks executable; ``conn_uids`` is a set text such as {a,b}."""
     uids = F.filter(F.split(F.translate("conn_uids", "[]{}() ", ""), "[,;]"), lambda u: u != "")
-    rows = files.select("capture_id", F.explode(F.array_distinct(uids)).alias("uid"), F.coalesce(F.col("filename").rlike(LISTS["suspicious_file"]), F.lit(False)).alias("_exe"))
+    rows = files.select("capture_id", F.explode(F.array_distinct(uids)).alias("uid"), F.coalesce(has(F.col("filename"), LISTS["suspicious_file"]), F.lit(False)).alias("_exe"))
     by = rows.groupBy("capture_id", "uid").agg(F.count("*").alias("files"), F.bool_or("_exe").alias("suspicious_file"))
     return connections.join(by, ["capture_id", "uid"], "left").withColumns({"files": F.coalesce("files", F.lit(0).cast("long")), "suspicious_file": F.coalesce("suspicious_file", F.lit(False))})
 
@@ -107,7 +107,7 @@ def protocol_summaries(rows: DataFrame, value: str, code: str, k: int = 10) -> D
 
 def http_flags(rows: DataFrame) -> DataFrame:
     """One row for each (capture_id, uid) of ``rows(url, body, status, request_bytes, response_bytes)``: counts, sums and any-hit flags."""
-    hit = lambda c, n: F.bool_or(F.coalesce(F.col(c).rlike(LISTS[n]), F.lit(False)))
+    hit = lambda c, n: F.bool_or(F.coalesce(has(F.col(c), LISTS[n]), F.lit(False)))
     failed = F.col("status").isin(401, 403, 407)
     return rows.groupBy("capture_id", "uid").agg(
         F.count("*").alias("requests"), F.countDistinct("url").alias("different_urls"), hit("url", "login_path").alias("login_path"), hit("url", "command_param").alias("command_param"),
@@ -158,7 +158,7 @@ def http_session_fields(logs: DataFrame, observations: DataFrame) -> DataFrame:
         by_side("sent").alias("http_request_body_len"), by_side("got").alias("http_response_body_len"), any_of("cookie").alias("http_cookie_present"), any_of("auth").alias("http_auth_header_present"),
         any_of(F.contains(F.lower("content_type"), F.lit("multipart/form-data"))).alias("http_multipart_present"), any_of("body").alias("http_body_observed"),
     )
-    hints = F.filter(F.array("uri", "content_type"), lambda v: v.rlike(LISTS["upload"]))
+    hints = F.filter(F.array("uri", "content_type"), lambda v: has(v, LISTS["upload"]))
     snippets = lambda role: F.when(F.col("role") == role, F.col("body_snippets_sanitized"))
     values = [F.col(c) for c in ("method", "host", "uri", "full_uri", "status", "agent", "referrer", "content_type")] + [hints, snippets("request"), snippets("response"), *(F.col(c) for c in OBSERVED_LISTS[1:])]
     lists = first_values(rows.select("capture_id", "uid", "_at", *(v.alias(c) for c, v in zip(HTTP_LISTS, values, strict=True))), ["capture_id", "uid"], "_at", HTTP_LISTS)
