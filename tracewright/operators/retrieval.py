@@ -98,6 +98,8 @@ def _traits(words: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 CHUNK_FIELDS = {"title": "string", "keywords": "string", "text": "string", "category": "string", "attack_type": "array<string>", "attack_stage": "array<string>"}
 #: Shortest term that is looked for as a substring, and what one is worth; what a token is worth in title, keywords and text.
 TERM_LENGTH, TERM, TITLE, KEYWORD, TEXT = 4, 3.0, 3.0, 4.0, 0.5
+#: Where words end: after a blank of any kind.
+AFTER_BLANK = r"(?<=\s)"
 #: Stands before terms among tokens.
 AS_TERM = "\u0001"
 
@@ -133,21 +135,21 @@ def _inside_words(terms: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def phrase_matches(phrases: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id) of the chunks whose ``blob`` holds a term of several words as it stands.
+    """(term, chunk_id) of the chunks whose ``blob`` holds a term with blanks of any kind as it stands.
 
-    The blob and the terms are cut at single blanks. A term begins with the end of a piece, ends
-    with the begin of one, and its other words are whole pieces in a row between them. Each term is
-    looked up by the word that matches fewest positions; the others are compared only where that
-    one stands, at the positions before and after.
+    The blob and the terms are cut after each blank, tab or line end, which stays with the word before
+    it. A term begins with the end of a piece, ends with the begin of one, and its other words are whole
+    pieces in a row between them. Each term is looked up by the word that matches fewest positions; the
+    others are compared only where that one stands, at the positions before and after.
     """
-    positions = chunks.select("chunk_id", F.posexplode(F.split("blob", " ")).alias("at", "piece"))
-    words = phrases.select("term", F.split("term", " ").alias("words")).select("term", F.size("words").alias("n"), F.posexplode("words").alias("j", "word"))
+    positions = chunks.select("chunk_id", F.posexplode(F.split("blob", AFTER_BLANK)).alias("at", "piece"))
+    words = phrases.select("term", F.split("term", AFTER_BLANK).alias("words")).select("term", F.size("words").alias("n"), F.posexplode("words").alias("j", "word"))
     side = F.when(F.col("j") == 0, "end").when(F.col("j") == F.col("n") - 1, "begin").otherwise("whole")
-    short = F.least(F.length("word"), F.lit(4))
+    short = F.least(F.length("word"), F.when(F.col("side") == "end", 5).otherwise(4))
     key = F.when(F.col("side") == "end", F.right("word", short)).when(F.col("side") == "begin", F.left("word", short)).otherwise(F.col("word"))
     words = words.withColumn("side", side).withColumn("key", key)
     pieces = positions.groupBy("piece").agg(F.count("*").alias("times"))
-    ends = F.transform(F.sequence(F.lit(0), F.least(F.length("piece"), F.lit(4))), lambda i: F.struct(F.lit("end").alias("side"), F.right("piece", i).alias("key")))
+    ends = F.transform(F.sequence(F.lit(0), F.least(F.length("piece"), F.lit(5))), lambda i: F.struct(F.lit("end").alias("side"), F.right("piece", i).alias("key")))
     begins = F.transform(F.sequence(F.lit(0), F.least(F.length("piece"), F.lit(4))), lambda i: F.struct(F.lit("begin").alias("side"), F.left("piece", i).alias("key")))
     whole = F.array(F.struct(F.lit("whole").alias("side"), F.col("piece").alias("key")))
     keyed = pieces.select("piece", "times", F.explode(F.concat(whole, ends, begins)).alias("x")).select("piece", "times", "x.side", "x.key")
@@ -226,8 +228,8 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     wanted = words.select("query_id", F.explode("tokens").alias("key"), "terms").select("query_id", "key", F.array_contains("terms", F.col("key")).cast("int").alias("factor"))
     asks = held(wanted.unionByName(words.select("query_id", F.explode("terms").alias("key"), F.lit(1).alias("factor")).withColumn("key", F.concat(F.lit(AS_TERM), "key"))))
     tokens = held(token_postings(full).join(wanted.select("key").distinct(), "key"))
-    blank = F.contains("term", F.lit(" "))
-    inside = _inside_words(terms.where(~F.rlike("term", F.lit("\\s"))), full)
+    blank = F.rlike("term", F.lit("\\s"))
+    inside = _inside_words(terms.where(~blank), full)
     inside = inside.join(tokens.select(F.col("key").alias("term"), "chunk_id"), ["term", "chunk_id"], "left_anti")
     if "terms" in queries.columns:  # tokens alone have no blanks
         inside = inside.unionByName(phrase_matches(terms.where(blank), full))
