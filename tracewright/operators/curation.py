@@ -82,9 +82,10 @@ def boundary_documents(ranked: DataFrame, rules: DataFrame) -> DataFrame:
 def boundary_rule_join(records: DataFrame, rules: DataFrame, limit: int = 6) -> DataFrame:
     """(record_id, place, rule_id): rules that share two candidates or more first, then those that share one; at most ``limit``.
 
-    Joined by candidate code, so only pairs that share one meet.
+    Joined by candidate code, so only pairs that share one meet. There are few codes and many records of
+    each, so the rules, a short table, are sent to the records and no task gathers the records of a code.
     """
-    pairs = records.select("record_id", F.explode("candidates").alias("code")).join(rules.select("rule_id", F.explode("codes").alias("code")), "code")
+    pairs = records.select("record_id", F.explode("candidates").alias("code")).join(F.broadcast(rules.select("rule_id", F.explode("codes").alias("code"))), "code")
     shared = pairs.distinct().groupBy("record_id", "rule_id").agg(F.count("*").alias("n"))
     best = Window.partitionBy("record_id").orderBy(F.desc(F.col("n") >= 2), "rule_id")
     return shared.withColumn("place", F.row_number().over(best)).where(F.col("place") <= limit).select("record_id", "place", "rule_id", "n")
