@@ -27,23 +27,22 @@ def match_answers(predictions: DataFrame, answers: DataFrame, tiers: tuple[tuple
     where exactly one unused prediction and one unused answer have it. Contended keys stay open for
     the next tier, so the result doesn't depend on row order.
 
-    Both sides lie in one narrow table with the key of every tier. Each tier counts its keys, and
-    the rows that it used are taken out before the next one reads what is left.
+    Each side is one narrow table with the key of every tier. Each tier counts the keys of both, and
+    the rows that it used are taken out of their own side, by its own ids, before the next one reads
+    what is left.
     """
     key = lambda cols: F.when(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in cols)), F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in cols))))
     keys = [key(cols).alias(f"key_{i}") for i, cols in enumerate(tiers)]
-    none = F.lit(None)
-    sides = [("prediction_id", predictions, answers), ("answer_id", answers, predictions)]
-    parts = [df.select(*(F.col(n).alias(n) if n == name else none.cast(other.schema[n].dataType).alias(n) for n in ("prediction_id", "answer_id")), *keys) for name, df, other in sides]
-    left, out = held(parts[0].unionByName(parts[1])), None
+    left, out = {"prediction_id": predictions, "answer_id": answers}, None
+    left = {name: held(df.select(name, *keys)) for name, df in left.items()}
     for i, cols in enumerate(tiers):
+        seen = {name: df.where(F.col(f"key_{i}").isNotNull()).select(f"key_{i}", name) for name, df in left.items()}
+        both = seen["prediction_id"].unionByName(seen["answer_id"], allowMissingColumns=True)
         counts = [F.count("prediction_id").alias("_p"), F.count("answer_id").alias("_a"), F.min("prediction_id").alias("prediction_id"), F.min("answer_id").alias("answer_id")]
-        hit = left.where(F.col(f"key_{i}").isNotNull()).groupBy(f"key_{i}").agg(*counts).where("_p = 1 and _a = 1").select("prediction_id", "answer_id", F.lit("+".join(cols)).alias("method"))
+        hit = both.groupBy(f"key_{i}").agg(*counts).where("_p = 1 and _a = 1").select("prediction_id", "answer_id", F.lit("+".join(cols)).alias("method"))
         out = hit if out is None else out.unionByName(hit)
         if i + 1 < len(tiers):
-            for name in ("prediction_id", "answer_id"):
-                left = left.join(hit.select(F.col(name).alias("_used")), F.col(name) == F.col("_used"), "left_anti")
-            left = held(left)
+            left = {name: held(df.join(hit.select(name), name, "left_anti")) for name, df in left.items()}
     return out
 
 
