@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -153,36 +155,44 @@ def parse_quality(parses: DataFrame) -> DataFrame:
     return parses.where((F.size("warnings") > 0) | ~(F.col("logs_ok") | F.col("packets_ok")))
 
 
+#: Bytes of a result table that are decoded at once.
+PIECE = 1 << 20
+
+
 def read_result_table(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("utf-8-sig", "gb18030")) -> DataFrame:
     """CSV result tables under their logical names, as text: file_path and all fields of ALIASES, null where a file lacks one.
 
     Each file has a header and an encoding of its own; the first of ``encodings`` that reads the whole
     file is taken, the last one with replacements. Executors read the files through Spark and turn
-    one file at a time into rows; result tables are of a size that a task can hold. Cells are
-    trimmed; rows without any cell are left out.
+    one file at a time into rows. Of a file only its bytes are held: they are decoded and read piece by piece.
+    Cells are trimmed; rows without any cell are left out.
     """
     names, last = list(ALIASES), encodings[-1]
 
-    def decoded(raw: bytes) -> str:
-        for e in encodings:
-            try:
-                return raw.decode(e)
-            except UnicodeDecodeError:
-                continue
-        return raw.decode(last, "replace")
+    def reads(raw: memoryview, encoding: str) -> bool:
+        decoder = codecs.getincrementaldecoder(encoding)()
+        try:
+            for at in range(0, len(raw), PIECE):
+                decoder.decode(raw[at : at + PIECE])
+            decoder.decode(b"", True)
+        except UnicodeDecodeError:
+            return False
+        return True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = csv.reader(io.StringIO(decoded(raw), newline=""))
+            for file, content in zip(batch.column(0), batch.column(1), strict=True):
+                raw = content.as_buffer()
+                encoding = next((e for e in encodings if reads(memoryview(raw), e)), None)
+                whole = io.TextIOWrapper(io.BufferedReader(pa.BufferReader(raw)), encoding or last, errors="strict" if encoding else "replace", newline="")
+                lines = csv.reader(whole)
                 have = {}
                 for i, h in enumerate(next(lines, [])):
                     have.setdefault(normal_header(h), i)
                 at = [next((have[normal_header(a)] for a in ALIASES[n] if normal_header(a) in have), None) for n in names]
-                rows = [[r[i].strip() if i is not None and i < len(r) else None for i in at] for r in lines if any(c.strip() for c in r)]
-                for j in range(0, len(rows), 10_000):
-                    part = rows[j : j + 10_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(part), pa.string()), *(pa.array([r[i] for r in part], pa.string()) for i in range(len(names)))], ["file_path", *names])
+                rows = ([r[i].strip() if i is not None and i < len(r) else None for i in at] for r in lines if any(c.strip() for c in r))
+                while part := list(itertools.islice(rows, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array([file.as_py()] * len(part), pa.string()), *(pa.array([r[i] for r in part], pa.string()) for i in range(len(names)))], ["file_path", *names])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, ", ".join(f"{n} string" for n in ("file_path", *names)))
