@@ -225,14 +225,16 @@ def http_observation(rows: DataFrame, uri_limit: int = 320, body_limit: int = 32
     role = F.when(seen("method"), "request").when(safe_long(F.col("status")).isNotNull(), "response").otherwise("unknown")
     keep = [c for c in rows.columns if c not in ("method", "host", "uri", "status", "agent", "cookie", "authorization", "body", *optional)]
     parts = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), "\\|"), lambda x: x != "")
-    uri, url = redact_sensitive_text(F.col("uri"), uri_limit), redact_sensitive_text(F.col("full_uri"), uri_limit)
+    full = full.where(visible).withColumns({"_uri": redact_sensitive_text(F.col("uri"), uri_limit), "_url": redact_sensitive_text(F.col("full_uri"), uri_limit)})
+    uri, url = F.col("_uri"), F.col("_url")
     form = F.array_join(F.zip_with(parts("form_keys"), parts("form_values"), lambda k, v: F.concat_ws("=", k, v)), "&")  # a secret value stays beside its key
     combined = F.concat_ws(" ", uri, url, body, form)
-    return full.where(visible).select(
+    full = full.withColumn("_seen", decode_visible_text(combined))  # columns of their own, so that many patterns read one decoded text
+    return full.select(
         *keep, role.alias("body_role"), "method", redact_sensitive_text(F.col("host"), 160).alias("host"), uri.alias("uri"), url.alias("full_uri"), safe_long(F.col("status")).alias("status_code"),
         redact_sensitive_text(F.col("agent"), 180).alias("user_agent"), redact_sensitive_text(F.col("referrer"), uri_limit).alias("referrer"), redact_sensitive_text(F.col("content_type"), 120).alias("content_type"), safe_long(F.col("content_length")).alias("content_length"),
         seen("cookie").alias("cookie_present"), seen("authorization").alias("auth_header_present"), seen("body").alias("body_observed"), suspicious_contexts(body, 3).alias("body_snippets_sanitized"), suspicious_contexts(combined).alias("suspicious_payload_snippets"),
-        form_parameters(parts("form_keys"), parts("form_values")).alias("suspicious_http_parameters"), match_signatures(F.concat_ws(" ", uri, url)).alias("suspicious_uri_patterns"), match_signatures(decode_visible_text(combined)).alias("matched_keywords"),
+        form_parameters(parts("form_keys"), parts("form_values")).alias("suspicious_http_parameters"), match_signatures(F.concat_ws(" ", uri, url)).alias("suspicious_uri_patterns"), match_signatures(F.col("_seen")).alias("matched_keywords"),
     )
 
 
