@@ -53,14 +53,15 @@ def _scan_ids(episodes: DataFrame) -> DataFrame:
 def scan_records(episodes: DataFrame) -> DataFrame:
     """One record for each scan episode of ``scan_episodes``.
 
-    What ``scan_groups`` has, and: the first 30 ports in order, the pattern and burstiness of the
+    What ``scan_groups`` has, and: all ports in order (``dst_ports``; there are 65,536 at the most)
+    and the first 30 of them, the pattern and burstiness of the
     intervals between probes, when the last probe ended (``end_time`` of the sessions, where they
     have it), the evidence of all members merged by type, and the code that the group hints at: a
     vulnerability scan as soon as any vulnerability flag or keyword is set, else a port scan. Members
     are rows of ``scan_members``, as a group may have any number of them.
     """
     ports = episodes.where("dst_port is not null").select(*EPISODE, "dst_port").distinct()
-    ports = ports.withColumn("_n", F.row_number().over(Window.partitionBy(*EPISODE).orderBy("dst_port"))).where(F.col("_n") <= MOST_PORTS).groupBy(*EPISODE).agg(F.array_sort(F.collect_list("dst_port")).alias("dst_ports_sample"))
+    ports = ports.groupBy(*EPISODE).agg(F.array_sort(F.collect_list("dst_port")).alias("dst_ports")).withColumn("dst_ports_sample", F.slice("dst_ports", 1, MOST_PORTS))
     out = scan_groups(episodes)
     if "end_time" in episodes.columns:
         ends = episodes.groupBy(*EPISODE).agg(F.max(F.coalesce("end_time", "start_time")).alias("_end"))
