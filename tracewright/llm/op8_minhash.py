@@ -86,8 +86,9 @@ def with_next(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
 
     Ids are cut into runs at quantiles, so that a run has about RUN_ROWS rows however ids are
     spread, at most RUNS runs. Null ids come first; ids that fill whole runs are cut by
-    the first characters of the text. Values are worked out for each row where it stands, and
-    again only for the first row of each run, which is carried to the run before it.
+    the first characters of the text. Values are worked out for each row where it stands. The
+    first row of each run is also put behind the run before it, so that nothing but these few
+    rows moves once more, however many runs there are.
     """
     n = rows.count()
     parts = min(RUNS, n // RUN_ROWS) + 1
@@ -97,16 +98,15 @@ def with_next(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
     whole = F.col("doc_id").isNull() | F.col("doc_id").isin(hot)
     run = F.struct(_place(edges, F.col("doc_id")).alias("ids"), F.when(whole, 0).otherwise(1).alias("later"), F.when(whole, F.left("text", F.lit(2))).otherwise("").alias("text"))
     rows = rows.withColumn("run", run)
-    here = rows.withColumns(values)
-    order = Window.partitionBy("run").orderBy("doc_id", "text")
-    here = here.withColumns({f"next_{v}": F.lead(v).over(order) for v in values} | {"last": F.lead("run").over(order).isNull()})
     starts = cut(rows.groupBy("run").agg(F.min(F.struct("doc_id", "text")).alias("first")))
     runs = Window.orderBy("run")
-    after = starts.select("run", F.coalesce(F.lead("first").over(runs), F.min("first").over(Window.partitionBy())).alias("first"))
-    ahead = cut(after.select(F.col("run").alias("_run"), "first.doc_id", "first.text").withColumns(values).select("_run", *(F.col(v).alias(f"_{v}") for v in values)))
-    joined = here.join(ahead, F.col("last") & (F.col("run") == F.col("_run")), "left")
-    kept = [c for c in here.columns if c not in ("run", "last", *(f"next_{v}" for v in values))]
-    return joined.select(*kept, *(F.when(F.col("last"), F.col(f"_{v}")).otherwise(F.col(f"next_{v}")).alias(f"next_{v}") for v in values))
+    before = starts.select("run", F.coalesce(F.lag("run").over(runs), F.max("run").over(Window.partitionBy())).alias("before"))
+    ahead = cut(starts.join(before, "run").select("first", F.col("before").alias("run")))
+    both = rows.withColumn("ahead", F.lit(False)).unionByName(ahead.select("first.*", "run", F.lit(True).alias("ahead")), allowMissingColumns=True)
+    order = Window.partitionBy("run").orderBy("ahead", "doc_id", "text")
+    both = both.withColumns(values)
+    both = both.withColumns({f"next_{v}": F.lead(v).over(order) for v in values})
+    return both.where(~F.col("ahead")).drop("run", "ahead")
 
 
 def _place(edges: list[int], value: Column) -> Column:
