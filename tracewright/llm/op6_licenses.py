@@ -88,14 +88,16 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     ``line_licenses`` are the names of those that a whole line of it has, sorted and comma-joined,
     empty for none. Null text is empty; empty texts and lines match nothing unless an empty text is
     known. Rows are joined by digest and the known table is not assumed to be small; of the lines
-    only those that match anything are shuffled where it is.
+    only those that match anything are shuffled where it is. Lines know their row by its id and the
+    digest of the text as it stands, so that the canonical form of a text is made once only.
     """
     known = known_digests(licenses)
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("digest", digest(F.col("text")))
-    lines = rows.select("doc_id", "digest", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), digest))).alias("line"))
-    found = lines.join(known, lines["line"] == known["digest"]).select("doc_id", lines["digest"], "license").distinct()
-    names = found.groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("names"))
-    out = rows.drop("text").join(known, "digest", "left").join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("raw", F.sha2("text", 256))
+    rows = texts.select("doc_id", "raw", digest(F.col("text")).alias("digest"))
+    lines = texts.select("doc_id", "raw", F.explode(F.array_distinct(F.split("text", "\n"))).alias("text")).select("doc_id", "raw", F.coalesce(digest(F.col("text")), F.lit("")).alias("line"))
+    found = lines.join(known, lines["line"] == known["digest"]).select("doc_id", "raw", "license").distinct()
+    names = found.groupBy(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")).agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("names"))
+    out = rows.join(known, "digest", "left").join(names, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left")
     return out.select("doc_id", "digest", "license", F.coalesce("names", F.lit("")).alias("line_licenses"))
 
 
