@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -80,6 +81,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             discard(spark, path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows at the most, so that only their values are Python objects at once."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def utf8_size(text: Column) -> Column:
     """Bytes of the text in UTF-8; null counts as none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

@@ -17,14 +17,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 #: Different pieces whose ids a task remembers; past it the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Characters with the property White_Space, as a class of a regular expression.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Characters of text that are encoded before ids go on to Spark.
-AT_ONCE = 2_000_000
+#: Characters of text that are encoded before ids go on to Spark, and rows whose texts are taken out of a batch at once.
+AT_ONCE, ROWS_AT_ONCE = 500_000, 512
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -168,7 +168,7 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
                 columns.append(pa.ListArray.from_arrays(at, pa.array(pieces.ends[token] + np.repeat(begin, size))))
             return pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "ends"][: len(columns)])
 
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             size = np.cumsum([len(t) for t in texts])
             start = 0

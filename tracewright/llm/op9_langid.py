@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import slices, table
 
 #: Cells of the hash, lengths of the n-grams, additive smoothing.
 CELLS, GRAMS, SMOOTH = 1 << 16, (1, 2, 3), 0.5
 #: Languages of one matrix; more make more matrices, which are scored one after another.
 LANGUAGES_AT_ONCE = 64
-#: Characters that are scored at once.
-AT_ONCE = 1_000_000
+#: Characters that are scored at once, and rows whose texts are taken out of a batch at once.
+AT_ONCE, ROWS_AT_ONCE = 200_000, 512
 UNDETERMINED = "und"
 
 
@@ -105,7 +105,7 @@ def _fitted(labelled: DataFrame, languages: list[str], prior: np.ndarray) -> Mod
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(languages) * CELLS, dtype=np.int64)
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             known = [(number[x], t) for x, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if x in number]
             own, texts = np.array([k for k, _ in known], dtype=np.int64), [t for _, t in known]
             for start, stop in _parts(texts):
@@ -140,7 +140,7 @@ def _scorer(shared, at: int):
     """Better languages of one more matrix; ``score`` and ``_top`` carry the share and the log score of the best so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, ROWS_AT_ONCE):
             before, share, top = batch.column("lang_pred").to_pylist(), *(batch.column(c).to_numpy(zero_copy_only=False) for c in ("score", "_top"))
             scores, letters = shared.value.scores([t or "" for t in batch.column(at).cast(pa.string()).to_pylist()])
             best = scores.argmax(axis=1) if len(scores) else np.empty(0, dtype=np.int64)
