@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.values import tokenize, word_count
 from ..sources.checkpoints import held
@@ -87,11 +93,14 @@ def _bonus(a: Column, b: Column) -> Column:
     return reduce(lambda total, x: total + F.when(both.bitwiseAND(F.lit(1 << x[0])) != 0, x[1]).otherwise(0), enumerate(WEIGHTS), F.lit(0))
 
 
-def _traits(words: DataFrame, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(query_id, q_bits) and (chunk_id, doc_id, c_bits): which bonuses each side is open to."""
-    asked = words.select("query_id", _bits([F.expr(q) for q, _, _ in METADATA_BONUS] + [F.contains("named", F.lit(n)) for n in SIGNATURE_NAMES]).alias("q_bits"))
-    held_by = chunks.select("chunk_id", "doc_id", _bits([F.expr(c) for _, c, _ in METADATA_BONUS] + [F.contains("blob", F.lit(n)) for n in SIGNATURE_NAMES]).alias("c_bits"))
-    return asked, held_by
+def _query_bits() -> Column:
+    """Which bonuses a query with columns tokens and named is open to."""
+    return _bits([F.expr(q) for q, _, _ in METADATA_BONUS] + [F.contains("named", F.lit(n)) for n in SIGNATURE_NAMES])
+
+
+def _chunk_bits() -> Column:
+    """Which bonuses a chunk with all fields and blob is open to."""
+    return _bits([F.expr(c) for _, c, _ in METADATA_BONUS] + [F.contains("blob", F.lit(n)) for n in SIGNATURE_NAMES])
 
 
 #: Columns of a chunk that may be missing; they count as null then.
@@ -111,27 +120,30 @@ def _plain(chunks: DataFrame) -> DataFrame:
     return full.withColumn("blob", F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), "keywords", F.coalesce("text", F.lit("")))))
 
 
+def _token_set(field: str) -> Column:
+    return F.array_distinct(F.coalesce(tokenize(F.col(field)), F.array().cast("array<string>")))
+
+
 def token_postings(chunks: DataFrame) -> DataFrame:
     """(key, chunk_id, worth, texts, exact): each token of a chunk, what it is worth beside the text, and whether it is in the text."""
-    sets = [F.array_distinct(F.coalesce(tokenize(F.col(c)), F.array().cast("array<string>"))) for c in ("title", "keywords", "text")]
-    rows = chunks.select("chunk_id", *(x.alias(n) for x, n in zip(sets, ("a", "b", "t"), strict=True)))
+    rows = chunks.select("chunk_id", *(_token_set(c).alias(n) for c, n in (("title", "a"), ("keywords", "b"), ("text", "t"))))
     entry = lambda inside: lambda x: F.struct(x.alias("key"), (F.when(F.array_contains("a", x), TITLE).otherwise(0.0) + F.when(F.array_contains("b", x), KEYWORD).otherwise(0.0)).alias("worth"), F.lit(inside).alias("texts"))
     listed = F.concat(F.transform("t", entry(1)), F.transform(F.array_except(F.array_union("a", "b"), "t"), entry(0)))
     return rows.select("chunk_id", F.explode(listed).alias("x")).select("x.key", "chunk_id", "x.worth", "x.texts", F.lit(TERM).alias("exact"))
 
 
-def _inside_words(terms: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id): terms without blanks that occur inside a run of characters of which they are no token.
+def terms_inside(runs: Iterable[str], terms: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(run, term) by their places: which terms, of four characters or more, occur anywhere in which runs; a pair may come twice.
 
-    Such a term lies in one run of non-blank characters, so the different runs are joined with the
-    terms by the term's first four characters, then compared.
+    A term is looked up as a whole wherever its first four characters stand, once for each length
+    of the terms that begin so, never term by term.
     """
-    runs = chunks.select("chunk_id", F.explode(F.array_distinct(F.split("blob", "\\s+"))).alias("run"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("run") - 3), lambda i: F.substr("run", i, F.lit(4))))
-    cut = runs.where(F.length("run") >= 4).select("run").distinct().select("run", F.explode(grams).alias("gram"))
-    heads = terms.withColumn("gram", F.left("term", F.lit(4)))
-    found = cut.join(heads, "gram").where(F.contains("run", "term") & ~F.array_contains(tokenize(F.col("run")), F.col("term"))).select("run", "term").distinct()
-    return runs.join(found, "run").select("term", "chunk_id").distinct()
+    places, lengths = {t: i for i, t in enumerate(terms)}, {}
+    for t in places:
+        lengths.setdefault(t[:TERM_LENGTH], set()).add(len(t))
+    found = [(r, j) for r, run in enumerate(runs) for i in range(len(run) - TERM_LENGTH + 1) for n in lengths.get(run[i : i + TERM_LENGTH], ()) if (j := places.get(run[i : i + n])) is not None]
+    out = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return out[:, 0], out[:, 1]
 
 
 def phrase_matches(phrases: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -204,6 +216,148 @@ def candidates(asks: DataFrame, postings: DataFrame, asked: DataFrame, room: int
     return summed(able.select("query_id", "chunk_id", "worth", "texts").unionByName(more))
 
 
+#: Expected chunks of a shard (least and most) and queries of a block.
+SHARD_CHUNKS, BLOCK_QUERIES = (1024, 8192), 16384
+
+
+def _values(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """Items of all lists, and the row of each."""
+    lists = column.combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+    return lists.flatten(), np.repeat(np.arange(len(lists), dtype=np.int32), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
+
+
+def _places(column: pa.ChunkedArray, keys: pa.Array, n: int) -> np.ndarray:
+    """Key times ``n`` plus row, for each item of the lists that is a key."""
+    items, at = _values(column)
+    key = np.asarray(pc.fill_null(pc.index_in(items, value_set=keys), -1)).astype(np.int64)
+    return (key * n + at)[key >= 0]
+
+
+def _shard_postings(keys: pa.Array, rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """(starts, at, worth, both, texts): postings of the keys over the rows of a shard, by key, then row.
+
+    Worth is what the key adds beside the text, ``both`` that and a term, ``texts`` whether it is in the text.
+    """
+    n = max(1, len(rows))
+    fields = [_places(rows[c], keys, n) for c in ("title", "keywords", "text")]
+    tokens = np.unique(np.concatenate(fields))
+    title, keyword, text = (np.isin(tokens, x, assume_unique=True).astype(np.float32) for x in fields)
+    # terms without blanks inside runs, and phrases: each once a row, unless the row has it as a token
+    named = np.flatnonzero(np.asarray(pc.starts_with(keys, AS_TERM)))
+    terms = pc.utf8_slice_codeunits(keys.take(pa.array(named)), 1)
+    items, at = _values(rows["runs"])
+    coded = items.dictionary_encode()
+    run, term = terms_inside(coded.dictionary.to_pylist(), terms.to_pylist())
+    order = np.argsort(run, kind="stable")
+    first = np.searchsorted(run[order], np.arange(len(coded.dictionary) + 1))
+    code = np.asarray(coded.indices)
+    times = (first[1:] - first[:-1])[code]
+    within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    inside = term[order[np.repeat(first[:-1][code], times) + within]] * n + np.repeat(at, times)
+    hits = np.unique(np.concatenate([inside, _places(rows["phrases"], terms, n)]))
+    as_token = np.asarray(pc.fill_null(pc.index_in(keys, value_set=terms), -1)).astype(np.int64)[tokens // n]
+    hits = np.setdiff1d(hits, (as_token * n + tokens % n)[as_token >= 0], assume_unique=True)
+    places = np.concatenate([tokens, named[hits // n] * n + hits % n])
+    order = np.argsort(places, kind="stable")
+    filled = lambda x: np.concatenate([x, np.zeros(len(hits), np.float32)])[order]
+    worth, texts = filled(np.float32(TITLE) * title + np.float32(KEYWORD) * keyword), filled(text)
+    return np.searchsorted(places[order], np.arange(len(keys) + 1) * n), (places[order] % n).astype(np.int32), worth, worth + np.float32(TERM), texts
+
+
+def _shard_best(queries: pa.Table, rows: pa.Table, room: int, text_cap: int, seeds: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, rows, scores): the ``room`` best rows of a shard for each query, best first, ties to earlier rows; only positive scores.
+
+    Each query's rarest keys, of some ``seeds`` postings, give scores that its ``room``-th best can't
+    fall below. Its commonest keys, as long as all they could add together with the bonuses stays
+    below that, are only probed for rows that they may still lift so far.
+    """
+    asked, asker = _values(queries["asks"])
+    keys = pc.unique(asked.field("key"))
+    starts, at, worth, both, texts = _shard_postings(keys, rows)
+    wanted, factor = np.asarray(pc.index_in(asked.field("key"), value_set=keys)), np.asarray(asked.field("factor"))
+    ends, n = np.searchsorted(asker, np.arange(len(queries) + 1)), len(rows)
+    most = np.zeros((2, len(keys)), np.float32)
+    full = np.flatnonzero(starts[1:] > starts[:-1])
+    if len(full):
+        most[:, full] = np.maximum.reduceat(worth, starts[full]), np.maximum.reduceat(texts, starts[full])
+    kinds, kind = np.unique(np.asarray(rows["c_bits"]), return_inverse=True)
+    bonuses = {}
+    for q, bits in enumerate(queries["q_bits"].to_pylist()):
+        if bits not in bonuses:
+            bonuses[bits] = np.array([sum(w for i, w in enumerate(WEIGHTS) if int(bits) & int(c) & 1 << i) for c in kinds], np.float32)[kind]
+        bonus = bonuses[bits]
+        own = np.arange(ends[q], ends[q + 1])
+        size = starts[wanted[own] + 1] - starts[wanted[own]]
+        own = own[size > 0][np.argsort(size[size > 0], kind="stable")]
+        sum_worth, sum_texts = np.zeros(n, np.float32), np.zeros(n, np.float32)
+
+        def add(j: int) -> None:
+            part = slice(starts[wanted[j]], starts[wanted[j] + 1])
+            sum_worth[at[part]] += both[part] if factor[j] else worth[part]  # noqa: B023
+            sum_texts[at[part]] += texts[part]  # noqa: B023
+
+        score = lambda: sum_worth + TEXT * np.minimum(sum_texts, text_cap)  # noqa: E731, B023
+        seen = np.cumsum(starts[wanted[own] + 1] - starts[wanted[own]])
+        rare = max(1, int(np.searchsorted(seen, seeds, "right")))
+        for j in own[:rare]:
+            add(j)
+        rest, floor = own[rare:], np.float32(0)
+        if len(rest) and n > room:
+            floor = np.partition(score(), n - room)[n - room]
+        # what the keys from here on to the commonest can add at the most
+        up = np.cumsum((most[0][wanted[rest]] + TERM * factor[rest])[::-1])[::-1]
+        up_texts = np.cumsum(most[1][wanted[rest]][::-1])[::-1]
+        probed = int(np.count_nonzero(up + TEXT * np.minimum(up_texts, text_cap) + bonus.max(initial=0) < floor))
+        near, common = rest[: len(rest) - probed], rest[len(rest) - probed :]
+        for j in near:
+            add(j)
+        alive = np.arange(n)
+        if probed:
+            alive = np.flatnonzero(sum_worth + up[len(near)] + TEXT * np.minimum(sum_texts + up_texts[len(near)], text_cap) + bonus >= floor)
+            for j in common:
+                listed = at[starts[wanted[j]] : starts[wanted[j] + 1]]
+                place = np.minimum(np.searchsorted(listed, alive), len(listed) - 1)
+                there, place = alive[listed[place] == alive], place[listed[place] == alive] + starts[wanted[j]]
+                sum_worth[there] += both[place] if factor[j] else worth[place]
+                sum_texts[there] += texts[place]
+        total = (score() + bonus)[alive]
+        least = np.partition(total, len(total) - room)[len(total) - room] if len(total) > room else 0
+        best = np.flatnonzero((total >= least) & (total > 0))
+        best = best[np.argsort(-total[best], kind="stable")][:room]
+        if len(best):
+            yield q, alive[best], total[best]
+
+
+def best_chunks(asked: DataFrame, chunks: DataFrame, room: int, text_cap: int, seeds: int) -> DataFrame:
+    """(query_id, doc_id, chunk_id, score): the ``room`` best chunks of each query, ties to the smaller document, then chunk.
+
+    ``asked(query_id, q_bits, asks)`` and ``chunks(chunk_id, doc_id, c_bits, title, keywords, text, runs, phrases)`` (sets of words):
+    chunks are dealt by hash into shards, queries into blocks, and each pair of a shard and a block is
+    one group of bounded size that gives at most ``room`` rows a query. Shards grow with the
+    square root of the table, their number with the rest.
+    """
+    n, m = chunks.count(), asked.count()
+    shards = math.ceil(max(n, 1) / min(SHARD_CHUNKS[1], max(SHARD_CHUNKS[0], 16 * math.isqrt(n))))
+    blocks = math.ceil(max(m, 1) / BLOCK_QUERIES)
+    dealt = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("long")
+    every = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
+    left = asked.select("*", every(shards).alias("shard"), dealt("query_id", blocks).alias("block"))
+    right = chunks.select("*", dealt("chunk_id", shards).alias("shard"), every(blocks).alias("block"))
+    schema = StructType([asked.schema["query_id"], chunks.schema["doc_id"], chunks.schema["chunk_id"], StructField("score", DoubleType())])
+
+    def pair(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("doc_id", "ascending"), ("chunk_id", "ascending")], null_placement="at_start"))
+        found = list(_shard_best(queries, rows, room, text_cap, seeds)) if len(queries) and len(rows) else []
+        joined = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.empty(0, kind)
+        who, where = pa.array(joined([np.full(len(r), q) for q, r, _ in found], np.int64)), pa.array(joined([r for _, r, _ in found], np.int64))
+        return pa.table({"query_id": queries["query_id"].take(who), "doc_id": rows["doc_id"].take(where), "chunk_id": rows["chunk_id"].take(where), "score": joined([s for _, _, s in found], np.float64)})
+
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(pair, schema)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "chunk_id")
+    return found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= room).drop("_n")
+
+
 def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap: int = 20, pinned: DataFrame | None = None, most_pinned: int = 3, seeds: int = 2000) -> DataFrame:
     """(query_id, rank, chunk_id, score, pinned) of ``queries(query_id, query, terms)`` over ``chunks(chunk_id, doc_id, title, keywords, text, ...)``.
 
@@ -219,35 +373,24 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     score (1000, 999, ...): the first ``most_pinned`` documents and of them as many chunks. They
     don't count among the k.
 
-    Postings of the asked keys are written once; ``candidates`` prunes by bounds. A chunk that only
-    earns bonuses can be among a query's k best only if it is among the k best by bonus alone, so
-    these are found once for each set of bonuses, not for each pair.
+    Each shard of the chunks is scored for a block of queries at once (``best_chunks``), so a pair of a
+    query and a chunk is a place in an array and never a row; only a shard's best are.
     """
-    words, full = held(_asked(queries)), _plain(chunks)
-    terms = words.select(F.explode("terms").alias("term")).distinct()
-    wanted = words.select("query_id", F.explode("tokens").alias("key"), "terms").select("query_id", "key", F.array_contains("terms", F.col("key")).cast("int").alias("factor"))
-    asks = held(wanted.unionByName(words.select("query_id", F.explode("terms").alias("key"), F.lit(1).alias("factor")).withColumn("key", F.concat(F.lit(AS_TERM), "key"))))
-    tokens = held(token_postings(full).join(wanted.select("key").distinct(), "key"))
-    blank = F.rlike("term", F.lit("\\s"))
-    inside = _inside_words(terms.where(~blank), full)
-    inside = inside.join(tokens.select(F.col("key").alias("term"), "chunk_id"), ["term", "chunk_id"], "left_anti")
+    asks = F.concat(
+        F.transform("tokens", lambda t: F.struct(t.alias("key"), F.array_contains("terms", t).cast("int").alias("factor"))),
+        F.transform("terms", lambda t: F.struct(F.concat(F.lit(AS_TERM), t).alias("key"), F.lit(1).alias("factor"))),
+    )
+    asked = held(_asked(queries).where("query_id is not null").select("query_id", "terms", _query_bits().alias("q_bits"), asks.alias("asks")))
+    full = _plain(chunks).where("chunk_id is not null")
+    runs = F.filter(F.array_distinct(F.split("blob", "\\s+")), lambda r: F.length(r) >= TERM_LENGTH)
+    listed = full.select("chunk_id", "doc_id", _chunk_bits().alias("c_bits"), *(_token_set(c).alias(c) for c in ("title", "keywords", "text")), runs.alias("runs"))
     if "terms" in queries.columns:  # tokens alone have no blanks
-        inside = inside.unionByName(phrase_matches(terms.where(blank), full))
-    as_terms = inside.select(F.concat(F.lit(AS_TERM), "term").alias("key"), "chunk_id", F.lit(0.0).alias("worth"), F.lit(0).alias("texts"), F.lit(TERM).alias("exact"))
-    postings = tokens.unionByName(held(as_terms))
-    asked, held_by = _traits(words, full)
+        spoken = asked.select(F.explode("terms").alias("term")).where(F.rlike("term", F.lit("\\s"))).distinct()
+        listed = listed.join(phrase_matches(spoken, full).groupBy("chunk_id").agg(F.collect_list("term").alias("phrases")), "chunk_id", "left")
+    else:
+        listed = listed.withColumn("phrases", F.array().cast("array<string>"))
     room = k + most_pinned
-    found = candidates(asks, postings, asked, room, text_cap, seeds)
-    best_of = lambda key, order: F.row_number().over(Window.partitionBy(key).orderBy(*order, "doc_id", "chunk_id"))
-    bit = lambda c: F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(WEIGHTS) - 1)), lambda i: F.call_function("shiftleft", F.lit(1), i)), lambda b: c.bitwiseAND(b) != 0)).alias("bit")
-    few = held_by.where("c_bits > 0").withColumn("n", best_of("c_bits", [])).where(F.col("n") <= room).drop("n")
-    sets = asked.where("q_bits > 0").select("q_bits").distinct()
-    shared = sets.select("q_bits", bit(F.col("q_bits"))).join(few.select("*", bit(F.col("c_bits"))), "bit").drop("bit").distinct()
-    extra = shared.withColumn("n", best_of("q_bits", [F.desc(_bonus(F.col("q_bits"), F.col("c_bits")))])).where(F.col("n") <= room)
-    extra = asked.join(extra, "q_bits").select("query_id", "chunk_id").join(found, ["query_id", "chunk_id"], "left_anti")
-    hits = found.unionByName(extra.select("query_id", "chunk_id", F.lit(0.0).alias("worth"), F.lit(0).cast("long").alias("texts")))
-    score = F.col("worth") + TEXT * F.least("texts", F.lit(text_cap)) + _bonus(F.col("q_bits"), F.col("c_bits"))
-    scored = hits.join(asked, "query_id").join(held_by, "chunk_id").select("query_id", "doc_id", "chunk_id", score.alias("score")).where("score > 0")
+    scored = best_chunks(asked.drop("terms"), listed, room, text_cap, seeds)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "chunk_id")
     ranked = lambda rows: rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     if pinned is None:
