@@ -217,7 +217,7 @@ def candidates(asks: DataFrame, postings: DataFrame, asked: DataFrame, room: int
 
 
 #: Expected chunks of a shard (least and most) and queries of a block.
-SHARD_CHUNKS, BLOCK_QUERIES = (1024, 8192), 16384
+SHARD_CHUNKS, BLOCK_QUERIES = (1024, 4096), 16384
 
 
 def _values(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
