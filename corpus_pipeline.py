@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.llm import op1_pii, op5_mix, op7_simhash, op9_langid, op10_bpe
-from tracewright.llm.common import discard, scratch, shared_folder, table
+from tracewright.llm.common import discard, scratch, shared_folder, shuffles_removed, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}", None
     for name, stage in STAGES:
-        with scratch(spark):
+        with scratch(spark), shuffles_removed(spark):
             stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         if before:
             discard(spark, f"{folder}/{before}")

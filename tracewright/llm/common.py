@@ -40,17 +40,34 @@ def shared_folder(spark: SparkSession) -> str:
     return named or sc._jsc.sc().getCheckpointDir().get()
 
 
+#: Spark's own setting: shuffle files go when the query that wrote them ends, not when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin inside leave no shuffle files; one that runs again shuffles again."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def cut(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from its files.
 
     The table knows nothing of the plan that made it, so loops stay cheap to plan. It lies in the
     application's own folder until the ``scratch`` around it ends, if there is one, as later steps
     may read it again. A loop that only needs its last table names the one before: ``instead_of``
-    is a DataFrame that ``cut`` returned, and its files go once the new ones are written.
+    is a DataFrame that ``cut`` returned, and its files go once the new ones are written. So do the
+    shuffle files behind ``df``.
     """
     spark, run = df.sparkSession, _RUN.get()
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     if run is not None:
         run.append(path)
     if instead_of is not None:

@@ -4,6 +4,10 @@ Two fingerprints within ``tau`` bits, cut into m groups of bits, must lie within
 other on some group i as soon as the thresholds T_i sum to tau - m + 1 (-1 skips a group). Groups
 hold correlated bits, so that the others stay selective; each fingerprint gets thresholds of its
 own, by dynamic programming on the number of candidates that each group would bring it.
+
+Rows are dealt by a few bits of a group's value only, and the probes are made where they arrive: so
+the rows of a text that are shuffled hardly grow with the table, however many probes it needs.
+Where links ask for a likeness of sets too, rows are dealt by bands of set size besides.
 """
 
 from __future__ import annotations
@@ -22,12 +26,14 @@ from .common import cut, table
 from .components import components
 
 BITS = 64
-#: What one probe row costs, in comparisons of two fingerprints.
-PROBE_COST = 100
-#: Values of a group beyond this many bits share a cell of the candidate estimates.
-CELL_BITS = 16
-#: Fingerprints of one group value that one task compares; more are cut into blocks.
-BLOCK, BLOCKS = 512, 16
+#: What a shuffled row and a probe inside a task cost, in comparisons of two fingerprints.
+ROW_COST, PROBE_COST = 300, 8
+#: Counts of each group, over all bands, that the driver gets: two to this power at most.
+COUNT_BITS = 17
+#: Rows of one key that a task holds, comparisons that it makes for it; keys with more are cut into blocks.
+ROWS_OF_KEY, PAIRS_OF_KEY, BLOCKS = 131_072, 1_000_000_000, 1_000
+#: Bands of set sizes at most; all greater sets are in the last one.
+BANDS = 64
 #: Rows and bytes that a task holds at once, comparisons and sketch tests that it makes at once.
 ROWS_AT_ONCE, BYTES_AT_ONCE, PAIRS_AT_ONCE, TESTS_AT_ONCE = 150_000, 24_000_000, 500_000, 100_000
 #: Min-hashes of a sketch, four bits each; odd multipliers that make them out of one hash.
@@ -156,15 +162,15 @@ def correlated_groups(counts: np.ndarray, n: int, m: int) -> list[list[int]]:
     return groups
 
 
-def group_count(n: int, tau: int) -> int:
-    """Number of groups that keeps probes and candidates cheapest if bits were independent."""
+def group_count(n: float, tau: int, part: int, row_cost: int = ROW_COST) -> int:
+    """Number of groups that keeps rows, probes and candidates cheapest if bits were independent; keys hold ``part`` bits of a value."""
 
     def cost(m: int) -> float:
         width, budget = BITS / m, tau - m + 1
         low, more = divmod(budget, m)
-        ball = lambda e: sum(math.comb(math.floor(width), k) for k in range(e + 1))
-        probes = more * ball(low + 1) + (m - more) * ball(low)
-        return probes * (PROBE_COST + n / 2**width)
+        ball = lambda w, e: sum(math.comb(w, k) for k in range(e + 1))
+        both = lambda w: more * ball(w, low + 1) + (m - more) * ball(w, low)
+        return (m + both(min(part, math.floor(width)))) * row_cost + both(math.floor(width)) * (PROBE_COST + n / 2**width)
 
     return min(range(2, tau + 2), key=cost) if tau else 1
 
@@ -177,43 +183,58 @@ def masks_within(width: int, radius: int) -> np.ndarray:
 class Pigeonhole:
     """Groups, candidate estimates and thresholds; small enough to send to each task.
 
-    ``seen[i]`` has at most 2**CELL_BITS counts, whatever the number of fingerprints.
+    ``seen[i]`` has at most 2**COUNT_BITS counts, whatever the number of fingerprints. A row of band b
+    probes the keys of band b and stands in the index of the bands b - s, for each s of ``sides``.
     """
 
-    def __init__(self, groups: list[list[int]], tau: int, n: int):
-        self.groups, self.tau, self.n = groups, tau, n
+    def __init__(self, groups: list[list[int]], tau: int, similarity: float | None = None, bands: int = 1, sides: tuple[int, ...] = (0,), part: int = 0, most_rows: int = ROWS_OF_KEY):
+        self.groups, self.tau, self.similarity, self.bands, self.sides, self.most_rows = groups, tau, similarity, bands, sides, most_rows
         self.budget = tau - len(groups) + 1
         self.most = max(1, -(-self.budget // len(groups)) + 1) if self.budget > 0 else min(1, tau)
         self.masks = [[masks_within(len(g), e) for e in range(self.most + 1)] for g in groups]
-        self.cells = [min(len(g), CELL_BITS) for g in groups]
+        self.cells = [min(len(g), COUNT_BITS - (bands - 1).bit_length()) for g in groups]
+        self.part = [min(part, c) for c in self.cells]  # low bits of a value that its key holds
+        self.turns = [[masks_within(p, min(e, p)) for e in range(self.most + 1)] for p in self.part]
+        self.inside = [[{t: masks[masks & ((1 << p) - 1) == t] for t in turns.tolist()} for masks, turns in zip(*of, strict=True)] for *of, p in zip(self.masks, self.turns, self.part, strict=True)]
+
+    def value(self, fps: np.ndarray, i: int) -> np.ndarray:
+        return _bits(fps)[:, self.groups[i]].astype(np.int64) @ (1 << np.arange(len(self.groups[i]), dtype=np.int64))
 
     def values(self, fps: np.ndarray) -> np.ndarray:
-        bits = _bits(fps).astype(np.int64)
-        return np.stack([bits[:, g] @ (1 << np.arange(len(g), dtype=np.int64)) for g in self.groups], axis=1)
+        return np.stack([self.value(fps, i) for i in range(len(self.groups))], axis=1)
+
+    def indexed(self, rows: np.ndarray) -> np.ndarray:
+        """From what each band has, what stands in the index of each."""
+        out = np.zeros_like(rows)
+        for s in self.sides:
+            out[max(0, -s) : len(rows) - max(0, s)] += rows[max(0, s) : len(rows) - max(0, -s)]
+        return out
 
     def learn(self, seen: list[np.ndarray]) -> None:
-        """From counts of cells: candidates by group, radius and cell; likely size of one value."""
-        self.near, self.size = [], []
+        """From counts by band and cell: candidates by group, radius, band and cell; blocks of each key, 0 if nothing stands there."""
+        self.near, self.block, self.pairs = [], [], 0.0
         for i, g in enumerate(self.groups):
-            share = 1 << (len(g) - self.cells[i])
-            mean = max(1.0, self.n / (1 << self.cells[i]))
-            at = np.arange(1 << self.cells[i])
-            each = seen[i] / share
-            self.near.append([sum(each[at ^ (m & (len(at) - 1))] for m in masks) for masks in self.masks[i]])
-            self.size.append(np.maximum(np.ceil(each), seen[i] - 2 * mean if share > 1 else 0).astype(np.int64))
-
-    def blocks(self, i: int, values: np.ndarray) -> np.ndarray:
-        size = self.size[i][values & ((1 << self.cells[i]) - 1)]
-        return np.maximum(np.minimum(BLOCKS, -(-size // BLOCK)), -(-size // (BLOCK * 2 * BLOCKS)))
-
-    def thresholds(self, values: np.ndarray) -> np.ndarray:
+            own, share = seen[i].astype(np.float32), 1 << (len(g) - self.cells[i])
+            found, at = self.indexed(own), np.arange(1 << self.cells[i])
+            near, rings = [], [0, *map(len, self.masks[i])]
+            for a, b in zip(rings, rings[1:], strict=False):
+                near.append(sum((found[:, at ^ (x & (len(at) - 1))] for x in self.masks[i][-1][a:b]), np.zeros_like(found)) / share + (near[-1] if near else 0))
+            self.near.append(near)
+            hot = lambda x: np.maximum(0, x - 2 * x.mean(axis=1, keepdims=True)) if share > 1 else 0 * x  # noqa: B023, E731
+            pairs = own * near[min(self.most, max(0, -(-self.budget // len(self.groups))))] + hot(own) * hot(found)
+            total = lambda x: x.reshape(self.bands, -1, 1 << self.part[i]).sum(axis=1, dtype=np.float64)  # noqa: B023, E731
+            self.pairs += pairs.sum(dtype=np.float64)
+            blocks = np.ceil(np.maximum(np.sqrt(total(pairs) / PAIRS_OF_KEY), total(own + found) / (2 * self.most_rows)))
+            self.block.append(np.where(total(found) > 0, np.clip(blocks, 1, BLOCKS), 0).astype(np.int64))
+
+    def thresholds(self, values: np.ndarray, bands: np.ndarray) -> np.ndarray:
         """For each row, thresholds of least cost that sum to the budget."""
         n, m, top = len(values), len(self.groups), self.most
         least = {-0: np.zeros(n)}
         picked: list[dict[int, np.ndarray]] = []
         for i in range(m):
             cell = values[:, i] & ((1 << self.cells[i]) - 1)
-            cost = {-1: np.zeros(n)} | {e: self.near[i][e][cell] + PROBE_COST * len(self.masks[i][e]) for e in range(top + 1)}
+            cost = {-1: np.zeros(n)} | {e: self.near[i][e][bands, cell] + PROBE_COST * len(self.masks[i][e]) + ROW_COST * len(self.turns[i][e]) for e in range(top + 1)}
             then: dict[int, np.ndarray] = {}
             pick: dict[int, np.ndarray] = {}
             for s, c in least.items():
@@ -244,33 +265,52 @@ def _explode(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
+def set_sizes(sketch: pa.Array) -> np.ndarray:
+    """Number of different shingles that each sketch states."""
+    return np.ascontiguousarray(_fixed(sketch)[:, :4]).view("<u4")[:, 0].astype(np.int64)
+
+
+def bands_of(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Bands of set sizes; sets of at least the similarity lie in one band or in two neighbours."""
+    return np.minimum(BANDS - 1, np.log(np.maximum(sizes, 1)) / math.log(1.01 / similarity)).astype(np.int64)
+
+
 def route(plan: Pigeonhole, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Index and probe rows (k, probe, ...) of some rows (fp, node, ...); k: group, value and pair of blocks.
+    """Rows (k, role, ...) of some rows (fp, node, ...); k: group, band, a few bits of the value and a pair of blocks.
 
+    role: 1 if the row stands in the index of its key, plus twice its threshold and two if it probes there.
     Rows whose ``seek`` is false are only found, they make no probes.
     """
     fps, nodes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
     seek = batch.column("seek").to_numpy(zero_copy_only=False) if "seek" in batch.schema.names else np.ones(len(batch), dtype=bool)
+    band = np.minimum(plan.bands - 1, bands_of(set_sizes(batch.column("sketch")), plan.similarity)) if plan.similarity else np.zeros(len(batch), dtype=np.int64)
     values = plan.values(fps)
-    limits = plan.thresholds(values)
+    limits = np.where(seek[:, None], plan.thresholds(values, band), -1)
     mixed = ((fps.view(np.uint64) ^ (nodes.view(np.uint64) * np.uint64(0xD1B54A32D192ED03))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
 
-    def rows(i: int, of: np.ndarray, v: np.ndarray, probe: bool) -> pa.RecordBatch:
-        b = plan.blocks(i, v)
-        of, v, b = of[b > 0], v[b > 0], b[b > 0]  # no fingerprint has such a value
-        own = (mixed[of] % b.astype(np.uint64)).astype(np.int64)
+    def rows(i: int, of: np.ndarray, at_band: np.ndarray, at: np.ndarray, limit: int, both: np.ndarray) -> pa.RecordBatch:
+        """limit: of the probes, -1 for index rows. both: the key has a probe and an index row, which are one row where their blocks meet."""
+        b = plan.block[i][at_band, at]
+        own = (mixed[of] % np.maximum(b, 1).astype(np.uint64)).astype(np.int64)
         r, other = _explode(b)
-        first, second = (own[r], other) if probe else (other, own[r])
-        key = ((v[r] * len(plan.groups) + i) << np.int64(20)) + (first << np.int64(10)) + second
+        meet = both[r] & (own[r] == other)
+        if limit < 0:
+            r, other, meet = r[~meet], other[~meet], meet[~meet]
+        first, second = (own[r], other) if limit >= 0 else (other, own[r])
+        key = (((at[r] * plan.bands + at_band[r]) * len(plan.groups) + i) << np.int64(20)) + (first << np.int64(10)) + second
+        role = 2 * (limit + 1) + (meet if limit >= 0 else np.ones(len(r), dtype=bool))
         own_rows = pa.array(of[r])
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(own_rows), int(probe), dtype=np.int8)), *(c.take(own_rows) for c in batch.columns)], ["k", "probe", *batch.schema.names])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(role.astype(np.int8)), *(c.take(own_rows) for c in batch.columns)], ["k", "role", *batch.schema.names])
 
     for i in range(len(plan.groups)):
-        yield rows(i, np.arange(len(fps)), values[:, i], False)
+        part = values[:, i] & ((1 << plan.part[i]) - 1)
+        for s in plan.sides:
+            of = np.flatnonzero((band >= s) & (band - s < plan.bands))
+            yield rows(i, of, band[of] - s, part[of], -1, (limits[of, i] >= 0) & (s == 0))
         for e in range(plan.most + 1):
-            of = np.flatnonzero((limits[:, i] == e) & seek)
+            of, turns = np.flatnonzero(limits[:, i] == e), plan.turns[i][e]
             if len(of):
-                yield rows(i, np.repeat(of, len(plan.masks[i][e])), (values[of, i][:, None] ^ plan.masks[i][e][None, :]).ravel(), True)
+                yield rows(i, np.repeat(of, len(turns)), np.repeat(band[of], len(turns)), (part[of][:, None] ^ turns).ravel(), e, np.tile(turns == 0, len(of)))
 
 
 def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -336,59 +376,100 @@ def overlap(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def compare(rows: pa.Table, close: Closeness) -> tuple[np.ndarray, np.ndarray]:
+def probes(plan: Pigeonhole, k: np.ndarray, role: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, ...]]]:
+    """Index rows, by key and value; then again and again (rows, start, count): where in them the values stand that a row probes.
+
+    Rows come sorted by key.
+    """
+    m, width = len(plan.groups), np.int64(32)
+    lead = k >> np.int64(20)
+    group, at = lead % m, lead // (m * plan.bands)
+    value = np.empty(len(k), dtype=np.int64)
+    for i in np.unique(group):
+        own = np.flatnonzero(group == i)
+        value[own] = plan.value(fp[own], i)
+    key = np.cumsum(np.append(0, k[1:] != k[:-1])).astype(np.int64) << width
+    index = np.flatnonzero(role & 1)
+    index = index[np.argsort((key + value)[index], kind="stable")]
+    codes, start, count = np.unique((key + value)[index], return_index=True, return_counts=True)
+
+    def found() -> Iterator[tuple[np.ndarray, ...]]:
+        for i, e in np.unique(np.stack([group, (role >> 1) - 1])[:, role > 1], axis=1).T.tolist():
+            own = np.flatnonzero((group == i) & (role >> 1 == e + 1))
+            turn = (value[own] & ((1 << plan.part[i]) - 1)) ^ at[own]
+            for t in np.unique(turn).tolist():
+                q, masks = own[turn == t], plan.inside[i][e][t]
+                step = max(1, PAIRS_AT_ONCE // max(1, len(masks)))
+                for a in range(0, len(q) if len(masks) else 0, step):
+                    wanted = ((key + value)[q[a : a + step]][:, None] ^ masks).ravel()
+                    place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+                    hit = np.flatnonzero(codes[place] == wanted)
+                    yield q[a : a + step][hit // len(masks)], start[place[hit]], count[place[hit]]
+
+    return index, found() if len(index) else iter(())
+
+
+def compare(rows: pa.Table, close: Closeness, plan: Pigeonhole) -> tuple[np.ndarray, np.ndarray]:
     """A forest (a, b) of the links between probes and index rows of the same key, closest first.
 
     With sketches, a link is what they don't rule out; with whole sets, a link is exact. Rows of one
     part aren't linked. Pairs that sure links join already need no test.
     """
-    k, probe, fp, node = (rows.column(c).to_numpy() for c in ("k", "probe", "fp", "node"))
+    k, role, fp, node = (rows.column(c).to_numpy() for c in ("k", "role", "fp", "node"))
     fp = fp.view(np.uint64)
     part = rows.column("part").to_numpy() if "part" in rows.column_names else node
     sketch = _fixed(rows.column("sketch").combine_chunks()) if close.similarity else None
+    size = set_sizes(rows.column("sketch").combine_chunks()) if close.similarity else np.zeros(len(rows), dtype=np.int64)
     shingles = rows.column("shingles").combine_chunks() if "shingles" in rows.column_names else None
-    one_side = "seek" not in rows.column_names  # each pair is found from both of its rows
+    one_side = "seek" not in rows.column_names  # the lesser set finds the greater, of equal ones the later node the earlier
     names, place = np.unique(node, return_inverse=True)
     label = np.arange(len(names))
-    index, probes = np.flatnonzero(probe == 0), np.flatnonzero(probe == 1)
-    lo, hi = np.searchsorted(k[index], k[probes], "left"), np.searchsorted(k[index], k[probes], "right")
-    count = hi - lo
-    steps = np.cumsum(count)
+    index, asked = probes(plan, k, role, fp)
     found = tuple(np.empty(0, np.int64) for _ in range(3))
-    start = 0
-    while start < len(probes):
-        done = steps[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(steps, done + PAIRS_AT_ONCE, "right")))
-        r, inside = _explode(count[start:stop])
-        q, x = probes[r + start], index[lo[start:stop][r] + inside]
-        start = stop
-        d = np.bitwise_count(fp[q] ^ fp[x]).astype(np.int64)
-        good = np.flatnonzero((d <= close.tau) & ((node[q] > node[x]) if one_side else (part[q] != part[x])))
-        good = good[label[place[q[good]]] != label[place[x[good]]]]
-        q, x, d = q[good], x[good], d[good]
-        if close.similarity:
-            equal = close.sketched(sketch[q], sketch[x])
-            order = np.argsort(-equal, kind="stable")[: np.count_nonzero(equal)]
-            q, x, d = q[order], x[order], MINS - equal[order]
-            if shingles is None:
-                label = _joined(label, *(place[z[d <= MINS - close.sure]] for z in (q, x)))
+    forested = 0
+    for asker, lo, count in asked:
+        steps = np.cumsum(count)
+        start = 0
+        while start < len(asker):
+            done = steps[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(steps, done + PAIRS_AT_ONCE, "right")))
+            r, inside = _explode(count[start:stop])
+            q, x = asker[start:stop][r], index[lo[start:stop][r] + inside]
+            start = stop
+            d = np.bitwise_count(fp[q] ^ fp[x]).astype(np.int64)
+            good = np.flatnonzero(d <= close.tau)
+            q, x, d = q[good], x[good], d[good]
+            good = (size[q] < size[x]) | (size[q] == size[x]) & (node[q] > node[x]) if one_side else part[q] != part[x]
+            good = np.flatnonzero(good & (label[place[q]] != label[place[x]]))
+            q, x, d = q[good], x[good], d[good]
+            if not len(q):
+                continue
+            if close.similarity:
+                equal = close.sketched(sketch[q], sketch[x])
+                order = np.argsort(-equal, kind="stable")[: np.count_nonzero(equal)]
+                q, x, d = q[order], x[order], MINS - equal[order]
+                if shingles is None:
+                    label = _joined(label, *(place[z[d <= MINS - close.sure]] for z in (q, x)))
+                else:
+                    keep = []
+                    for i, (u, v) in enumerate(zip(q.tolist(), x.tolist(), strict=True)):
+                        a, b = label[place[u]], label[place[v]]
+                        if a != b and overlap(*(np.frombuffer(shingles[z].as_py(), dtype=np.uint32) for z in (u, v))) >= close.similarity:
+                            label[label == max(a, b)] = min(a, b)
+                            keep.append(i)
+                    q, x, d = q[keep], x[keep], d[keep]
             else:
-                keep = []
-                for i, (u, v) in enumerate(zip(q.tolist(), x.tolist(), strict=True)):
-                    a, b = label[place[u]], label[place[v]]
-                    if a != b and overlap(*(np.frombuffer(shingles[z].as_py(), dtype=np.uint32) for z in (u, v))) >= close.similarity:
-                        label[label == max(a, b)] = min(a, b)
-                        keep.append(i)
-                q, x, d = q[keep], x[keep], d[keep]
-        else:
-            label = _joined(label, place[q], place[x])
-        a, b, d = (np.append(f, g) for f, g in zip(found, (place[q], place[x], d), strict=True))
-        kept = forest(a, b, d)
-        found = a[kept], b[kept], d[kept]
-    return names[found[0]], names[found[1]]
-
-
-def links(batches: Iterator[pa.RecordBatch], close: Closeness) -> Iterator[pa.RecordBatch]:
+                label = _joined(label, place[q], place[x])
+            found = tuple(np.append(f, g) for f, g in zip(found, (place[q], place[x], d), strict=True))
+            if len(found[0]) > forested + TESTS_AT_ONCE:
+                kept = forest(*found)
+                found = tuple(f[kept] for f in found)
+                forested = len(kept)
+    kept = forest(*found)
+    return names[found[0][kept]], names[found[1][kept]]
+
+
+def links(batches: Iterator[pa.RecordBatch], close: Closeness, plan: Pigeonhole) -> Iterator[pa.RecordBatch]:
     """The forests of some whole keys at a time; rows come sorted by key."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -398,10 +479,10 @@ def links(batches: Iterator[pa.RecordBatch], close: Closeness) -> Iterator[pa.Re
             k = whole.column("k").to_numpy()
             end = int(np.searchsorted(k, k[-1], "left"))
             if end:
-                yield _edges(*compare(whole.slice(0, end), close))
+                yield _edges(*compare(whole.slice(0, end), close, plan))
             held = pa.Table.from_batches(whole.slice(end).to_batches()).combine_chunks().to_batches()
     if held:
-        yield _edges(*compare(pa.Table.from_batches(held).combine_chunks(), close))
+        yield _edges(*compare(pa.Table.from_batches(held).combine_chunks(), close, plan))
 
 
 def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -416,37 +497,47 @@ def linked(classes: DataFrame, tau: int, similarity: float | None = None) -> Dat
     no links; those whose ``seek`` is false have none among each other. Each task leaves a forest
     of its links. Edges may repeat.
 
-    The driver gets 64 x 64 bit counts and at most 2**16 counts for each group, never rows.
+    The driver gets 64 x 64 bit counts and at most 2**COUNT_BITS counts for each group, never rows.
     """
-    spark = classes.sparkSession
+    spark, sketched = classes.sparkSession, ["sketch"] if similarity else []
+    sides = (0,) if not similarity else (-1, 0, 1) if "seek" in classes.columns else (0, 1)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((BITS, BITS), dtype=np.int64)
+        both, sizes = np.zeros((BITS, BITS), dtype=np.int64), np.zeros(BANDS, dtype=np.int64)
         for batch in batches:
             bits = _bits(batch.column(0).to_numpy(zero_copy_only=False)).astype(np.float32)
             both += (bits.T @ bits).astype(np.int64)
-        i, j = np.nonzero(both)
-        yield pa.RecordBatch.from_arrays([pa.array(i * BITS + j), pa.array(both[i, j])], ["at", "n"])
+            sizes += np.bincount(bands_of(set_sizes(batch.column(1)), similarity), minlength=BANDS) if similarity else np.bincount([0], [len(batch)], BANDS).astype(np.int64)
+        every = np.append(both, sizes)
+        at = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(every[at])], ["at", "n"])
 
-    counts = np.zeros(BITS * BITS, dtype=np.int64)
-    for at, k in classes.select("fp").mapInArrow(together, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
+    counts = np.zeros(BITS * BITS + BANDS, dtype=np.int64)
+    for at, k in classes.select("fp", *sketched).mapInArrow(together, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
         counts[at] = k
-    n = classes.count()
-    m = group_count(n, tau)
-    plan = Pigeonhole(correlated_groups(counts.reshape(BITS, BITS), n, m), tau, n)
+    sizes = counts[BITS * BITS :]
+    n, bands = int(sizes.sum()), int(np.flatnonzero(sizes).max(initial=0)) + 1
+    near = sum(int(sizes[b] * sizes[b + s]) for b in range(bands) for s in sides if 0 <= b + s < bands) / max(n, 1)  # index rows that a probe meets
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    weight = 32 if "shingles" in classes.columns else 1  # whole sets make large rows
+    most_rows = ROWS_OF_KEY // weight
+    part = max(0, math.ceil(math.log2(max(near, 1) / most_rows)))
+    m = group_count(near, tau, part, ROW_COST * weight)
+    plan = Pigeonhole(correlated_groups(counts[: BITS * BITS].reshape(BITS, BITS), n, m), tau, similarity, bands, sides, part, most_rows)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = plan.values(batch.column(0).to_numpy(zero_copy_only=False))
+            band = bands_of(set_sizes(batch.column(1)), similarity) if similarity else 0
             for i in range(m):
-                v, k = np.unique(values[:, i] & ((1 << plan.cells[i]) - 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array((i << CELL_BITS) + v), pa.array(k)], ["at", "n"])
+                v, k = np.unique((band << plan.cells[i]) + (values[:, i] & ((1 << plan.cells[i]) - 1)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((i << COUNT_BITS) + v), pa.array(k)], ["at", "n"])
 
-    seen = [np.zeros(1 << c, dtype=np.int64) for c in plan.cells]
-    got = classes.select("fp").mapInArrow(cells, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    got = classes.select("fp", *sketched).mapInArrow(cells, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    at, seen = got["at"].to_numpy(), []
     for i in range(m):
-        own = got[(got["at"].to_numpy() >> CELL_BITS) == i]
-        seen[i][own["at"].to_numpy() & ((1 << CELL_BITS) - 1)] = own["n"].to_numpy()
+        own = at >> COUNT_BITS == i
+        seen.append(np.bincount(at[own] & ((1 << COUNT_BITS) - 1), got["n"].to_numpy()[own], bands << plan.cells[i]).reshape(bands, -1))
     plan.learn(seen)
     shared = spark.sparkContext.broadcast(plan)
     close = Closeness(tau, similarity)
@@ -458,12 +549,11 @@ def linked(classes: DataFrame, tau: int, similarity: float | None = None) -> Dat
                 yield from route(shared.value, batch.slice(at, step))
 
     rows = classes.select("fp", "node", *(c for c in ("part", "seek", "sketch", "shingles") if c in classes.columns))
-    keyed = rows.mapInArrow(routed, "k long, probe byte, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
-    width = BITS / m
-    probes = sum(len(g[max(0, plan.budget // m)]) for g in plan.masks) if plan.budget > 0 else m
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * (m + probes) * (1 + n / 2**width / BLOCK / 4) / 1_000_000))
+    keyed = rows.mapInArrow(routed, "k long, role byte, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema))
+    shuffled = n * sum(len(sides) + len(t[min(plan.most, max(0, -(-plan.budget // m)))]) for t in plan.turns)
+    parts = max(asked, math.ceil(shuffled * weight / 500_000 + plan.pairs / 1_000_000_000))
     dealt = keyed.repartition(parts, "k").sortWithinPartitions("k")
-    return dealt.mapInArrow(lambda batches: links(batches, close), "a long, b long")
+    return dealt.mapInArrow(lambda batches: links(batches, close, shared.value), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, words: int = 3, tau: int = 3) -> DataFrame:
