@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -111,6 +113,8 @@ TERM_LENGTH, TERM, TITLE, KEYWORD, TEXT = 4, 3.0, 3.0, 4.0, 0.5
 AFTER_BLANK = r"(?<=\s)"
 #: Stands before terms among tokens.
 AS_TERM = "\u0001"
+#: Tokens of a text in lower case, the marks that go from their ends, and blanks of any kind, as ``tokenize`` and Spark's patterns have them.
+TOKENS, EDGES, BLANK = re.compile("[A-Za-z0-9_.:/+-]+|[\u4e00-\u9fff]+"), ".,;()[]{}<>\"'", re.compile("[ \t\n\u000b\f\r]+")
 
 
 def _plain(chunks: DataFrame) -> DataFrame:
@@ -146,6 +150,40 @@ def terms_inside(runs: Iterable[str], terms: Iterable[str]) -> tuple[np.ndarray,
     return out[:, 0], out[:, 1]
 
 
+def phrases_inside(texts: Iterable[bytes], phrases: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, phrase) by their places: which phrases, of four bytes or more, occur anywhere in which texts; a pair may come twice.
+
+    All phrases are looked for at once by eight bytes from their middle (short ones as a whole); the
+    rest of a phrase is compared only where these stand.
+    """
+    texts = list(texts)
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    data = b"".join(texts)
+    every = np.ndarray(len(data), "<u8", data + bytes(8), strides=(1,))
+    kinds: dict[int, dict[int, list[tuple[int, bytes, int]]]] = {}
+    for j, p in enumerate(phrases):
+        n = min(8, len(p))
+        middle = (len(p) - n) // 2
+        kinds.setdefault(n, {}).setdefault(int.from_bytes(p[middle : middle + n], "little"), []).append((middle, p, j))
+    found = []
+    for n, wanted in kinds.items():
+        mask, mixer, shift = np.uint64(2 ** (8 * n) - 1), np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
+        sought = np.array(sorted(wanted), dtype=np.uint64)
+        likely = np.zeros(2**20, dtype=bool)
+        likely[sought * mixer >> shift] = True
+        for at in range(0, len(data), 2**20):
+            part = every[at : at + 2**20] & mask
+            here = np.flatnonzero(likely[part * mixer >> shift])
+            place = np.minimum(np.searchsorted(sought, part[here]), len(sought) - 1)
+            here, place = here[sought[place] == part[here]] + at, place[sought[place] == part[here]]
+            rows = np.searchsorted(ends, here, "right")
+            for i, r, w in zip(here.tolist(), rows.tolist(), sought[place].tolist(), strict=True):
+                low, high = int(ends[r - 1]) if r else 0, int(ends[r])
+                found += [(r, j) for middle, p, j in wanted[w] if i - middle >= low and i - middle + len(p) <= high and data.startswith(p, i - middle)]
+    out = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return out[:, 0], out[:, 1]
+
+
 def phrase_matches(phrases: DataFrame, chunks: DataFrame) -> DataFrame:
     """(term, chunk_id) of the chunks whose ``blob`` holds a term with blanks of any kind as it stands.
 
@@ -227,35 +265,38 @@ def _values(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), np.repeat(np.arange(len(lists), dtype=np.int32), np.asarray(pc.fill_null(pc.list_value_length(lists), 0)))
 
 
-def _places(column: pa.ChunkedArray, keys: pa.Array, n: int) -> np.ndarray:
-    """Key times ``n`` plus row, for each item of the lists that is a key."""
-    items, at = _values(column)
-    key = np.asarray(pc.fill_null(pc.index_in(items, value_set=keys), -1)).astype(np.int64)
-    return (key * n + at)[key >= 0]
-
-
 def _shard_postings(keys: pa.Array, rows: pa.Table) -> tuple[np.ndarray, ...]:
     """(starts, at, worth, both, texts): postings of the keys over the rows of a shard, by key, then row.
 
     Worth is what the key adds beside the text, ``both`` that and a term, ``texts`` whether it is in the text.
     """
-    n = max(1, len(rows))
-    fields = [_places(rows[c], keys, n) for c in ("title", "keywords", "text")]
+    n, known = max(1, len(rows)), {t: i for i, t in enumerate(keys.to_pylist())}
+    fields, runs, code, at, blobs = [array("q") for _ in range(3)], {}, array("q"), array("q"), []
+    for r, texts in enumerate(zip(*(rows[c] for c in ("title", "keywords", "text")), strict=True)):
+        texts = [t.as_py() for t in texts]
+        for found, text in zip(fields, texts, strict=True):
+            found.extend(known[t] * n + r for t in {x.strip(EDGES) for x in TOKENS.findall(text)} if len(t) > 1 and t in known)
+        blob = " ".join(texts)
+        own = {x for x in BLANK.split(blob) if len(x) >= TERM_LENGTH}
+        code.extend(runs.setdefault(x, len(runs)) for x in own)
+        at.extend([r] * len(own))
+        blobs.append(blob.encode())
+    fields, code, at = [np.array(x, dtype=np.int64) for x in fields], np.array(code, dtype=np.int64), np.array(at, dtype=np.int64)
     tokens = np.unique(np.concatenate(fields))
     title, keyword, text = (np.isin(tokens, x, assume_unique=True).astype(np.float32) for x in fields)
-    # terms without blanks inside runs, and phrases: each once a row, unless the row has it as a token
+    # terms without blanks inside runs, and phrases in whole texts: each once a row, unless the row has it as a token
     named = np.flatnonzero(np.asarray(pc.starts_with(keys, AS_TERM)))
     terms = pc.utf8_slice_codeunits(keys.take(pa.array(named)), 1)
-    items, at = _values(rows["runs"])
-    coded = items.dictionary_encode()
-    run, term = terms_inside(coded.dictionary.to_pylist(), terms.to_pylist())
+    spoken = terms.to_pylist()
+    parted = np.array([bool(BLANK.search(t)) for t in spoken], dtype=bool)
+    run, term = terms_inside(runs, [t for t, blank in zip(spoken, parted, strict=True) if not blank])
     order = np.argsort(run, kind="stable")
-    first = np.searchsorted(run[order], np.arange(len(coded.dictionary) + 1))
-    code = np.asarray(coded.indices)
+    first = np.searchsorted(run[order], np.arange(len(runs) + 1))
     times = (first[1:] - first[:-1])[code]
     within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    inside = term[order[np.repeat(first[:-1][code], times) + within]] * n + np.repeat(at, times)
-    hits = np.unique(np.concatenate([inside, _places(rows["phrases"], terms, n)]))
+    inside = np.flatnonzero(~parted)[term[order[np.repeat(first[:-1][code], times) + within]]] * n + np.repeat(at, times)
+    row, phrase = phrases_inside(blobs, [t.encode() for t, blank in zip(spoken, parted, strict=True) if blank])
+    hits = np.unique(np.concatenate([inside, np.flatnonzero(parted)[phrase] * n + row]))
     as_token = np.asarray(pc.fill_null(pc.index_in(keys, value_set=terms), -1)).astype(np.int64)[tokens // n]
     hits = np.setdiff1d(hits, (as_token * n + tokens % n)[as_token >= 0], assume_unique=True)
     places = np.concatenate([tokens, named[hits // n] * n + hits % n])
@@ -332,7 +373,7 @@ def _shard_best(queries: pa.Table, rows: pa.Table, room: int, text_cap: int, see
 def best_chunks(asked: DataFrame, chunks: DataFrame, room: int, text_cap: int, seeds: int) -> DataFrame:
     """(query_id, doc_id, chunk_id, score): the ``room`` best chunks of each query, ties to the smaller document, then chunk.
 
-    ``asked(query_id, q_bits, asks)`` and ``chunks(chunk_id, doc_id, c_bits, title, keywords, text, runs, phrases)`` (sets of words):
+    ``asked(query_id, q_bits, asks)`` and ``chunks(chunk_id, doc_id, c_bits, title, keywords, text)`` (in lower case, not null):
     chunks are dealt by hash into shards, queries into blocks, and each pair of a shard and a block is
     one group of bounded size that gives at most ``room`` rows a query. Shards grow with the
     square root of the table, their number with the rest.
@@ -374,23 +415,19 @@ def retrieve_top_k(queries: DataFrame, chunks: DataFrame, k: int = 5, text_cap:
     don't count among the k.
 
     Each shard of the chunks is scored for a block of queries at once (``best_chunks``), so a pair of a
-    query and a chunk is a place in an array and never a row; only a shard's best are.
+    query and a chunk is a place in an array and never a row; only a shard's best are. Texts move
+    once for a block, as they stand; their words, and where phrases are in them, never are rows.
     """
     asks = F.concat(
         F.transform("tokens", lambda t: F.struct(t.alias("key"), F.array_contains("terms", t).cast("int").alias("factor"))),
         F.transform("terms", lambda t: F.struct(F.concat(F.lit(AS_TERM), t).alias("key"), F.lit(1).alias("factor"))),
     )
-    asked = held(_asked(queries).where("query_id is not null").select("query_id", "terms", _query_bits().alias("q_bits"), asks.alias("asks")))
+    asked = held(_asked(queries).where("query_id is not null").select("query_id", _query_bits().alias("q_bits"), asks.alias("asks")))
     full = _plain(chunks).where("chunk_id is not null")
-    runs = F.filter(F.array_distinct(F.split("blob", "\\s+")), lambda r: F.length(r) >= TERM_LENGTH)
-    listed = full.select("chunk_id", "doc_id", _chunk_bits().alias("c_bits"), *(_token_set(c).alias(c) for c in ("title", "keywords", "text")), runs.alias("runs"))
-    if "terms" in queries.columns:  # tokens alone have no blanks
-        spoken = asked.select(F.explode("terms").alias("term")).where(F.rlike("term", F.lit("\\s"))).distinct()
-        listed = listed.join(phrase_matches(spoken, full).groupBy("chunk_id").agg(F.collect_list("term").alias("phrases")), "chunk_id", "left")
-    else:
-        listed = listed.withColumn("phrases", F.array().cast("array<string>"))
+    lowered = [F.lower(F.coalesce(c, F.lit(""))).alias(c) for c in ("title", "keywords", "text")]
+    listed = full.select("chunk_id", "doc_id", _chunk_bits().alias("c_bits"), *lowered)
     room = k + most_pinned
-    scored = best_chunks(asked.drop("terms"), listed, room, text_cap, seeds)
+    scored = best_chunks(asked, listed, room, text_cap, seeds)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "chunk_id")
     ranked = lambda rows: rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     if pinned is None:
